@@ -16,7 +16,7 @@ from matrixlens.operators import table_stats
 from matrixlens.operators.matrix_stats import describe_cells, describe_rows_of_arrays
 from matrixlens.operators.predicates import filter_rows
 from matrixlens.operators.selection import match_names, unmatched_patterns
-from matrixlens.operators.slicing import Bounds, needs_length, resolve, slice_rows
+from matrixlens.operators.slicing import Bounds, in_order, needs_length, resolve, slice_rows
 from matrixlens.plans.summary import entries_frame, summary_frame
 
 KEYED = ("layers", "obsm", "varm", "obsp", "varp", "uns")
@@ -351,6 +351,7 @@ class AnnotatedDataset:
         # Positions of the wanted rows; at most as many as the slice asks for.
         axis_rows = self._single[row_axis].select(POSITION) if row_axis else part.df.select(F.col("row_pos").alias(POSITION)).distinct()
         wanted = slice_rows(axis_rows, rows, gaps, length)
+        at_most = len(resolve(rows, length if length is not None else max(rows[0], rows[1])))
         block = part.df.withColumnRenamed("row_pos", POSITION)
         if gaps or part.layout != "dense":
             block = block.join(wanted, POSITION, "left_semi")
@@ -380,7 +381,7 @@ class AnnotatedDataset:
         if part.layout == "dense":
             block = block.withColumn("_picked", positions)
             values = F.transform("_picked", lambda p: F.get("values", p.cast("int")).cast("double"))
-            return block.select(F.col(POSITION).alias("row_pos"), values.alias("values")).orderBy("row_pos")
+            return in_order(block.select(F.col(POSITION).alias("row_pos"), values.alias("values")), at_most, "row_pos")
         if kept is None:
             block = block.filter(inside)
         else:
@@ -395,7 +396,7 @@ class AnnotatedDataset:
             "_picked",
             lambda p: F.when(F.map_contains_key("stored", p), F.try_element_at("stored", p)).otherwise(absent),
         )
-        return filled.select(F.col(POSITION).alias("row_pos"), values.alias("values")).orderBy("row_pos")
+        return in_order(filled.select(F.col(POSITION).alias("row_pos"), values.alias("values")), at_most, "row_pos")
 
     # ---- metadata ----------------------------------------------------------------------
 

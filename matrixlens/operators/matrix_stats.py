@@ -12,71 +12,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from matrixlens.operators.order_statistics import (
     QUARTILES,
+    SORTED_ROWS,
     STATISTICS,
-    rank_pair,
     describe_groups,
-    fits_in_buffers,
+    describe_small_groups,
     interpolate,
+    rank_pair,
 )
 
-
-def _from_sorted(stored: Column, negative: Column, zeros: Column) -> dict[str, Column]:
-    """Quartiles of sorted stored values with ``zeros`` further zeros slotted in."""
-    count = F.size(stored) + zeros
-
-    def at(rank: Column) -> Column:
-        below = F.get(stored, rank.cast("int"))
-        above = F.get(stored, (rank - zeros).cast("int"))
-        return F.when(rank < negative, below).when(rank < negative + zeros, F.lit(0.0)).otherwise(above)
-
-    result = {}
-    for q in QUARTILES:
-        low, high, weight = rank_pair(q, count)
-        result[f"p{int(q * 100)}"] = F.when(count > 0, interpolate(at(low), at(high), weight))
-    return result
-
-
-def _small_groups(cells: DataFrame, keys: Sequence[str], groups: DataFrame | None, n_cells: int) -> DataFrame:
-    """Groups proven to fit a buffer: one scan, one shuffle, values sorted per group."""
-    value = F.col("value")
-    stats = cells.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(value).alias("present"),
-        F.avg(value).alias("avg"),
-        F.var_pop(value).alias("var"),
-        F.min(value).alias("lo"),
-        F.max(value).alias("hi"),
-        F.count_if(value < 0).alias("negative"),
-        F.array_sort(F.collect_list(value)).alias("sorted"),
-    )
-    zeros: Column = F.lit(0).cast("bigint")
-    if groups is not None:
-        stats = groups.join(stats, list(keys), "left")
-        zeros = F.lit(n_cells) - F.coalesce("rows", F.lit(0))
-    none = F.lit(0).cast("bigint")
-    stats = stats.select(
-        *keys,
-        zeros.alias("zeros"),
-        F.coalesce("rows", none).alias("rows"),
-        F.coalesce("present", none).alias("present"),
-        F.coalesce("negative", none).alias("negative"),
-        "avg", "var", "lo", "hi",
-        F.coalesce("sorted", F.array().cast("array<double>")).alias("sorted"),
-    )
-    count = F.col("present") + F.col("zeros")
-    mean = F.when(count > 0, F.coalesce(F.col("avg") * F.col("present"), F.lit(0.0)) / count)
-    spread = F.coalesce(F.col("present") * (F.col("var") + F.pow(F.col("avg") - mean, 2)), F.lit(0.0))
-    with_zero = F.when(F.col("zeros") > 0, F.lit(0.0))
-    values = {
-        "count": count,
-        "nan_count": F.col("rows") - F.col("present"),
-        "mean": mean,
-        "std": F.when(count > 0, F.sqrt((spread + F.col("zeros") * F.pow(mean, 2)) / count)),
-        "min": F.least(F.col("lo"), with_zero),
-        "max": F.greatest(F.col("hi"), with_zero),
-        **_from_sorted(F.col("sorted"), F.col("negative"), F.col("zeros")),
-    }
-    return stats.select(*keys, *[values[s].alias(s) for s in STATISTICS])
+#: Up to this many groups their values are counted before they are moved.
+FEW_GROUPS = 128
 
 
 def describe_cells(
@@ -87,15 +32,13 @@ def describe_cells(
     ``groups`` marks a sparse matrix: it lists every group, stored cells or not, and each
     has exactly ``n_cells`` cells.
     """
-    held = n_cells
-    if groups is not None and not keys and not fits_in_buffers(held, 1):
-        held = cells.count()  # only stored cells take up room
     keyed = cells if keys else cells.withColumn("_all", F.lit(0))
     by = list(keys) or ["_all"]
-    if fits_in_buffers(held, n_groups):
-        stats = _small_groups(keyed, by, groups, n_cells)
+    complete = n_cells if groups is not None else None
+    if n_cells <= SORTED_ROWS:
+        stats = describe_small_groups(keyed, by, groups, complete, many=n_groups > FEW_GROUPS)
     else:
-        stats = describe_groups(keyed, by, groups, n_cells)
+        stats = describe_groups(keyed, by, groups, complete)
     return stats if keys else stats.drop("_all")
 
 
@@ -107,7 +50,11 @@ def describe_rows_of_arrays(rows: DataFrame) -> DataFrame:
     total = F.aggregate("sorted", F.lit(0.0), lambda acc, v: acc + v)
     rows = rows.select("row_pos", "cells", "sorted", n.alias("count"), F.when(n > 0, total / n).alias("mean"))
     square = F.aggregate("sorted", F.lit(0.0), lambda acc, v: acc + F.pow(v - F.col("mean"), F.lit(2)))
-    nothing = F.lit(0).cast("bigint")
+
+    def quartile(q: float) -> Column:
+        low, high, weight = rank_pair(q, F.col("count"))
+        return interpolate(F.get("sorted", low.cast("int")), F.get("sorted", high.cast("int")), weight)
+
     values = {
         "count": F.col("count"),
         "nan_count": F.col("cells") - F.col("count"),
@@ -115,6 +62,6 @@ def describe_rows_of_arrays(rows: DataFrame) -> DataFrame:
         "std": F.when(F.col("count") > 0, F.sqrt(square / F.col("count"))),
         "min": F.array_min("sorted"),
         "max": F.array_max("sorted"),
-        **_from_sorted(F.col("sorted"), nothing, nothing),
+        **{f"p{int(q * 100)}": quartile(q) for q in QUARTILES},
     }
     return rows.select("row_pos", *[values[s].alias(s) for s in STATISTICS])

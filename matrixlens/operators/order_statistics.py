@@ -1,7 +1,12 @@
 """Exact statistics and quartiles of groups of any size.
 
-``percentile`` keeps every distinct value of a group in one buffer, so it is used only
-where a count proves the group small.  Beyond that:
+Quartiles need the values of a group in order.  Two ways lead there, chosen by a bound on
+the group size that is known before:
+
+*Small groups* are sorted.  Values are counted per distinct value first, then running
+counts within the group tell which value holds each rank.  Every step spills to disk.
+
+*Large groups* are never gathered:
 
 1. One scan counts values per group and *octave bin* (sign and binary logarithm, a few
    hundred bins for usual data).  Partial aggregation shrinks the data to bins before the
@@ -25,15 +30,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from matrixlens.session import BROADCAST_ROWS, stable
 
-#: Values that aggregates in one task may hold in memory at the same time.
-BUFFERED_VALUES = 1 << 22
-#: Groups an object-hash aggregate holds before it falls back to sorting (Spark default).
-HELD_GROUPS = 128
 #: First-level resolution: bins per doubling of the magnitude.
 BINS_PER_OCTAVE = 32
 #: Slices per refinement of a bin.
 REFINE_BINS = 4096
-#: A bin with at most this many rows is sorted by a single task.
+#: A group or bin with at most this many rows is sorted by a single task.
 SORTED_ROWS = 1 << 18
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -43,11 +44,6 @@ _LARGEST_LOG2 = 1025  # above log2 of the largest double, for infinities
 _BIN_SHIFT = 1075 * BINS_PER_OCTAVE + 1  # makes the step of the smallest double positive
 
 
-def fits_in_buffers(values_per_group: int, groups: int) -> bool:
-    """May one aggregate buffer hold a whole group, with its neighbours next to it?"""
-    return values_per_group * min(max(groups, 1), HELD_GROUPS) <= BUFFERED_VALUES
-
-
 def _octave_bin(value: Column) -> Column:
     """Integer that never decreases as the value grows."""
     magnitude = F.least(F.log2(F.abs(value)), F.lit(float(_LARGEST_LOG2)))
@@ -118,10 +114,22 @@ def _values_at_ranks(values: DataFrame, keys: Sequence[str], located: DataFrame)
     return result
 
 
-def _binned(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _weighted(values: DataFrame, keys: Sequence[str], groups: DataFrame | None) -> DataFrame:
+    """``(keys, value, n)``: one per row, and for every listed group an entry of weight zero.
+
+    The latter makes groups without any row appear in the result.
+    """
+    rows = values.select(*keys, "value", F.lit(1).cast("bigint").alias("n"))
+    if groups is None:
+        return rows
+    nothing = [F.lit(None).cast("double").alias("value"), F.lit(0).cast("bigint").alias("n")]
+    return rows.unionByName(groups.select(*keys, *nothing))
+
+
+def _binned(weighted: DataFrame, keys: Sequence[str]) -> DataFrame:
     value = F.col("value")
-    return values.groupBy(*keys, _octave_bin(value).alias("_bin")).agg(
-        F.count(F.lit(1)).alias("n"),
+    return weighted.groupBy(*keys, _octave_bin(value).alias("_bin")).agg(
+        F.sum("n").alias("n"),
         F.avg(value).alias("mean"),
         F.var_pop(value).alias("var"),
         F.min(value).alias("lo"),
@@ -140,14 +148,73 @@ def interpolate(low: Column, high: Column, weight: Column) -> Column:
     return F.when(low == high, low).otherwise(low + (high - low) * weight)
 
 
-def _with_zero_cells(bins: DataFrame, keys: Sequence[str], groups: DataFrame, cells: int) -> DataFrame:
-    """Add to each group the zero cells that a sparse matrix leaves out."""
-    stored = bins.groupBy(*keys).agg(F.sum("n").alias("stored"))
-    zeros = groups.join(stored, list(keys), "left").select(
-        *keys, F.lit(0).alias("_bin"), (F.lit(cells) - F.coalesce("stored", F.lit(0))).alias("n"),
-        *[F.lit(0.0).alias(c) for c in ("mean", "var", "lo", "hi")],
+def describe_small_groups(
+    values: DataFrame,
+    keys: Sequence[str],
+    groups: DataFrame | None = None,
+    cells: int | None = None,
+    many: bool = False,
+) -> DataFrame:
+    """As ``describe_groups``, for groups that one task can sort.
+
+    ``many`` groups are moved once, by group; few groups are first counted where they lie.
+    """
+    value = F.col("value")
+    rows = _weighted(values, keys, groups)
+    if many:
+        rows = rows.repartition(*keys)
+    counted = rows.groupBy(*keys, "value").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*keys)
+    ordered = group.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    present = F.when(value.isNotNull(), F.col("n")).otherwise(F.lit(0))
+    zeros = F.lit(0).cast("bigint") if cells is None else F.lit(cells) - F.sum("n").over(group)
+    counted = counted.select(
+        *keys,
+        "value",
+        "n",
+        zeros.alias("zeros"),
+        present.alias("present"),
+        (F.sum(present).over(group) + zeros).alias("count"),
+        F.sum(F.col("n") * value).over(group).alias("total"),
+        (F.sum(present).over(ordered) - present).alias("before"),
     )
-    return bins.unionByName(zeros.filter("n > 0"))
+    # The cells not stored are zeros: they come after the negative values and before the others.
+    counted = counted.select(
+        *keys,
+        "value",
+        "n",
+        "zeros",
+        "present",
+        "count",
+        F.when(F.col("count") > 0, F.coalesce("total", F.lit(0.0)) / F.col("count")).alias("mean"),
+        (F.col("before") + F.when(value > 0, F.col("zeros")).otherwise(F.lit(0))).alias("start"),
+        (F.col("present") + F.when(value == 0, F.col("zeros")).otherwise(F.lit(0))).alias("width"),
+    )
+    pairs = {f"p{int(q * 100)}": rank_pair(q, F.col("count")) for q in QUARTILES}
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("start") + F.col("width")), value))
+
+    picks = {f"{p}_{side}": at(rank) for p, (low, high, _) in pairs.items() for side, rank in (("low", low), ("high", high))}
+    stats = counted.groupBy(*keys).agg(
+        F.max("count").alias("count"),
+        F.sum(F.col("n") - F.col("present")).alias("nan_count"),
+        F.max("mean").alias("mean"),
+        F.sum(F.col("present") * F.pow(value - F.col("mean"), 2)).alias("spread"),
+        F.max("zeros").alias("zeros"),
+        F.min("value").alias("lo"),
+        F.max("value").alias("hi"),
+        *[pick.alias(name) for name, pick in picks.items()],
+    )
+    zero = F.when(F.col("zeros") > 0, F.lit(0.0))
+    spread = F.coalesce("spread", F.lit(0.0)) + F.col("zeros") * F.pow("mean", F.lit(2))
+    result = {
+        "std": F.when(F.col("count") > 0, F.sqrt(spread / F.col("count"))),
+        "min": F.least("lo", zero),
+        "max": F.greatest("hi", zero),
+        **{p: interpolate(F.coalesce(f"{p}_low", zero), F.coalesce(f"{p}_high", zero), pairs[p][2]) for p in pairs},
+    }
+    return stats.select(*keys, *[result[s].alias(s) if s in result else F.col(s) for s in STATISTICS])
 
 
 def describe_groups(
@@ -155,12 +222,15 @@ def describe_groups(
 ) -> DataFrame:
     """Statistics per group of ``(keys, value double)``; null values are missing.
 
-    For sparse data ``groups`` lists the key of every group and ``cells`` is the number of
-    cells each has; those not among the rows are zeros.
+    ``groups`` lists keys that must appear even without rows.  ``cells`` marks sparse data:
+    every group has that many cells, and those not among the rows are zeros.
     """
-    bins = stable(_binned(values, keys))
-    if groups is not None:
-        bins = _with_zero_cells(bins, keys, groups, cells)
+    bins = _binned(_weighted(values, keys, groups), keys)
+    if cells is not None:
+        bins = stable(bins)
+        zeros = bins.groupBy(*keys).agg((F.lit(cells) - F.sum("n")).alias("n")).filter("n > 0")
+        numbers = [F.lit(0.0).alias(c) for c in ("mean", "var", "lo", "hi")]
+        bins = bins.unionByName(zeros.select(*keys, F.lit(0).alias("_bin"), "n", *numbers))
     group = Window.partitionBy(*keys)
     present = F.when(F.col("_bin").isNotNull(), F.col("n")).otherwise(F.lit(0))
     count = F.sum(present).over(group)
@@ -195,7 +265,7 @@ def describe_groups(
 def values_at_ranks(values: DataFrame, ranks: Sequence[int]) -> list[float]:
     """The values at zero-based ``ranks`` of one column ``value``, ascending."""
     keyed = values.select(F.lit(0).alias("_all"), F.col("value").cast("double").alias("value"))
-    bins = _binned(keyed, ["_all"]).filter(F.col("_bin").isNotNull())
+    bins = _binned(_weighted(keyed, ["_all"], None), ["_all"]).filter(F.col("_bin").isNotNull())
     bins = stable(bins.withColumn("base", _running(["_all"], "_bin") - F.col("n")))
     wanted = F.array(*[F.lit(int(r)).cast("bigint") for r in sorted(set(ranks))])
     located = bins.withColumn("ranks", _ranks_within(wanted, F.col("base"), F.col("n"))).filter(F.size("ranks") > 0)

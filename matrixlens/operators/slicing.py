@@ -36,8 +36,10 @@ def _by_position(df: DataFrame, picked: range) -> DataFrame:
     return df if step == 1 else df.filter((pos - low) % step == 0)
 
 
-def _in_order(df: DataFrame, picked: range) -> DataFrame:
-    return df.orderBy(F.desc(POSITION) if picked.step < 0 else F.asc(POSITION))
+def in_order(df: DataFrame, at_most: int, name: str = POSITION, descending: bool = False) -> DataFrame:
+    """Sort by position: as a top-k where few rows are expected, else as a distributed sort."""
+    ordered = df.orderBy(F.desc(name) if descending else F.asc(name))
+    return ordered.limit(at_most) if at_most <= TOP_ROWS else ordered
 
 
 def slice_rows(df: DataFrame, rows: Bounds, gaps: bool = False, length: int | None = None) -> DataFrame:
@@ -50,7 +52,7 @@ def slice_rows(df: DataFrame, rows: Bounds, gaps: bool = False, length: int | No
         length = df.count() if needs_length(rows) else max(rows[0], rows[1])
     picked = resolve(rows, length)
     if not gaps:
-        return _in_order(_by_position(df, picked), picked)
+        return in_order(_by_position(df, picked), len(picked), descending=picked.step < 0)
     if not picked:
         return df.filter(F.lit(False))
     if picked.step == 1:
@@ -63,4 +65,5 @@ def slice_rows(df: DataFrame, rows: Bounds, gaps: bool = False, length: int | No
         low, high = values_at_ranks(df.select(F.col(POSITION).alias("value")), [picked.start, last])
         return df.filter(F.col(POSITION).between(int(low), int(high))).orderBy(POSITION)
     ranked = assign_positions(df.withColumnRenamed(POSITION, "_stored"), "_stored")
-    return _in_order(_by_position(ranked, picked), picked).withColumn(POSITION, F.col("_stored")).drop("_stored")
+    sliced = in_order(_by_position(ranked, picked), len(picked), descending=picked.step < 0)
+    return sliced.withColumn(POSITION, F.col("_stored")).drop("_stored")

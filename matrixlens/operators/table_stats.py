@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matrixlens.functions.columns import clean_double, column, is_missing, is_numeric, user_columns
+from matrixlens.functions.columns import clean_double, column, is_numeric, user_columns
 from matrixlens.functions.globs import select_names
-from matrixlens.operators.order_statistics import QUARTILES, STATISTICS, describe_groups, fits_in_buffers
+from matrixlens.operators.order_statistics import SORTED_ROWS, describe_groups, describe_small_groups
 
 #: Result columns of a table description, in order, whatever the column types described.
 DESCRIBE_SCHEMA = (
@@ -36,9 +36,8 @@ def requested_columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]
     return list(chosen)
 
 
-def _in_request_order(df: DataFrame, names: Sequence[str], *then: Column) -> DataFrame:
-    number = F.array_position(F.lit(list(names)), F.col("column"))
-    return df.orderBy(number, *then)
+def _request_order(names: Sequence[str]) -> Column:
+    return F.array_position(F.lit(list(names)), F.col("column"))
 
 
 def as_description(df: DataFrame) -> DataFrame:
@@ -51,48 +50,20 @@ def as_description(df: DataFrame) -> DataFrame:
     return df.select(*[field(name) for name in _DESCRIBE_COLUMNS])
 
 
-def _numeric_in_one_pass(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """All statistics of all columns from a single aggregate over a single scan."""
-    aggregates = []
-    for i, name in enumerate(names):
-        dtype = df.schema[name].dataType
-        value = clean_double(column(name), dtype)
-        quartiles = F.percentile(value, F.array(*[F.lit(q) for q in QUARTILES]))
-        aggregates += [
-            F.count(value).alias(f"count_{i}"),
-            F.count_if(is_missing(column(name), dtype)).alias(f"nan_count_{i}"),
-            F.avg(value).alias(f"mean_{i}"),
-            F.stddev_pop(value).alias(f"std_{i}"),
-            F.min(value).alias(f"min_{i}"),
-            F.max(value).alias(f"max_{i}"),
-            quartiles.alias(f"quartiles_{i}"),
-        ]
-    rows = []
-    for i, name in enumerate(names):
-        quartile = {f"p{int(q * 100)}": F.get(f"quartiles_{i}", F.lit(k)) for k, q in enumerate(QUARTILES)}
-        fields = [(quartile.get(s) if s in quartile else F.col(f"{s}_{i}")).alias(s) for s in STATISTICS]
-        rows.append(F.struct(F.lit(name).alias("column"), *fields))
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
-
-
 def _melted(df: DataFrame, names: Sequence[str], values: Sequence[Column]) -> DataFrame:
     """One row ``(column, value)`` per cell of the given columns."""
-    # Expressions first, under plain names: unpivot then only repeats references.
-    named = df.select(*[v.alias(f"c{i}") for i, v in enumerate(values)])
-    melted = named.unpivot([], [f"c{i}" for i in range(len(names))], "slot", "value")
-    name = F.element_at(F.lit(list(names)), F.substring("slot", 2, 9).cast("int") + 1)
-    return melted.select(name.alias("column"), "value") if len(names) > 1 else melted.select(
-        F.lit(names[0]).alias("column"), "value"
-    )
+    # Expressions first, so that unpivot only repeats references.
+    named = df.select(*[v.alias(name) for name, v in zip(names, values)])
+    return named.unpivot([], [column(name) for name in names], "column", "value")
 
 
 def describe_numeric(df: DataFrame, names: Sequence[str], n_rows: int) -> DataFrame:
     """Count, mean, deviation, extremes, quartiles and missing count per numeric column."""
-    if fits_in_buffers(n_rows * len(names), 1):
-        stats = _numeric_in_one_pass(df, names)
-    else:
-        cells = _melted(df, names, [clean_double(column(c), df.schema[c].dataType) for c in names])
-        stats = describe_groups(cells, ["column"])
+    cells = _melted(df, names, [clean_double(column(c), df.schema[c].dataType) for c in names])
+    # A table may be empty; its columns are described all the same.
+    groups = df.sparkSession.range(1).select(F.explode(F.lit(list(names))).alias("column"))
+    describe = describe_small_groups if n_rows <= SORTED_ROWS else describe_groups
+    stats = describe(cells, ["column"], groups)
     return as_description(stats.withColumn("is_numeric", F.lit(True)))
 
 
@@ -151,7 +122,8 @@ def describe_table(df: DataFrame, columns: Sequence[str] | None = None, n_rows:
     if not parts:
         return df.sparkSession.createDataFrame([], DESCRIBE_SCHEMA)
     result = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return _in_request_order(result, names)
+    # One row per column.  A global sort would first run the plan once more to sample it.
+    return result.repartition(1).sortWithinPartitions(_request_order(names))
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -163,4 +135,4 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     if not names:
         return df.sparkSession.createDataFrame([], "column string, value string, count bigint")
     counts = category_counts(df, names).withColumnRenamed("n", "count")
-    return _in_request_order(counts, names, F.desc("count"), F.col("value").asc_nulls_last())
+    return counts.orderBy(_request_order(names), F.desc("count"), F.col("value").asc_nulls_last())

@@ -27,7 +27,8 @@ pairs AS (SELECT a.p_partkey AS row_pos, coalesce(e.value, 0) AS value
 
 # ---- statistics --------------------------------------------------------------------------
 
-_CELL_STATS = """count(x) AS "count", round(avg(x), 4) AS mean, round(stddev_pop(x), 4) AS std, round(min(x), 6) AS "min",
+# Decimals of means are chosen so that exact ties, which summation order may tip, do not occur.
+_CELL_STATS = """count(x) AS "count", round(avg(x), 5) AS mean, round(stddev_pop(x), 4) AS std, round(min(x), 6) AS "min",
  round(quantile_cont(x, 0.25), 6) AS p25, round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.75), 6) AS p75,
  round(max(x), 6) AS "max\""""
 
@@ -67,6 +68,10 @@ def _cells(ctes: str, source: str, x: str, where: str = "TRUE", by: str = "", na
     return f"WITH {ctes} SELECT {keys}{_CELL_STATS}{missing} FROM ({inner}) {f'GROUP BY {by}' if by else ''}"
 
 
+def _mean_digits(digits: int, sql: str) -> str:
+    return sql.replace("round(avg(x), 5)", f"round(avg(x), {digits})")
+
+
 def _feature_rows(ctes: str, source: str, x: str, where: str) -> str:
     return f"""WITH {ctes} SELECT feature AS "column", {_CELL_STATS}, count(*) - count(x) AS nan_count,
  CAST(NULL AS BIGINT) AS "unique", CAST(NULL AS VARCHAR) AS top, CAST(0 AS BIGINT) AS freq, TRUE AS is_numeric
@@ -153,7 +158,7 @@ def oracles() -> dict[str, str]:
         "filter_index": "SELECT vec_id AS _pos, 'vec_' || vec_id AS _index, label FROM embeddings WHERE 'vec_' || vec_id IN ('vec_3', 'vec_17', 'vec_x')",
         "filter_type_mismatch": "SELECT doc_id AS _pos, FALSE AS equal, TRUE AS unequal FROM documents",
         "filter_long_list": "SELECT doc_id AS _pos, n_chars FROM documents WHERE NOT (n_chars < 4000 AND n_chars % 2 = 0)",
-        "describe_numeric": _union(_numeric("lineitem", _same("l_quantity", "l_extendedprice", "l_discount", "l_tax"))),
+        "describe_numeric": _mean_digits(4, _union(_numeric("lineitem", _same("l_quantity", "l_extendedprice", "l_discount", "l_tax")))),
         "describe_categorical": _union(_categorical("lineitem", _same("l_returnflag", "l_linestatus", "l_shipdate"))),
         "describe_mixed": _union(
             _numeric("docs", _same("n_chars", "quality", "toxic")) + _categorical("docs", _same("lang", "source")), DOCS
@@ -182,7 +187,7 @@ def oracles() -> dict[str, str]:
         "matrix_describe_sparse": _cells(TRADE, "trade", "quantity"),
         "matrix_describe_sparse_by_feature": _cells(TRADE, "trade", "quantity", by="col_pos", nan_count=True),
         "matrix_describe_sparse_by_obs": _cells(TRADE, "trade", "quantity", by="row_pos", nan_count=True),
-        "layer_describe_features": _feature_rows(TRADE, "trade", "revenue", _FEATURES),
+        "layer_describe_features": _mean_digits(2, _feature_rows(TRADE, "trade", "revenue", _FEATURES)),
         "features_of_dense": _feature_rows(
             f"{EMB}, named AS (SELECT *, 'dim_' || col_pos AS feature FROM emb)", "named", "value",
             "feature GLOB 'dim_6*' OR feature = 'dim_0'",
@@ -190,7 +195,7 @@ def oracles() -> dict[str, str]:
         "obs_filter_matrix": _cells(TRADE, "trade", "quantity", "s_acctbal > 4000"),
         "var_filter_matrix": _cells(TRADE, "trade", "quantity", "p_type = 'PROMO'", by="col_pos", nan_count=True),
         "var_filter_dense": _cells(EMB, "emb", "value", "col_pos % 2 = 0"),
-        "both_axes": _cells(TRADE, "trade", "revenue", "s_nationkey < 12 AND p_brand IN ('Brand#2', 'Brand#17')"),
+        "both_axes": _mean_digits(2, _cells(TRADE, "trade", "revenue", "s_nationkey < 12 AND p_brand IN ('Brand#2', 'Brand#17')")),
         "obs_filter_pairwise": _cells(LEAD_SUPPLIER, "pairs", "value", "i_bal > 4000 AND j_bal > 4000"),
         "obs_filter_var_table": _union(_numeric("part", _same("p_size")) + _categorical("part", _same("p_type"))),
         "obsm_describe": _cells(
@@ -251,9 +256,9 @@ def oracles() -> dict[str, str]:
  FROM trade WHERE col_pos < 8 GROUP BY row_pos""",
         "matrix_to_columns": """SELECT vec_id AS row_pos, round(CAST(embedding[4] AS DOUBLE), 6) AS dim_3,
  round(CAST(embedding[42] AS DOUBLE), 6) AS dim_41 FROM embeddings""",
-        "distributed_quartiles": f"""SELECT l_linestatus, {_CELL_STATS}, count(*) - count(x) AS nan_count
- FROM (SELECT l_linestatus, l_extendedprice AS x FROM lineitem) GROUP BY 1""",
+        "distributed_quartiles": _mean_digits(2, f"""SELECT l_linestatus, {_CELL_STATS}, count(*) - count(x) AS nan_count
+ FROM (SELECT l_linestatus, l_extendedprice AS x FROM lineitem) GROUP BY 1"""),
         "positions_by_order": "SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS _pos FROM customer",
-        "stored_dataset": _cells(TRADE, "trade", "revenue", by="row_pos", nan_count=True),
+        "stored_dataset": _mean_digits(2, _cells(TRADE, "trade", "revenue", by="row_pos", nan_count=True)),
         "locate": "SELECT * FROM (VALUES ('docs', 'dataset'), ('events', 'dataset')) t(name, kind)",
     }

@@ -22,10 +22,6 @@ from matrixlens.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Means and deviations are sums in arbitrary order, so their last digits vary; order
-#: statistics are data values and do not.
-_SUMMED, _PICKED = ("mean", "std"), ("min", "p25", "p50", "p75", "max")
-
 #: Filters shown on the documents: query name to (column, operator, value).
 FILTERS: dict[str, tuple[str, str, Any]] = {
     "filter_eq": ("quality", "==", 1),
@@ -44,9 +40,9 @@ PATTERNS = ["part_1?", "part_7", "part_*[05]", "nothing_*", "part_1*"]
 FEATURES = ["part_1?", "part_7", "part_2[0-4]"]
 
 
-def rounded(df: DataFrame) -> DataFrame:
+def rounded(df: DataFrame, mean: int = 5) -> DataFrame:
     """Statistics rounded to digits that do not depend on the order of summation."""
-    digits = {**dict.fromkeys(_SUMMED, 4), **dict.fromkeys(_PICKED, 6)}
+    digits = {"mean": mean, "std": 4, **dict.fromkeys(("min", "p25", "p50", "p75", "max"), 6)}
     return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
 
 
@@ -83,7 +79,7 @@ def filter_long_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def describe_numeric(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(table_stats.describe_table(fixtures.table(spark, sf, "lineitem"), LINE_COLUMNS))
+    return rounded(table_stats.describe_table(fixtures.table(spark, sf, "lineitem"), LINE_COLUMNS), mean=4)
 
 
 def describe_categorical(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,7 +140,7 @@ def matrix_describe_sparse_by_obs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def layer_describe_features(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(fixtures.trade(spark, sf).describe("layers", "revenue", columns=FEATURES))
+    return rounded(fixtures.trade(spark, sf).describe("layers", "revenue", columns=FEATURES), mean=2)
 
 
 def features_of_dense(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,7 +161,7 @@ def var_filter_dense(spark: SparkSession, sf: str) -> DataFrame:
 
 def both_axes(spark: SparkSession, sf: str) -> DataFrame:
     some = fixtures.trade(spark, sf).where("obs", "s_nationkey", "<", 12).where("var", "p_brand", "isin", ["Brand#2", "Brand#17"])
-    return rounded(some.describe("layers", "revenue"))
+    return rounded(some.describe("layers", "revenue"), mean=2)
 
 
 def obs_filter_pairwise(spark: SparkSession, sf: str) -> DataFrame:
@@ -313,7 +309,7 @@ def matrix_to_columns(spark: SparkSession, sf: str) -> DataFrame:
 def distributed_quartiles(spark: SparkSession, sf: str) -> DataFrame:
     """The bin-by-bin algorithm itself, whatever the size."""
     lines = fixtures.table(spark, sf, "lineitem")
-    return rounded(describe_groups(lines.select("l_linestatus", F.col("l_extendedprice").alias("value")), ["l_linestatus"]))
+    return rounded(describe_groups(lines.select("l_linestatus", F.col("l_extendedprice").alias("value")), ["l_linestatus"]), mean=2)
 
 
 def positions_by_order(spark: SparkSession, sf: str) -> DataFrame:
@@ -325,7 +321,7 @@ def stored_dataset(spark: SparkSession, sf: str) -> DataFrame:
     """Write a dataset, find it, open it again and describe a layer."""
     folder = _scratch(spark)
     write_dataset(fixtures.trade(spark, sf), f"{folder}/trade")
-    return rounded(open_dataset(spark, f"{folder}/trade").describe("layers", "revenue", axis=1))
+    return rounded(open_dataset(spark, f"{folder}/trade").describe("layers", "revenue", axis=1), mean=2)
 
 
 def locate(spark: SparkSession, sf: str) -> DataFrame:
