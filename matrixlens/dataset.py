@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from matrixlens.components import Component, Components, Document, Matrix
-from matrixlens.functions.columns import INDEX, POSITION, column, user_columns
+from matrixlens.functions.columns import INDEX, INTEGRAL, POSITION, column, user_columns
 from matrixlens.functions.globs import select_names
 from matrixlens.functions.nested import nested_value
 from matrixlens.operators import table_stats
@@ -222,6 +222,7 @@ class AnnotatedDataset:
     def _describe_matrix(self, part: Matrix, section: str, axis: int | None) -> DataFrame:
         n_rows, n_cols = self._shape(part, section)
         sparse = part.layout == "sparse"
+        repeating = isinstance(part.element_type, INTEGRAL)
         row_axis, col_axis = AXES[section]
         if axis is None:
             groups = self.spark.range(1).select(F.lit(0).alias("_all")) if sparse else None
@@ -229,13 +230,13 @@ class AnnotatedDataset:
             return stats.select(*MATRIX_STATISTICS)
         if axis == 0:
             groups = self._positions(col_axis, n_cols, "col_pos") if sparse else None
-            return describe_cells(part.cells(), ["col_pos"], n_cols, n_rows, groups)
+            return describe_cells(part.cells(), ["col_pos"], n_cols, n_rows, groups, repeating)
         if axis != 1:
             raise ValueError(f"axis must be None, 0 or 1, got {axis}")
         if part.layout == "dense":
             return describe_rows_of_arrays(part.df)
         groups = self._positions(row_axis, n_rows, "row_pos") if sparse else None
-        return describe_cells(part.cells(), ["row_pos"], n_rows, n_cols, groups)
+        return describe_cells(part.cells(), ["row_pos"], n_rows, n_cols, groups, repeating)
 
     def _positions(self, axis: str | None, length: int, name: str) -> DataFrame:
         if axis is None:
@@ -248,7 +249,8 @@ class AnnotatedDataset:
             raise ValueError("None of the provided genes were found in var_names")
         cells = part.keep_cols(chosen.select(F.col("position").alias(POSITION))).cells()
         groups = chosen.select(F.col("position").alias("col_pos")) if part.layout == "sparse" else None
-        stats = describe_cells(cells, ["col_pos"], self.n_vars, self.n_obs, groups)
+        repeating = isinstance(part.element_type, INTEGRAL)
+        stats = describe_cells(cells, ["col_pos"], self.n_vars, self.n_obs, groups, repeating)
         named = chosen.withColumnRenamed("position", "col_pos").join(stats, "col_pos")
         named = named.orderBy("pattern_no", "col_pos").withColumnRenamed("name", "column")
         return table_stats.as_description(named.withColumn("is_numeric", F.lit(True)))
@@ -270,14 +272,14 @@ class AnnotatedDataset:
         key: str | Sequence[str | int] | None = None,
         columns: Sequence[str] | None = None,
         rows: Bounds = (0, 5),
-        cols: Bounds = (0, 5),
+        cols: Bounds | list[int] = (0, 5),
         where: tuple[str, str, Any] | None = None,
     ) -> DataFrame:
         """Rows of a table or a block of a matrix, by position.
 
         Tables give ``_index`` and the selected columns.  Matrices give ``(row_pos, values)``
-        with the cells of the column range, or of the selected features in their order.  A
-        section without a key lists its entries; scalars and mappings give their text.
+        with the cells of the column range, of a list of column positions, or of the
+        selected features, in the order asked for.  A section without a key lists its entries; scalars and mappings give their text.
         ``where`` filters the viewed table only, and positions then count what is left.
         """
         part = self.get(section, key)
@@ -302,7 +304,7 @@ class AnnotatedDataset:
         key: str | Sequence[str | int] | None = None,
         columns: Sequence[str] | None = None,
         rows: Bounds = (0, 5),
-        cols: Bounds = (0, 5),
+        cols: Bounds | list[int] = (0, 5),
         where: tuple[str, str, Any] | None = None,
     ) -> DataFrame:
         """One row ``(full_shape, slice_shape)``: after the filter, before and after slicing.
@@ -316,7 +318,10 @@ class AnnotatedDataset:
             picked = len(names)
         elif isinstance(part, Matrix):
             n_rows, n_cols = self._shape(part, section)
-            picked = len(resolve(cols, n_cols)) if columns is None else self.features(columns).count()
+            if columns is not None:
+                picked = self.features(columns).count()
+            else:
+                picked = len(cols) if isinstance(cols, list) else len(resolve(cols, n_cols))
         else:
             return self.spark.range(1).select(*[F.lit(None).cast("string").alias(c) for c in ("full_shape", "slice_shape")])
         taken = len(resolve(rows, n_rows))
@@ -324,6 +329,19 @@ class AnnotatedDataset:
             F.lit(f"({n_rows}, {n_cols})").alias("full_shape"), F.lit(f"({taken}, {picked})").alias("slice_shape")
         )
 
+    def named_cells(self, section: str = "X", key: str | None = None) -> DataFrame:
+        """``(row_pos, feature, value)``: the cells of ``X`` or a layer with variable names.
+
+        The form for many features, where one column per feature would not do.
+        """
+        if section not in ("X", "layers"):
+            raise ValueError(f"{section} has no features")
+        part = self.get(section, key)
+        if not isinstance(part, Matrix):
+            raise ValueError(f"Attribute {section} is not an array: key required")
+        names = self.var.select(F.col(POSITION).alias("col_pos"), F.col(INDEX).alias("feature"))
+        return part.cells().join(names, "col_pos").select("row_pos", "feature", "value")
+
     def _known_length(self, section: str, gaps: bool) -> int | None:
         return self._sizes.get(section) if not gaps else None
 
@@ -343,7 +361,7 @@ class AnnotatedDataset:
         return table, names, True
 
     def _matrix_block(
-        self, part: Matrix, section: str, features: Sequence[str] | None, rows: Bounds, cols: Bounds
+        self, part: Matrix, section: str, features: Sequence[str] | None, rows: Bounds, cols: Bounds | list[int]
     ) -> DataFrame:
         row_axis, col_axis = AXES[section]
         gaps = row_axis in self._filtered
@@ -365,6 +383,8 @@ class AnnotatedDataset:
                 raise ValueError("None of the provided genes were found in var_names")
             kept = chosen.select(F.col("position").alias(POSITION), "pattern_no")
         elif col_axis in self._filtered:
+            if isinstance(cols, list):
+                raise ValueError("columns of a filtered dataset are selected by range or by name")
             kept = slice_rows(self._single[col_axis].select(POSITION), cols, True, self.axis_length(col_axis))
             kept = kept.withColumn("pattern_no", F.lit(0))
         if kept is not None:
@@ -372,11 +392,11 @@ class AnnotatedDataset:
             positions = kept.agg(ordered[POSITION]).scalar()
             inside = None
         else:
-            picked = resolve(cols, self.axis_length(col_axis) if col_axis else part.width())
+            picked = cols if isinstance(cols, list) else resolve(cols, self.axis_length(col_axis) if col_axis else part.width())
             positions = F.lit(list(picked)).cast("array<bigint>")
-            inside = F.col("col_pos").isin(list(picked)) if picked.step != 1 else (
-                (F.col("col_pos") >= picked.start) & (F.col("col_pos") < picked.stop)
-            )
+            inside = F.col("col_pos").isin(list(picked))
+            if isinstance(picked, range) and picked.step == 1:
+                inside = (F.col("col_pos") >= picked.start) & (F.col("col_pos") < picked.stop)
 
         if part.layout == "dense":
             block = block.withColumn("_picked", positions)

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F, types as T
 
 
+# Spark's path syntax has three spellings for a field and no escapes.
+_SPELLINGS = (("['{}']", re.compile(r"[^'?]+")), ('["{}"]', re.compile(r'[^"?]+')), (".{}", re.compile(r"[^.\[]+")))
+
+
 def variant_path(keys: Sequence[str | int]) -> str:
     """JSON path of a list of keys; text keys name fields, integers name list items."""
     steps = []
     for key in keys:
         if isinstance(key, int):
             steps.append(f"[{key}]")
-        else:
-            escaped = key.replace("\\", "\\\\").replace("'", "\\'")
-            steps.append(f"['{escaped}']")
+            continue
+        spelled = next((text.format(key) for text, fits in _SPELLINGS if fits.fullmatch(key)), None)
+        if spelled is None:
+            raise KeyError(f"key {key!r} cannot be written as a path")
+        steps.append(spelled)
     return "$" + "".join(steps)
 
 

@@ -25,18 +25,24 @@ FEW_GROUPS = 128
 
 
 def describe_cells(
-    cells: DataFrame, keys: Sequence[str], n_groups: int, n_cells: int, groups: DataFrame | None = None
+    cells: DataFrame,
+    keys: Sequence[str],
+    n_groups: int,
+    n_cells: int,
+    groups: DataFrame | None = None,
+    repeating: bool = False,
 ) -> DataFrame:
     """Statistics of the cells per ``keys``; ``n_cells`` is the most a group can hold.
 
     ``groups`` marks a sparse matrix: it lists every group, stored cells or not, and each
-    has exactly ``n_cells`` cells.
+    has exactly ``n_cells`` cells.  ``repeating`` says that values recur, as counts do, so
+    that counting them before they are moved pays off.
     """
     keyed = cells if keys else cells.withColumn("_all", F.lit(0))
     by = list(keys) or ["_all"]
     complete = n_cells if groups is not None else None
     if n_cells <= SORTED_ROWS:
-        stats = describe_small_groups(keyed, by, groups, complete, many=n_groups > FEW_GROUPS)
+        stats = describe_small_groups(keyed, by, groups, complete, many=n_groups > FEW_GROUPS and not repeating)
     else:
         stats = describe_groups(keyed, by, groups, complete)
     return stats if keys else stats.drop("_all")

@@ -64,6 +64,7 @@ def slice_rows(df: DataFrame, rows: Bounds, gaps: bool = False, length: int | No
             return df.filter(F.lit(False))
         low, high = values_at_ranks(df.select(F.col(POSITION).alias("value")), [picked.start, last])
         return df.filter(F.col(POSITION).between(int(low), int(high))).orderBy(POSITION)
-    ranked = assign_positions(df.withColumnRenamed(POSITION, "_stored"), "_stored")
-    sliced = in_order(_by_position(ranked, picked), len(picked), descending=picked.step < 0)
-    return sliced.withColumn(POSITION, F.col("_stored")).drop("_stored")
+    # Rank the positions alone, then fetch the rows they name.
+    ranked = assign_positions(df.select(F.col(POSITION).alias("_stored")), "_stored")
+    wanted = _by_position(ranked, picked).select(F.col("_stored").alias(POSITION))
+    return in_order(df.join(wanted, POSITION, "left_semi"), len(picked), descending=picked.step < 0)

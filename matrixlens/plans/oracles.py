@@ -256,6 +256,10 @@ def oracles() -> dict[str, str]:
  FROM trade WHERE col_pos < 8 GROUP BY row_pos""",
         "matrix_to_columns": """SELECT vec_id AS row_pos, round(CAST(embedding[4] AS DOUBLE), 6) AS dim_3,
  round(CAST(embedding[42] AS DOUBLE), 6) AS dim_41 FROM embeddings""",
+        "view_column_list": f"""WITH {EMB} SELECT row_pos, CAST(CASE col_pos WHEN 9 THEN 0 WHEN 2 THEN 1 ELSE 2 END AS BIGINT) AS col_no,
+ round(value, 6) AS value FROM emb WHERE col_pos IN (9, 2, 33)""",
+        "named_cells": f"""WITH {TRADE} SELECT 'part_' || col_pos AS feature, count(*) AS n, round(max(revenue), 4) AS largest
+ FROM stored GROUP BY 1""",
         "distributed_quartiles": _mean_digits(2, f"""SELECT l_linestatus, {_CELL_STATS}, count(*) - count(x) AS nan_count
  FROM (SELECT l_linestatus, l_extendedprice AS x FROM lineitem) GROUP BY 1"""),
         "positions_by_order": "SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS _pos FROM customer",

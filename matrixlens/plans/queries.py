@@ -306,6 +306,15 @@ def matrix_to_columns(spark: SparkSession, sf: str) -> DataFrame:
     return wide.select("row_pos", *[F.round(c, 6).alias(c) for c in ("dim_3", "dim_41")])
 
 
+def view_column_list(spark: SparkSession, sf: str) -> DataFrame:
+    return _flattened(fixtures.embeddings(spark, sf).view("X", rows=(None, None), cols=[9, 2, 33]))
+
+
+def named_cells(spark: SparkSession, sf: str) -> DataFrame:
+    cells = fixtures.trade(spark, sf).named_cells("layers", "revenue")
+    return cells.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("value"), 4).alias("largest"))
+
+
 def distributed_quartiles(spark: SparkSession, sf: str) -> DataFrame:
     """The bin-by-bin algorithm itself, whatever the size."""
     lines = fixtures.table(spark, sf, "lineitem")
@@ -358,7 +367,7 @@ def registered() -> dict[str, Query]:
         view_table_slice, view_filtered_slice, view_deep_slice, view_strided, view_strided_filtered,
         view_negative_bounds, view_matrix_block, view_sparse_block, view_matrix_features, view_sparse_features,
         view_filtered_dataset, view_shapes, document_entries, nested_key, section_listing, summary,
-        csv_rows, csv_block, matrix_to_columns, distributed_quartiles, positions_by_order,
+        csv_rows, csv_block, matrix_to_columns, view_column_list, named_cells, distributed_quartiles, positions_by_order,
         stored_dataset, locate,
     ):
         found[query.__name__] = query

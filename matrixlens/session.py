@@ -6,9 +6,9 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows a small side table may have before it is no longer worth broadcasting.
-#: At well under 200 bytes a row this stays below 20 MB per executor.
-BROADCAST_ROWS = 100_000
+#: Rows a side table of a few numbers may have to be broadcast: some 50 MB per executor.
+#: Every broadcast hint in this library is behind a count checked against it.
+BROADCAST_ROWS = 400_000
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,0 +1,226 @@
+"""Statistics against numpy and pandas, small and large path alike."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from matrixlens.operators import matrix_stats, order_statistics, table_stats
+from matrixlens.operators.matrix_stats import describe_rows_of_arrays
+from matrixlens.operators.order_statistics import describe_groups, describe_small_groups, values_at_ranks
+from matrixlens.operators.positions import assign_positions
+from matrixlens.operators.slicing import slice_rows
+from matrixlens.operators import slicing
+
+
+def expected(values) -> dict:
+    values = np.asarray(values, dtype=float)
+    kept = values[~np.isnan(values)]
+    result = {"count": len(kept), "nan_count": len(values) - len(kept)}
+    if len(kept):
+        q = np.quantile(kept, [0.25, 0.5, 0.75])
+        result |= dict(mean=kept.mean(), std=kept.std(), min=kept.min(), p25=q[0], p50=q[1], p75=q[2], max=kept.max())
+    else:
+        result |= dict.fromkeys(["mean", "std", "min", "p25", "p50", "p75", "max"])
+    return result
+
+
+def assert_stats(row, values) -> None:
+    for name, want in expected(values).items():
+        got = row[name]
+        if want is None:
+            assert got is None, name
+        else:
+            assert math.isclose(got, want, rel_tol=1e-9, abs_tol=1e-9), (name, got, want)
+
+
+rng = np.random.default_rng(7)
+GROUPS = {
+    "uniform": rng.random(3000),
+    "hot": np.full(6000, 7.25),
+    "ties": rng.integers(-3, 4, 2000).astype(float),
+    "wide": np.concatenate([rng.normal(size=500) * 1e-9, rng.normal(size=500) * 1e12, [0.0, -0.0]]),
+    "narrow": 1.7e9 + rng.random(2500),
+    "negative": -rng.lognormal(sigma=4, size=1500),
+    "some missing": np.where(rng.random(400) < 0.3, np.nan, rng.random(400)),
+    "all missing": np.full(5, np.nan),
+    "single": np.array([3.5]),
+    "pair": np.array([1.0, 2.0]),
+}
+
+
+@pytest.fixture(scope="module")
+def long(spark):
+    frame = pd.concat([pd.DataFrame({"g": g, "value": v}) for g, v in GROUPS.items()])
+    df = spark.createDataFrame(frame, "g string, value double").repartition(5)
+    return df.select("g", F.when(~F.isnan("value"), F.col("value")).alias("value")).cache()
+
+
+@pytest.mark.parametrize("many", [True, False])
+def test_small_groups(spark, long, many):
+    stubs = spark.createDataFrame([("empty",), ("single",)], "g string")
+    rows = {r["g"]: r for r in describe_small_groups(long, ["g"], stubs, many=many).collect()}
+    assert set(rows) == {*GROUPS, "empty"}
+    assert_stats(rows["empty"], [])
+    for name, values in GROUPS.items():
+        assert_stats(rows[name], values)
+
+
+@pytest.mark.parametrize("sorted_rows", [1 << 18, 40, 1])
+@pytest.mark.parametrize("broadcast_rows", [1 << 18, 0])
+def test_large_groups(spark, long, monkeypatch, sorted_rows, broadcast_rows):
+    monkeypatch.setattr(order_statistics, "SORTED_ROWS", sorted_rows)
+    monkeypatch.setattr(order_statistics, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(order_statistics, "REFINE_BINS", 16)
+    stubs = spark.createDataFrame([("empty",)], "g string")
+    rows = {r["g"]: r for r in describe_groups(long, ["g"], stubs).collect()}
+    assert set(rows) == {*GROUPS, "empty"}
+    assert_stats(rows["empty"], [])
+    for name, values in GROUPS.items():
+        assert_stats(rows[name], values)
+
+
+@pytest.mark.parametrize("describe", [describe_small_groups, describe_groups])
+def test_cells_not_stored_are_zeros(spark, describe, monkeypatch):
+    monkeypatch.setattr(order_statistics, "SORTED_ROWS", 20)
+    cells = 200
+    stored = {
+        0: rng.normal(size=150),
+        1: -rng.random(180),
+        2: rng.random(30),
+        3: np.array([]),
+        4: rng.integers(-2, 3, 200).astype(float),
+        5: np.concatenate([rng.normal(size=20), np.full(10, np.nan)]),
+        6: np.full(200, np.nan),
+    }
+    frame = pd.concat([pd.DataFrame({"g": g, "value": v}) for g, v in stored.items()])
+    df = spark.createDataFrame(frame.astype({"g": "int64"}), "g bigint, value double")
+    df = df.select("g", F.when(~F.isnan("value"), F.col("value")).alias("value"))
+    groups = spark.range(7).select(F.col("id").alias("g"))
+    rows = {r["g"]: r for r in describe(df, ["g"], groups, cells).collect()}
+    assert set(rows) == set(stored)
+    for g, values in stored.items():
+        assert_stats(rows[g], np.concatenate([values, np.zeros(cells - len(values))]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=32) | st.integers(-5, 5), min_size=1, max_size=60))
+def test_any_numbers(spark, values):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(order_statistics, "SORTED_ROWS", 2)
+        patch.setattr(order_statistics, "REFINE_BINS", 4)
+        df = spark.createDataFrame([(float(v),) for v in values], "value double")
+        ranks = sorted({0, len(values) // 3, len(values) - 1})
+        assert values_at_ranks(df, ranks) == [sorted(map(float, values))[r] for r in ranks]
+
+
+def test_extreme_values(spark, monkeypatch):
+    monkeypatch.setattr(order_statistics, "SORTED_ROWS", 1)
+    values = sorted([float("-inf"), -1.7e308, -5e-324, 0.0, 5e-324, 2.2e-308, 1.0, 1.0000000000000002, 1.7e308, float("inf")])
+    df = spark.createDataFrame([(v,) for v in values], "value double")
+    assert values_at_ranks(df, list(range(len(values)))) == values
+
+
+def test_rows_of_arrays(spark):
+    rows = [[1.0, 2.0, 4.0, float("nan")], [], [float("nan")], [None, -1.0], list(rng.random(31))]
+    df = spark.createDataFrame(list(enumerate(rows)), "row_pos bigint, values array<double>")
+    found = {r["row_pos"]: r for r in describe_rows_of_arrays(df).collect()}
+    for i, values in enumerate(rows):
+        assert_stats(found[i], [np.nan if v is None else v for v in values])
+
+
+FRAME = pd.DataFrame(
+    {
+        "n": [1.0, 2.0, np.nan, 4.0, 4.0],
+        "k": [5, 3, 3, 2, 1],
+        "s": ["b", "a", None, "a", "b"],
+        "flag": [True, None, True, False, True],
+        "gone": [None] * 5,
+        "x.y": [1.5] * 5,
+    }
+)
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.createDataFrame(FRAME, "n double, k int, s string, flag boolean, gone string, `x.y` double")
+
+
+@pytest.mark.parametrize("limit", [1 << 18, 1])
+def test_describe_table(table, monkeypatch, limit):
+    monkeypatch.setattr(table_stats, "SORTED_ROWS", limit)
+    rows = table_stats.describe_table(table).collect()
+    assert [r["column"] for r in rows] == list(FRAME.columns)
+    by_name = {r["column"]: r for r in rows}
+    for name in ("n", "k", "x.y"):
+        assert_stats(by_name[name], FRAME[name])
+        assert by_name[name]["is_numeric"] and by_name[name]["freq"] == 0 and by_name[name]["unique"] is None
+    s = by_name["s"]
+    assert (s["count"], s["unique"], s["top"], s["freq"], s["nan_count"], s["is_numeric"]) == (4, 2, "a", 2, 1, False)
+    flag = by_name["flag"]
+    assert (flag["count"], flag["unique"], flag["top"], flag["freq"], flag["nan_count"]) == (4, 2, "true", 3, 1)
+    gone = by_name["gone"]
+    assert (gone["count"], gone["unique"], gone["top"], gone["freq"], gone["nan_count"]) == (0, 0, None, 0, 5)
+
+
+def test_describe_empty_and_selected(table):
+    empty = table_stats.describe_table(table.limit(0), ["s", "n"]).collect()
+    assert [(r["column"], r["count"], r["nan_count"], r["mean"], r["freq"]) for r in empty] == [
+        ("s", 0, 0, None, 0),
+        ("n", 0, 0, None, 0),
+    ]
+    assert [r["column"] for r in table_stats.describe_table(table, ["k", "[ns]", "k"]).collect()] == ["k", "n", "s"]
+    with pytest.raises(ValueError, match="not present in the dataframe.*'zz'"):
+        table_stats.describe_table(table, ["n", "zz"])
+
+
+def test_value_counts(table):
+    rows = [tuple(r) for r in table_stats.value_counts(table).collect()]
+    assert rows == [
+        ("s", "a", 2), ("s", "b", 2), ("s", None, 1),
+        ("flag", "true", 3), ("flag", "false", 1), ("flag", None, 1),
+        ("gone", None, 5),
+    ]
+    nothing = table_stats.value_counts(table, ["n", "k"])
+    assert nothing.columns == ["column", "value", "count"] and nothing.count() == 0
+
+
+def test_positions(spark):
+    values = rng.integers(0, 50, 500)
+    df = spark.createDataFrame([(int(v), i) for i, v in enumerate(values)], "v int, i int")
+    got = assign_positions(df, F.desc("v"), "i").orderBy("_pos").collect()
+    assert [r["_pos"] for r in got] == list(range(500))
+    assert [(r["v"], r["i"]) for r in got] == sorted(((int(v), i) for i, v in enumerate(values)), key=lambda p: (-p[0], p[1]))
+
+
+bound = st.none() | st.integers(-25, 25)
+
+
+@settings(max_examples=16, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.tuples(bound, bound, st.none() | st.integers(-4, 4).filter(bool)), st.booleans(), st.booleans())
+def test_slices_are_python_slices(spark, rows, gaps, deep):
+    stored = [p for p in range(20) if not gaps or p % 3]
+    with pytest.MonkeyPatch.context() as patch:
+        if deep:
+            patch.setattr(slicing, "TOP_ROWS", 0)
+        df = spark.range(20).select(F.col("id").alias("_pos"))
+        df = df.filter(F.col("_pos").isin(stored)).repartition(3)
+        assert [r[0] for r in slice_rows(df, rows, gaps).collect()] == stored[slice(*rows)]
+
+
+def test_dense_and_sparse_choose_a_path_by_size(spark, monkeypatch):
+    used = []
+    monkeypatch.setattr(matrix_stats, "describe_groups", lambda *a: used.append("large") or describe_groups(*a))
+    cells = spark.range(100).select(
+        (F.col("id") % 4).alias("col_pos"), (F.col("id") // 4).alias("row_pos"), F.col("id").cast("double").alias("value")
+    )
+    monkeypatch.setattr(matrix_stats, "SORTED_ROWS", 30)
+    assert matrix_stats.describe_cells(cells, ["col_pos"], 4, 25).count() == 4 and not used
+    row = matrix_stats.describe_cells(cells, [], 1, 100).first()
+    assert used == ["large"]
+    assert_stats(row, np.arange(100))
