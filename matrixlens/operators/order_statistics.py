@@ -45,10 +45,10 @@ _BIN_SHIFT = 1075 * BINS_PER_OCTAVE + 1  # makes the step of the smallest double
 
 
 def _octave_bin(value: Column) -> Column:
-    """Integer that never decreases as the value grows."""
+    """Integer that never decreases as the value grows; null for null."""
     magnitude = F.least(F.log2(F.abs(value)), F.lit(float(_LARGEST_LOG2)))
     step = (F.floor(magnitude * BINS_PER_OCTAVE) + _BIN_SHIFT).cast("int")
-    return F.when(value == 0, F.lit(0)).when(value > 0, step).otherwise(-step)
+    return F.when(value == 0, F.lit(0)).when(value > 0, step).when(value < 0, -step)
 
 
 def _running(keys: Sequence[str], order: str) -> Column:
