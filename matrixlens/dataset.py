@@ -18,6 +18,7 @@ from matrixlens.operators.predicates import filter_rows
 from matrixlens.operators.selection import match_names, unmatched_patterns
 from matrixlens.operators.slicing import Bounds, in_order, needs_length, resolve, slice_rows
 from matrixlens.plans.summary import entries_frame, summary_frame
+from matrixlens.session import small_side
 
 KEYED = ("layers", "obsm", "varm", "obsp", "varp", "uns")
 SECTIONS = ("X", "obs", "var", *KEYED)
@@ -137,14 +138,20 @@ class AnnotatedDataset:
         kept = filter_rows(self.obs if axis == "obs" else self.var, name, op, value)
         positions = kept.select(POSITION)
 
+        result = AnnotatedDataset.__new__(AnnotatedDataset)
+
         def along(part: Component, row_axis: str | None, col_axis: str | None) -> Component:
+            if axis not in (row_axis, col_axis):
+                return part
+            # Counting what is left costs one pass over the axis table and can save moving
+            # the whole matrix: few positions are broadcast to where its rows are.
+            side = small_side(positions, result.axis_length(axis))
             if isinstance(part, DataFrame):
-                return part.join(positions, POSITION, "left_semi") if row_axis == axis else part
+                return part.join(side, POSITION, "left_semi")
             if row_axis == axis:
-                part = part.keep_rows(positions)
-            return part.keep_cols(positions) if col_axis == axis else part
+                part = part.keep_rows(side)
+            return part.keep_cols(side) if col_axis == axis else part
 
-        result = AnnotatedDataset.__new__(AnnotatedDataset)
         single = dict(self._single.openers)
         single[axis] = kept
         if "X" in single:
@@ -172,6 +179,14 @@ class AnnotatedDataset:
         """``(name, pattern_no, position)`` of the variables that names or globs select."""
         return match_names(self.var, patterns)
 
+    def _chosen(self, patterns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """The selected features, and their positions as the side of a join."""
+        chosen = self.features(patterns)
+        n_chosen = chosen.count()
+        if not n_chosen:
+            raise ValueError("None of the provided genes were found in var_names")
+        return chosen, small_side(chosen.select(F.col("position").alias(POSITION), "pattern_no"), n_chosen)
+
     def unmatched(self, patterns: Sequence[str]) -> DataFrame:
         """``(pattern_no, pattern)`` of the patterns that select no variable."""
         return unmatched_patterns(self.var, patterns)
@@ -226,17 +241,17 @@ class AnnotatedDataset:
         row_axis, col_axis = AXES[section]
         if axis is None:
             groups = self.spark.range(1).select(F.lit(0).alias("_all")) if sparse else None
-            stats = describe_cells(part.cells(), [], 1, n_rows * n_cols, groups)
+            stats = describe_cells(part.cells(), [], n_rows * n_cols, groups, repeating)
             return stats.select(*MATRIX_STATISTICS)
         if axis == 0:
             groups = self._positions(col_axis, n_cols, "col_pos") if sparse else None
-            return describe_cells(part.cells(), ["col_pos"], n_cols, n_rows, groups, repeating)
+            return describe_cells(part.cells(), ["col_pos"], n_rows, groups, repeating)
         if axis != 1:
             raise ValueError(f"axis must be None, 0 or 1, got {axis}")
         if part.layout == "dense":
             return describe_rows_of_arrays(part.df)
         groups = self._positions(row_axis, n_rows, "row_pos") if sparse else None
-        return describe_cells(part.cells(), ["row_pos"], n_rows, n_cols, groups, repeating)
+        return describe_cells(part.cells(), ["row_pos"], n_cols, groups, repeating)
 
     def _positions(self, axis: str | None, length: int, name: str) -> DataFrame:
         if axis is None:
@@ -244,13 +259,11 @@ class AnnotatedDataset:
         return self._single[axis].select(F.col(POSITION).alias(name))
 
     def _describe_features(self, part: Matrix, patterns: Sequence[str]) -> DataFrame:
-        chosen = self.features(patterns)
-        if chosen.isEmpty():
-            raise ValueError("None of the provided genes were found in var_names")
-        cells = part.keep_cols(chosen.select(F.col("position").alias(POSITION))).cells()
+        chosen, kept = self._chosen(patterns)
+        cells = part.keep_cols(kept).cells()
         groups = chosen.select(F.col("position").alias("col_pos")) if part.layout == "sparse" else None
         repeating = isinstance(part.element_type, INTEGRAL)
-        stats = describe_cells(cells, ["col_pos"], self.n_vars, self.n_obs, groups, repeating)
+        stats = describe_cells(cells, ["col_pos"], self.n_obs, groups, repeating)
         named = chosen.withColumnRenamed("position", "col_pos").join(stats, "col_pos")
         named = named.orderBy("pattern_no", "col_pos").withColumnRenamed("name", "column")
         return table_stats.as_description(named.withColumn("is_numeric", F.lit(True)))
@@ -378,10 +391,7 @@ class AnnotatedDataset:
 
         kept: DataFrame | None = None
         if features is not None:
-            chosen = self.features(features)
-            if chosen.isEmpty():
-                raise ValueError("None of the provided genes were found in var_names")
-            kept = chosen.select(F.col("position").alias(POSITION), "pattern_no")
+            kept = self._chosen(features)[1]
         elif col_axis in self._filtered:
             if isinstance(cols, list):
                 raise ValueError("columns of a filtered dataset are selected by range or by name")

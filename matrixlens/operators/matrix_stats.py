@@ -20,14 +20,10 @@ from matrixlens.operators.order_statistics import (
     rank_pair,
 )
 
-#: Up to this many groups their values are counted before they are moved.
-FEW_GROUPS = 128
-
 
 def describe_cells(
     cells: DataFrame,
     keys: Sequence[str],
-    n_groups: int,
     n_cells: int,
     groups: DataFrame | None = None,
     repeating: bool = False,
@@ -42,7 +38,7 @@ def describe_cells(
     by = list(keys) or ["_all"]
     complete = n_cells if groups is not None else None
     if n_cells <= SORTED_ROWS:
-        stats = describe_small_groups(keyed, by, groups, complete, many=n_groups > FEW_GROUPS and not repeating)
+        stats = describe_small_groups(keyed, by, groups, complete, together=bool(keys) and not repeating)
     else:
         stats = describe_groups(keyed, by, groups, complete)
     return stats if keys else stats.drop("_all")

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from matrixlens.session import BROADCAST_ROWS, stable
+from matrixlens.session import small_side, stable
 
 #: First-level resolution: bins per doubling of the magnitude.
 BINS_PER_OCTAVE = 32
@@ -73,9 +73,7 @@ def _read_off_edges(targets: DataFrame, keys: Sequence[str]) -> tuple[DataFrame,
 
 def _members(values: DataFrame, keys: Sequence[str], targets: DataFrame, n_targets: int) -> DataFrame:
     """Rows that fall into an open bin, with the bin's id and bounds."""
-    side = targets.select(*keys, "_bin", "_target", "lo", "hi")
-    if n_targets <= BROADCAST_ROWS:
-        side = F.broadcast(side)
+    side = small_side(targets.select(*keys, "_bin", "_target", "lo", "hi"), n_targets)
     rows = values.filter(F.col("value").isNotNull()).select(*keys, "value", _octave_bin(F.col("value")).alias("_bin"))
     rows = rows.join(side, [*keys, "_bin"])
     return rows.filter(F.col("value").between(F.col("lo"), F.col("hi"))).select("_target", "lo", "hi", "value")
@@ -153,19 +151,22 @@ def describe_small_groups(
     keys: Sequence[str],
     groups: DataFrame | None = None,
     cells: int | None = None,
-    many: bool = False,
+    together: bool = False,
 ) -> DataFrame:
     """As ``describe_groups``, for groups that one task can sort.
 
-    ``many`` groups are moved once, by group; few groups are first counted where they lie.
+    With ``together`` the rows of a group are moved once, as they are.  Otherwise equal
+    values are counted before they move, which pays off where values recur.
     """
     value = F.col("value")
     rows = _weighted(values, keys, groups)
-    if many:
+    if together:
         rows = rows.repartition(*keys)
     counted = rows.groupBy(*keys, "value").agg(F.sum("n").alias("n"))
-    group = Window.partitionBy(*keys)
-    ordered = group.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    # One order for all windows: the values of a group are sorted once.
+    ordered = Window.partitionBy(*keys).orderBy("value")
+    group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ordered = ordered.rowsBetween(Window.unboundedPreceding, 0)
     present = F.when(value.isNotNull(), F.col("n")).otherwise(F.lit(0))
     zeros = F.lit(0).cast("bigint") if cells is None else F.lit(cells) - F.sum("n").over(group)
     counted = counted.select(
@@ -231,11 +232,12 @@ def describe_groups(
         zeros = bins.groupBy(*keys).agg((F.lit(cells) - F.sum("n")).alias("n")).filter("n > 0")
         numbers = [F.lit(0.0).alias(c) for c in ("mean", "var", "lo", "hi")]
         bins = bins.unionByName(zeros.select(*keys, F.lit(0).alias("_bin"), "n", *numbers))
-    group = Window.partitionBy(*keys)
+    ordered = Window.partitionBy(*keys).orderBy("_bin")
+    group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     present = F.when(F.col("_bin").isNotNull(), F.col("n")).otherwise(F.lit(0))
     count = F.sum(present).over(group)
     bins = bins.withColumn("count", count).withColumn("center", F.sum(present * F.col("mean")).over(group) / F.when(count > 0, count))
-    bins = bins.withColumn("base", F.sum(present).over(group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+    bins = bins.withColumn("base", F.sum(present).over(ordered.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
     bins = stable(bins)
 
     spread = F.col("n") * (F.col("var") + F.pow(F.col("mean") - F.col("center"), 2))

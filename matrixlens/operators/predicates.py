@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from matrixlens.functions.columns import FLOATING, INDEX, INTEGRAL, TEMPORAL, column
+from matrixlens.session import small_side
 
 OPERATORS = ("==", "!=", ">", ">=", "<", "<=", "isin", "notin")
 
@@ -154,6 +155,7 @@ def _filter_by_join(df: DataFrame, name: str, op: str, values: Any) -> DataFrame
     side = df.sparkSession.createDataFrame([(v,) for v in members], schema)
     if isinstance(dtype, (T.FloatType, *TEMPORAL)):
         side = side.select(F.col("_member").try_cast(dtype).alias("_member"))
+    side = small_side(side, len(members))
     how = "left_semi" if op == "isin" else "left_anti"
     return df.join(side, column(real) == F.col("_member"), how)
 

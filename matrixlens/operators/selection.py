@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from matrixlens.functions.columns import INDEX, POSITION, column
 from matrixlens.functions.globs import glob_match, glob_to_regex, is_plain
-from matrixlens.session import BROADCAST_ROWS
+from matrixlens.session import small_side
 
 
 def _plain_patterns(df: DataFrame, patterns: Sequence[str]) -> DataFrame:
     """``(_text, _plain_no)`` of the patterns that are simply names, first mention first."""
     first = {p: i for i, p in reversed(list(enumerate(patterns))) if is_plain(p)}
     side = df.sparkSession.createDataFrame(list(first.items()), "_text string, _plain_no int")
-    return F.broadcast(side) if len(first) <= BROADCAST_ROWS else side
+    return small_side(side, len(first))
 
 
 def _first_glob(item: Column, patterns: Sequence[str]) -> Column:

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Rows a side table of a few numbers may have to be broadcast: some 50 MB per executor.
 #: Every broadcast hint in this library is behind a count checked against it.
 BROADCAST_ROWS = 400_000
 
 
+def small_side(df: DataFrame, n_rows: int) -> DataFrame:
+    """The side of a join, to be broadcast if its counted rows are few enough."""
+    return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, used for checkpoints and scratch tables.
 

@@ -10,6 +10,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from matrixlens import session
 from matrixlens.operators import matrix_stats, order_statistics, table_stats
 from matrixlens.operators.matrix_stats import describe_rows_of_arrays
 from matrixlens.operators.order_statistics import describe_groups, describe_small_groups, values_at_ranks
@@ -63,10 +64,10 @@ def long(spark):
     return df.select("g", F.when(~F.isnan("value"), F.col("value")).alias("value")).cache()
 
 
-@pytest.mark.parametrize("many", [True, False])
-def test_small_groups(spark, long, many):
+@pytest.mark.parametrize("together", [True, False])
+def test_small_groups(spark, long, together):
     stubs = spark.createDataFrame([("empty",), ("single",)], "g string")
-    rows = {r["g"]: r for r in describe_small_groups(long, ["g"], stubs, many=many).collect()}
+    rows = {r["g"]: r for r in describe_small_groups(long, ["g"], stubs, together=together).collect()}
     assert set(rows) == {*GROUPS, "empty"}
     assert_stats(rows["empty"], [])
     for name, values in GROUPS.items():
@@ -77,7 +78,7 @@ def test_small_groups(spark, long, many):
 @pytest.mark.parametrize("broadcast_rows", [1 << 18, 0])
 def test_large_groups(spark, long, monkeypatch, sorted_rows, broadcast_rows):
     monkeypatch.setattr(order_statistics, "SORTED_ROWS", sorted_rows)
-    monkeypatch.setattr(order_statistics, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", broadcast_rows)
     monkeypatch.setattr(order_statistics, "REFINE_BINS", 16)
     stubs = spark.createDataFrame([("empty",)], "g string")
     rows = {r["g"]: r for r in describe_groups(long, ["g"], stubs).collect()}
@@ -222,7 +223,7 @@ def test_dense_and_sparse_choose_a_path_by_size(spark, monkeypatch):
         (F.col("id") % 4).alias("col_pos"), F.expr("id div 4").alias("row_pos"), F.col("id").cast("double").alias("value")
     )
     monkeypatch.setattr(matrix_stats, "SORTED_ROWS", 30)
-    assert matrix_stats.describe_cells(cells, ["col_pos"], 4, 25).count() == 4 and not used
-    row = matrix_stats.describe_cells(cells, [], 1, 100).first()
+    assert matrix_stats.describe_cells(cells, ["col_pos"], 25).count() == 4 and not used
+    row = matrix_stats.describe_cells(cells, [], 100).first()
     assert used == ["large"]
     assert_stats(row, np.arange(100))
