@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import cached_property
 from typing import Any
 
@@ -88,6 +88,14 @@ class AnnotatedDataset:
     def X(self) -> Matrix:
         return self.get("X")
 
+    def parts(self) -> Iterator[tuple[str, str | None, Component]]:
+        """Every part as ``(section, key, part)``, ``raw`` included."""
+        for section, part in self._single.items():
+            yield section, None, part
+        for section, parts in self._keyed.items():
+            for key, part in parts.items():
+                yield section, key, part
+
     @property
     def has_raw(self) -> bool:
         return "raw" in self._single
@@ -167,9 +175,10 @@ class AnnotatedDataset:
         return result
 
     def require_rows(self) -> AnnotatedDataset:
-        """Raise if a filter left no observation or no variable; looks at one row of each."""
+        """Raise if a filter left no observation or no variable."""
         for axis, what in (("obs", "observations"), ("var", "variables")):
-            if self._filtered and axis in self._single and self._single[axis].isEmpty():
+            # The counts are kept: they also tell joins and statistics how to proceed.
+            if self._filtered and axis in self._single and self.axis_length(axis) == 0:
                 raise ValueError(f"Filtering resulted in an empty dataset: no {what} remain after filtering")
         return self
 
@@ -224,7 +233,8 @@ class AnnotatedDataset:
             return self._describe_features(part, columns)
         return self._describe_matrix(part, section, axis)
 
-    def _shape(self, part: Matrix, section: str) -> tuple[int, int]:
+    def shape_of(self, part: Matrix, section: str) -> tuple[int, int]:
+        """Rows and columns of a matrix in ``section``."""
         row_axis, col_axis = AXES[section]
         if row_axis:
             rows = self.axis_length(row_axis)
@@ -235,7 +245,7 @@ class AnnotatedDataset:
         return rows, self.axis_length(col_axis) if col_axis else part.width()
 
     def _describe_matrix(self, part: Matrix, section: str, axis: int | None) -> DataFrame:
-        n_rows, n_cols = self._shape(part, section)
+        n_rows, n_cols = self.shape_of(part, section)
         sparse = part.layout == "sparse"
         repeating = isinstance(part.element_type, INTEGRAL)
         row_axis, col_axis = AXES[section]
@@ -330,7 +340,7 @@ class AnnotatedDataset:
             n_rows, n_cols = table.count(), len(user_columns(part.schema))
             picked = len(names)
         elif isinstance(part, Matrix):
-            n_rows, n_cols = self._shape(part, section)
+            n_rows, n_cols = self.shape_of(part, section)
             if columns is not None:
                 picked = self.features(columns).count()
             else:
@@ -378,7 +388,7 @@ class AnnotatedDataset:
     ) -> DataFrame:
         row_axis, col_axis = AXES[section]
         gaps = row_axis in self._filtered
-        length = self._shape(part, section)[0] if row_axis is None else self.axis_length(row_axis) if needs_length(rows) else None
+        length = self.shape_of(part, section)[0] if row_axis is None else self.axis_length(row_axis) if needs_length(rows) else None
         # Positions of the wanted rows; at most as many as the slice asks for.
         axis_rows = self._single[row_axis].select(POSITION) if row_axis else part.df.select(F.col("row_pos").alias(POSITION)).distinct()
         wanted = slice_rows(axis_rows, rows, gaps, length)

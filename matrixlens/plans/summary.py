@@ -21,7 +21,7 @@ Row = tuple[str, str | None, str, str | None, int | None, int | None]
 
 def _entry(ds: AnnotatedDataset, section: str, key: str | None, part: Component) -> Row:
     if isinstance(part, Matrix):
-        return section, key, f"{part.layout} matrix", part.element_type.simpleString(), *ds._shape(part, section)
+        return section, key, f"{part.layout} matrix", part.element_type.simpleString(), *ds.shape_of(part, section)
     if isinstance(part, Document):
         return section, key, "value", part.type_text().lower(), None, None
     rows = ds.axis_length(section) if section in ("obs", "var") else part.count()

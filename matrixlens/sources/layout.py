@@ -49,17 +49,13 @@ def _stored_form(part: Component) -> DataFrame:
 def write_dataset(ds: AnnotatedDataset, path: str, mode: str = "errorifexists") -> None:
     """Write every part of a dataset as Parquet, then the manifest that makes it one."""
     root = resolve_location(path)
-    parts: list[tuple[str, str | None, Component]] = [
-        (section, None, ds._single[section]) for section in ("obs", "var", "X", "raw") if section in ds._single
-    ]
-    parts += [(section, key, ds._keyed[section][key]) for section in KEYED for key in ds.keys(section)]
     manifest = []
-    for section, key, part in parts:
+    for section, key, part in ds.parts():
         _stored_form(part).write.mode(mode).parquet(_folder(root, section, key))
         rows: int | None = None
         cols: int | None = None
         if isinstance(part, Matrix) and section != "raw":
-            rows, cols = ds._shape(part, section)
+            rows, cols = ds.shape_of(part, section)
         elif isinstance(part, DataFrame):
             rows = ds.axis_length(section) if section in ("obs", "var") else part.count()
             cols = len(user_columns(part.schema))
