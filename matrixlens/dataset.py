@@ -14,7 +14,7 @@ from matrixlens.functions.globs import select_names
 from matrixlens.functions.nested import nested_value
 from matrixlens.operators import table_stats
 from matrixlens.operators.matrix_stats import describe_cells, describe_rows_of_arrays
-from matrixlens.operators.predicates import filter_rows
+from matrixlens.operators.predicates import check_triple, filter_rows
 from matrixlens.operators.selection import match_names, unmatched_patterns
 from matrixlens.operators.slicing import Bounds, in_order, needs_length, resolve, slice_rows
 from matrixlens.plans.summary import entries_frame, summary_frame
@@ -143,6 +143,7 @@ class AnnotatedDataset:
         """
         if axis not in ("obs", "var"):
             raise ValueError(f"filter axis must be 'obs' or 'var', got '{axis}'")
+        check_triple(filter_column=name, filter_operator=op, filter_value=value)
         kept = filter_rows(self.obs if axis == "obs" else self.var, name, op, value)
         positions = kept.select(POSITION)
 
@@ -376,7 +377,7 @@ class AnnotatedDataset:
         if not names:
             raise ValueError("None of the provided columns were found in the attribute")
         gaps = AXES.get(section, (section,))[0] in self._filtered
-        if where is None:
+        if where is None or not check_triple(**dict(zip(("filter_column", "filter_operator", "filter_value"), where))):
             return part, names, gaps
         table = filter_rows(part, *where)
         if table.isEmpty():

@@ -30,8 +30,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from matrixlens.session import small_side, stable
 
-#: First-level resolution: bins per doubling of the magnitude.
-BINS_PER_OCTAVE = 32
+#: First-level resolution: bins per doubling of the magnitude.  Few enough that rows combine
+#: before the shuffle even where a task sees only some hundred values of each of many groups;
+#: finer bins would seldom save a refinement.
+BINS_PER_OCTAVE = 8
 #: Slices per refinement of a bin.
 REFINE_BINS = 4096
 #: A group or bin with at most this many rows is sorted by a single task.

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from matrixlens.functions.columns import POSITION
+from matrixlens.functions.columns import POSITION, column
 from matrixlens.session import stable
 
+_UNHASHABLE = re.compile(r"\b(map|variant)\b")
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
 def assign_positions(df: DataFrame, *order: str | Column, name: str = POSITION) -> DataFrame:
     """Add the rank of every row under ``order``, counted from zero.
 
-    Rows are range partitioned and sorted, so large data spreads evenly whatever the keys.
-    The sorted rows are written once; the partition sizes, one number per partition, then
-    give each partition its starting rank.
+    Rows that tie are put in an arbitrary but repeatable order, by a hash of the row.  It
+    also lets the range partitioning split a key that holds many rows.  The sorted rows are
+    written once; the partition sizes, one number per partition, then give each partition
+    its starting rank.
     """
+    hashable = [column(f.name) for f in df.schema.fields if not _UNHASHABLE.search(f.dataType.simpleString())]
+    order = (*order, F.xxhash64(*hashable))
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     numbered = stable(ordered.withColumn("_slot", F.monotonically_increasing_id()))
     part = F.shiftright("_slot", _ROW_BITS)

@@ -47,9 +47,14 @@ def match_names(names: DataFrame, patterns: Sequence[str], name: str = INDEX, po
 
 def unmatched_patterns(names: DataFrame, patterns: Sequence[str], name: str = INDEX) -> DataFrame:
     """``(pattern_no, pattern)`` of the patterns that match no name at all."""
-    item = column(name)
-    hits = F.array(*[F.when(glob_match(item, p), F.lit(i)) for i, p in enumerate(patterns)])
-    found = names.select(F.explode(F.array_compact(hits)).alias("pattern_no")).distinct()
+    item = names.select(column(name).alias("name"))
+    numbered = list(enumerate(patterns))
+    plain = names.sparkSession.createDataFrame([(i, p) for i, p in numbered if is_plain(p)], "pattern_no int, name string")
+    found = item.join(small_side(plain, len(patterns)), "name").select("pattern_no").distinct()
+    globs = [F.when(glob_match(F.col("name"), p), F.lit(i)) for i, p in numbered if not is_plain(p)]
+    if globs:
+        hits = item.select(F.explode(F.array_compact(F.array(*globs))).alias("pattern_no"))
+        found = found.unionByName(hits.distinct())
     asked = names.sparkSession.createDataFrame(list(enumerate(patterns)), "pattern_no int, pattern string")
     return asked.join(found, "pattern_no", "left_anti")
 

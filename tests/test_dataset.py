@@ -137,6 +137,10 @@ def test_errors(sample):
         ds.describe("obsm", "X_pca", columns=["gene_1"])
     with pytest.raises(ValueError, match="only be applied to dataframe"):
         ds.view("X", where=("n_genes", ">", 1))
+    with pytest.raises(ValueError, match="Missing: filter_operator, filter_value"):
+        ds.view("obs", where=("n_genes", None, None))
+    with pytest.raises(ValueError, match="Missing: filter_value"):
+        ds.where("obs", "n_genes", ">", None)
     with pytest.raises(ValueError, match="None of the provided columns"):
         ds.view("obs", columns=["zz*"])
     with pytest.raises(ValueError, match="None of the provided genes"):

@@ -201,6 +201,16 @@ def test_positions(spark):
     assert [(r["v"], r["i"]) for r in got] == sorted(((int(v), i) for i, v in enumerate(values)), key=lambda p: (-p[0], p[1]))
 
 
+def test_positions_split_a_hot_key(spark):
+    df = spark.range(4000).select("id", F.lit("same").alias("k"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    placed = assign_positions(df, "k").withColumn("part", F.spark_partition_id())
+    assert sorted(r["_pos"] for r in placed.collect()) == list(range(4000))
+    again = assign_positions(df.repartition(7), "k")
+    assert placed.select("id", "_pos").exceptAll(again.select("id", "_pos")).isEmpty()
+    ordered = spark.range(4000).select(F.lit("same").alias("k"), "id").repartitionByRange(4, "k", F.xxhash64("k", "id"))
+    assert ordered.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 2000
+
+
 bound = st.none() | st.integers(-25, 25)
 
 
