@@ -16,7 +16,7 @@ from matrixlens.operators import table_stats
 from matrixlens.operators.matrix_stats import describe_cells, describe_rows_of_arrays
 from matrixlens.operators.predicates import check_triple, filter_rows
 from matrixlens.operators.selection import match_names, unmatched_patterns
-from matrixlens.operators.slicing import Bounds, in_order, needs_length, resolve, slice_rows
+from matrixlens.operators.slicing import Bounds, as_array, in_order, needs_length, resolve, selects, slice_rows
 from matrixlens.plans.summary import entries_frame, summary_frame
 from matrixlens.session import small_side
 
@@ -413,11 +413,10 @@ class AnnotatedDataset:
             positions = kept.agg(ordered[POSITION]).scalar()
             inside = None
         else:
-            picked = cols if isinstance(cols, list) else resolve(cols, self.axis_length(col_axis) if col_axis else part.width())
-            positions = F.lit(list(picked)).cast("array<bigint>")
-            inside = F.col("col_pos").isin(list(picked))
-            if isinstance(picked, range) and picked.step == 1:
-                inside = (F.col("col_pos") >= picked.start) & (F.col("col_pos") < picked.stop)
+            width = self.axis_length(col_axis) if col_axis else part.width()
+            picked = cols if isinstance(cols, list) else resolve(cols, width)
+            positions = as_array(picked)
+            inside = selects(F.col("col_pos"), picked) if isinstance(picked, range) else F.col("col_pos").isin(picked)
 
         if part.layout == "dense":
             block = block.withColumn("_picked", positions)

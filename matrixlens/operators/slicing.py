@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from matrixlens.functions.columns import POSITION
 from matrixlens.operators.order_statistics import values_at_ranks
@@ -26,14 +26,26 @@ def resolve(rows: Bounds, length: int) -> range:
     return range(length)[slice(*rows)]
 
 
-def _by_position(df: DataFrame, picked: range) -> DataFrame:
-    pos = F.col(POSITION)
+def selects(pos: Column, picked: range) -> Column:
+    """Condition: is the position one of ``picked``?"""
     if not picked:
-        return df.filter(F.lit(False))
+        return F.lit(False)
     low, high = min(picked[0], picked[-1]), max(picked[0], picked[-1])
-    df = df.filter((pos >= low) & (pos <= high))
+    inside = (pos >= low) & (pos <= high)
     step = abs(picked.step)
-    return df if step == 1 else df.filter((pos - low) % step == 0)
+    return inside if step == 1 else inside & ((pos - low) % step == 0)
+
+
+def as_array(picked: range | list[int]) -> Column:
+    """The positions as an array column."""
+    if isinstance(picked, range) and picked:
+        first, last, step = (F.lit(n).cast("bigint") for n in (picked[0], picked[-1], picked.step))
+        return F.sequence(first, last, step)
+    return F.lit(list(picked)).cast("array<bigint>")
+
+
+def _by_position(df: DataFrame, picked: range) -> DataFrame:
+    return df.filter(selects(F.col(POSITION), picked))
 
 
 def in_order(df: DataFrame, at_most: int, name: str = POSITION, descending: bool = False) -> DataFrame:

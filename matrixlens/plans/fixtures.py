@@ -24,8 +24,8 @@ def embeddings(spark: SparkSession, sf_dir: str) -> AnnotatedDataset:
     source = table(spark, sf_dir, "embeddings")
     obs = _axis(source, "vec_id", F.concat(F.lit("vec_"), F.col("vec_id")), "label")
     X = Matrix(source.select(F.col("vec_id").alias("row_pos"), F.col("embedding").alias("values")), "dense")
-    dims = spark.range(X.width())
-    var = _axis(dims, "id", F.concat(F.lit("dim_"), F.col("id")), (F.col("id") % 2 == 0).alias("even"))
+    dims = X.cells().groupBy("col_pos").agg(F.avg("value").alias("mean_value"))
+    var = _axis(dims, "col_pos", F.concat(F.lit("dim_"), F.col("col_pos")), "mean_value")
     return AnnotatedDataset(obs, var, X)
 
 

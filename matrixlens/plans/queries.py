@@ -75,7 +75,7 @@ def filter_type_mismatch(spark: SparkSession, sf: str) -> DataFrame:
 
 def filter_long_list(spark: SparkSession, sf: str) -> DataFrame:
     obs = fixtures.documents(spark, sf).obs.select("_pos", "n_chars")
-    return filter_rows(obs, "n_chars", "notin", list(range(0, 4000, 2)))
+    return filter_rows(obs, "n_chars", "notin", list(range(2000)))
 
 
 def describe_numeric(spark: SparkSession, sf: str) -> DataFrame:
@@ -156,7 +156,7 @@ def var_filter_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def var_filter_dense(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(fixtures.embeddings(spark, sf).where("var", "even", "==", True).describe("X"))
+    return rounded(fixtures.embeddings(spark, sf).where("var", "mean_value", ">", 0).describe("X"))
 
 
 def both_axes(spark: SparkSession, sf: str) -> DataFrame:
