@@ -76,7 +76,8 @@ class Matrix:
         if self.layout == "dense":
             first = self.df.select(F.size("values")).first()
             return first[0] if first else 0
-        return (self.df.agg(F.max("col_pos")).first()[0] or -1) + 1
+        last = self.df.agg(F.max("col_pos")).first()[0]
+        return 0 if last is None else last + 1
 
 
 @dataclass(frozen=True)

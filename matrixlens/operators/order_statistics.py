@@ -24,6 +24,7 @@ Nothing is sampled: every rank is exact.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -42,14 +43,16 @@ SORTED_ROWS = 1 << 18
 QUARTILES = (0.25, 0.5, 0.75)
 STATISTICS = ("count", "nan_count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
-_LARGEST_LOG2 = 1025  # above log2 of the largest double, for infinities
+_BEYOND_LN = 710.0  # above the logarithm of the largest double, for infinities
+_BINS_PER_UNIT = BINS_PER_OCTAVE / math.log(2)
 _BIN_SHIFT = 1075 * BINS_PER_OCTAVE + 1  # makes the step of the smallest double positive
 
 
 def _octave_bin(value: Column) -> Column:
     """Integer that never decreases as the value grows; null for null."""
-    magnitude = F.least(F.log2(F.abs(value)), F.lit(float(_LARGEST_LOG2)))
-    step = (F.floor(magnitude * BINS_PER_OCTAVE) + _BIN_SHIFT).cast("int")
+    # The natural logarithm: log2 computes two of them per value.
+    magnitude = F.least(F.ln(F.abs(value)), F.lit(_BEYOND_LN))
+    step = (F.floor(magnitude * _BINS_PER_UNIT) + _BIN_SHIFT).cast("int")
     return F.when(value == 0, F.lit(0)).when(value > 0, step).when(value < 0, -step)
 
 
