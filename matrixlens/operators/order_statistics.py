@@ -117,15 +117,17 @@ def _values_at_ranks(values: DataFrame, keys: Sequence[str], located: DataFrame)
     return result
 
 
-def _weighted(values: DataFrame, keys: Sequence[str], groups: DataFrame | None) -> DataFrame:
-    """``(keys, value, n)``: one per row, and for every listed group an entry of weight zero.
+def _weighted(
+    values: DataFrame, keys: Sequence[str], groups: DataFrame | None = None, stub: float | None = None
+) -> DataFrame:
+    """``(keys, value, n)``: one per row, and for every listed group a ``stub`` of weight zero.
 
     The latter makes groups without any row appear in the result.
     """
     rows = values.select(*keys, "value", F.lit(1).cast("bigint").alias("n"))
     if groups is None:
         return rows
-    nothing = [F.lit(None).cast("double").alias("value"), F.lit(0).cast("bigint").alias("n")]
+    nothing = [F.lit(stub).cast("double").alias("value"), F.lit(0).cast("bigint").alias("n")]
     return rows.unionByName(groups.select(*keys, *nothing))
 
 
@@ -231,14 +233,14 @@ def describe_groups(
     ``groups`` lists keys that must appear even without rows.  ``cells`` marks sparse data:
     every group has that many cells, and those not among the rows are zeros.
     """
-    bins = _binned(_weighted(values, keys, groups), keys)
-    if cells is not None:
-        bins = stable(bins)
-        zeros = bins.groupBy(*keys).agg((F.lit(cells) - F.sum("n")).alias("n")).filter("n > 0")
-        numbers = [F.lit(0.0).alias(c) for c in ("mean", "var", "lo", "hi")]
-        bins = bins.unionByName(zeros.select(*keys, F.lit(0).alias("_bin"), "n", *numbers))
+    # In sparse data every group gets a bin for its zeros, to be filled below.
+    bins = _binned(_weighted(values, keys, groups, None if cells is None else 0.0), keys)
     ordered = Window.partitionBy(*keys).orderBy("_bin")
     group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    if cells is not None:
+        zeros = F.lit(cells) - F.sum("n").over(group)
+        bins = bins.withColumn("n", F.col("n") + F.when(F.col("_bin") == 0, zeros).otherwise(F.lit(0)))
+        bins = bins.filter("n > 0")
     present = F.when(F.col("_bin").isNotNull(), F.col("n")).otherwise(F.lit(0))
     count = F.sum(present).over(group)
     bins = bins.withColumn("count", count).withColumn("center", F.sum(present * F.col("mean")).over(group) / F.when(count > 0, count))
@@ -272,7 +274,7 @@ def describe_groups(
 def values_at_ranks(values: DataFrame, ranks: Sequence[int]) -> list[float]:
     """The values at zero-based ``ranks`` of one column ``value``, ascending."""
     keyed = values.select(F.lit(0).alias("_all"), F.col("value").cast("double").alias("value"))
-    bins = _binned(_weighted(keyed, ["_all"], None), ["_all"]).filter(F.col("_bin").isNotNull())
+    bins = _binned(_weighted(keyed, ["_all"]), ["_all"]).filter(F.col("_bin").isNotNull())
     bins = stable(bins.withColumn("base", _running(["_all"], "_bin") - F.col("n")))
     wanted = F.array(*[F.lit(int(r)).cast("bigint") for r in sorted(set(ranks))])
     located = bins.withColumn("ranks", _ranks_within(wanted, F.col("base"), F.col("n"))).filter(F.size("ranks") > 0)

@@ -26,7 +26,7 @@ def embeddings(spark: SparkSession, sf_dir: str) -> AnnotatedDataset:
     X = Matrix(source.select(F.col("vec_id").alias("row_pos"), F.col("embedding").alias("values")), "dense")
     dims = X.cells().groupBy("col_pos").agg(F.avg("value").alias("mean_value"))
     var = _axis(dims, "col_pos", F.concat(F.lit("dim_"), F.col("col_pos")), "mean_value")
-    return AnnotatedDataset(obs, var, X)
+    return AnnotatedDataset(obs, var, X, sizes={"var": X.width()})
 
 
 def trade(spark: SparkSession, sf_dir: str) -> AnnotatedDataset:
