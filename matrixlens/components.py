@@ -100,7 +100,7 @@ class Document:
         for end in range(1, len(keys) + 1):
             inner = self.df.select(F.try_variant_get("value", variant_path(keys[:end]), "variant").alias("value"))
             if inner.filter(F.col("value").isNotNull()).isEmpty():
-                raise KeyError(f"Key path '{' -> '.join(map(str, keys[:end]))}' not found in object")
+                raise KeyError(f"nothing at key path {' -> '.join(map(str, keys[:end]))}")
         return Document(inner) if keys else self
 
     def type_text(self) -> str:

@@ -81,7 +81,7 @@ class AnnotatedDataset:
     @property
     def var(self) -> DataFrame:
         if "var" not in self._single:
-            raise KeyError("Attribute var not found")
+            raise KeyError("the dataset has no section 'var'")
         return self._single["var"]
 
     @property
@@ -121,17 +121,17 @@ class AnnotatedDataset:
     def get(self, section: str, key: str | Sequence[str | int] | None = None) -> Component | Components:
         """A section, or the part of it under a key or a path of keys."""
         if section not in SECTIONS:
-            raise KeyError(f"Attribute {section} not found")
+            raise KeyError(f"the dataset has no section '{section}'")
         path = [] if key is None else [key] if isinstance(key, str) else list(key)
         if section in self._keyed:
             parts = self._keyed[section]
             if not path:
                 return parts
             if path[0] not in parts:
-                raise KeyError(f"Attribute {section} with key {' -> '.join(map(str, path))} not found")
+                raise KeyError(f"section '{section}' has nothing at {' -> '.join(map(str, path))}")
             return _inside(parts[path[0]], path[1:], section, path)
         if section not in self._single:
-            raise KeyError(f"Attribute {section} not found")
+            raise KeyError(f"the dataset has no section '{section}'")
         return _inside(self._single[section], path, section, path)
 
     # ---- filters -----------------------------------------------------------------------
@@ -180,7 +180,7 @@ class AnnotatedDataset:
         for axis, what in (("obs", "observations"), ("var", "variables")):
             # The counts are kept: they also tell joins and statistics how to proceed.
             if self._filtered and axis in self._single and self.axis_length(axis) == 0:
-                raise ValueError(f"Filtering resulted in an empty dataset: no {what} remain after filtering")
+                raise ValueError(f"the filter leaves no {what}")
         return self
 
     # ---- selection ---------------------------------------------------------------------
@@ -194,7 +194,7 @@ class AnnotatedDataset:
         chosen = self.features(patterns)
         n_chosen = chosen.count()
         if not n_chosen:
-            raise ValueError("None of the provided genes were found in var_names")
+            raise ValueError(f"no variable matches {list(patterns)}")
         return chosen, small_side(chosen.select(F.col("position").alias(POSITION), "pattern_no"), n_chosen)
 
     def unmatched(self, patterns: Sequence[str]) -> DataFrame:
@@ -217,17 +217,15 @@ class AnnotatedDataset:
         table columns, or features of ``X`` and layers, by name or glob.
         """
         if key is not None and section in ("obs", "var", "X"):
-            raise ValueError(
-                "The 'key' argument is not supported for 'obs', 'var', or 'X' attributes, use 'columns' instead"
-            )
+            raise ValueError("obs, var and X have no keys: choose columns instead")
         part = self.require_rows().get(section, key)
         if isinstance(part, DataFrame):
             known = self.axis_length(section) if section in ("obs", "var") else None
             return table_stats.describe_table(part, columns, known)
         if isinstance(part, Components):
-            raise ValueError(f"Attribute {section} is not a dataframe or array: key required")
+            raise ValueError(f"'{section}' holds several parts: key required")
         if isinstance(part, Document):
-            raise ValueError(f"Attribute value of {section} for key {key} is not a dataframe or array")
+            raise ValueError(f"{key} in '{section}' is neither a table nor a matrix")
         if columns:
             if section not in ("X", "layers"):
                 raise ValueError(f"features cannot be selected in {section}")
@@ -285,7 +283,7 @@ class AnnotatedDataset:
         """How often each value of the categorical columns of a table occurs, missing included."""
         part = self.require_rows().get(section, key)
         if not isinstance(part, DataFrame):
-            raise ValueError(f"Attribute {section} is not a dataframe")
+            raise ValueError(f"'{section}' at {key} is not a table")
         return table_stats.value_counts(part, columns)
 
     # ---- views -------------------------------------------------------------------------
@@ -308,7 +306,7 @@ class AnnotatedDataset:
         """
         part = self.get(section, key)
         if where is not None and not isinstance(part, DataFrame):
-            raise ValueError("Filtering can only be applied to dataframe or dataframe-like attributes (e.g., obs, var)")
+            raise ValueError("only tables can be filtered in a view")
         if isinstance(part, Components):
             return self.entries(section)
         if isinstance(part, Document):
@@ -362,7 +360,7 @@ class AnnotatedDataset:
             raise ValueError(f"{section} has no features")
         part = self.get(section, key)
         if not isinstance(part, Matrix):
-            raise ValueError(f"Attribute {section} is not an array: key required")
+            raise ValueError(f"'{section}' holds several matrices: key required")
         names = self.var.select(F.col(POSITION).alias("col_pos"), F.col(INDEX).alias("feature"))
         return part.cells().join(names, "col_pos").select("row_pos", "feature", "value")
 
@@ -375,13 +373,13 @@ class AnnotatedDataset:
         available = user_columns(part.schema)
         names = available if columns is None else select_names(available, columns)[0]
         if not names:
-            raise ValueError("None of the provided columns were found in the attribute")
+            raise ValueError(f"no column matches {list(columns or [])}")
         gaps = AXES.get(section, (section,))[0] in self._filtered
         if where is None or not check_triple(**dict(zip(("filter_column", "filter_operator", "filter_value"), where))):
             return part, names, gaps
         table = filter_rows(part, *where)
         if table.isEmpty():
-            raise ValueError("Filtering resulted in an empty dataframe: no rows remain after filtering")
+            raise ValueError("the filter leaves no rows")
         return table, names, True
 
     def _matrix_block(
@@ -462,5 +460,5 @@ def _inside(part: Component, path: list[str | int], section: str, whole: list[st
             axis = [c for c in (POSITION, INDEX) if c in part.columns]
             return part.select(*axis, value.alias(str(path[-1])))
     except KeyError as error:
-        raise KeyError(f"Attribute {section} with key {' -> '.join(map(str, whole))} not found") from error
-    raise KeyError(f"Attribute {section} with key {' -> '.join(map(str, whole))} not found")
+        raise KeyError(f"section '{section}' has nothing at {' -> '.join(map(str, whole))}") from error
+    raise KeyError(f"section '{section}' has nothing at {' -> '.join(map(str, whole))}")

@@ -35,7 +35,7 @@ def nested_value(col: Column, dtype: T.DataType, keys: Sequence[str | int], as_t
     for step, key in enumerate(keys):
         if isinstance(dtype, T.StructType):
             if key not in dtype.names:
-                raise KeyError(f"Key path '{' -> '.join(map(str, keys[: step + 1]))}' not found")
+                raise KeyError(f"nothing at key path {' -> '.join(map(str, keys[: step + 1]))}")
             col, dtype = col.getField(key), dtype[key].dataType
         elif isinstance(dtype, T.MapType):
             col, dtype = F.try_element_at(col, F.lit(key)), dtype.valueType
@@ -45,5 +45,5 @@ def nested_value(col: Column, dtype: T.DataType, keys: Sequence[str | int], as_t
             whole = col if isinstance(dtype, T.VariantType) else F.try_parse_json(col)
             return F.try_variant_get(whole, variant_path(keys[step:]), as_type)
         else:
-            raise KeyError(f"Key path '{' -> '.join(map(str, keys[: step + 1]))}' not found")
+            raise KeyError(f"nothing at key path {' -> '.join(map(str, keys[: step + 1]))}")
     return col

@@ -28,7 +28,7 @@ def _resolve(schema: T.StructType, name: str) -> tuple[Column, T.DataType]:
     """Column and type of a filter column; ``index`` always means the row names."""
     real = INDEX if name == "index" else name
     if real not in schema.names:
-        raise ValueError(f"Column '{name}' not found")
+        raise ValueError(f"no column named '{name}'")
     col, dtype = column(real), schema[real].dataType
     return (col.cast("int"), T.IntegerType()) if isinstance(dtype, T.BooleanType) else (col, dtype)
 
@@ -102,7 +102,7 @@ def row_filter(schema: T.StructType, name: str, op: str, value: Any) -> Column:
     """Condition for ``DataFrame.filter``: null counts as "drop", so it can be pushed down."""
     col, dtype = _resolve(schema, name)
     if op not in OPERATORS:
-        raise ValueError(f"Unknown operator: {op}")
+        raise ValueError(f"'{op}' is not one of the operators {', '.join(OPERATORS)}")
     if op in ("==", "!="):
         if isinstance(value, (list, tuple, set)):
             raise ValueError(f"'{op}' compares with one value; use isin or notin for a list")
@@ -137,7 +137,7 @@ def _filter_by_join(df: DataFrame, name: str, op: str, values: Any) -> DataFrame
     """Long value lists: an equi-join, for which the optimizer chooses the strategy."""
     real = INDEX if name == "index" else name
     if real not in df.columns:
-        raise ValueError(f"Column '{name}' not found")
+        raise ValueError(f"no column named '{name}'")
     dtype = df.schema[real].dataType
     if isinstance(dtype, T.BooleanType) or any(_is_nan(v) for v in values):
         return df.filter(row_filter(df.schema, name, op, values))
@@ -165,5 +165,5 @@ def check_triple(**parts: Any) -> bool:
     given = {k: v is not None for k, v in parts.items()}
     if any(given.values()) and not all(given.values()):
         missing = ", ".join(k for k, present in given.items() if not present)
-        raise ValueError(f"If any filter parameter is provided, all must be provided. Missing: {missing}")
+        raise ValueError(f"a filter needs a column, an operator and a value; missing: {missing}")
     return all(given.values())

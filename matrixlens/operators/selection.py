@@ -68,5 +68,5 @@ def arrays_to_columns(block: DataFrame, names: Sequence[str]) -> DataFrame:
     """``(row_pos, name, ...)``: a block ``(row_pos, values)`` as a table with one column per name."""
     width = block.select(F.size("values")).first()
     if width is not None and width[0] != len(names):
-        raise ValueError(f"Number of column names ({len(names)}) must match number of columns ({width[0]})")
+        raise ValueError(f"{len(names)} names for {width[0]} columns")
     return block.select("row_pos", *[F.get("values", F.lit(i)).alias(n) for i, n in enumerate(names)])

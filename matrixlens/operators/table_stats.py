@@ -32,7 +32,7 @@ def requested_columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]
             missing.append(wanted)
         chosen.update(dict.fromkeys(names))
     if missing:
-        raise ValueError(f"The following columns are not present in the dataframe: {missing}")
+        raise ValueError(f"no such columns: {missing}")
     return list(chosen)
 
 

@@ -65,7 +65,7 @@ def test_describe_features(sample):
     for row in rows:
         assert_stats(row, sample.X[:, int(row["column"][5:])])
         assert row["is_numeric"]
-    with pytest.raises(ValueError, match="None of the provided genes"):
+    with pytest.raises(ValueError, match="no variable matches"):
         sample.ds.describe("X", columns=["zzz"])
 
 
@@ -115,35 +115,35 @@ def test_var_filters_reach_every_part(sample):
 def test_filters_that_leave_nothing(sample):
     for axis, section in (("obs", "obs"), ("obs", "var"), ("var", "obs"), ("var", "X")):
         name = "n_genes" if axis == "obs" else "n_cells"
-        with pytest.raises(ValueError, match="empty dataset: no " + ("observations" if axis == "obs" else "variables")):
+        with pytest.raises(ValueError, match="leaves no " + ("observations" if axis == "obs" else "variables")):
             sample.ds.where(axis, name, ">", 1e9).describe(section)
-    with pytest.raises(ValueError, match="empty dataframe"):
+    with pytest.raises(ValueError, match="leaves no rows"):
         sample.ds.view("obs", where=("n_genes", ">", 1e9))
 
 
 def test_errors(sample):
     ds = sample.ds
-    with pytest.raises(KeyError, match="obsm with key nope not found"):
+    with pytest.raises(KeyError, match="'obsm' has nothing at nope"):
         ds.describe("obsm", "nope")
-    with pytest.raises(KeyError, match="Attribute nope not found"):
+    with pytest.raises(KeyError, match="no section 'nope'"):
         ds.describe("nope")
-    with pytest.raises(ValueError, match="'key' argument is not supported"):
+    with pytest.raises(ValueError, match="have no keys"):
         ds.describe("obs", "n_genes")
-    with pytest.raises(ValueError, match="not a dataframe or array"):
+    with pytest.raises(ValueError, match="neither a table nor a matrix"):
         ds.describe("uns", "dict")
     with pytest.raises(ValueError, match="key required"):
         ds.describe("layers", columns=["gene_1"])
     with pytest.raises(ValueError, match="cannot be selected"):
         ds.describe("obsm", "X_pca", columns=["gene_1"])
-    with pytest.raises(ValueError, match="only be applied to dataframe"):
+    with pytest.raises(ValueError, match="only tables"):
         ds.view("X", where=("n_genes", ">", 1))
-    with pytest.raises(ValueError, match="Missing: filter_operator, filter_value"):
+    with pytest.raises(ValueError, match="missing: filter_operator, filter_value"):
         ds.view("obs", where=("n_genes", None, None))
-    with pytest.raises(ValueError, match="Missing: filter_value"):
+    with pytest.raises(ValueError, match="missing: filter_value"):
         ds.where("obs", "n_genes", ">", None)
-    with pytest.raises(ValueError, match="None of the provided columns"):
+    with pytest.raises(ValueError, match="no column matches"):
         ds.view("obs", columns=["zz*"])
-    with pytest.raises(ValueError, match="None of the provided genes"):
+    with pytest.raises(ValueError, match="no variable matches"):
         ds.view("X", columns=["zz*"])
     with pytest.raises(ValueError, match="must be 'obs' or 'var'"):
         ds.where("uns", "a", "==", 1)
@@ -210,7 +210,7 @@ def test_free_form_values(sample):
     assert ds.view("uns", ["dict", "key2"]).first()[0] == "42"
     assert ds.view("uns", ["dict", "deep", "er", 1]).first()[0] == "2"
     assert {r["key"] for r in ds.view("uns", "dict").collect()} == {"key1", "key2", "deep"}
-    with pytest.raises(KeyError, match="uns with key dict -> nope not found"):
+    with pytest.raises(KeyError, match="nothing at dict -> nope"):
         ds.view("uns", ["dict", "nope"])
     listed = {r["key"]: r for r in ds.view("uns").collect()}
     assert listed["df"]["shape"] == "(100, 3)" and listed["string"]["shape"] == "NA"

@@ -124,9 +124,9 @@ def test_odd_column_names(spark):
 
 
 def test_validation(table):
-    with pytest.raises(ValueError, match="Column 'zzz' not found"):
+    with pytest.raises(ValueError, match="no column named 'zzz'"):
         filter_rows(table, "zzz", "==", 1)
-    with pytest.raises(ValueError, match="Unknown operator"):
+    with pytest.raises(ValueError, match="not one of the operators"):
         filter_rows(table, "i", "~", 1)
     with pytest.raises(TypeError):
         filter_rows(table, "s", ">", 1)
@@ -134,7 +134,7 @@ def test_validation(table):
         filter_rows(table, "i", ">", "many")
     with pytest.raises(ValueError, match="isin"):
         filter_rows(table, "i", "==", [1, 2])
-    with pytest.raises(ValueError, match="Missing: filter_operator, filter_value"):
+    with pytest.raises(ValueError, match="missing: filter_operator, filter_value"):
         check_triple(filter_column="i", filter_operator=None, filter_value=None)
     assert check_triple(a=1, b=False) and not check_triple(a=None)
 

@@ -74,7 +74,7 @@ def test_array_block_as_table(spark):
     table = arrays_to_columns(block, ["a", "b"])
     assert table.columns == ["row_pos", "a", "b"]
     assert [tuple(r) for r in table.orderBy("row_pos").collect()] == [(0, 1.0, 2.0), (1, 3.0, 4.0)]
-    with pytest.raises(ValueError, match="must match number of columns"):
+    with pytest.raises(ValueError, match="1 names for 2 columns"):
         arrays_to_columns(block, ["a"])
 
 
@@ -92,7 +92,7 @@ def test_nested_documents(spark):
     assert text('say "hi"') == "y"
     assert doc.at([]) is doc
     for path, shown in ((["missing"], "missing"), (["a", "missing"], "a -> missing"), (["a", "b", "no"], "a -> b -> no")):
-        with pytest.raises(KeyError, match=f"Key path '{shown}' not found"):
+        with pytest.raises(KeyError, match=f"nothing at key path {shown}"):
             doc.at(path)
     entries = {r["key"]: r["type"] for r in doc.entries().collect()}
     assert set(entries) == {"a", "list", "it's", 'say "hi"'} and entries["it's"] == "STRING"
@@ -112,5 +112,5 @@ def test_nested_columns(spark):
     assert value("j", ["a", "b"], "int") == 7
     assert value("bad", ["a"], "int") is None
     assert value("v", ["v"], "string") == "w"
-    with pytest.raises(KeyError, match="Key path 'zzz' not found"):
+    with pytest.raises(KeyError, match="nothing at key path zzz"):
         value("s", ["zzz"], "int")
