@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from matrixlens.functions.columns import POSITION, column
-from matrixlens.session import stable
+from matrixlens.session import small_side, stable
 
 _UNHASHABLE = re.compile(r"\b(map|variant)\b")
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
@@ -30,6 +30,6 @@ def assign_positions(df: DataFrame, *order: str | Column, name: str = POSITION)
     # One row per partition: a running sum over them is small by construction.
     before = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
-    placed = numbered.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    placed = numbered.withColumn("_part", part).join(small_side(starts, sizes.count()), "_part")
     rank = F.col("_start") + F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return placed.withColumn(name, rank).drop("_part", "_start", "_slot")
