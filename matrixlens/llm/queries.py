@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from matrixlens.llm.exact_dedup import exact_groups
+from matrixlens.llm.near_dedup import near_duplicate_groups
 from matrixlens.llm.perspectives import rotate_perspectives
+from matrixlens.llm.quality import quality_scores
+from matrixlens.llm.sentencepieces import encode_documents
 from matrixlens.llm.tables import table
 from matrixlens.llm.url_filter import filter_urls
 from matrixlens.llm.warc import archive_round_trip
@@ -21,21 +26,44 @@ URL_RULES = [
 ]
 
 
+#: Where the installed package of public tokenizers keeps the model; nothing is copied.
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op3_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return filter_urls(table(spark, sf, "pages"), rules)
 
 
+def op5_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return encode_documents(table(spark, sf, "documents"), str(PIECE_MODEL), digest=True)
+
+
+def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_groups(table(spark, sf, "documents"))
+
+
 def op7_chat_perspectives(spark: SparkSession, sf: str) -> DataFrame:
     return rotate_perspectives(table(spark, sf, "conversations"))
 
 
+def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicate_groups(table(spark, sf, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     return archive_round_trip(table(spark, sf, "pages"))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op3_url_filters, op7_chat_perspectives, op9_warc)}
+    chosen = (
+        op1_quality, op3_url_filters, op5_sentencepiece, op6_exact_dedup, op7_chat_perspectives, op8_simhash, op9_warc,
+    )
+    return {query.__name__: query for query in chosen}
 
 
 def oracles() -> dict[str, str]:
@@ -59,6 +87,14 @@ ORACLES = {
               ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
         SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdict, 'allow') AS verdict
         FROM fitting WHERE place = 1""",
+    "op6_exact_dedup": """
+        WITH plain AS (
+            SELECT doc_id, coalesce(text, '') AS original, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS plain FROM documents),
+        placed AS (
+            SELECT doc_id, plain, first_value(doc_id) OVER (PARTITION BY plain ORDER BY length(original) DESC, doc_id) AS keep_id,
+                   count(*) OVER (PARTITION BY plain) AS group_size
+            FROM plain)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256 FROM placed""",
     "op7_chat_perspectives": """
         WITH turns AS (
             SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
