@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from matrixlens.llm.decontaminate import contaminated
 from matrixlens.llm.exact_dedup import exact_groups
 from matrixlens.llm.near_dedup import near_duplicate_groups
 from matrixlens.llm.perspectives import rotate_perspectives
@@ -34,6 +35,10 @@ def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op3_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return filter_urls(table(spark, sf, "pages"), rules)
@@ -61,7 +66,7 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
-        op1_quality, op3_url_filters, op5_sentencepiece, op6_exact_dedup, op7_chat_perspectives, op8_simhash, op9_warc,
+        op1_quality, op2_decontaminate, op3_url_filters, op5_sentencepiece, op6_exact_dedup, op7_chat_perspectives, op8_simhash, op9_warc,
     )
     return {query.__name__: query for query in chosen}
 
