@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from matrixlens.llm.decontaminate import contaminated
 from matrixlens.llm.exact_dedup import exact_groups
 from matrixlens.llm.near_dedup import near_duplicate_groups
+from matrixlens.llm.personal_data import personal_data
 from matrixlens.llm.perspectives import rotate_perspectives
 from matrixlens.llm.quality import quality_scores
 from matrixlens.llm.sentencepieces import encode_documents
@@ -44,6 +45,10 @@ def op3_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return filter_urls(table(spark, sf, "pages"), rules)
 
 
+def op4_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return personal_data(table(spark, sf, "documents"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return encode_documents(table(spark, sf, "documents"), str(PIECE_MODEL), digest=True)
 
@@ -66,7 +71,7 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
-        op1_quality, op2_decontaminate, op3_url_filters, op5_sentencepiece, op6_exact_dedup, op7_chat_perspectives, op8_simhash, op9_warc,
+        op1_quality, op2_decontaminate, op3_url_filters, op4_personal_data, op5_sentencepiece, op6_exact_dedup, op7_chat_perspectives, op8_simhash, op9_warc,
     )
     return {query.__name__: query for query in chosen}
 
