@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from matrixlens.llm.decontaminate import contaminated
 from matrixlens.llm.exact_dedup import exact_groups
+from matrixlens.llm.katz import fit_and_score
 from matrixlens.llm.near_dedup import near_duplicate_groups
 from matrixlens.llm.personal_data import personal_data
 from matrixlens.llm.perspectives import rotate_perspectives
 from matrixlens.llm.quality import quality_scores
 from matrixlens.llm.sentencepieces import encode_documents
-from matrixlens.llm.tables import table
+from matrixlens.llm.tables import in_fold, table
 from matrixlens.llm.url_filter import filter_urls
 from matrixlens.llm.warc import archive_round_trip
 
@@ -69,9 +70,13 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     return archive_round_trip(table(spark, sf, "pages"))
 
 
+def op10_katz(spark: SparkSession, sf: str) -> DataFrame:
+    return fit_and_score(table(spark, sf, "documents"), in_fold("doc_id", 5, 1)).scores
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
-        op1_quality, op2_decontaminate, op3_url_filters, op4_personal_data, op5_sentencepiece, op6_exact_dedup, op7_chat_perspectives, op8_simhash, op9_warc,
+        op1_quality, op2_decontaminate, op3_url_filters, op4_personal_data, op5_sentencepiece, op6_exact_dedup, op7_chat_perspectives, op8_simhash, op9_warc, op10_katz,
     )
     return {query.__name__: query for query in chosen}
 

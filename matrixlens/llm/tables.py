@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, *partitions: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and go on from the written rows.
 
     Cuts the lineage like a checkpoint, but columnar and compressed, so later steps read
@@ -25,7 +25,7 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/matrixlens-llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.partitionBy(*partitions).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
