@@ -27,7 +27,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matrixlens.llm.tables import written
+from matrixlens.llm.tables import fresh, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS, BLOCK_BITS = 11, 4, 16
@@ -175,9 +175,10 @@ def _scan(sizes: list[int], shingle_map, key_map):
                         n = int(own.sum())
                         for name, v in zip(out, ([row] * n, [region] * n, [None] * n, starts[own] - low, [size] * n, fps[own].view(np.int64), keys[own]), strict=True):
                             out[name].extend(v)
-            ids = batch.column(0).take(pa.array(out.pop("doc"), pa.int64()))
+            rows = pa.array(out.pop("doc"), pa.int64())
+            owners = [batch.column(0).take(rows), batch.column(2).take(rows)]
             kinds = (pa.int64(), pa.string(), *[pa.int64()] * 4)
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))], names=["doc_id", *out])
+            yield pa.RecordBatch.from_arrays([*owners, *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))], names=["doc_id", "text_key", *out])
 
     return scan
 
@@ -211,22 +212,15 @@ def similarity(one: list[str], other: list[str]) -> float:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, starts, sizes, items = (batch.column(i).to_pylist() for i in (2, 3, 4, 5))
+        texts, starts, sizes, items = (batch.column(i).to_pylist() for i in (3, 4, 5, 6))
         scores = []
         for text, start, size, item in zip(texts, starts, sizes, items, strict=True):
             scores.append(similarity(text.split(" ")[start : start + size], item.split(" ")))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())], names=["doc_id", "item_id", "similarity"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(scores, pa.float64())], names=["doc_id", "text_key", "item_id", "similarity"])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents that hold a benchmark item: doc_id, item_id, similarity (of the best window).
-
-    One row per document and item of at least ``SIMILARITY``; clean documents give none.  Words are
-    lower-cased and parted by blanks and ASCII punctuation.  Items of fewer than five words
-    have no shingle and match nothing; null and empty texts neither.  Repeated items count each
-    under its id, rows of one document id together.  A document shorter than an item is one
-    window.  Ids may be null; other columns are not looked at.
-    """
+def _matches(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text_key (a hash of the text), item_id and similarity of every verified window."""
     sc = docs.sparkSession.sparkContext
     item_kind, doc_kind = benchmark.schema["item_id"].dataType.simpleString(), docs.schema[doc_id].dataType.simpleString()
     lists = "slots array<long>, keys array<long>, key_slots array<long>"
@@ -234,19 +228,40 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     items = written(items)
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())
     maps = [sc.broadcast(_bitmap(items.select(F.explode(c).alias("slot")), bits)) for c, bits in (("slots", SHINGLE_BITS), ("key_slots", KEY_BITS))]
-    schema = f"doc_id {doc_kind}, region long, text string, start long, size long, fp long, key long"
-    found = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_scan(sizes, *maps), schema))
+    schema = f"doc_id {doc_kind}, text_key long, region long, text string, start long, size long, fp long, key long"
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key"))
+    found = written(texts.mapInArrow(_scan(sizes, *maps), schema))
     keys = items.select("item_id", "item_fp", F.explode(F.array_distinct("keys")).alias("key"))
     near: Column = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS
     windows = found.where("text IS NULL").join(keys, "key").where(near)
     windows = windows.select("region", "start", "size", "item_id").distinct()
-    regions = found.where("text IS NOT NULL").select("doc_id", "region", "text")
-    full = windows.join(regions, "region").join(items.select(F.col("item_id").alias("_item"), "item", F.col("size").alias("_size")), F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("size") == F.col("_size")))
-    scored = full.select("doc_id", "item_id", "text", "start", "size", "item").mapInArrow(_verify, f"doc_id {doc_kind}, item_id {item_kind}, similarity double")
-    return scored.where(F.col("similarity") >= SIMILARITY).groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
+    regions = found.where("text IS NOT NULL").select("doc_id", "text_key", "region", "text")
+    wanted = items.select(F.col("item_id").alias("_item"), F.col("size").alias("_size"), "item")
+    full = windows.join(regions, "region").join(wanted, F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("size") == F.col("_size")))
+    full = full.select("doc_id", "text_key", "item_id", "text", "start", "size", "item")
+    scored = full.mapInArrow(_verify, f"doc_id {doc_kind}, text_key long, item_id {item_kind}, similarity double")
+    return scored.where(F.col("similarity") >= SIMILARITY)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents that hold a benchmark item: doc_id, item_id, similarity (of the best window).
+
+    One row per document and item of at least ``SIMILARITY``; clean documents give none.  Words are
+    lower-cased and parted by blanks and ASCII punctuation.  Items of fewer than five words
+    have no shingle and match nothing; null and empty texts neither.  Repeated items count each
+    under its id, rows of one document id together.  A document shorter than an item is one
+    window.  Ids may be null; other columns are not looked at.
+    """
+    found = _matches(docs, benchmark, doc_id, text)
+    return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose id ``contaminated`` names; all columns are kept."""
-    bad = contaminated(docs, benchmark, doc_id, text).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("_bad")), "left_anti")
+    """``docs`` without the rows that hold a benchmark item; all columns are kept.
+
+    Rows that share an id, or have none, are judged each by its own text.
+    """
+    bad, key = fresh(docs, "_bad"), fresh(docs, "_key")
+    found = _matches(docs, benchmark, doc_id, text).select(F.col("doc_id").alias(bad), F.col("text_key").alias(key)).distinct()
+    same = F.col(doc_id).eqNullSafe(F.col(bad)) & (F.xxhash64(text) == F.col(key))
+    return docs.join(found, same, "left_anti")

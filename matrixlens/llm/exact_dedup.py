@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from matrixlens.llm.tables import written
+from matrixlens.llm.tables import fresh, written
 
 #: Fingerprints a segment's merged filter is meant to hold: some 16 MB.
 SEGMENT_FINGERPRINTS = 1 << 20
@@ -169,18 +169,16 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     The decisions are those of ``exact_groups``; of rows that agree in id, text and length any
     one stays.
     """
-    decided = exact_groups(docs, doc_id, text).select(F.col("doc_id").alias("_id"), "kept", F.col("group_size").alias("_size"), "text_sha256")
-    decided = written(decided)
-    ids = decided.groupBy("_id").agg(F.bool_or("kept").alias("_some"), F.bool_and("kept").alias("_all"), F.count(F.lit(1)).alias("_rows"))
-    gone = ids.where(~F.col("_some") | (F.col("_rows") > 1)).select("_id")
-    same_id = F.col(doc_id).eqNullSafe(F.col("_id"))
-    plain = docs.join(gone, same_id, "left_anti")
+    id_, sha, place = (fresh(docs, name) for name in ("_id", "_sha", "_place"))
+    decided = written(exact_groups(docs, doc_id, text).select(F.col("doc_id").alias(id_), "kept", F.col("text_sha256").alias(sha)))
+    ids = decided.groupBy(id_).agg(F.bool_or("kept").alias("some"), F.count(F.lit(1)).alias("n"))
+    same_id = F.col(doc_id).eqNullSafe(F.col(id_))
+    single = docs.join(ids.where("n > 1 OR NOT some").select(id_), same_id, "left_anti")
     # Ids that occur more than once: told apart by text, and one row of each kept text stays.
-    unclear = ids.where(F.col("_some") & (F.col("_rows") > 1)).select("_id")
-    sha = F.sha2(normalised(F.col(text)).cast("binary"), 256)
-    kept = decided.where("kept").join(unclear, "_id", "left_semi").select("_id", "text_sha256").distinct()
-    kept = kept.withColumnRenamed("text_sha256", "_sha_kept")
-    shared = docs.withColumn("_sha", sha).join(kept, same_id & (F.col("_sha") == F.col("_sha_kept")), "left_semi")
-    first = Window.partitionBy(doc_id, "_sha").orderBy(F.length(text).desc_nulls_last())
-    shared = shared.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place", "_sha")
-    return plain.unionByName(shared)
+    repeated = ids.where("some AND n > 1").select(F.col(id_).alias("repeated"))
+    unclear = decided.where("kept").join(repeated, F.col(id_).eqNullSafe(F.col("repeated")), "left_semi").select(id_, F.col(sha).alias(f"{sha}2")).distinct()
+    marked = docs.withColumn(sha, F.sha2(normalised(F.col(text)).cast("binary"), 256))
+    several = marked.join(unclear, same_id & (F.col(sha) == F.col(f"{sha}2")), "left_semi")
+    first = Window.partitionBy(doc_id, sha).orderBy(F.length(text).desc_nulls_last())
+    several = several.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place, sha)
+    return single.unionByName(several)

@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from matrixlens.llm import golay
 from matrixlens.llm.components import connected_components
-from matrixlens.llm.simhash import fingerprints
-from matrixlens.llm.tables import written
+from matrixlens.llm.simhash import fingerprint_column, fingerprints
+from matrixlens.llm.tables import fresh, written
 
 RADIUS = 3
 #: Bits of the segments, from the low end.
@@ -134,6 +134,18 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_links, "a long, b long").distinct()
 
 
+def _groups(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """doc_id, fp, root (the smallest fingerprint of the component) and component_id of every row."""
+    marked = written(fingerprints(docs, doc_id, text, size))
+    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("_least")))
+    components = connected_components(fingerprint_links(distinct))
+    rooted = distinct.join(components, F.col("fp") == F.col("node"), "left")
+    rooted = rooted.select("fp", "_least", "root")
+    least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("_least").alias("_of_root"))
+    named = rooted.join(least, "root", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("_least")).otherwise(F.col("_of_root")).alias("component_id"))
+    return marked.join(written(named), "fp")
+
+
 def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -144,29 +156,27 @@ def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     passed over, and it is null where no id is reachable.  Repeated rows are rows like any
     other.  Other columns are not looked at.
     """
-    marked = written(fingerprints(docs, doc_id, text, size))
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("_least")))
-    components = connected_components(fingerprint_links(distinct))
-    rooted = distinct.join(components, F.col("fp") == F.col("node"), "left")
-    rooted = rooted.select("fp", "_least", "root")
-    least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("_least").alias("_of_root"))
-    named = rooted.join(least, "root", "left").select("fp", F.coalesce("_of_root", "_least").alias("component_id"))
-    return marked.join(named, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    groups = _groups(docs, doc_id, text, size)
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
     """``docs`` with one row of each component, that of its smallest id; all columns are kept.
 
-    Of several rows with that id the one with the longest text stays.  Rows without an id stay
-    where no id is reachable, one of each component's fingerprints.
+    Of several rows of the component with that id the one with the longest text stays, and of
+    a component without any id the one with the longest text.
     """
-    groups = written(near_duplicate_groups(docs, doc_id, text, size))
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = stays.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    same_id = F.col(doc_id).eqNullSafe(F.col("_id"))
-    single = docs.join(ids.where("_rows = 1").select(F.col("doc_id").alias("_id")), same_id, "left_semi")
-    several = docs.join(ids.where("_rows > 1").select(F.col("doc_id").alias("_id")), same_id, "left_semi")
-    first = Window.partitionBy(doc_id).orderBy(F.length(text).desc_nulls_last(), F.xxhash64(text))
-    return single.unionByName(several.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place"))
+    id_, fp, fp2, place, root = (fresh(docs, name) for name in ("_id", "_fp", "_fp_of", "_place", "_root"))
+    groups = written(_groups(docs, doc_id, text, size))
+    rows = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_), F.col("fp").alias(fp2), F.col("root").alias(root)).distinct()
+    same_id = F.col(doc_id).eqNullSafe(F.col(id_))
+    alone = rows.where("n = 1 AND doc_id IS NOT NULL").select("doc_id")
+    single = docs.join(stays.join(alone, F.col(id_) == F.col("doc_id"), "left_semi").select(id_), same_id, "left_semi")
+    # Ids that are missing or occur more than once: told apart by fingerprint, one row of each component stays.
+    unclear = stays.join(alone, F.col(id_) == F.col("doc_id"), "left_anti")
+    several = docs.join(unclear.select(id_).distinct(), same_id, "left_semi").withColumn(fp, fingerprint_column(text, size))
+    several = several.join(unclear, same_id & (F.col(fp) == F.col(fp2)))
+    first = Window.partitionBy(root).orderBy(F.length(text).desc_nulls_last(), F.xxhash64(text))
+    several = several.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
+    return single.unionByName(several.select(*(F.col(f"`{c}`") for c in docs.columns)))

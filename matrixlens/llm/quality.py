@@ -16,10 +16,12 @@ the corpus.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -36,7 +38,7 @@ THRESHOLD = 0.3
 STATISTICS = (
     "log2 words", "word length", "share of letters", "share of capitals", "share of digits", "share of punctuation",
     "share of other bytes", "different words", "share of first word", "words a line", "different lines",
-    "single-character words", "words ending in a sign", "log2 stated size", "stated size wrong",
+    "single-character words", "words ending in a sign", "words like the one before", "log2 stated size", "stated size wrong",
 )
 SLOTS = WORD_SLOTS + BINS * len(STATISTICS)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -81,7 +83,7 @@ def features(text: str | None, stated: int | None, slots: _Slots) -> tuple[np.nd
         _bin(counts[_DIGIT].sum() / total), _bin(counts[_SIGN].sum() / total), _bin(counts[_HIGH].sum() / total),
         _bin(len(set(words)) / n), _bin(words.count(words[-1]) / n if words else 0), _log_bin(n / len(lines)),
         _bin(len(set(lines)) / len(lines)), _bin(sum(1 for w in words if len(w) == 1) / n), _bin(ends / n),
-        0 if stated is None else _log_bin(stated), 2 if stated is None else int(stated != len(text)),
+        _bin(sum(map(operator.eq, words, words[1:])) / n), 0 if stated is None else _log_bin(stated), 2 if stated is None else int(stated != len(text)),
     ]
     ids, times = np.unique(np.fromiter(map(slots.__getitem__, words), np.int32, len(words)), return_counts=True)
     values = np.log1p(times).astype(np.float32)
@@ -172,6 +174,17 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, doc_id: str = "d
     return FactorisationMachine.fit(sparse, np.array([float(r["label"]) for r in rows]))
 
 
+def _scores(model: FactorisationMachine, texts: list[str | None], sizes: list[int | None], slots: _Slots) -> np.ndarray:
+    out = [np.zeros(0)]
+    for at in range(0, len(texts), 256):
+        rows = [features(t, s, slots) for t, s in zip(texts[at : at + 256], sizes[at : at + 256], strict=True)]
+        lengths = np.array([len(r[0]) for r in rows])
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        margins = model.margins(np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]), starts)
+        out.append(1 / (1 + np.exp(-np.clip(margins.astype(np.float64), -60, 60))))
+    return np.concatenate(out)
+
+
 def score(docs: DataFrame, model: FactorisationMachine, doc_id: str = "doc_id", text: str = "text", stated: str | None = "n_chars") -> DataFrame:
     """doc_id and score (0 to 1, higher is better) of every row of ``docs``.
 
@@ -183,20 +196,30 @@ def score(docs: DataFrame, model: FactorisationMachine, doc_id: str = "doc_id",
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = _Slots()
         for batch in batches:
-            scores = []
-            texts, sizes = batch.column(1), batch.column(2)
-            for at in range(0, batch.num_rows, 256):
-                rows = [features(t.as_py(), s.as_py(), slots) for t, s in zip(texts[at : at + 256], sizes[at : at + 256], strict=True)]
-                lengths = np.array([len(r[0]) for r in rows])
-                starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-                margins = shared.value.margins(np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]), starts)
-                scores.append(1 / (1 + np.exp(-np.clip(margins.astype(np.float64), -60, 60))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(scores))], names=["doc_id", "score"])
+            scores = _scores(shared.value, batch.column(1).to_pylist(), batch.column(2).to_pylist(), slots)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return _inputs(docs, doc_id, text, stated).mapInArrow(work, f"doc_id {kind}, score double")
 
 
+def accepted(docs: DataFrame, model: FactorisationMachine, text: str = "text", stated: str | None = "n_chars") -> DataFrame:
+    """The rows of ``docs`` that score ``THRESHOLD`` or more, with all their columns.
+
+    The text crosses to Python once and the columns do not: each row's own score decides, so
+    repeated and null ids make no difference.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series, sizes: pd.Series) -> pd.Series:
+        stated_sizes = [None if pd.isna(s) else int(s) for s in sizes]
+        return pd.Series(_scores(shared.value, texts.tolist(), stated_sizes, _Slots()))
+
+    size = F.col(stated).cast("long") if stated else F.lit(None).cast("long")
+    return docs.where(scored(F.col(text), size) >= THRESHOLD)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Train outside the fold crc32(id) mod 5 = 0 and score all: doc_id, held_out, score, predicted."""
     model = train(docs, labels, in_fold("doc_id", 5, 0))

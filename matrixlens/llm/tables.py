@@ -38,3 +38,11 @@ def in_fold(doc_id: str | Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; a null id counts as empty text."""
     key = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
