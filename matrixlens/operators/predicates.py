@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from datetime import datetime
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal, localcontext
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -37,32 +38,61 @@ def _is_nan(value: Any) -> bool:
     return value is None or (isinstance(value, float) and math.isnan(value))
 
 
-def _typed_literal(dtype: T.DataType, value: Any) -> Column | None:
-    """The value as a literal of the column's own type, or None if it cannot equal any.
+def _normalised(dtype: T.DataType, value: Any) -> Any:
+    """The value as one of the column's type, or None if it cannot equal any.
 
-    Keeping the column uncast is what lets the comparison reach the Parquet reader.
+    The only rule for what a literal means: one value, a short list and a long one follow it.
     """
     if isinstance(dtype, T.NumericType):
-        if not isinstance(value, (bool, int, float)) or _is_nan(value):
+        if not isinstance(value, (bool, int, float, Decimal)) or _is_nan(value):
             return None
+        if isinstance(dtype, FLOATING):
+            return float(value)
+        if math.isinf(value):
+            return None
+        exact = _decimal(value)
         if isinstance(dtype, INTEGRAL):
-            if math.isinf(value) or value != int(value) or not _LONG_MIN <= value <= _LONG_MAX:
-                return None
-            return F.lit(int(value))
-        return F.lit(float(value)).cast(dtype) if isinstance(dtype, FLOATING) else F.lit(float(value))
+            return int(exact) if exact == int(exact) and _LONG_MIN <= exact <= _LONG_MAX else None
+        return _on_grid(exact, dtype, ROUND_FLOOR) if exact == _on_grid(exact, dtype, ROUND_FLOOR) else None
     if isinstance(dtype, TEMPORAL):
         if not isinstance(value, str):
             return None
         try:
-            datetime.fromisoformat(value)
+            moment = datetime.fromisoformat(value)
         except ValueError:
             return None
-        return F.lit(value).cast(dtype)
+        if isinstance(dtype, T.DateType):
+            return moment.date().isoformat()
+        return (moment.replace(tzinfo=None) if isinstance(dtype, T.TimestampNTZType) else moment).isoformat(" ")
     if isinstance(dtype, T.StringType):
-        return F.lit(value) if isinstance(value, str) else None
+        return value if isinstance(value, str) else None
     return None
 
 
+def _decimal(value: Any) -> Decimal:
+    """The number as it is written: 0.1 is one tenth."""
+    return value if isinstance(value, Decimal) else Decimal(int(value)) if isinstance(value, (bool, int)) else Decimal(repr(value))
+
+
+def _on_grid(value: Decimal, dtype: T.DecimalType, rounding: str) -> Decimal | None:
+    """The neighbouring value a decimal column can hold, None beyond its range."""
+    with localcontext() as context:
+        context.prec = 400
+        rounded = value.quantize(Decimal(1).scaleb(-dtype.scale), rounding=rounding)
+    return rounded if abs(rounded) < Decimal(10) ** (dtype.precision - dtype.scale) else None
+
+
+def _typed_literal(dtype: T.DataType, value: Any) -> Column | None:
+    """The value as a literal of the column's own type, or None if it cannot equal any.
+
+    Keeping the column uncast is what lets the comparison reach the Parquet reader.
+    """
+    value = _normalised(dtype, value)
+    if value is None:
+        return None
+    return F.lit(value) if isinstance(dtype, (*INTEGRAL, T.StringType)) else F.lit(value).cast(dtype)
+
+
 def _never(col: Column) -> Column:
     """False for every row, but still a condition on the column."""
     return col.isNull() & F.lit(False)
@@ -87,8 +117,13 @@ def _ordered(col: Column, dtype: T.DataType, op: str, value: Any) -> Column:
         return _never(col)
     if isinstance(dtype, FLOATING):
         return ~F.isnan(col) & compare(col, F.lit(number).cast(dtype))
-    if not isinstance(dtype, INTEGRAL):
-        return compare(col, F.lit(number))
+    if isinstance(dtype, T.DecimalType):
+        if math.isinf(number):
+            return col.isNotNull() if (number < 0) == (op[0] == ">") else _never(col)
+        edge = _on_grid(_decimal(value if isinstance(value, (int, float, Decimal)) else number), dtype, ROUND_FLOOR if op in (">", "<=") else ROUND_CEILING)
+        if edge is None:
+            return col.isNotNull() if (number < 0) == (op[0] == ">") else _never(col)
+        return compare(col, F.lit(edge).cast(dtype))
     # Integers against any real bound: round the bound, not the column.
     if math.isinf(number) or abs(number) > _LONG_MAX:
         return col.isNotNull() if (number < 0) == (op[0] == ">") else _never(col)
@@ -134,30 +169,18 @@ def filter_rows(df: DataFrame, name: str, op: str, value: Any) -> DataFrame:
 
 
 def _filter_by_join(df: DataFrame, name: str, op: str, values: Any) -> DataFrame:
-    """Long value lists: an equi-join, for which the optimizer chooses the strategy."""
-    real = INDEX if name == "index" else name
-    if real not in df.columns:
-        raise ValueError(f"no column named '{name}'")
-    dtype = df.schema[real].dataType
-    if isinstance(dtype, T.BooleanType) or any(_is_nan(v) for v in values):
-        return df.filter(row_filter(df.schema, name, op, values))
-    family = (bool, int, float) if isinstance(dtype, T.NumericType) else (str,)
-    members = sorted({v for v in values if isinstance(v, family)})
-    if isinstance(dtype, INTEGRAL):
-        members = sorted({int(v) for v in members if not math.isinf(v) and v == int(v)})
-        members = [v for v in members if _LONG_MIN <= v <= _LONG_MAX]
-        member_type: T.DataType = T.LongType()
-    elif isinstance(dtype, T.NumericType):
-        members, member_type = [float(v) for v in members], T.DoubleType()
-    else:
-        member_type = T.StringType()
-    schema = T.StructType([T.StructField("_member", member_type)])
-    side = df.sparkSession.createDataFrame([(v,) for v in members], schema)
-    if isinstance(dtype, (T.FloatType, *TEMPORAL)):
-        side = side.select(F.col("_member").try_cast(dtype).alias("_member"))
-    side = small_side(side, len(members))
-    how = "left_semi" if op == "isin" else "left_anti"
-    return df.join(side, column(real) == F.col("_member"), how)
+    """Long value lists: an equi-join, for which the optimizer chooses the strategy.
+
+    Missing values meet as nulls, so a missing member matches missing rows and no others.
+    """
+    col, dtype = _resolve(df.schema, name)
+    members = {m for m in (_normalised(dtype, v) for v in values) if m is not None}
+    plain = dtype if isinstance(dtype, (T.DecimalType, *FLOATING)) else T.LongType() if isinstance(dtype, INTEGRAL) else T.StringType()
+    rows = [(m,) for m in sorted(members)] + [(None,)] * any(_is_nan(v) for v in values)
+    side = df.sparkSession.createDataFrame(rows, T.StructType([T.StructField("_member", plain)]))
+    side = small_side(side.select(F.col("_member").cast(dtype).alias("_member")) if isinstance(dtype, TEMPORAL) else side, len(rows))
+    key = F.when(~F.isnan(col), col) if isinstance(dtype, FLOATING) else col
+    return df.join(side, key.eqNullSafe(F.col("_member")), "left_semi" if op == "isin" else "left_anti")
 
 
 def check_triple(**parts: Any) -> bool:
