@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from matrixlens.functions.columns import clean_double
 from matrixlens.functions.nested import variant_path
+from matrixlens.operators.alignment import KeptPositions
 
 LAYOUTS = ("dense", "long", "sparse")
 
@@ -21,12 +22,19 @@ class Matrix:
 
     ``dense``: one row ``(row_pos, values array)`` per matrix row.
     ``long``: one row ``(row_pos, col_pos, value)`` per cell.
-    ``sparse``: as ``long``, but the cells not present are zeros.
+    ``sparse``: as ``long``, but the cells not present are zeros.  Cells with the same
+    position add up if ``repeated`` says that there may be such; else they are an error.
+
+    ``shape`` may be left out where the dataset's axes or the layout give it.  A sparse matrix
+    must state the lengths that no axis gives: its stored cells do not tell.
     """
 
     df: DataFrame
     layout: str
-    shape: tuple[int, int] | None = None
+    shape: tuple[int | None, int | None] | None = None
+    repeated: bool = False
+    #: The matrix that this one is a filtered part of; its width is this one's.
+    origin: Matrix | None = None
 
     def __post_init__(self) -> None:
         if self.layout not in LAYOUTS:
@@ -46,38 +54,59 @@ class Matrix:
         if self.layout == "dense":
             cells = self.df.select("row_pos", F.posexplode("values").alias("col_pos", "value"))
         else:
-            cells = self.df
+            cells = self.unique().df
         value = clean_double(F.col("value"), self.element_type)
         return cells.select("row_pos", F.col("col_pos").cast("bigint").alias("col_pos"), value.alias("value"))
 
-    def keep_rows(self, kept: DataFrame) -> Matrix:
-        """Only the rows whose position is in ``kept(_pos)``."""
-        side = kept.select(F.col("_pos").alias("row_pos"))
-        return Matrix(self.df.join(side, "row_pos", "left_semi"), self.layout)
+    def unique(self) -> Matrix:
+        """The same matrix with each cell stored once at most."""
+        if not self.repeated:
+            return self
+        summed = self.df.groupBy("row_pos", "col_pos").agg(F.sum("value").cast(self.element_type).alias("value"))
+        return replace(self, df=summed, repeated=False)
+
+    def keep_rows(self, kept: KeptPositions) -> Matrix:
+        """Only the rows at kept positions; the width stays what it was."""
+        width = None if self.shape is None else self.shape[1]
+        return replace(self, df=kept.rows_of(self.df, "row_pos"), shape=(None, width), origin=self.origin or self)
 
-    def keep_cols(self, kept: DataFrame) -> Matrix:
-        """Only the columns whose position is in ``kept(_pos)``; positions do not change.
+    def keep_cols(self, kept: KeptPositions) -> Matrix:
+        """Only the columns at kept positions; positions do not change.
 
         A dense matrix becomes a long one.  Its kept positions travel as one array: each of
         its rows holds an array of all columns anyway, so that array is never the larger.
         """
         if self.layout == "dense":
-            positions = kept.agg(F.array_sort(F.collect_list("_pos"))).scalar()
+            positions = kept.positions.agg(F.array_sort(F.collect_list("_pos"))).scalar()
             cell = lambda p: F.struct(p.alias("col_pos"), F.get("values", p.cast("int")).alias("value"))
             rows = self.df.withColumn("_kept", positions)
-            return Matrix(rows.select("row_pos", F.inline(F.transform("_kept", cell))), "long")
-        side = kept.select(F.col("_pos").alias("col_pos"))
-        return Matrix(self.df.join(side, "col_pos", "left_semi"), self.layout)
+            return Matrix(rows.select("row_pos", F.inline(F.transform("_kept", cell))), "long", origin=self.origin or self)
+        return replace(self, df=kept.rows_of(self.df, "col_pos"), origin=self.origin or self)
+
+    def _length(self, axis: int, what: str) -> int:
+        if self.shape is not None and self.shape[axis] is not None:
+            return self.shape[axis]
+        if self.layout == "sparse":
+            raise ValueError(f"a sparse matrix whose {what} no axis gives must state its shape")
+        last = self.df.agg(F.max("col_pos" if axis else "row_pos")).first()[0]
+        return 0 if last is None else last + 1
 
     def width(self) -> int:
         """Number of columns, read from one row where the layout allows."""
-        if self.shape is not None:
+        if self.shape is not None and self.shape[1] is not None:
             return self.shape[1]
+        if self.origin is not None:
+            return self.origin.width()
         if self.layout == "dense":
             first = self.df.select(F.size("values")).first()
             return first[0] if first else 0
-        last = self.df.agg(F.max("col_pos")).first()[0]
-        return 0 if last is None else last + 1
+        return self._length(1, "width")
+
+    def height(self) -> int:
+        """Number of rows."""
+        if self.layout == "dense" and (self.shape is None or self.shape[0] is None):
+            return self.df.count()
+        return self._length(0, "height")
 
 
 @dataclass(frozen=True)

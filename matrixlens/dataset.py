@@ -8,17 +8,20 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from matrixlens import session
 from matrixlens.components import Component, Components, Document, Matrix
 from matrixlens.functions.columns import INDEX, INTEGRAL, POSITION, column, user_columns
 from matrixlens.functions.globs import select_names
 from matrixlens.functions.nested import nested_value
 from matrixlens.operators import table_stats
+from matrixlens.operators.alignment import KeptPositions
 from matrixlens.operators.matrix_stats import describe_cells, describe_rows_of_arrays
+from matrixlens.operators.positions import assign_positions
 from matrixlens.operators.predicates import check_triple, filter_rows
 from matrixlens.operators.selection import match_names, unmatched_patterns
 from matrixlens.operators.slicing import Bounds, as_array, in_order, needs_length, resolve, selects, slice_rows
 from matrixlens.plans.summary import entries_frame, summary_frame
-from matrixlens.session import small_side
+from matrixlens.session import small_side, stable
 
 KEYED = ("layers", "obsm", "varm", "obsp", "varp", "uns")
 SECTIONS = ("X", "obs", "var", *KEYED)
@@ -65,7 +68,8 @@ class AnnotatedDataset:
         given = {"layers": layers, "obsm": obsm, "varm": varm, "obsp": obsp, "varp": varp, "uns": uns}
         self._keyed = {s: parts if isinstance(parts, Components) else Components(dict(parts or {})) for s, parts in given.items()}
         self._sizes = dict(sizes or {})
-        self._filtered: frozenset[str] = frozenset()
+        self._kept: dict[str, KeptPositions] = {}
+        self._base = self
         self.path = path
 
     # ---- parts -------------------------------------------------------------------------
@@ -109,11 +113,16 @@ class AnnotatedDataset:
 
     @cached_property
     def n_obs(self) -> int:
-        return self._sizes["obs"] if "obs" in self._sizes else self.obs.count()
+        return self._length("obs")
 
     @cached_property
     def n_vars(self) -> int:
-        return self._sizes["var"] if "var" in self._sizes else self.var.count()
+        return self._length("var")
+
+    def _length(self, axis: str) -> int:
+        if axis in self._kept:
+            return self._kept[axis].count
+        return self._sizes[axis] if axis in self._sizes else (self.obs if axis == "obs" else self.var).count()
 
     def axis_length(self, axis: str) -> int:
         return self.n_obs if axis == "obs" else self.n_vars
@@ -144,34 +153,30 @@ class AnnotatedDataset:
         if axis not in ("obs", "var"):
             raise ValueError(f"filter axis must be 'obs' or 'var', got '{axis}'")
         check_triple(filter_column=name, filter_operator=op, filter_value=value)
-        kept = filter_rows(self.obs if axis == "obs" else self.var, name, op, value)
-        positions = kept.select(POSITION)
-
+        table = filter_rows(self.obs if axis == "obs" else self.var, name, op, value)
         result = AnnotatedDataset.__new__(AnnotatedDataset)
+        # Parts are cut from the unfiltered dataset, once for each axis however many filters it has.
+        base = result._base = self._base
+        result._kept = {**self._kept, axis: KeptPositions(table)}
 
         def along(part: Component, row_axis: str | None, col_axis: str | None) -> Component:
-            if axis not in (row_axis, col_axis):
-                return part
-            # Counting what is left costs one pass over the axis table and can save moving
-            # the whole matrix: few positions are broadcast to where its rows are.
-            side = small_side(positions, result.axis_length(axis))
-            if isinstance(part, DataFrame):
-                return part.join(side, POSITION, "left_semi")
-            if row_axis == axis:
-                part = part.keep_rows(side)
-            return part.keep_cols(side) if col_axis == axis else part
-
-        single = dict(self._single.openers)
-        single[axis] = kept
+            for one, kept in result._kept.items():
+                if isinstance(part, DataFrame):
+                    part = kept.rows_of(part, POSITION) if row_axis == one else part
+                elif isinstance(part, Matrix):
+                    part = part.keep_rows(kept) if row_axis == one else part
+                    part = part.keep_cols(kept) if col_axis == one else part
+            return part
+
+        single = {**base._single.openers, **{a: self._single.openers[a] for a in self._kept}, axis: table}
         if "X" in single:
-            single["X"] = lambda: along(self._single["X"], *AXES["X"])
+            single["X"] = lambda: along(base._single["X"], *AXES["X"])
         result._single = Components(single)
         result._keyed = {
             s: parts if s == "uns" else parts.map(lambda part, s=s: along(part, *AXES[s]))
-            for s, parts in self._keyed.items()
+            for s, parts in base._keyed.items()
         }
-        result._sizes = {a: n for a, n in self._sizes.items() if a != axis}
-        result._filtered = self._filtered | {axis}
+        result._sizes = {a: n for a, n in base._sizes.items() if a not in result._kept}
         result.path = self.path
         return result
 
@@ -179,7 +184,7 @@ class AnnotatedDataset:
         """Raise if a filter left no observation or no variable."""
         for axis, what in (("obs", "observations"), ("var", "variables")):
             # The counts are kept: they also tell joins and statistics how to proceed.
-            if self._filtered and axis in self._single and self.axis_length(axis) == 0:
+            if self._kept and axis in self._single and self.axis_length(axis) == 0:
                 raise ValueError(f"the filter leaves no {what}")
         return self
 
@@ -189,13 +194,12 @@ class AnnotatedDataset:
         """``(name, pattern_no, position)`` of the variables that names or globs select."""
         return match_names(self.var, patterns)
 
-    def _chosen(self, patterns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-        """The selected features, and their positions as the side of a join."""
-        chosen = self.features(patterns)
-        n_chosen = chosen.count()
-        if not n_chosen:
+    def _chosen(self, patterns: Sequence[str]) -> DataFrame:
+        """The selected features, matched once and written down."""
+        chosen = stable(self.features(patterns))
+        if chosen.isEmpty():
             raise ValueError(f"no variable matches {list(patterns)}")
-        return chosen, small_side(chosen.select(F.col("position").alias(POSITION), "pattern_no"), n_chosen)
+        return chosen
 
     def unmatched(self, patterns: Sequence[str]) -> DataFrame:
         """``(pattern_no, pattern)`` of the patterns that select no variable."""
@@ -235,12 +239,7 @@ class AnnotatedDataset:
     def shape_of(self, part: Matrix, section: str) -> tuple[int, int]:
         """Rows and columns of a matrix in ``section``."""
         row_axis, col_axis = AXES[section]
-        if row_axis:
-            rows = self.axis_length(row_axis)
-        elif part.shape:
-            rows = part.shape[0]
-        else:
-            rows = part.df.select("row_pos").distinct().count()
+        rows = self.axis_length(row_axis) if row_axis else part.height()
         return rows, self.axis_length(col_axis) if col_axis else part.width()
 
     def _describe_matrix(self, part: Matrix, section: str, axis: int | None) -> DataFrame:
@@ -268,8 +267,8 @@ class AnnotatedDataset:
         return self._single[axis].select(F.col(POSITION).alias(name))
 
     def _describe_features(self, part: Matrix, patterns: Sequence[str]) -> DataFrame:
-        chosen, kept = self._chosen(patterns)
-        cells = part.keep_cols(kept).cells()
+        chosen = self._chosen(patterns)
+        cells = part.keep_cols(KeptPositions(chosen.select(F.col("position").alias(POSITION)))).cells()
         groups = chosen.select(F.col("position").alias("col_pos")) if part.layout == "sparse" else None
         repeating = isinstance(part.element_type, INTEGRAL)
         stats = describe_cells(cells, ["col_pos"], self.n_obs, groups, repeating)
@@ -374,7 +373,7 @@ class AnnotatedDataset:
         names = available if columns is None else select_names(available, columns)[0]
         if not names:
             raise ValueError(f"no column matches {list(columns or [])}")
-        gaps = AXES.get(section, (section,))[0] in self._filtered
+        gaps = AXES.get(section, (section,))[0] in self._kept
         if where is None or not check_triple(**dict(zip(("filter_column", "filter_operator", "filter_value"), where))):
             return part, names, gaps
         table = filter_rows(part, *where)
@@ -386,10 +385,11 @@ class AnnotatedDataset:
         self, part: Matrix, section: str, features: Sequence[str] | None, rows: Bounds, cols: Bounds | list[int]
     ) -> DataFrame:
         row_axis, col_axis = AXES[section]
-        gaps = row_axis in self._filtered
+        gaps = row_axis in self._kept
         length = self.shape_of(part, section)[0] if row_axis is None else self.axis_length(row_axis) if needs_length(rows) else None
         # Positions of the wanted rows; at most as many as the slice asks for.
-        axis_rows = self._single[row_axis].select(POSITION) if row_axis else part.df.select(F.col("row_pos").alias(POSITION)).distinct()
+        part = part.unique()
+        axis_rows = self._single[row_axis].select(POSITION) if row_axis else self.spark.range(length).select(F.col("id").alias(POSITION))
         wanted = slice_rows(axis_rows, rows, gaps, length)
         at_most = len(resolve(rows, length if length is not None else max(rows[0], rows[1])))
         block = part.df.withColumnRenamed("row_pos", POSITION)
@@ -400,13 +400,19 @@ class AnnotatedDataset:
 
         kept: DataFrame | None = None
         if features is not None:
-            kept = self._chosen(features)[1]
-        elif col_axis in self._filtered:
+            kept = self._chosen(features).select(F.col("position").alias(POSITION), "pattern_no")
+        elif col_axis in self._kept:
             if isinstance(cols, list):
                 raise ValueError("columns of a filtered dataset are selected by range or by name")
             kept = slice_rows(self._single[col_axis].select(POSITION), cols, True, self.axis_length(col_axis))
             kept = kept.withColumn("pattern_no", F.lit(0))
-        if kept is not None:
+        element, numbered = part.element_type, None
+        n_kept = kept.count() if kept is not None else 0
+        if part.layout != "dense" and n_kept > session.BROADCAST_ROWS:
+            # Too many columns to name in an array beside each row: they are numbered instead.
+            numbered = assign_positions(kept, "pattern_no", POSITION, name="_out").select(F.col(POSITION).alias("col_pos"), "_out")
+            positions = as_array(range(n_kept))
+        elif kept is not None:
             ordered = F.array_sort(F.collect_list(F.struct("pattern_no", POSITION)))
             positions = kept.agg(ordered[POSITION]).scalar()
             inside = None
@@ -418,17 +424,23 @@ class AnnotatedDataset:
 
         if part.layout == "dense":
             block = block.withColumn("_picked", positions)
-            values = F.transform("_picked", lambda p: F.get("values", p.cast("int")).cast("double"))
+            values = F.transform("_picked", lambda p: F.get("values", p.cast("int")))
             return in_order(block.select(F.col(POSITION).alias("row_pos"), values.alias("values")), at_most, "row_pos")
+        place = F.col("col_pos")
         if kept is None:
             block = block.filter(inside)
+        elif numbered is not None:
+            block, place = block.join(numbered, "col_pos"), F.col("_out")
         else:
-            block = block.join(kept.select(F.col(POSITION).alias("col_pos")), "col_pos", "left_semi")
-        absent = F.lit(0.0 if part.layout == "sparse" else None).cast("double")
-        cell = F.struct(F.col("col_pos").cast("bigint"), F.col("value").cast("double"))
-        stored = block.groupBy(POSITION).agg(F.map_from_entries(F.collect_list(cell)).alias("stored"))
+            block = block.join(small_side(kept.select(F.col(POSITION).alias("col_pos")), n_kept), "col_pos", "left_semi")
+        absent = F.lit(0 if part.layout == "sparse" else None).cast(element)
+        cell = F.struct(place.cast("bigint").alias("place"), F.col("value"))
+        stored = block.groupBy(POSITION).agg(F.collect_list(cell).alias("cells"))
+        twice = F.size(F.array_distinct(F.col("cells.place"))) < F.size("cells")
+        error = F.raise_error(F.lit("a cell is stored more than once; say so with Matrix(..., repeated=True)"))
+        stored = stored.select(POSITION, F.map_from_entries(F.when(twice, error).otherwise(F.col("cells"))).alias("stored"))
         filled = wanted.join(stored, POSITION, "left").withColumn("_picked", positions)
-        stored_map = F.coalesce("stored", F.create_map().cast("map<bigint,double>"))
+        stored_map = F.coalesce("stored", F.create_map().cast(f"map<bigint,{element.simpleString()}>"))
         filled = filled.withColumn("stored", stored_map)
         values = F.transform(
             "_picked",
