@@ -152,6 +152,7 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     groups = classes.join(keepers, ["fp", "text_sha256"]).select(
         "fp", "text_sha256", size.alias("group_size"), F.col("_best.id").alias("keep_id"), (-F.col("_best.less")).alias("_n"), F.lit(True).alias("_grouped")
     )
+    groups = written(groups)  # both sides of the join below are dealt anew then, so a hot group can be split
     joined = marks.join(groups, ["fp", "text_sha256"], "left")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("_n"))
     return joined.select(

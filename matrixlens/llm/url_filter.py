@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matrixlens.llm.tables import ascii_lower
+from matrixlens.llm.tables import ascii_lower, written
 
 #: Hexadecimal digits of a digest that make the join key (four bytes).
 PREFIX_DIGITS = 8
@@ -83,6 +83,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", ur
         .groupBy("host", "_head")
         .agg(F.max(F.struct(precedence.alias("rank"), rule.alias("rule"), F.col("rule_verdict").alias("verdict"))).alias("_won"))
     )
+    decided = written(decided)  # both sides of the join are dealt anew then, so a hot host can be split
     return pages.join(decided, ["host", "_head"], "left").select(
         "page_id", "host", "path", F.col("_won.rule").alias("rule"), F.coalesce("_won.verdict", F.lit(default)).alias("verdict")
     )
