@@ -230,6 +230,8 @@ class AnnotatedDataset:
             raise ValueError(f"'{section}' holds several parts: key required")
         if isinstance(part, Document):
             raise ValueError(f"{key} in '{section}' is neither a table nor a matrix")
+        if columns is not None and not columns and section in ("X", "layers"):
+            raise ValueError("an empty list selects no variable")
         if columns:
             if section not in ("X", "layers"):
                 raise ValueError(f"features cannot be selected in {section}")

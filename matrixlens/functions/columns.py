@@ -43,3 +43,14 @@ def shape_text(rows: Column, cols: Column) -> Column:
     """``(rows, cols)``, or ``NA`` when there is no shape."""
     text = F.format_string("(%d, %d)", rows.cast("bigint"), cols.cast("bigint"))
     return F.when(rows.isNull() | cols.isNull(), F.lit("NA")).otherwise(text)
+
+
+def utc_text(col: Column) -> Column:
+    """A moment as text in UTC, whatever the session's time zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col), epoch).cast("string")
+
+
+def as_text(col: Column, dtype: T.DataType) -> Column:
+    """The value as text; times with a zone in UTC."""
+    return utc_text(col) if isinstance(dtype, T.TimestampType) else col.cast("string")

@@ -49,6 +49,11 @@ def is_plain(pattern: str) -> bool:
     return not any(c in pattern for c in "*?[")
 
 
+def literal_head(pattern: str) -> str:
+    """What every match begins with: the pattern up to its first special character."""
+    return re.split(r"[*?\[]", pattern, maxsplit=1)[0]
+
+
 def glob_match(item: Column, pattern: str) -> Column:
     """Boolean column: does ``item`` match the glob?"""
     return item == F.lit(pattern) if is_plain(pattern) else item.rlike(glob_to_regex(pattern))

@@ -29,7 +29,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from matrixlens.session import small_side, stable
+from matrixlens.session import repeatable, small_side, stable
 
 #: First-level resolution: bins per doubling of the magnitude.  Few enough that rows combine
 #: before the shuffle even where a task sees only some hundred values of each of many groups;
@@ -38,7 +38,7 @@ BINS_PER_OCTAVE = 8
 #: Slices per refinement of a bin.
 REFINE_BINS = 4096
 #: A group or bin with at most this many rows is sorted by a single task.
-SORTED_ROWS = 1 << 18
+SORTED_ROWS = 1 << 20
 
 QUARTILES = (0.25, 0.5, 0.75)
 STATISTICS = ("count", "nan_count", "mean", "std", "min", "p25", "p50", "p75", "max")
@@ -142,6 +142,11 @@ def _binned(weighted: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _not_negative(zeros: Column) -> Column:
+    error = F.raise_error(F.lit("more cells are stored than there are: a cell is stored more than once"))
+    return F.when(zeros < 0, error.cast("bigint")).otherwise(zeros)
+
+
 def rank_pair(quantile: float, count: Column) -> tuple[Column, Column, Column]:
     """Neighbouring ranks and the weight of the upper one, linear interpolation."""
     position = F.lit(quantile) * (count - 1)
@@ -175,7 +180,7 @@ def describe_small_groups(
     group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ordered = ordered.rowsBetween(Window.unboundedPreceding, 0)
     present = F.when(value.isNotNull(), F.col("n")).otherwise(F.lit(0))
-    zeros = F.lit(0).cast("bigint") if cells is None else F.lit(cells) - F.sum("n").over(group)
+    zeros = F.lit(0).cast("bigint") if cells is None else _not_negative(F.lit(cells) - F.sum("n").over(group))
     counted = counted.select(
         *keys,
         "value",
@@ -233,13 +238,15 @@ def describe_groups(
     ``groups`` lists keys that must appear even without rows.  ``cells`` marks sparse data:
     every group has that many cells, and those not among the rows are zeros.
     """
+    # The rows are read more than once, and ranks hold for one reading only.
+    values = values if repeatable(values) else stable(values)
     # In sparse data every group gets a bin for its zeros, to be filled below.
     bins = _binned(_weighted(values, keys, groups, None if cells is None else 0.0), keys)
     ordered = Window.partitionBy(*keys).orderBy("_bin")
     group = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     if cells is not None:
         zeros = F.lit(cells) - F.sum("n").over(group)
-        bins = bins.withColumn("n", F.col("n") + F.when(F.col("_bin") == 0, zeros).otherwise(F.lit(0)))
+        bins = bins.withColumn("n", F.col("n") + F.when(F.col("_bin") == 0, _not_negative(zeros)).otherwise(F.lit(0)))
         bins = bins.filter("n > 0")
     present = F.when(F.col("_bin").isNotNull(), F.col("n")).otherwise(F.lit(0))
     count = F.sum(present).over(group)
@@ -263,10 +270,12 @@ def describe_groups(
     answers = _values_at_ranks(values, keys, located.select(*keys, "_bin", "n", "base", "lo", "hi", "ranks"))
     # At most six ranks per group, so the map stays tiny.
     lookup = answers.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
-    quartile = {
-        f"p{int(q * 100)}": interpolate(F.try_element_at("at", low), F.try_element_at("at", high), weight)
-        for q, (low, high, weight) in pairs.items()
-    }
+
+    def answer(rank: Column) -> Column:
+        lost = F.raise_error(F.lit("a rank was not found again: the input changed between two readings")).cast("double")
+        return F.when(F.col("count") > 0, F.coalesce(F.try_element_at("at", rank), lost))
+
+    quartile = {f"p{int(q * 100)}": interpolate(answer(low), answer(high), weight) for q, (low, high, weight) in pairs.items()}
     joined = summary.join(lookup, list(keys), "left")
     return joined.select(*keys, *[quartile[s].alias(s) if s in quartile else F.col(s) for s in STATISTICS])
 
@@ -274,6 +283,7 @@ def describe_groups(
 def values_at_ranks(values: DataFrame, ranks: Sequence[int]) -> list[float]:
     """The values at zero-based ``ranks`` of one column ``value``, ascending."""
     keyed = values.select(F.lit(0).alias("_all"), F.col("value").cast("double").alias("value"))
+    keyed = keyed if repeatable(keyed) else stable(keyed)
     bins = _binned(_weighted(keyed, ["_all"]), ["_all"]).filter(F.col("_bin").isNotNull())
     bins = stable(bins.withColumn("base", _running(["_all"], "_bin") - F.col("n")))
     wanted = F.array(*[F.lit(int(r)).cast("bigint") for r in sorted(set(ranks))])

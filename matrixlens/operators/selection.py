@@ -4,27 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from matrixlens.functions.columns import INDEX, POSITION, column
-from matrixlens.functions.globs import glob_match, glob_to_regex, is_plain
+from matrixlens.functions.globs import glob_to_regex, is_plain, literal_head
 from matrixlens.session import small_side
 
+#: Up to so many globs are one expression over the names; more are joined.
+INLINE_GLOBS = 50
 
-def _plain_patterns(df: DataFrame, patterns: Sequence[str]) -> DataFrame:
-    """``(_text, _plain_no)`` of the patterns that are simply names, first mention first."""
-    first = {p: i for i, p in reversed(list(enumerate(patterns))) if is_plain(p)}
-    side = df.sparkSession.createDataFrame(list(first.items()), "_text string, _plain_no int")
-    return small_side(side, len(first))
 
-
-def _first_glob(item: Column, patterns: Sequence[str]) -> Column:
-    """Number of the first real glob that matches, null if none does."""
+def _by_case(names: DataFrame, globs: list[tuple[int, str]]) -> DataFrame:
+    """``(name, position, pattern_no)`` of the first of a few globs that matches each name."""
     number = F.lit(None).cast("int")
-    for i, pattern in reversed(list(enumerate(patterns))):
-        if not is_plain(pattern):
-            number = F.when(item.rlike(glob_to_regex(pattern)), F.lit(i)).otherwise(number)
-    return number
+    for i, pattern in reversed(globs):
+        number = F.when(F.col("name").rlike(glob_to_regex(pattern)), F.lit(i)).otherwise(number)
+    return names.select("name", "position", number.alias("pattern_no")).filter("pattern_no IS NOT NULL")
+
+
+def _by_head(names: DataFrame, globs: list[tuple[int, str]]) -> DataFrame:
+    """``(name, position, pattern_no)`` of every match of many globs.
+
+    A glob meets the names that begin with its literal head, by an equi-join on the head; only
+    globs without one meet every name.
+    """
+    rows = [(i, literal_head(p), glob_to_regex(p)) for i, p in globs]
+    side = names.sparkSession.createDataFrame(rows, "pattern_no int, _head string, _regex string")
+    lengths = sorted({len(head) for _, head, _ in rows})
+    heads = F.array(*(F.when(F.length("name") >= n, F.substring("name", 1, n)) for n in lengths))
+    met = names.select("name", "position", F.explode(F.array_compact(heads)).alias("_head")).join(small_side(side, len(rows)), "_head")
+    return met.filter(F.rlike("name", F.col("_regex"))).select("name", "position", "pattern_no")
+
+
+def _hits(names: DataFrame, patterns: Sequence[str], every: bool) -> DataFrame:
+    """``(name, position, pattern_no)`` of matches: of every one, or at least the first of each name."""
+    numbered = list(enumerate(patterns))
+    plain, globs = ([(i, p) for i, p in numbered if is_plain(p) == kind] for kind in (True, False))
+    side = names.sparkSession.createDataFrame(plain, "pattern_no int, name string")
+    hits = names.join(small_side(side, len(plain)), "name").select("name", "position", "pattern_no")
+    if not globs:
+        return hits
+    if every or len(globs) > INLINE_GLOBS:
+        return hits.unionByName(_by_head(names, globs))
+    found = _by_case(names, globs)
+    return hits.unionByName(found) if plain else found
 
 
 def match_names(names: DataFrame, patterns: Sequence[str], name: str = INDEX, position: str = POSITION) -> DataFrame:
@@ -33,28 +56,15 @@ def match_names(names: DataFrame, patterns: Sequence[str], name: str = INDEX, po
     Each name appears once, with the first pattern it matches and its first position, so
     ordering by ``pattern_no, position`` gives pattern order then item order.
     """
-    item = column(name)
-    numbered = names.select(item.alias("name"), column(position).alias("position"))
-    globs = [p for p in patterns if not is_plain(p)]
-    number = _first_glob(F.col("name"), patterns)
-    if len(globs) < len(patterns):
-        joined = "left" if globs else "inner"
-        numbered = numbered.join(_plain_patterns(names, patterns), F.col("name") == F.col("_text"), joined)
-        number = F.least(number, F.col("_plain_no"))
-    matched = numbered.select("name", "position", number.alias("pattern_no")).filter("pattern_no IS NOT NULL")
+    numbered = names.select(column(name).alias("name"), column(position).alias("position"))
+    matched = _hits(numbered, patterns, every=False)
     return matched.groupBy("name").agg(F.min("pattern_no").alias("pattern_no"), F.min("position").alias("position"))
 
 
 def unmatched_patterns(names: DataFrame, patterns: Sequence[str], name: str = INDEX) -> DataFrame:
     """``(pattern_no, pattern)`` of the patterns that match no name at all."""
-    item = names.select(column(name).alias("name"))
-    numbered = list(enumerate(patterns))
-    plain = names.sparkSession.createDataFrame([(i, p) for i, p in numbered if is_plain(p)], "pattern_no int, name string")
-    found = item.join(small_side(plain, len(patterns)), "name").select("pattern_no").distinct()
-    globs = [F.when(glob_match(F.col("name"), p), F.lit(i)) for i, p in numbered if not is_plain(p)]
-    if globs:
-        hits = item.select(F.explode(F.array_compact(F.array(*globs))).alias("pattern_no"))
-        found = found.unionByName(hits.distinct())
+    item = names.select(column(name).alias("name"), F.lit(0).alias("position"))
+    found = _hits(item, patterns, every=True).select("pattern_no").distinct()
     asked = names.sparkSession.createDataFrame(list(enumerate(patterns)), "pattern_no int, pattern string")
     return asked.join(found, "pattern_no", "left_anti")
 

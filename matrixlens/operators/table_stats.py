@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matrixlens.functions.columns import clean_double, column, is_numeric, user_columns
+from matrixlens.functions.columns import as_text, clean_double, column, is_numeric, user_columns
 from matrixlens.functions.globs import select_names
 from matrixlens.operators.order_statistics import SORTED_ROWS, describe_groups, describe_small_groups
 
@@ -69,7 +69,7 @@ def describe_numeric(df: DataFrame, names: Sequence[str], n_rows: int) -> DataFr
 
 def category_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``(column, value, n)`` for every distinct value, missing included, in one shuffle."""
-    cells = _melted(df, names, [column(c).cast("string") for c in names])
+    cells = _melted(df, names, [as_text(column(c), df.schema[c].dataType) for c in names])
     return cells.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -74,6 +74,27 @@ def trade(spark: SparkSession, sf_dir: str) -> AnnotatedDataset:
     )
 
 
+def shipments(spark: SparkSession, sf_dir: str) -> AnnotatedDataset:
+    """SHIP, sparse parts with integer cells, empty rows and empty columns."""
+    lines, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
+
+    def counted(df: DataFrame, row: Column, col: Column) -> DataFrame:
+        by = [row.cast("bigint").alias("row_pos"), col.cast("bigint").alias("col_pos")]
+        return df.groupBy(*by).agg(F.count(F.lit(1)).alias("value"))
+
+    number = F.col("l_linenumber")
+    returned = lines.filter(F.col("l_returnflag") == "R")
+    balance = F.floor((F.col("s_acctbal") + 1000) / 1000)
+    return AnnotatedDataset(
+        _axis(supplier, "s_suppkey", F.col("s_name"), "s_nationkey", "s_acctbal"),
+        _axis(table(spark, sf_dir, "part"), "p_partkey", F.concat(F.lit("part_"), F.col("p_partkey")), "p_size"),
+        layers={"lines": Matrix(counted(lines, F.col("l_suppkey"), F.col("l_partkey")), "sparse")},
+        # Line numbers end at seven: the last columns are empty.
+        obsm={"returns": Matrix(counted(returned, F.col("l_suppkey"), number), "sparse", (None, 12))},
+        uns={"balances": Matrix(counted(supplier, F.col("s_nationkey") * 2, balance), "sparse", (60, 12))},
+    )
+
+
 def documents(spark: SparkSession, sf_dir: str) -> AnnotatedDataset:
     """DOCS: documents with labels, which many of them lack."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")

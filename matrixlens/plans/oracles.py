@@ -143,6 +143,21 @@ def _section_listing() -> str:
     return f"SELECT section, key, type, dtype, n_rows, n_cols, shape FROM ({listed})"
 
 
+_DAYS = """days AS (SELECT make_date(CAST(1990 + i // 360 AS BIGINT), CAST(1 + i // 30 % 12 AS BIGINT), CAST(1 + i % 28 AS BIGINT)) AS day
+ FROM range(0, 3600, 3) t(i) UNION ALL SELECT DATE '1996-01-01')"""
+_RETURNS = """kept AS (SELECT s_suppkey FROM supplier WHERE s_nationkey < 3),
+grid AS (SELECT s_suppkey, c AS col_pos, coalesce(n, 0) AS value FROM kept CROSS JOIN range(12) t(c) LEFT JOIN (
+ SELECT l_suppkey, l_linenumber, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2) ON l_suppkey = s_suppkey AND l_linenumber = c)"""
+_BALANCES = """grid AS (SELECT r AS row_pos, coalesce(n, 0) AS value FROM range(60) a(r) CROSS JOIN range(12) b(c) LEFT JOIN (
+ SELECT s_nationkey * 2 AS i, CAST(floor((s_acctbal + 1000) / 1000) AS BIGINT) AS j, count(*) AS n FROM supplier GROUP BY 1, 2) ON i = r AND j = c)"""
+_LINES = """grid AS (SELECT s_suppkey AS row_pos, p_partkey AS col_pos, coalesce(n, 0) AS value FROM supplier CROSS JOIN part LEFT JOIN (
+ SELECT l_suppkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2) ON l_suppkey = s_suppkey AND l_partkey = p_partkey
+ WHERE s_suppkey < 30 AND p_partkey >= 5 AND p_partkey < 25)"""
+_MANY = """asked AS (SELECT i, unnest([0, 1, 2, 3, 4]) AS k FROM range(1000) t(i)),
+patterns AS (SELECT CAST(5 * i + k AS INTEGER) AS pattern_no, CASE k WHEN 0 THEN 'part_' || i || '7*' WHEN 1 THEN 'part_?' || i % 100
+ WHEN 2 THEN 'part_' || 3 * i WHEN 3 THEN 'none_' || i || '*' ELSE '*' || lpad(CAST(i AS VARCHAR), 3, '0') || '4' END AS pattern FROM asked)"""
+
+
 def oracles() -> dict[str, str]:
     docs = f"WITH {DOCS} SELECT * FROM docs WHERE "
     return {
@@ -264,5 +279,24 @@ def oracles() -> dict[str, str]:
  FROM (SELECT l_linestatus, l_extendedprice AS x FROM lineitem) GROUP BY 1"""),
         "positions_by_order": "SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS _pos FROM customer",
         "stored_dataset": _mean_digits(2, _cells(TRADE, "trade", "revenue", by="row_pos", nan_count=True)),
+        "filter_long_dates": f"""WITH {_DAYS} SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS day FROM lineitem
+ WHERE CAST(l_shipdate AS DATE) IN (SELECT day FROM days)""",
+        "filter_long_notin_missing": f"""WITH {EVENTS} SELECT _pos, partial FROM ev
+ WHERE partial IS NOT NULL AND partial NOT IN (SELECT i / 100.0::DOUBLE FROM range(3000) t(i))""",
+        "filter_decimal": """SELECT * FROM (SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(14, 2)) AS price FROM lineitem)
+ WHERE price > 20000.005 AND price <= 40000""",
+        "sparse_obsm_filtered": f"""WITH {_RETURNS} SELECT col_pos, count(*) AS "count", round(avg(value), 4) AS mean, CAST(max(value) AS DOUBLE) AS "max",
+ count(*) AS viewed, CAST(sum(value) AS DOUBLE) AS total FROM grid GROUP BY 1""",
+        "sparse_uns_by_row": f"""WITH {_BALANCES} SELECT row_pos, count(*) AS "count", round(avg(value), 5) AS mean,
+ round(quantile_cont(CAST(value AS DOUBLE), 0.75), 6) AS p75, CAST(max(value) AS DOUBLE) AS "max" FROM grid GROUP BY 1""",
+        "view_integer_layer": f"""WITH {_LINES} SELECT row_pos, max(value) FILTER (col_pos = 8) AS third,
+ string_agg(CAST(value AS VARCHAR), ',' ORDER BY col_pos) AS line FROM grid GROUP BY 1""",
+        "obs_filter_most_rows": _mean_digits(4, _cells(TRADE, "trade", "quantity", "s_acctbal > -500 AND s_nationkey IS DISTINCT FROM 7")),
+        "glob_many": f"""WITH {_MANY} SELECT f AS name, min(pattern_no) AS pattern_no, min(p_partkey) AS position
+ FROM (SELECT 'part_' || p_partkey AS f, p_partkey FROM part) JOIN patterns ON f GLOB pattern GROUP BY 1""",
+        "refusals": """SELECT * FROM (VALUES ('no observation left', TRUE), ('no variable left', TRUE), ('no row left in a view', TRUE),
+ ('some rows left', (SELECT count(*) FROM documents) = 0), ('incomplete filter', TRUE), ('unknown column', TRUE), ('unknown operator', TRUE),
+ ('list for one value', TRUE), ('text for a number', TRUE), ('order of texts', TRUE), ('no feature asked for', TRUE)) t("case", raised)""",
+        "last_modified": "SELECT TRUE AS of_manifest, TRUE AS in_time, count(*) AS n_rows FROM documents",
         "locate": "SELECT * FROM (VALUES ('docs', 'dataset'), ('events', 'dataset')) t(name, kind)",
     }

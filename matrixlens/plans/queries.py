@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,9 +16,9 @@ from matrixlens.operators.predicates import filter_rows, mask
 from matrixlens.operators.selection import arrays_to_columns, first_positions, match_names, unmatched_patterns
 from matrixlens.operators.slicing import TOP_ROWS, slice_rows
 from matrixlens.plans import fixtures
-from matrixlens.sources.catalog import locate_datasets
+from matrixlens.sources.catalog import locate_datasets, modified_at
 from matrixlens.sources.csv import array_lines, table_lines
-from matrixlens.sources.layout import last_modified, open_dataset, write_dataset
+from matrixlens.sources.layout import open_dataset, write_dataset
 from matrixlens.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,7 +57,8 @@ def _doc_filter(triple: tuple[str, str, Any]) -> Query:
 def _flattened(block: DataFrame) -> DataFrame:
     """``(row_pos, col_no, value)`` of a block, to compare it cell by cell."""
     cells = block.select("row_pos", F.posexplode("values").alias("col_no", "value"))
-    return cells.select("row_pos", F.col("col_no").cast("bigint").alias("col_no"), F.round("value", 6).alias("value"))
+    value = F.round(F.col("value").cast("double"), 6).alias("value")
+    return cells.select("row_pos", F.col("col_no").cast("bigint").alias("col_no"), value)
 
 
 def filter_nan_guard(spark: SparkSession, sf: str) -> DataFrame:
@@ -303,7 +305,7 @@ def csv_block(spark: SparkSession, sf: str) -> DataFrame:
 def matrix_to_columns(spark: SparkSession, sf: str) -> DataFrame:
     block = fixtures.embeddings(spark, sf).view("X", columns=["dim_3", "dim_41"], rows=(None, None))
     wide = arrays_to_columns(block, ["dim_3", "dim_41"])
-    return wide.select("row_pos", *[F.round(c, 6).alias(c) for c in ("dim_3", "dim_41")])
+    return wide.select("row_pos", *[F.round(F.col(c).cast("double"), 6).alias(c) for c in ("dim_3", "dim_41")])
 
 
 def view_column_list(spark: SparkSession, sf: str) -> DataFrame:
@@ -341,8 +343,96 @@ def locate(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "kind")
 
 
+def filter_long_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Days of one month out of three, among more text that is no date."""
+    lines = fixtures.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("day"))
+    days = [f"{1990 + i // 360}-{1 + i // 30 % 12:02d}-{1 + i % 28:02d}" for i in range(0, 3600, 3)]
+    return filter_rows(lines, "day", "isin", [*days, *(f"no day {i}" for i in range(1500)), "1995-01", "1996-W01-1"])
+
+
+def filter_long_notin_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """Low values are NaN here; a list with NaN drops them as well."""
+    obs = fixtures.events(spark, sf).obs.select("_pos", "partial")
+    return filter_rows(obs, "partial", "notin", [*(i / 100 for i in range(3000)), float("nan")])
+
+
+def filter_decimal(spark: SparkSession, sf: str) -> DataFrame:
+    price = F.col("l_extendedprice").cast("decimal(14,2)").alias("price")
+    lines = fixtures.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", price)
+    return filter_rows(filter_rows(lines, "price", ">", 20000.005), "price", "<=", 40000)
+
+
+def sparse_obsm_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """Empty rows and columns count after a filter too: cells of the whole width, and their statistics."""
+    ds = fixtures.shipments(spark, sf).where("obs", "s_nationkey", "<", 3)
+    stats = ds.describe("obsm", "returns", axis=0).select("col_pos", "count", F.round("mean", 4).alias("mean"), "max")
+    block = _flattened(ds.view("obsm", "returns", rows=(None, None), cols=(None, None)))
+    total = block.groupBy(F.col("col_no").alias("col_pos")).agg(F.count("value").alias("viewed"), F.sum("value").alias("total"))
+    return stats.join(total, "col_pos")
+
+
+def sparse_uns_by_row(spark: SparkSession, sf: str) -> DataFrame:
+    stats = fixtures.shipments(spark, sf).describe("uns", "balances", axis=1)
+    return stats.select("row_pos", "count", F.round("mean", 5).alias("mean"), F.round("p75", 6).alias("p75"), "max")
+
+
+def view_integer_layer(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts stay whole numbers in a view and in its text."""
+    block = fixtures.shipments(spark, sf).view("layers", "lines", rows=(0, 30), cols=(5, 25))
+    return block.join(array_lines(block), "row_pos").select("row_pos", F.get("values", F.lit(3)).alias("third"), "line")
+
+
+def obs_filter_most_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Most observations stay, and two filters of one axis are one."""
+    some = fixtures.trade(spark, sf).where("obs", "s_acctbal", ">", -500).where("obs", "s_nationkey", "!=", 7)
+    return rounded(some.describe("X"), mean=4)
+
+
+def glob_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Thousands of names and globs at once."""
+    globs = [p for i in range(1000) for p in (f"part_{i}7*", f"part_?{i % 100}", f"part_{3 * i}", f"none_{i}*", f"*{i:03d}4")]
+    return fixtures.trade(spark, sf).features(globs)
+
+
+def refusals(spark: SparkSession, sf: str) -> DataFrame:
+    """What is refused: filters that leave nothing, incomplete ones, unknown names and operators."""
+    ds = fixtures.documents(spark, sf)
+    trade = fixtures.trade(spark, sf)
+    cases: dict[str, Callable[[], Any]] = {
+        "no observation left": lambda: ds.where("obs", "n_chars", "<", 0).describe("obs"),
+        "no variable left": lambda: trade.where("var", "p_size", ">", 1e9).describe("X"),
+        "no row left in a view": lambda: ds.view("obs", where=("lang", "==", "xx")),
+        "some rows left": lambda: ds.where("obs", "n_chars", ">=", 0).describe("obs", columns=["n_chars"]),
+        "incomplete filter": lambda: ds.where("obs", "n_chars", "<", None),
+        "unknown column": lambda: ds.where("obs", "nothing", "==", 1).describe("obs"),
+        "unknown operator": lambda: ds.where("obs", "lang", "~", "e").describe("obs"),
+        "list for one value": lambda: ds.where("obs", "lang", "==", ["en"]).describe("obs"),
+        "text for a number": lambda: ds.where("obs", "n_chars", ">", "many").describe("obs"),
+        "order of texts": lambda: ds.where("obs", "lang", ">", 1).describe("obs"),
+        "no feature asked for": lambda: trade.describe("X", columns=[]),
+    }
+
+    def raised(case: Callable[[], Any]) -> bool:
+        try:
+            case()
+        except (KeyError, TypeError, ValueError):
+            return True
+        return False
+
+    rows = [(name, raised(case)) for name, case in cases.items()]
+    return spark.createDataFrame(rows, "case string, raised boolean")
+
+
 def modified(spark: SparkSession, sf: str) -> DataFrame:
-    return last_modified(spark, sf)
+    """Write a dataset; its time is its manifest's, and lies between beginning and end of the writing."""
+    folder = f"{_scratch(spark)}/docs"
+    before = datetime.now(timezone.utc).replace(microsecond=0)
+    ds = fixtures.documents(spark, sf)
+    write_dataset(ds, folder)
+    manifest = spark.read.parquet(f"{folder}/manifest").select(F.col("_metadata.file_modification_time").alias("written"), "n_rows")
+    found = modified_at(spark, folder)
+    in_time = before <= found <= datetime.now(timezone.utc) + timedelta(seconds=1)
+    return manifest.select((F.col("written") == F.lit(found)).alias("of_manifest"), F.lit(in_time).alias("in_time"), "n_rows")
 
 
 def _scratch(spark: SparkSession) -> str:
@@ -368,7 +458,8 @@ def registered() -> dict[str, Query]:
         view_negative_bounds, view_matrix_block, view_sparse_block, view_matrix_features, view_sparse_features,
         view_filtered_dataset, view_shapes, document_entries, nested_key, section_listing, summary,
         csv_rows, csv_block, matrix_to_columns, view_column_list, named_cells, distributed_quartiles, positions_by_order,
-        stored_dataset, locate,
+        stored_dataset, locate, filter_long_dates, filter_long_notin_missing, filter_decimal,
+        sparse_obsm_filtered, sparse_uns_by_row, view_integer_layer, obs_filter_most_rows, glob_many, refusals,
     ):
         found[query.__name__] = query
     found["last_modified"] = modified

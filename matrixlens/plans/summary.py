@@ -7,7 +7,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame, functions as F
 
 from matrixlens.components import Component, Document, Matrix
-from matrixlens.functions.columns import shape_text, user_columns
+from matrixlens.functions.columns import shape_text, user_columns, utc_text
 
 if TYPE_CHECKING:
     from matrixlens.dataset import AnnotatedDataset
@@ -57,7 +57,7 @@ def summary_frame(ds: AnnotatedDataset) -> DataFrame:
     frame = _with_shape(ds.spark.createDataFrame(rows, _SUMMARY))
     if ds.path is None:
         return frame
-    from matrixlens.sources.layout import last_modified
+    from matrixlens.sources.catalog import last_modified
 
     modified = last_modified(ds.spark, ds.path).select(
         F.lit("last_modified").alias("section"),
@@ -65,6 +65,6 @@ def summary_frame(ds: AnnotatedDataset) -> DataFrame:
         F.lit("timestamp").alias("type"),
         *[F.lit(None).cast(t).alias(c) for c, t in (("dtype", "string"), ("n_rows", "bigint"), ("n_cols", "bigint"))],
         F.lit("NA").alias("shape"),
-        F.col("last_modified").cast("string").alias("value"),
+        utc_text(F.col("last_modified")).alias("value"),
     )
     return frame.unionByName(modified)

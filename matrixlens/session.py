@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -35,6 +36,21 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Operators of a plan that give the same rows each time it runs.
+_REPEATABLE = re.compile(r"^[\s:+\-|]*(Project|Filter|Relation|LocalRelation|LogicalRDD|Generate|Union|Range|Expand|OneRowRelation)\b")
+_RANDOM = re.compile(r"\b(rand|randn|uuid|shuffle|monotonically_increasing_id|\w*[uU][dD][fF])\b")
+
+
+def repeatable(df: DataFrame) -> bool:
+    """Whether reading ``df`` again surely gives the same values to the last digit.
+
+    True for scans and what is done row by row.  Sums of floats, for one, depend on the order
+    in which parts arrive.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return all(_REPEATABLE.match(line) for line in plan.splitlines() if line.strip()) and not _RANDOM.search(plan)
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written rows.
 

@@ -2,50 +2,65 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
+from datetime import datetime, timezone
+from typing import Any
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from matrixlens.sources.layout import resolve_location
+from matrixlens.sources.layout import MANIFEST, resolve_location
 
-#: Local paths are reported without their scheme.
-_FILE_SCHEME = "^file:/+"
 _FOUND = "path string, kind string, last_modified timestamp"
 
 
+def children(spark: SparkSession, folder: str) -> list[Any]:
+    """File states of what lies directly in ``folder``, files whose names begin with a dot included; none if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return list(system.listStatus(path)) if system.exists(path) and system.getFileStatus(path).isDirectory() else []
+
+
+def _newest(states: list[Any]) -> datetime | None:
+    times = [s.getModificationTime() for s in states]
+    return datetime.fromtimestamp(max(times) / 1000, timezone.utc) if times else None
+
+
+def modified_at(spark: SparkSession, path: str) -> datetime | None:
+    """When a dataset was last written: the time of its manifest, which is written last.
+
+    Of any other folder, the newest time among its direct children; None for nothing.
+    """
+    manifest = [s for s in children(spark, f"{path}/{MANIFEST}") if s.isFile()]
+    return _newest(manifest or children(spark, path))
+
+
+def _walk(spark: SparkSession, folder: str, recursive: bool) -> Iterator[tuple[str, str, datetime | None]]:
+    for state in children(spark, folder):
+        path = state.getPath()
+        name, full = path.getName(), path.toString() if path.toUri().getScheme() != "file" else path.toUri().getPath()
+        if state.isFile():
+            if name.endswith(".h5ad"):
+                yield full, "h5ad", _newest([state])
+            continue
+        if name.endswith(".zarr"):
+            yield full, "zarr", _newest(children(spark, full) or [state])
+        elif any(child.getPath().getName() == MANIFEST for child in children(spark, full)):
+            yield full, "dataset", modified_at(spark, full)
+        elif recursive:
+            yield from _walk(spark, full, recursive)
+
+
 def locate_datasets(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     """``(path, kind, last_modified)`` of the datasets below ``root``; none is no error.
 
     Found are folders in this library's layout (``dataset``), ``*.h5ad`` files (``h5ad``)
-    and ``*.zarr`` stores (``zarr``).  Only names and times are listed, no file is read;
-    Spark spreads the listing over the executors when there are many folders.
+    and ``*.zarr`` stores (``zarr``), by their names alone.  A folder is listed once, what is
+    inside a dataset or store never, and without ``recursive`` only the children of ``root``.
     """
-    root = re.sub(_FILE_SCHEME, "/", resolve_location(root)).rstrip("/")
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], _FOUND)
-        raise
-    files = files.select(F.regexp_replace("path", _FILE_SCHEME, "/").alias("path"), "modificationTime")
-    # Everything in a file's path that names a dataset: an .h5ad file, or a folder above it.
-    base = F.lit(len(root))
-    h5ad = F.when(F.col("path").endswith(".h5ad"), F.col("path"))
-    stored = F.regexp_extract("path", r"^(.*)/manifest/[^/]+\.parquet$", 1)
-    stores = F.regexp_extract_all(F.col("path"), F.lit(r"([^/]*)/"), F.lit(1))
-    prefixes = F.transform(
-        F.sequence(F.lit(1), F.size(stores)), lambda i: F.array_join(F.slice(stores, F.lit(1), i), "/")
-    )
-    zarr = F.filter(prefixes, lambda p: p.endswith(".zarr"))
-    named = F.concat(
-        F.array(F.struct(h5ad.alias("path"), F.lit("h5ad").alias("kind"))),
-        F.array(F.struct(F.when(stored != "", stored).alias("path"), F.lit("dataset").alias("kind"))),
-        F.transform(zarr, lambda p: F.struct(p.alias("path"), F.lit("zarr").alias("kind"))),
-    )
-    found = files.select("modificationTime", F.inline(named)).filter(F.col("path").isNotNull())
-    below = F.substring(F.col("path"), base + 1, F.length("path"))
-    found = found.filter(F.length("path") > base)
-    if not recursive:
-        found = found.filter(~F.regexp_like(F.ltrim(below, F.lit("/")), F.lit("/")))
-    return found.groupBy("path", "kind").agg(F.max("modificationTime").alias("last_modified"))
+    found = list(_walk(spark, resolve_location(root).rstrip("/"), recursive))
+    return spark.createDataFrame(found, _FOUND)
+
+
+def last_modified(spark: SparkSession, path: str) -> DataFrame:
+    """One row ``(last_modified timestamp)``: see ``modified_at``."""
+    return spark.createDataFrame([(modified_at(spark, resolve_location(path).rstrip("/")),)], "last_modified timestamp")

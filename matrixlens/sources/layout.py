@@ -10,6 +10,8 @@ from matrixlens.components import Component, Components, Document, Matrix
 from matrixlens.dataset import KEYED, AnnotatedDataset
 from matrixlens.functions.columns import POSITION, user_columns
 
+#: Folder of the table that lists a dataset's parts; it is written last.
+MANIFEST = "manifest"
 _MANIFEST = "section string, key string, kind string, dtype string, n_rows bigint, n_cols bigint"
 
 #: Short scheme names and the Hadoop filesystems that serve them.
@@ -51,23 +53,25 @@ def write_dataset(ds: AnnotatedDataset, path: str, mode: str = "errorifexists")
     root = resolve_location(path)
     manifest = []
     for section, key, part in ds.parts():
-        _stored_form(part).write.mode(mode).parquet(_folder(root, section, key))
+        part = part.unique() if isinstance(part, Matrix) else part
+        folder = _folder(root, section, key)
+        _stored_form(part).write.mode(mode).parquet(folder)
         rows: int | None = None
         cols: int | None = None
         if isinstance(part, Matrix) and section != "raw":
             rows, cols = ds.shape_of(part, section)
         elif isinstance(part, DataFrame):
-            rows = ds.axis_length(section) if section in ("obs", "var") else part.count()
-            cols = len(user_columns(part.schema))
+            # Counted from what was written, of which the footers suffice.
+            rows, cols = ds.spark.read.schema(part.schema).parquet(folder).count(), len(user_columns(part.schema))
         manifest.append((section, key, *_kind(part), rows, cols))
     table = ds.spark.createDataFrame(manifest, _MANIFEST)
-    table.coalesce(1).write.mode(mode).parquet(_folder(root, "manifest", None))
+    table.coalesce(1).write.mode(mode).parquet(_folder(root, MANIFEST, None))
 
 
 def open_dataset(spark: SparkSession, path: str) -> AnnotatedDataset:
     """Open a stored dataset.  Reads the manifest only; parts are opened on first use."""
     root = resolve_location(path)
-    listed = spark.read.schema(_MANIFEST).parquet(_folder(root, "manifest", None)).collect()
+    listed = spark.read.schema(_MANIFEST).parquet(_folder(root, MANIFEST, None)).collect()
 
     def opener(row):
         def open_part() -> Component:
@@ -90,14 +94,3 @@ def open_dataset(spark: SparkSession, path: str) -> AnnotatedDataset:
     return AnnotatedDataset(
         single["obs"], single.get("var"), single.get("X"), raw=single.get("raw"), path=root, sizes=sizes, **keyed
     )
-
-
-def last_modified(spark: SparkSession, path: str) -> DataFrame:
-    """One row ``(last_modified timestamp)``: the newest file of a dataset or folder."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(resolve_location(path))
-    )
-    return files.agg(F.max("modificationTime").alias("last_modified"))
