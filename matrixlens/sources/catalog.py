@@ -30,7 +30,7 @@ def modified_at(spark: SparkSession, path: str) -> datetime | None:
 
     Of any other folder, the newest time among its direct children; None for nothing.
     """
-    manifest = [s for s in children(spark, f"{path}/{MANIFEST}") if s.isFile()]
+    manifest = [s for s in children(spark, f"{path}/{MANIFEST}") if s.isFile() and s.getPath().getName()[0] not in "._"]
     return _newest(manifest or children(spark, path))
 
 
