@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import datetime
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from matrixlens import AnnotatedDataset, Matrix, locate_datasets, open_dataset, write_dataset
-from matrixlens.operators import matrix_stats, table_stats
+from matrixlens import AnnotatedDataset, Matrix, locate_datasets, open_dataset, session, write_dataset
+from matrixlens.operators import alignment, matrix_stats, table_stats
+from matrixlens.operators.alignment import KeptPositions
+from matrixlens.sources.catalog import last_modified
 from matrixlens.sources.csv import array_lines, table_lines, write_block, write_table
-from matrixlens.sources.layout import last_modified, resolve_location
-from tests.sample import sparse
+from matrixlens.sources.layout import resolve_location
+from tests.sample import N_OBS, N_VARS, sparse
 from tests.test_statistics import assert_stats
 
 
 def whole(row, values):
-    want = {**row.asDict(), "nan_count": int(np.isnan(values).sum())}
-    assert_stats(want, np.ravel(values))
+    values = np.asarray(values, dtype=float)
+    assert_stats({**row.asDict(), "nan_count": int(np.isnan(values).sum())}, np.ravel(values))
 
 
 def cells(block):
@@ -24,6 +29,10 @@ def cells(block):
     return [r["row_pos"] for r in rows], np.array([r["values"] for r in rows], dtype=float)
 
 
+def same(block, values):
+    assert np.allclose(cells(block)[1], values, equal_nan=True)
+
+
 @pytest.fixture(params=["small", "large"])
 def path(request, monkeypatch):
     if request.param == "large":
@@ -31,308 +40,327 @@ def path(request, monkeypatch):
         monkeypatch.setattr(table_stats, "SORTED_ROWS", 1)
 
 
-def test_describe_every_section(sample, path):
+@pytest.fixture(params=["positions", "bitmap", "shuffle"])
+def alignment_by(request, monkeypatch):
+    if request.param != "positions":
+        monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    if request.param == "shuffle":
+        monkeypatch.setattr(alignment, "BITMAP_BYTES", 0)
+    return request.param
+
+
+def test_statistics_of_every_part(sample, path):
     ds = sample.ds
-    whole(ds.describe("X").first(), sample.X)
-    whole(ds.describe("layers", "counts").first(), sample.counts)
-    whole(ds.describe("obsm", "X_pca").first(), sample.pca)
-    whole(ds.describe("varm", "PCs").first(), sample.pcs)
-    whole(ds.describe("obsp", "distances").first(), sample.distances)
-    whole(ds.describe("varp", "neighbors").first(), sample.neighbors)
-    for row in ds.describe("obsm", "frame", columns=["col*"]).collect():
-        assert_stats(row, sample.side[row["column"]])
-    for row in ds.describe("obs", columns=["n_genes", "percent_mito"]).collect():
-        assert_stats(row, sample.obs[row["column"]])
-    assert ds.describe("uns", "array").first()["count"] == 500
-    assert {r["column"] for r in ds.describe("uns", "df").collect()} == {"col1", "col2", "col3"}
+    for section, key, values in [
+        ("X", None, sample.readings), ("layers", "detections", sample.detections), ("layers", "whole", sample.detections), ("obsm", "profile", sample.profile),
+        ("obsm", "species", sample.species), ("varm", "weights", sample.weights), ("obsp", "flow", sample.flow), ("varp", "affinity", sample.affinity), ("uns", "calendar", sample.calendar),
+    ]:
+        whole(ds.describe(section, key).first(), values)
+    for row in ds.describe("obs", columns=["depth", "vis*"]).collect():
+        assert_stats(row, sample.obs[row["column"]].astype(float))
+    for row in ds.describe("uns", "log").collect():
+        assert_stats(row, sample.visits[row["column"]])
 
 
 @pytest.mark.parametrize("axis, name", [(0, "col_pos"), (1, "row_pos")])
-@pytest.mark.parametrize("section, key", [("X", None), ("layers", "counts"), ("obsp", "distances"), ("varm", "PCs")])
-def test_describe_along_an_axis(sample, path, axis, name, section, key):
-    values = {"X": sample.X, "layers": sample.counts, "obsp": sample.distances, "varm": sample.pcs}[section]
-    rows = sample.ds.describe(section, key, axis=axis).collect()
+@pytest.mark.parametrize("section, key", [("X", None), ("layers", "detections"), ("obsm", "species"), ("uns", "calendar"), ("varm", "weights")])
+def test_statistics_along_an_axis(sample, path, axis, name, section, key):
+    values = {"X": sample.readings, "layers": sample.detections, "obsm": sample.species, "uns": sample.calendar, "varm": sample.weights}[section].astype(float)
     lines = values.T if axis == 0 else values
-    assert sorted(r[name] for r in rows) == list(range(len(lines)))
-    for row in rows:
-        assert_stats(row, lines[row[name]])
+    rows = {r[name]: r for r in sample.ds.describe(section, key, axis=axis).collect()}
+    assert sorted(rows) == list(range(len(lines)))
+    for position, row in rows.items():
+        assert_stats(row, lines[position])
 
 
-def test_describe_features(sample):
-    rows = sample.ds.describe("X", columns=["gene_7", "gene_1?", "none*", "gene_1*"]).collect()
-    names = ["gene_7", *[f"gene_{i}" for i in range(10, 20)], "gene_1"]
-    assert [r["column"] for r in rows] == names
+def test_statistics_of_features(sample):
+    rows = sample.ds.describe("X", columns=["oil-03", "metal-0[2-4]", "lead*", "metal-*"]).collect()
+    assert [r["column"] for r in rows] == ["oil-03", "metal-02", "metal-03", "metal-04", *(f"metal-0{i}" for i in (0, 1, 5, 6, 7, 8, 9))]
     for row in rows:
-        assert_stats(row, sample.X[:, int(row["column"][5:])])
-        assert row["is_numeric"]
+        assert_stats(row, sample.readings[:, list(sample.var.index).index(row["column"])])
     with pytest.raises(ValueError, match="no variable matches"):
-        sample.ds.describe("X", columns=["zzz"])
-
-
-TRIPLES = [
-    ("cell_type", "==", "TypeA", lambda o: o.cell_type == "TypeA"),
-    ("cell_type", "!=", "TypeA", lambda o: o.cell_type != "TypeA"),
-    ("n_genes", ">", 20, lambda o: o.n_genes > 20),
-    ("n_genes", ">=", "20", lambda o: o.n_genes >= 20),
-    ("n_genes", "<", 30.5, lambda o: o.n_genes < 30.5),
-    ("n_genes", "<=", 30, lambda o: o.n_genes <= 30),
-    ("cell_type", "isin", ["TypeA", "TypeB"], lambda o: o.cell_type.isin(["TypeA", "TypeB"])),
-    ("cell_type", "notin", ["TypeA"], lambda o: ~o.cell_type.isin(["TypeA"])),
-    ("index", "isin", ["cell_3", "cell_50"], lambda o: o.index.isin(["cell_3", "cell_50"])),
+        sample.ds.describe("X", columns=["lead*"])
+    with pytest.raises(ValueError, match="empty list"):
+        sample.ds.describe("layers", "whole", columns=[])
+
+
+FILTERS = [
+    ("depth", ">=", 4, lambda o: o.depth >= 4),
+    ("depth", "!=", 4.0, lambda o: o.depth != 4.0),
+    ("basin", "notin", ["oder", "elbe"], lambda o: ~o.basin.isin(["oder", "elbe"])),
+    ("basin", "isin", ["rhine", None], lambda o: o.basin.isin(["rhine"]) | o.basin.isna()),
+    ("automatic", "==", 1, lambda o: o.automatic),
+    ("index", "isin", ["km 4", "km 190", "km 5"], lambda o: o.index.isin(["km 4", "km 190"])),
 ]
 
 
-@pytest.mark.parametrize("name, op, value, keep", TRIPLES)
-def test_obs_filters_reach_every_part(sample, name, op, value, keep):
-    kept = np.asarray(keep(sample.obs))
+@pytest.mark.parametrize("name, op, value, keep", FILTERS)
+def test_station_filters_reach_every_part(sample, name, op, value, keep):
+    kept = np.asarray(keep(sample.obs), dtype=bool)
     ds = sample.ds.where("obs", name, op, value)
-    assert ds.n_obs == kept.sum() and ds.n_vars == 50
-    whole(ds.describe("X").first(), sample.X[kept])
-    whole(ds.describe("obsp", "distances").first(), sample.distances[kept][:, kept])
-    assert ds.get("obsm", "frame").count() == kept.sum()
-    assert ds.describe("var").first()["count"] == 50
-
-
-def test_var_filters_reach_every_part(sample):
-    kept = (sample.var.n_cells > 40).to_numpy()
-    ds = sample.ds.where("var", "n_cells", ">", 40)
-    whole(ds.describe("X").first(), sample.X[:, kept])
-    whole(ds.describe("varm", "PCs").first(), sample.pcs[kept])
-    whole(ds.describe("varp", "neighbors").first(), sample.neighbors[kept][:, kept])
-    whole(ds.describe("obsm", "X_pca").first(), sample.pca)
-    both = ds.where("obs", "n_genes", "<", 30)
-    rows = (sample.obs.n_genes < 30).to_numpy()
-    whole(both.describe("layers", "counts").first(), sample.counts[rows][:, kept])
-    by_feature = {r["col_pos"]: r for r in both.describe("X", axis=0).collect()}
-    assert sorted(by_feature) == np.flatnonzero(kept).tolist()
-    for position, row in by_feature.items():
-        assert_stats(row, sample.X[rows][:, position])
-    where, block = cells(both.view("X", rows=(2, 6), cols=(1, 4)))
-    assert where == np.flatnonzero(rows)[2:6].tolist()
-    assert np.allclose(block, sample.X[rows][:, kept][2:6, 1:4])
+    assert (ds.n_obs, ds.n_vars) == (kept.sum(), N_VARS)
+    whole(ds.describe("X").first(), sample.readings[kept])
+    whole(ds.describe("obsp", "flow").first(), sample.flow[kept][:, kept])
+    whole(ds.describe("obsm", "species").first(), sample.species[kept])
+    assert ds.get("obsm", "log").count() == kept.sum()
+    assert ds.get("uns", "log").count() == N_OBS
+
+
+def test_alignment_three_ways(sample, alignment_by):
+    rows, cols = (sample.obs.visits > 15).to_numpy(), (sample.var.limit < 6).to_numpy()
+    ds = sample.ds.where("obs", "visits", ">", 15).where("var", "limit", "<", 6).where("obs", "visits", "!=", 18)
+    rows &= (sample.obs.visits != 18).to_numpy()
+    whole(ds.describe("layers", "detections").first(), sample.detections[rows][:, cols])
+    whole(ds.describe("varp", "affinity").first(), sample.affinity[cols][:, cols])
+    whole(ds.describe("obsp", "flow").first(), sample.flow[rows][:, rows])
+    plan = ds.get("obsp", "flow").df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    where, block = cells(ds.view("layers", "detections", rows=(1, 9), cols=(2, 7)))
+    assert where == np.flatnonzero(rows)[1:9].tolist() and np.array_equal(block, sample.detections[rows][:, cols][1:9, 2:7])
+
+
+def test_bitmap_moves_no_matrix(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    spark.range(300_000).select(F.col("id").alias("row_pos"), F.lit(1.0).alias("value")).write.parquet(str(tmp_path / "m"))
+    positions = spark.range(0, 300_000, 3).select(F.col("id").alias("_pos")).union(spark.createDataFrame([(1,), (299_999,), (32_767,), (32_768,)], "_pos long")).distinct()
+    left = KeptPositions(positions).rows_of(spark.read.parquet(str(tmp_path / "m")), "row_pos")
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    stream = plan.split("BroadcastHashJoin", 1)[1].split("BroadcastExchange", 1)[0]
+    assert "Exchange" not in stream and "PushedFilters: [IsNotNull(row_pos), GreaterThanOrEqual(row_pos,0)" in plan
+    assert left.columns == ["row_pos", "value"]
+    assert sorted(r[0] for r in left.select("row_pos").collect()) == sorted({*range(0, 300_000, 3), 1, 299_999, 32_767, 32_768})
+
+
+def test_widths_survive_filters(sample):
+    few = sample.ds.where("obs", "index", "isin", ["km 1", "km 4", "km 16"])
+    same(few.view("obsm", "species", rows=(None, None), cols=(None, None)), sample.species[[0, 1, 5]])
+    assert few.describe("obsm", "species").first()["count"] == 3 * 14
+    assert few.view_shape("obsm", "species").first()["full_shape"] == "(3, 14)"
+    same(sample.ds.view("uns", "calendar", rows=(0, 7), cols=(1, 7)), sample.calendar[:7, 1:7])
+    none = sample.ds.where("obs", "visits", "<", 0)
+    assert none.view_shape("obsm", "profile").first()["full_shape"] == "(0, 6)"
+
+
+def test_sparse_parts_state_the_lengths_no_axis_gives(spark, sample):
+    loose = sparse(spark, np.eye(3))
+    ds = AnnotatedDataset(sample.ds.obs, sample.ds.var, obsm={"loose": loose}, uns={"loose": loose})
+    for section in ("obsm", "uns"):
+        with pytest.raises(ValueError, match="must state its shape"):
+            ds.describe(section, "loose")
+
+
+def test_repeated_cells_add_up_or_are_refused(spark, sample):
+    stored = spark.createDataFrame([(0, 0, 2), (0, 0, 5), (1, 2, 1), (1, 2, -1), (1, 1, 4)], "row_pos long, col_pos long, value long")
+    values = np.array([[7, 0, 0], [0, 4, 0]])
+    obs, var = sample.ds.obs.filter("_pos < 2"), sample.ds.var.filter("_pos < 3")
+    ds = AnnotatedDataset(obs, var, Matrix(stored, "sparse", repeated=True))
+    whole(ds.describe("X").first(), values)
+    same(ds.view("X", rows=(0, 2), cols=(0, 3)), values)
+    strict = AnnotatedDataset(obs, var, Matrix(stored, "sparse"))
+    with pytest.raises(Exception, match="stored more than once"):
+        strict.view("X", rows=(0, 2), cols=(0, 3)).collect()
+    crowded = spark.createDataFrame([(0, 0, 2)] * 9, "row_pos long, col_pos long, value long")
+    with pytest.raises(Exception, match="stored more than once"):
+        AnnotatedDataset(obs, var, Matrix(crowded, "sparse")).describe("X").collect()
 
 
-def test_filters_that_leave_nothing(sample):
-    for axis, section in (("obs", "obs"), ("obs", "var"), ("var", "obs"), ("var", "X")):
-        name = "n_genes" if axis == "obs" else "n_cells"
-        with pytest.raises(ValueError, match="leaves no " + ("observations" if axis == "obs" else "variables")):
-            sample.ds.where(axis, name, ">", 1e9).describe(section)
-    with pytest.raises(ValueError, match="leaves no rows"):
-        sample.ds.view("obs", where=("n_genes", ">", 1e9))
+def test_explicit_zeros_are_cells(spark, sample):
+    stored = spark.createDataFrame([(0, 0, 0.0), (1, 2, -3.0)], "row_pos long, col_pos long, value double")
+    ds = AnnotatedDataset(sample.ds.obs.filter("_pos < 2"), sample.ds.var.filter("_pos < 3"), Matrix(stored, "sparse"))
+    whole(ds.describe("X").first(), [[0, 0, 0], [0, 0, -3]])
 
 
-def test_errors(sample):
-    ds = sample.ds
-    with pytest.raises(KeyError, match="'obsm' has nothing at nope"):
-        ds.describe("obsm", "nope")
-    with pytest.raises(KeyError, match="no section 'nope'"):
-        ds.describe("nope")
-    with pytest.raises(ValueError, match="have no keys"):
-        ds.describe("obs", "n_genes")
-    with pytest.raises(ValueError, match="neither a table nor a matrix"):
-        ds.describe("uns", "dict")
-    with pytest.raises(ValueError, match="key required"):
-        ds.describe("layers", columns=["gene_1"])
-    with pytest.raises(ValueError, match="cannot be selected"):
-        ds.describe("obsm", "X_pca", columns=["gene_1"])
-    with pytest.raises(ValueError, match="only tables"):
-        ds.view("X", where=("n_genes", ">", 1))
-    with pytest.raises(ValueError, match="missing: filter_operator, filter_value"):
-        ds.view("obs", where=("n_genes", None, None))
-    with pytest.raises(ValueError, match="missing: filter_value"):
-        ds.where("obs", "n_genes", ">", None)
-    with pytest.raises(ValueError, match="no column matches"):
-        ds.view("obs", columns=["zz*"])
-    with pytest.raises(ValueError, match="no variable matches"):
-        ds.view("X", columns=["zz*"])
-    with pytest.raises(ValueError, match="must be 'obs' or 'var'"):
-        ds.where("uns", "a", "==", 1)
+def test_filters_that_leave_nothing(sample):
+    for axis, name, section in (("obs", "visits", "var"), ("var", "limit", "X")):
+        with pytest.raises(ValueError, match="leaves no"):
+            sample.ds.where(axis, name, "<", -1).describe(section)
+    with pytest.raises(ValueError, match="leaves no rows"):
+        sample.ds.view("obs", where=("basin", "==", "danube"))
+
+
+@pytest.mark.parametrize(
+    "error, text, call",
+    [
+        (KeyError, "'varm' has nothing at loadings", lambda ds: ds.describe("varm", "loadings")),
+        (KeyError, "no section 'weather'", lambda ds: ds.view("weather")),
+        (ValueError, "have no keys", lambda ds: ds.describe("var", "limit")),
+        (ValueError, "neither a table nor a matrix", lambda ds: ds.describe("uns", "survey")),
+        (ValueError, "key required", lambda ds: ds.describe("layers", columns=["oil-01"])),
+        (ValueError, "cannot be selected", lambda ds: ds.view("obsm", "profile", columns=["oil-01"])),
+        (ValueError, "only tables", lambda ds: ds.view("layers", "whole", where=("depth", ">", 1))),
+        (ValueError, "missing: filter_value", lambda ds: ds.where("obs", "depth", ">", None)),
+        (ValueError, "missing: filter_column, filter_value", lambda ds: ds.view("obs", where=(None, "==", None))),
+        (ValueError, "no column matches", lambda ds: ds.view("var", columns=["?"])),
+        (ValueError, "no variable matches", lambda ds: ds.view("X", columns=["salt"])),
+        (ValueError, "must be 'obs' or 'var'", lambda ds: ds.where("X", "depth", ">", 1)),
+    ],
+)
+def test_what_is_refused(sample, error, text, call):
+    with pytest.raises(error, match=text):
+        call(sample.ds)
 
 
 def test_table_views(sample):
     ds = sample.ds
-    first = ds.view("obs")
-    assert first.columns == ["_index", "n_genes", "percent_mito", "n_counts", "cell_type"]
-    assert [r["_index"] for r in first.collect()] == [f"cell_{i}" for i in range(5)]
-    assert ds.view("obs", columns=["cell_*", "n_*"]).columns == ["_index", "cell_type", "n_genes", "n_counts"]
-    assert ds.view("uns", "df", rows=(1, 3)).count() == 2
-    assert [r["_index"] for r in ds.view("obs", rows=(-3, None)).collect()] == ["cell_97", "cell_98", "cell_99"]
-    few = sample.obs[sample.obs.cell_type == "TypeB"].iloc[1:4]
-    got = ds.view("obs", rows=(1, 4), where=("cell_type", "==", "TypeB")).toPandas()
-    assert got["_index"].tolist() == few.index.tolist()
-    # A single column by key.
-    assert [r["n_genes"] for r in ds.view("obs", "n_genes", rows=(0, 3)).collect()] == sample.obs.n_genes[:3].tolist()
+    assert ds.view("obs").columns == ["_index", "basin", "depth", "visits", "automatic"]
+    assert ds.view("obs", columns=["[dv]*", "basin"]).columns == ["_index", "depth", "visits", "basin"]
+    assert [r[0] for r in ds.view("var", rows=(-2, None)).collect()] == ["oil-08", "oil-09"]
+    got = ds.view("obs", rows=(2, 5), where=("basin", "==", "rhine")).toPandas()
+    assert got["_index"].tolist() == sample.obs[sample.obs.basin == "rhine"].index[2:5].tolist()
+    assert [r["visits"] for r in ds.view("obs", "visits", rows=(10, 14)).collect()] == sample.obs.visits[10:14].tolist()
+    assert ds.view("obsm", "log", rows=(60, 90)).count() == 4
 
 
 def test_matrix_views(sample):
     ds = sample.ds
-    where, block = cells(ds.view("X"))
-    assert where == [0, 1, 2, 3, 4] and np.allclose(block, sample.X[:5, :5])
-    _, block = cells(ds.view("layers", "counts", rows=(90, 200), cols=(-3, None)))
-    assert np.allclose(block, sample.counts[90:, -3:])
-    _, block = cells(ds.view("obsp", "distances", rows=(10, 20), cols=(5, 40)))
-    assert np.allclose(block, sample.distances[10:20, 5:40])
-    _, block = cells(ds.view("obsp", "distances", rows=(3, 60, 9), cols=[7, 3, 99]))
-    assert np.allclose(block, sample.distances[3:60:9][:, [7, 3, 99]])
-    _, block = cells(ds.view("X", columns=["gene_4?", "gene_3"], rows=(0, 7)))
-    assert np.allclose(block, sample.X[:7][:, [*range(40, 50), 3]])
-    _, block = cells(ds.view("uns", "array", rows=(98, 105)))
-    assert block.shape == (2, 5)
-    kept = (sample.obs.n_genes > 25).to_numpy()
-    where, block = cells(ds.where("obs", "n_genes", ">", 25).view("obsp", "distances", rows=(0, 4), cols=(2, 9)))
-    assert where == np.flatnonzero(kept)[:4].tolist()
-    assert np.allclose(block, sample.distances[kept][:, kept][:4, 2:9])
-
-
-def test_long_matrix_keeps_absent_cells_missing(spark, sample):
-    long = Matrix(spark.createDataFrame([(0, 0, 1.0), (1, 1, 2.0)], "row_pos long, col_pos long, value double"), "long")
-    ds = AnnotatedDataset(sample.ds.obs, sample.ds.var, long)
-    rows = ds.view("X", rows=(0, 3), cols=(0, 2)).collect()
-    assert [r["values"] for r in rows] == [[1.0, None], [None, 2.0], [None, None]]
+    where, _ = cells(ds.view("X"))
+    assert where == [0, 1, 2, 3, 4]
+    same(ds.view("X"), sample.readings[:5, :5])
+    same(ds.view("layers", "detections", rows=(60, 99), cols=(-4, None)), sample.detections[60:, -4:])
+    same(ds.view("obsp", "flow", rows=(2, 50, 7), cols=[63, 0, 8]), sample.flow[2:50:7][:, [63, 0, 8]])
+    same(ds.view("X", columns=["salt-0[89]", "metal-05"], rows=(0, 6)), sample.readings[:6][:, [18, 19, 5]])
+    same(ds.view("layers", "detections", columns=["oil-*", "salt-01"], rows=(0, 9)), sample.detections[:9][:, [*range(20, 30), 11]])
+    assert cells(ds.view("uns", "drift", rows=(9, 20)))[1].shape == (2, 3)
+
+
+def test_views_of_very_many_features_number_them(sample, monkeypatch):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 3)
+    same(sample.ds.view("layers", "detections", columns=["oil-*", "salt-01"], rows=(0, 9)), sample.detections[:9][:, [*range(20, 30), 11]])
+
+
+def test_values_keep_their_type(spark, sample):
+    big = 2**53 + 1
+    obs, var = sample.ds.obs.filter("_pos < 2"), sample.ds.var.filter("_pos < 3")
+    stored = {
+        "sparse": spark.createDataFrame([(0, 1, big)], "row_pos long, col_pos long, value long"),
+        "dense": spark.createDataFrame([(0, [0, big, 0]), (1, [0, 0, 0])], "row_pos long, values array<long>"),
+    }
+    for layout, df in stored.items():
+        block = AnnotatedDataset(obs, var, Matrix(df, layout)).view("X", rows=(0, 2), cols=(0, 3))
+        assert block.schema["values"].dataType.simpleString() == "array<bigint>"
+        assert [r["line"] for r in array_lines(block).orderBy("row_pos").collect()] == [f"0,{big},0", "0,0,0"]
+    long = Matrix(spark.createDataFrame([(0, 0, 1.5), (1, 1, 2.0)], "row_pos long, col_pos long, value double"), "long")
+    rows = AnnotatedDataset(obs, var, long).view("X", rows=(0, 2), cols=(0, 2)).collect()
+    assert [r["values"] for r in rows] == [[1.5, None], [None, 2.0]]
 
 
 def test_shapes(sample):
     def shape(*args, **kwargs):
         return tuple(sample.ds.view_shape(*args, **kwargs).first())
 
-    n = int((sample.obs.cell_type == "TypeA").sum())
-    assert shape("obs") == ("(100, 4)", "(5, 4)")
-    assert shape("obs", columns=["n_*"], where=("cell_type", "==", "TypeA")) == (f"({n}, 4)", "(5, 2)")
-    assert shape("X", rows=(0, 200), cols=(48, 60)) == ("(100, 50)", "(100, 2)")
-    assert shape("X", columns=["gene_1*"]) == ("(100, 50)", "(5, 11)")
-    assert shape("obsm", "X_pca") == ("(100, 10)", "(5, 5)")
-    assert shape("uns", "dict") == (None, None)
+    assert shape("obs") == (f"({N_OBS}, 4)", "(5, 4)")
+    n = int((sample.obs.basin == "oder").sum())
+    assert shape("obs", columns=["*e*"], where=("basin", "==", "oder")) == (f"({n}, 4)", "(5, 1)")
+    assert shape("X", rows=(50, 200), cols=(28, 60)) == (f"({N_OBS}, {N_VARS})", "(14, 2)")
+    assert shape("layers", "whole", columns=["oil-*"]) == (f"({N_OBS}, {N_VARS})", "(5, 10)")
+    assert shape("uns", "calendar") == ("(9, 7)", "(5, 5)")
+    assert shape("uns", "survey") == (None, None)
 
 
 def test_free_form_values(sample):
     ds = sample.ds
-    assert ds.view("uns", "string").first()[0] == "a string"
-    assert ds.view("uns", ["dict", "key2"]).first()[0] == "42"
-    assert ds.view("uns", ["dict", "deep", "er", 1]).first()[0] == "2"
-    assert {r["key"] for r in ds.view("uns", "dict").collect()} == {"key1", "key2", "deep"}
-    with pytest.raises(KeyError, match="nothing at dict -> nope"):
-        ds.view("uns", ["dict", "nope"])
-    listed = {r["key"]: r for r in ds.view("uns").collect()}
-    assert listed["df"]["shape"] == "(100, 3)" and listed["string"]["shape"] == "NA"
-    assert listed["array"]["type"] == "dense matrix"
+    assert ds.view("uns", "note").first()[0] == "high water"
+    assert ds.view("uns", ["survey", "gear", "nets", 1]).first()[0] == "7"
+    assert {r["key"] for r in ds.view("uns", "survey").collect()} == {"year", "lead", "gear"}
+    with pytest.raises(KeyError, match="nothing at survey -> month"):
+        ds.view("uns", ["survey", "month"])
+    listed = {r["key"]: (r["type"], r["shape"]) for r in ds.view("uns").collect()}
+    assert listed["calendar"] == ("sparse matrix", "(9, 7)") and listed["note"][1] == "NA" and listed["log"] == ("table", f"({N_OBS}, 2)")
 
 
 def test_value_counts(sample):
-    rows = sample.ds.where("var", "n_cells", ">", 10).value_counts("obs").collect()
-    assert {r["value"]: r["count"] for r in rows} == sample.obs.cell_type.value_counts().to_dict()
-    assert [r["count"] for r in rows] == sorted((r["count"] for r in rows), reverse=True)
+    rows = sample.ds.value_counts("obs", columns=["basin", "automatic"]).collect()
+    got = {(r["column"], r["value"]): r["count"] for r in rows}
+    assert got["basin", None] == sample.obs.basin.isna().sum() and got["automatic", "true"] == sample.obs.automatic.sum()
+    assert sum(n for (c, _), n in got.items() if c == "basin") == N_OBS
 
 
 def test_named_cells(sample):
-    rows = sample.ds.where("obs", "index", "==", "cell_4").named_cells("layers", "counts").collect()
-    assert {r["feature"]: r["value"] for r in rows} == {f"gene_{i}": float(v) for i, v in enumerate(sample.counts[4])}
+    rows = sample.ds.where("obs", "index", "==", "km 13").named_cells("layers", "whole").collect()
+    assert {r["feature"]: r["value"] for r in rows} == dict(zip(sample.var.index, sample.detections[4].astype(float), strict=True))
 
 
 def check_summary(rows):
-    tables = {r["section"]: r for r in rows if r["type"] == "table" and r["section"] in ("obs", "var")}
-    assert tables["obs"]["shape"] == "(100, 4)" and tables["var"]["shape"] == "(50, 2)"
-    columns = [(r["key"], r["dtype"]) for r in rows if r["section"] == "obs" and r["type"] == "column"]
-    assert columns == [("n_genes", "bigint"), ("percent_mito", "double"), ("n_counts", "bigint"), ("cell_type", "string")]
-    by = {(r["section"], r["key"]): r for r in rows}
-    assert by["X", None]["type"] == "dense matrix" and by["X", None]["shape"] == "(100, 50)"
-    assert by["obsm", "X_pca"]["shape"] == "(100, 10)" and by["obsm", "frame"]["type"] == "table"
-    assert by["obsp", "distances"]["type"] == "sparse matrix" and by["varp", "neighbors"]["shape"] == "(50, 50)"
-    assert by["layers", "counts"]["dtype"] == "bigint"
+    by = {(r["section"], r["key"]): r for r in rows if r["type"] != "column"}
+    shapes = {k: r["shape"] for k, r in by.items()}
+    assert shapes["obs", None] == f"({N_OBS}, 4)" and shapes["X", None] == f"({N_OBS}, {N_VARS})"
+    assert shapes["obsm", "species"] == f"({N_OBS}, 14)" and shapes["varp", "affinity"] == f"({N_VARS}, {N_VARS})"
+    assert by["layers", "whole"]["dtype"] == "bigint" and by["layers", "detections"]["type"] == "sparse matrix"
     assert by["raw", None]["value"] == "true"
+    columns = [(r["key"], r["dtype"]) for r in rows if r["section"] == "var" and r["type"] == "column"]
+    assert columns == [("limit", "double"), ("regulated", "bigint")]
 
 
-def test_summary(spark, sample):
+def test_summary(sample):
     check_summary(sample.ds.summary().collect())
     bare = AnnotatedDataset(sample.ds.obs).summary().collect()
-    assert {r["section"] for r in bare} == {"obs", "X", "raw"}
-    assert [r["value"] for r in bare if r["section"] == "raw"] == ["false"]
-
-
-def test_store_find_and_open(spark, sample, tmp_path):
-    write_dataset(sample.ds, str(tmp_path / "a" / "one"))
-    ds = open_dataset(spark, str(tmp_path / "a" / "one"))
-    rows = ds.summary().collect()
-    check_summary(rows)
-    assert [r["value"][:2] for r in rows if r["section"] == "last_modified"] == ["20"]
-    whole(ds.describe("X").first(), sample.X)
-    whole(ds.where("obs", "n_genes", ">", 25).describe("obsp", "distances").first(),
-          sample.distances[sample.obs.n_genes > 25][:, sample.obs.n_genes > 25])
-    assert ds.view("uns", ["dict", "key1"]).first()[0] == "value1"
-    assert last_modified(spark, str(tmp_path)).first()[0] is not None
+    assert {(r["section"], r["value"]) for r in bare if r["section"] == "raw"} == {("raw", "false")}
+
+
+def test_store_and_open(spark, sample, tmp_path):
+    begun = time.time()
+    write_dataset(sample.ds, str(tmp_path / "survey"))
+    ds = open_dataset(spark, str(tmp_path / "survey"))
+    check_summary(ds.summary().collect())
+    whole(ds.describe("X").first(), sample.readings)
+    whole(ds.where("obs", "visits", ">", 15).describe("obsm", "species").first(), sample.species[(sample.obs.visits > 15).to_numpy()])
+    same(ds.view("uns", "calendar", rows=(0, 9), cols=(0, 7)), sample.calendar)
+    assert ds.view("uns", ["survey", "lead"]).first()[0] == "Ada"
     plan = ds.view("obs", rows=(3, 8))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(_pos,3)" in plan
+    written = last_modified(spark, str(tmp_path / "survey")).first()[0]
+    assert begun - 1 <= written.timestamp() <= time.time()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        text = [r["value"] for r in ds.summary().collect() if r["section"] == "last_modified"][0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert abs(datetime.datetime.fromisoformat(text).replace(tzinfo=datetime.timezone.utc).timestamp() - written.timestamp()) < 0.01
 
-    (tmp_path / "b").mkdir()
-    (tmp_path / "b" / "x.h5ad").write_bytes(b"..")
-    (tmp_path / "top.h5ad").write_bytes(b"..")
-    (tmp_path / "store.zarr" / "obs").mkdir(parents=True)
-    (tmp_path / "store.zarr" / "zarr.json").write_text("{}")
-    (tmp_path / "store.zarr" / "obs" / "0").write_text("{}")
 
-    def found(recursive):
-        rows = locate_datasets(spark, str(tmp_path), recursive).collect()
-        return {(r["path"].removeprefix(f"{tmp_path}/"), r["kind"]) for r in rows}
+def test_locate(spark, tmp_path):
+    for name in ("top.h5ad", "deep/er/x.h5ad", "plain/notes.txt", "dots.zarr/.zgroup", "v3.zarr/zarr.json", "v3.zarr/inner.zarr/zarr.json", "v3.zarr/x.h5ad", "ds/manifest/part-0.parquet"):
+        file = tmp_path / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text("{}")
 
-    top = {("top.h5ad", "h5ad"), ("store.zarr", "zarr")}
-    assert found(True) == top | {("b/x.h5ad", "h5ad"), ("a/one", "dataset")}
-    assert found(False) == top
-    (tmp_path / "nothing").mkdir()
-    assert locate_datasets(spark, str(tmp_path / "nothing")).count() == 0
-    assert locate_datasets(spark, str(tmp_path / "missing")).count() == 0
+    def found(**how):
+        return {(r["path"].removeprefix(f"{tmp_path}/"), r["kind"]) for r in locate_datasets(spark, str(tmp_path), **how).collect()}
+
+    direct = {("top.h5ad", "h5ad"), ("dots.zarr", "zarr"), ("v3.zarr", "zarr"), ("ds", "dataset")}
+    assert found(recursive=False) == direct
+    assert found() == direct | {("deep/er/x.h5ad", "h5ad")}
+    assert locate_datasets(spark, str(tmp_path / "plain")).count() == 0
+    assert locate_datasets(spark, str(tmp_path / "absent")).count() == 0
 
 
 def test_locations():
-    assert resolve_location("/data/x") == "/data/x"
-    assert resolve_location("s3://bucket/x") == "s3a://bucket/x"
-    assert resolve_location("gcs://bucket/x") == "gs://bucket/x"
-    assert resolve_location("az://c/x") == "abfs://c/x"
+    assert [resolve_location(p) for p in ("rel/x", "s3://b/k", "gcs://b", "az://c/x", "hdfs://n/x")] == ["rel/x", "s3a://b/k", "gs://b", "abfs://c/x", "hdfs://n/x"]
     with pytest.raises(ValueError, match="http"):
-        resolve_location("https://example.com/x")
+        resolve_location("http://host/data")
 
 
 def test_csv(spark, sample, tmp_path):
-    lines = table_lines(sample.ds.obs, ["n_genes", "cell_type"]).orderBy("_pos").limit(2).collect()
-    assert [r["line"] for r in lines] == [
-        f"cell_{i},{sample.obs.n_genes.iloc[i]},{sample.obs.cell_type.iloc[i]}" for i in range(2)
-    ]
-    block = array_lines(sample.ds.view("layers", "counts", rows=(0, 2), cols=(0, 3))).orderBy("row_pos").collect()
-    assert [r["line"] for r in block] == [",".join(str(float(v)) for v in sample.counts[i, :3]) for i in range(2)]
-    quoted = spark.createDataFrame([(0, 'a "b", c', None)], "_pos int, t string, u string")
-    assert table_lines(quoted).first()["line"] == '"a ""b"", c",'
-    write_table(sample.ds.obs, str(tmp_path / "obs"))
-    back = spark.read.csv(str(tmp_path / "obs"), header=True)
-    assert back.columns[0] == "_index" and back.count() == 100
-    write_block(sample.ds.view("X", rows=(0, 3)), str(tmp_path / "x"))
-    assert spark.read.csv(str(tmp_path / "x")).count() == 3
-
-
-def test_sparse_keeps_explicit_zeros(spark, sample):
-    values = np.array([[0.0, 1.0, -1.0], [0.0, 0.0, 2.0]])
-    stored = sparse(spark, values).df.union(spark.createDataFrame([(0, 0, 0.0)], "a bigint, b bigint, c double"))
-    ds = AnnotatedDataset(
-        sample.ds.obs.filter("_pos < 2"), sample.ds.var.filter("_pos < 3"), Matrix(stored, "sparse")
-    )
-    whole(ds.describe("X").first(), values)
+    lines = table_lines(sample.ds.obs, ["visits", "automatic"]).orderBy("_pos").limit(2).collect()
+    assert [r["line"] for r in lines] == [f"km {3 * i + 1},{sample.obs.visits.iloc[i]},{str(bool(sample.obs.automatic.iloc[i])).lower()}" for i in range(2)]
+    block = array_lines(sample.ds.view("layers", "detections", rows=(0, 3), cols=(0, 6))).orderBy("row_pos").collect()
+    assert [r["line"] for r in block] == [",".join(map(str, sample.detections[i, :6])) for i in range(3)]
+    tricky = spark.createDataFrame([(0, 'say "yes", or', None, "")], "_pos int, t string, u string, v string")
+    assert table_lines(tricky).first()["line"].startswith('"say ""yes"", or",')
+    write_table(sample.ds.var, str(tmp_path / "var"))
+    assert spark.read.csv(str(tmp_path / "var"), header=True).columns == ["_index", "limit", "regulated"]
+    write_block(sample.ds.view("X", rows=(0, 4)), str(tmp_path / "x"))
+    assert spark.read.csv(str(tmp_path / "x")).count() == 4
 
 
 def test_one_scan_per_describe(spark, sample, tmp_path):
     sample.ds.obs.write.parquet(str(tmp_path / "obs"))
     stored = spark.read.parquet(str(tmp_path / "obs"))
 
-    def scans(df):
-        return df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
-
-    assert scans(table_stats.describe_table(stored, ["n_genes", "percent_mito", "n_counts"])) == 1
-    assert scans(table_stats.describe_table(stored, ["cell_type"])) == 1
-    assert scans(table_stats.value_counts(stored, ["cell_type"])) == 1
-    plan = table_stats.describe_table(stored, ["n_genes"])._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<n_genes:bigint>" in plan
-
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
 
-def test_axis_join_needs_no_cross_product(sample):
-    ds = sample.ds.where("obs", "n_genes", ">", 20).where("var", "n_cells", ">", 20)
-    for part in ("obsp", "varp"):
-        df = ds.get(part, "distances" if part == "obsp" else "neighbors").df
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert ds.get("X").df.agg(F.count(F.lit(1))).first()[0] == ds.n_obs * ds.n_vars
+    for df in (table_stats.describe_table(stored, ["depth", "visits"]), table_stats.describe_table(stored, ["basin"]), table_stats.value_counts(stored, ["basin"])):
+        assert plan(df).count("FileScan parquet") == 1
+    assert "ReadSchema: struct<visits:bigint>" in plan(table_stats.describe_table(stored, ["visits"]))
