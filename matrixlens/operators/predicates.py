@@ -178,7 +178,9 @@ def _filter_by_join(df: DataFrame, name: str, op: str, values: Any) -> DataFrame
     plain = dtype if isinstance(dtype, (T.DecimalType, *FLOATING)) else T.LongType() if isinstance(dtype, INTEGRAL) else T.StringType()
     rows = [(m,) for m in sorted(members)] + [(None,)] * any(_is_nan(v) for v in values)
     side = df.sparkSession.createDataFrame(rows, T.StructType([T.StructField("_member", plain)]))
-    side = small_side(side.select(F.col("_member").cast(dtype).alias("_member")) if isinstance(dtype, TEMPORAL) else side, len(rows))
+    # Long texts count as several rows of a few numbers.
+    size = sum(1 + len(m) // 64 if isinstance(m, str) else 1 for m in members)
+    side = small_side(side.select(F.col("_member").cast(dtype).alias("_member")) if isinstance(dtype, TEMPORAL) else side, size)
     key = F.when(~F.isnan(col), col) if isinstance(dtype, FLOATING) else col
     return df.join(side, key.eqNullSafe(F.col("_member")), "left_semi" if op == "isin" else "left_anti")
 

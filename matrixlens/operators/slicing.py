@@ -75,7 +75,10 @@ def slice_rows(df: DataFrame, rows: Bounds, gaps: bool = False, length: int | No
         if last < picked.start:
             return df.filter(F.lit(False))
         low, high = values_at_ranks(df.select(F.col(POSITION).alias("value")), [picked.start, last])
-        return df.filter(F.col(POSITION).between(int(low), int(high))).orderBy(POSITION)
+        found = df.filter(F.col(POSITION).between(int(low), int(high)))
+        if found.count() != last - picked.start + 1:
+            raise ValueError("positions repeat: rows cannot be sliced by position")
+        return found.orderBy(POSITION)
     # Rank the positions alone, then fetch the rows they name.
     ranked = assign_positions(df.select(F.col(POSITION).alias("_stored")), "_stored")
     wanted = _by_position(ranked, picked).select(F.col("_stored").alias(POSITION))

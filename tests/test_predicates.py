@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import time
+from decimal import Decimal
 
 import pandas as pd
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from matrixlens.operators import predicates
-from matrixlens.operators.predicates import check_triple, filter_rows, mask
+from matrixlens.operators.predicates import check_triple, filter_rows, mask, row_filter
 
 NAN = float("nan")
 ROWS = [
@@ -164,3 +168,61 @@ def test_streams(spark, tmp_path, table):
     )
     query.awaitTermination(60)
     assert sorted(r["_pos"] for r in spark.table("kept_rows").collect()) == [0, 2, 3, 4]
+
+
+# -- one meaning at any length, exact decimals ---------------------------------------------
+
+MANY = "n bigint, x double, f float, d decimal(20,2), day date, at timestamp, plain timestamp_ntz, s string, b boolean"
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    moment = dt.datetime(2024, 5, 1, 10, 30)
+    rows = [
+        (1, 1.5, 0.1, Decimal("0.10"), moment.date(), moment, moment, "a", True),
+        (2, float("nan"), float("nan"), Decimal("12345678901234567.89"), dt.date(2024, 1, 1), moment.replace(hour=0, minute=0), moment, "2024-01", False),
+        (2**53 + 1, -0.0, -0.0, Decimal("-7.00"), None, None, None, "", None),
+        (None,) * 9,
+    ]
+    return spark.createDataFrame(rows, MANY)
+
+
+VALUES = st.one_of(
+    st.sampled_from([None, math.nan, math.inf, 1, 2, 1.5, 0.0, 0.1, True, False, 2**53 + 1, float(2**53), 12345678901234567.0, -7, "a", "", "2024-01", "2024-01-01", "2024-05-01T10:30", "2024-W18-3", "20240501", "x"]),
+    st.integers(-5, 5),
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(VALUES, max_size=6), st.sampled_from(["isin", "notin"]), st.sampled_from([c.split()[0] for c in MANY.split(", ")]))
+def test_a_list_means_the_same_at_any_length(many, values, op, name):
+    inline = many.select(name).filter(row_filter(many.schema, name, op, values))
+    joined = predicates._filter_by_join(many.select(name), name, op, values)
+    assert sorted(map(repr, inline.collect())) == sorted(map(repr, joined.collect()))
+
+
+def test_long_lists_are_planned_quickly(many):
+    begun = time.perf_counter()
+    left = filter_rows(many, "n", "isin", [*range(20_000), math.nan])
+    left._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - begun < 2
+    assert left.count() == 3
+    assert filter_rows(many, "b", "notin", [True, *["x"] * 2000, None]).count() == 1
+
+
+def test_decimals_are_compared_exactly(many):
+    def left(op, value):
+        return sorted(r["d"] for r in filter_rows(many, "d", op, value).collect())
+
+    small, large, low = Decimal("0.10"), Decimal("12345678901234567.89"), Decimal("-7.00")
+    assert left("==", 12345678901234567.0) == [] and left("==", 0.1) == [small] and left("==", Decimal("12345678901234567.89")) == [large]
+    assert left("isin", [0.105, -7]) == [low]
+    assert left(">", 0.095) == left(">=", 0.1) == [small, large] and left(">", 0.1) == [large]
+    assert left("<", 0.105) == [low, small] and left("<=", "-7.001") == []
+    assert left(">", -1e300) == [low, small, large] and left(">=", 1e300) == [] and left("<", math.inf) == [low, small, large]
+
+
+def test_decimal_filters_reach_parquet(spark, many, tmp_path):
+    many.select("d").write.parquet(str(tmp_path / "d"))
+    plan = filter_rows(spark.read.parquet(str(tmp_path / "d")), "d", ">", 1.005)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(d), GreaterThan(d,1.00)]" in plan

@@ -237,3 +237,51 @@ def test_dense_and_sparse_choose_a_path_by_size(spark, monkeypatch):
     row = matrix_stats.describe_cells(cells, [], 100).first()
     assert used == ["large"]
     assert_stats(row, np.arange(100))
+
+
+def test_values_that_change_between_readings_are_read_once(spark, monkeypatch):
+    """Sums of floats may differ in the last digit when they are computed again."""
+    monkeypatch.setattr(order_statistics, "SORTED_ROWS", 1)
+
+    @F.pandas_udf("double")
+    def shaky(x: pd.Series) -> pd.Series:
+        return x * (1 + np.random.default_rng().integers(-3, 4, len(x)) * 2.0**-52)
+
+    values = spark.range(3000).select((F.col("id") % 3).alias("k"), shaky(F.col("id").cast("double") * 1.1 + 1).alias("value"))
+    assert not session.repeatable(values)
+    for row in describe_groups(values, ["k"]).collect():
+        want = np.quantile([i * 1.1 + 1 for i in range(row["k"], 3000, 3)], [0.25, 0.5, 0.75])
+        assert np.allclose([row["p25"], row["p50"], row["p75"]], want)
+    assert values_at_ranks(values, [0, 1500]) == pytest.approx([1, 1651])
+
+
+def test_what_counts_as_repeatable(spark, tmp_path):
+    spark.range(10).write.parquet(str(tmp_path / "r"))
+    stored = spark.read.parquet(str(tmp_path / "r"))
+    assert session.repeatable(stored.filter("id > 3").select((F.col("id") * 2).alias("x")).union(stored))
+    assert session.repeatable(stored.select(F.explode(F.array("id", "id"))))
+    for other in (stored.groupBy("id").count(), stored.join(stored, "id"), stored.select(F.rand()), stored.orderBy("id"), stored.limit(3)):
+        assert not session.repeatable(other)
+
+
+def test_a_lost_rank_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(order_statistics, "_values_at_ranks", lambda values, keys, located: located.select(*keys, F.lit(-1).cast("bigint").alias("rank"), F.lit(0.0).alias("value")).distinct())
+    with pytest.raises(Exception, match="a rank was not found again"):
+        describe_groups(spark.range(100).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("value")), ["k"]).collect()
+
+
+def test_positions_that_repeat_are_not_sliced(spark, monkeypatch):
+    monkeypatch.setattr(slicing, "TOP_ROWS", 2)
+    df = spark.createDataFrame([(i // 2,) for i in range(20)], "_pos long")
+    with pytest.raises(ValueError, match="positions repeat"):
+        slice_rows(df, (3, 8), gaps=True)
+
+
+def test_times_are_counted_as_utc_text(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.sql("SELECT timestamp'2024-11-03 05:30:00Z' AS t UNION ALL SELECT timestamp'2024-11-03 06:30:00Z'")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert {r["value"] for r in table_stats.value_counts(df).collect()} == {"2024-11-03 05:30:00", "2024-11-03 06:30:00"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
