@@ -27,6 +27,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
+from matrixlens.llm.simhash import mixed
 from matrixlens.llm.tables import fresh, written
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -34,7 +35,6 @@ RADIUS, BLOCKS, BLOCK_BITS = 11, 4, 16
 SHINGLE_BITS, KEY_BITS = 22, 24
 #: Windows whose bits are summed at once.
 _AT_ONCE = 4096
-_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 #: ASCII signs and controls part words; A-Z have been lower-cased before.
 _PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -53,12 +53,6 @@ class _Hashes(dict):
         return value
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
 def shingles(words: list[bytes], known: _Hashes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and weight (characters of its words, in bytes) of every five-word shingle."""
     n = len(words) - SHINGLE + 1
@@ -70,7 +64,7 @@ def shingles(words: list[bytes], known: _Hashes) -> tuple[np.ndarray, np.ndarray
     for i in range(1, SHINGLE):
         total = total * _FACTOR + one[i : i + n]
     before = np.concatenate([[0], sizes[: n - 1]])
-    return _mixed(total), sizes[SHINGLE - 1 :] - before
+    return mixed(total), sizes[SHINGLE - 1 :] - before
 
 
 def window_fingerprints(hashes: np.ndarray, weights: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
@@ -108,7 +102,7 @@ def _key(size: np.ndarray | int, block: np.ndarray, value: np.ndarray) -> np.nda
 
 
 def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (_mixed(keys.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+    return (mixed(keys.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

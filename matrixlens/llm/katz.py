@@ -37,19 +37,18 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matrixlens.llm.simhash import words_of
-from matrixlens.llm.tables import written
+from matrixlens.llm.simhash import mixed, words_of
+from matrixlens.llm.tables import discard, write_scratch, written
 
 ORDER = 2
 #: Counts above this are discounted by a constant, not by Good-Turing.
 LARGEST_RARE = 5
 #: Tokens after which a block is closed.
-BLOCK_TOKENS = 5_000_000
+BLOCK_TOKENS = 2_500_000
 #: Ends every document; holds a blank, so it is no word.
 END = b" end"
 _KNOWN_WORDS = 400_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _KEPT = np.uint64(0xFFFFFFFFFFFFFF00)
 
 
@@ -100,12 +99,6 @@ def _slices(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
         yield b, slice(int(bounds[b]), int(bounds[b + 1]))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
 def discounts(n: list[int]) -> np.ndarray:
     """What is subtracted from counts 0, 1, ..., ``LARGEST_RARE`` and all above.
 
@@ -142,19 +135,25 @@ class Statistics:
 
 
 class _Block:
-    """The tokens of a block with the keys of its n-grams, order by order."""
+    """The tokens of a block with the keys of its n-grams, order by order.
+
+    Per order: ``keys`` of the n-gram that ends at each token, ``at`` the tokens that have one,
+    the ``distinct`` keys, the ``first`` token of each, and the ``number`` each one has among them.
+    """
 
     def __init__(self, words: np.ndarray, stream: np.ndarray, lengths: np.ndarray, order: int) -> None:
         self.lengths = lengths
-        self.doc = np.repeat(np.arange(len(lengths)), lengths)
-        place = np.arange(len(stream)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        self.keys, self.at, self.distinct, self.first, self.number = [words[stream]], [np.arange(len(stream))], [words], [None], [stream]
+        self.doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        self.keys, self.at, self.distinct, self.first, self.number = [words[stream]], [slice(None)], [words], [None], [stream]
+        begins = np.repeat((np.cumsum(lengths) - lengths).astype(np.int32), lengths)
+        place = np.arange(len(stream), dtype=np.int32) - begins
+        del begins
         for k in range(1, order):
             longer = np.zeros(len(stream), np.uint64)
-            longer[1:] = _mixed(self.keys[-1][:-1] * _FACTOR + self.keys[0][1:]) & _KEPT
-            at = np.flatnonzero(place >= k)
+            longer[1:] = mixed(self.keys[-1][:-1] * _FACTOR + self.keys[0][1:]) & _KEPT
+            at = np.flatnonzero(place >= k).astype(np.int32)
             distinct, first, number = np.unique(longer[at], return_index=True, return_inverse=True)
-            for held, value in zip((self.keys, self.at, self.distinct, self.first, self.number), (longer, at, distinct, at[first], number), strict=True):
+            for held, value in zip((self.keys, self.at, self.distinct, self.first, self.number), (longer, at, distinct, at[first], number.astype(np.int32)), strict=True):
                 held.append(value)
 
 
@@ -166,7 +165,7 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def close() -> pa.RecordBatch:
         words, stream = np.unique(np.concatenate(parts), return_inverse=True)
         lengths = np.array([len(p) for p in parts], np.int64)
-        row = {"block": block, "ids": ids, "held": held, "lengths": _pack(lengths), "words": _pack_sorted(words), "stream": _pack(stream.astype(np.uint32))}
+        row = {"block": block, "ids": ids, "held": held, "lengths": _pack(lengths), "words": _pack_sorted(words), "stream": _pack(stream.astype(np.int32))}
         return pa.RecordBatch.from_pylist([row], schema=_BLOCKS)
 
     for batch in batches:
@@ -191,7 +190,7 @@ _BLOCKS_SQL = "block long, ids array<string>, held array<boolean>, lengths binar
 def _opened(row: dict, order: int) -> tuple[_Block, np.ndarray]:
     """The block, and per token whether it is for training."""
     lengths = _unpack(row["lengths"], np.int64)
-    block = _Block(_unpack_sorted(row["words"]), _unpack(row["stream"], np.uint32).astype(np.int64), lengths, order)
+    block = _Block(_unpack_sorted(row["words"]), _unpack(row["stream"], np.int32), lengths, order)
     return block, np.repeat(~np.array(row["held"], bool), lengths)
 
 
@@ -407,12 +406,14 @@ def fit_and_score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", tex
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chosen = docs.select(F.col(doc_id).cast("string").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
-    blocks = written(chosen.mapInArrow(_tokenise, _BLOCKS_SQL))
+    folder = write_scratch(chosen.mapInArrow(_tokenise, _BLOCKS_SQL))
+    blocks = spark.read.schema(_BLOCKS_SQL).parquet(folder)
     asked = blocks.mapInArrow(_ask(order, buckets), _LISTS_SQL)
     tables = written(asked.groupBy("bucket", "order").applyInArrow(_tally, _LISTS_SQL), "kind", "order")
     stats = _statistics(tables.where("kind = 'totals'"), order)
     replies = tables.where("kind = 'reply'").select("block", "order", "bucket", "p1")
     scored = written(blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_evaluate(order, buckets, stats), _SCORED_SQL), "kind")
+    discard(spark, folder)  # all that is needed of the blocks is in what was written after them
     sums = scored.where("kind IN ('sums', 'ask')").select("kind", "order", "bucket", "block", "p1", "p2", "p3", "p4")
     weights = written(sums.groupBy("bucket", "order").applyInArrow(_weigh, _LISTS_SQL), "kind", "order")
     answers = weights.where("kind = 'answer'").select("block", "order", "bucket", "p1")

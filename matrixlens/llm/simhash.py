@@ -5,14 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 #: Seed of XXH64, as in Spark's own function.
 SEED = 42
 _CHUNK = 1 << 16
+_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Numbers (uint64) scattered by a bijection, so that all their bits look random."""
+    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
+    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
+    return x ^ (x >> np.uint64(31))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -41,16 +48,6 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprint_column(text: str, size: int = 3) -> Column:
-    """The fingerprint of a text column, as a signed long; for the few rows that need it beside others."""
-
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(shingle_hashes(words_of(t), size)) for t in texts], np.uint64).view(np.int64))
-
-    return of(F.col(text))
-
-
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
     """doc_id and the 64-bit fingerprint ``fp`` (as a signed long) of every row of ``docs``."""
 

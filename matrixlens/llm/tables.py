@@ -23,10 +23,21 @@ def written(df: DataFrame, *partitions: str) -> DataFrame:
     Cuts the lineage like a checkpoint, but columnar and compressed, so later steps read
     only the columns they need and lost executors cost no recomputation of earlier steps.
     """
+    return df.sparkSession.read.schema(df.schema).parquet(write_scratch(df, *partitions))
+
+
+def write_scratch(df: DataFrame, *partitions: str) -> str:
+    """The new folder in shared storage that ``df`` was written to."""
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/matrixlens-llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.partitionBy(*partitions).parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return folder
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of ``write_scratch`` that nothing will read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(text: Column) -> Column:
