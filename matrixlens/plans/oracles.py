@@ -145,7 +145,7 @@ def _section_listing() -> str:
 
 _DAYS = """days AS (SELECT make_date(CAST(1990 + i // 360 AS BIGINT), CAST(1 + i // 30 % 12 AS BIGINT), CAST(1 + i % 28 AS BIGINT)) AS day
  FROM range(0, 3600, 3) t(i) UNION ALL SELECT DATE '1996-01-01')"""
-_RETURNS = """kept AS (SELECT s_suppkey FROM supplier WHERE s_nationkey < 3),
+_RETURNS = """kept AS (SELECT s_suppkey FROM supplier WHERE s_nationkey IS DISTINCT FROM 3),
 grid AS (SELECT s_suppkey, c AS col_pos, coalesce(n, 0) AS value FROM kept CROSS JOIN range(12) t(c) LEFT JOIN (
  SELECT l_suppkey, l_linenumber, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2) ON l_suppkey = s_suppkey AND l_linenumber = c)"""
 _BALANCES = """grid AS (SELECT r AS row_pos, coalesce(n, 0) AS value FROM range(60) a(r) CROSS JOIN range(12) b(c) LEFT JOIN (
