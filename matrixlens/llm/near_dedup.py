@@ -12,6 +12,10 @@ segments are even): some 50 of 34 bits and more, by which distinct fingerprints
 meets is verified by its Hamming distance: nothing within three bits is missed, nothing
 beyond is linked, and copies have been reduced to one fingerprint before.
 
+``near_duplicate_groups`` links fingerprints of three-word shingles and nothing else.  For choosing
+one of each group of near copies, ``one_per_group`` takes several fingerprints a text as
+candidates and verifies five-word shingles.
+
 Keys are dealt by hash and sorted; a task goes through them key by key and hands on links
 that span what it found, never all pairs: of a run of many fingerprints, those already reached
 are not compared again.
@@ -23,14 +27,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from matrixlens.llm import golay
 from matrixlens.llm.components import connected_components
-from matrixlens.llm.simhash import fingerprint_column, fingerprints
+from matrixlens.llm.simhash import fingerprint, fingerprints, mixed, words_of
 from matrixlens.llm.tables import fresh, written
 
 RADIUS = 3
+#: For near copies by shingles: words in a shingle, shared share, and independent fingerprints.
+SIMILAR_WORDS, SIMILARITY, BANDS = 5, 0.8, 4
 #: Bits of the segments, from the low end.
 SEGMENTS = (22, 21, 21)
 #: Runs up to this length are compared lag by lag, longer ones by spreading from link to link.
@@ -66,84 +73,83 @@ def segment_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(found)
 
 
-def _spread(run: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what is connected within ``run`` (distinct fingerprints)."""
-    links, rest = [], run
+def _spread(run: np.ndarray, names: np.ndarray) -> list[np.ndarray]:
+    """Links that connect what is connected within ``run``."""
+    links, rest = [], np.arange(len(run))
     while len(rest):
         front, rest = [rest[0]], rest[1:]
         while front and len(rest):
             one = front.pop()
-            close = np.bitwise_count(rest ^ one) <= RADIUS
-            reached = rest[close]
-            rest = rest[~close]
-            links += [(one, x) for x in reached]
-            front += list(reached)
+            close = np.bitwise_count(run[rest] ^ run[one]) <= RADIUS
+            reached, rest = rest[close], rest[~close]
+            links.append(np.stack([np.full(len(reached), names[one]), names[reached]], axis=1))
+            front += reached.tolist()
     return links
 
 
-def link_runs(keys: np.ndarray, fps: np.ndarray) -> np.ndarray:
-    """Links (n x 2, uint64) among fingerprints with equal keys; both sorted by (key, fingerprint)."""
+def link_runs(keys: np.ndarray, fps: np.ndarray, names: np.ndarray | None = None) -> np.ndarray:
+    """Links (n x 2) among fingerprints (uint64) with equal keys, sorted by key.
+
+    They link the fingerprints, or what ``names`` calls them.
+    """
+    names = fps if names is None else names
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     lengths = np.diff(np.append(starts, len(keys)))
-    out = [np.zeros((0, 2), np.uint64)]
+    out = [np.zeros((0, 2), names.dtype)]
     short = np.repeat((lengths > 1) & (lengths <= SHORT_RUN), lengths)
     for lag in range(1, SHORT_RUN):
         at = np.flatnonzero(short[:-lag] & (keys[:-lag] == keys[lag:])) if len(keys) > lag else np.zeros(0, np.int64)
         if not len(at):
             break
-        a, b = fps[at], fps[at + lag]
-        close = np.bitwise_count(a ^ b) <= RADIUS
-        out.append(np.stack([a[close], b[close]], axis=1))
+        at = at[np.bitwise_count(fps[at] ^ fps[at + lag]) <= RADIUS]
+        out.append(np.stack([names[at], names[at + lag]], axis=1))
     for i in np.flatnonzero(lengths > SHORT_RUN):
-        if found := _spread(fps[starts[i] : starts[i] + lengths[i]]):
-            out.append(np.array(found, np.uint64))
+        run = slice(starts[i], starts[i] + lengths[i])
+        out += _spread(fps[run], names[run])
     return np.unique(np.concatenate(out), axis=0)
 
 
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, band, fp) to rows (key, fp, node); bands keep their keys apart."""
     for batch in batches:
-        every = batch.column(0).to_numpy(zero_copy_only=False)
+        nodes, bands, every = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         for at in range(0, len(every), 4096):
             fps = every[at : at + 4096]
             rows, keys = segment_keys(fps.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fps[rows])], names=["key", "fp"])
+            keys |= bands[at : at + 4096][rows].astype(np.int64) << (_KEY_BITS + 3)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fps[rows]), pa.array(nodes[at : at + 4096][rows])], names=["key", "fp", "node"])
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over rows sorted by key; the last run of a batch is kept until the next key is seen."""
-    keys, fps = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    held = [np.zeros(0, np.int64)] * 3
 
-    def linked(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
-        found = link_runs(k, f.view(np.uint64)).view(np.int64)
+    def linked(keys: np.ndarray, fps: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+        found = link_runs(keys, fps.view(np.uint64), nodes)
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["a", "b"])
 
     for batch in batches:
-        keys = np.concatenate([keys, batch.column(0).to_numpy(zero_copy_only=False)])
-        fps = np.concatenate([fps, batch.column(1).to_numpy(zero_copy_only=False)])
-        last = np.searchsorted(keys, keys[-1]) if len(keys) else 0
+        held = [np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip(held, batch.columns, strict=True)]
+        last = np.searchsorted(held[0], held[0][-1]) if len(held[0]) else 0
         if last:
-            yield linked(keys[:last], fps[:last])
-            keys, fps = keys[last:], fps[last:]
-    if len(keys):
-        yield linked(keys, fps)
+            yield linked(*(h[:last] for h in held))
+            held = [h[last:] for h in held]
+    if len(held[0]):
+        yield linked(*held)
 
 
-def fingerprint_links(distinct: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all of the distinct ``fp`` within three bits."""
-    keyed = distinct.select("fp").mapInArrow(_deal, "key long, fp long")
-    return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_links, "a long, b long").distinct()
+def banded_links(banded: DataFrame) -> DataFrame:
+    """Links (a, b) of nodes whose fingerprints in a band are within three bits: of rows (node, band, fp).
 
+    They connect all nodes that such pairs connect.
+    """
+    keyed = banded.select("node", "band", "fp").mapInArrow(_deal, "key long, fp long, node long")
+    return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_links, "a long, b long").where("a != b").distinct()
 
-def _groups(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """doc_id, fp, root (the smallest fingerprint of the component) and component_id of every row."""
-    marked = written(fingerprints(docs, doc_id, text, size))
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("_least")))
-    components = connected_components(fingerprint_links(distinct))
-    rooted = distinct.join(components, F.col("fp") == F.col("node"), "left")
-    rooted = rooted.select("fp", "_least", "root")
-    least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("_least").alias("_of_root"))
-    named = rooted.join(least, "root", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("_least")).otherwise(F.col("_of_root")).alias("component_id"))
-    return marked.join(written(named), "fp")
+
+def fingerprint_links(distinct: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all of the distinct ``fp`` within three bits."""
+    return banded_links(distinct.select(F.col("fp").alias("node"), F.lit(0).alias("band"), "fp"))
 
 
 def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
@@ -156,27 +162,78 @@ def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     passed over, and it is null where no id is reachable.  Repeated rows are rows like any
     other.  Other columns are not looked at.
     """
-    groups = _groups(docs, doc_id, text, size)
-    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    marked = written(fingerprints(docs, doc_id, text, size))
+    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("_least")))
+    components = connected_components(fingerprint_links(distinct))
+    rooted = distinct.join(components, F.col("fp") == F.col("node"), "left").select("fp", "_least", "root")
+    least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("_least").alias("_of_root"))
+    component = F.when(F.col("root").isNull(), F.col("_least")).otherwise(F.col("_of_root"))
+    named = written(rooted.join(least, "root", "left").select("fp", component.alias("component_id")))
+    return marked.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _word_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, text) to rows (node, band, fp): SimHashes of the different words, one hash function a band."""
+    for batch in batches:
+        fps = np.zeros((batch.num_rows, BANDS), np.uint64)
+        for i, text in enumerate(batch.column(1)):
+            words = np.array([xxhash.xxh64_intdigest(w) for w in set(words_of(text.as_py()))], np.uint64)
+            for band in range(BANDS):
+                fps[i, band] = fingerprint(mixed(words + np.uint64(band)))
+        nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
+        bands = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(bands), pa.array(fps.ravel().view(np.int64))], names=["node", "band", "fp"])
+
+
+def resemblance(one: str | None, other: str | None, size: int = SIMILAR_WORDS) -> float:
+    """Shared share of the different ``size``-word shingles of two texts; 1 for two texts without words."""
+    a, b = ({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} for w in (words_of(one), words_of(other)))
+    return len(a & b) / len(a | b)
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        same = [resemblance(x, y) >= SIMILARITY for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([c.filter(pa.array(same)) for c in batch.columns[:2]], names=["a", "b"])
+
+
+def similar_texts(texts: DataFrame) -> DataFrame:
+    """Components (node, root) of different texts (node, text) that are near copies.
+
+    Near copies share ``SIMILARITY`` of their five-word shingles.  Candidates come from SimHashes of
+    the texts' different words, which few changed words hardly move, in ``BANDS`` bands of
+    independent hash functions; each band links what is within three bits, and each link is
+    verified by the shingles themselves.
+    """
+    links = written(banded_links(texts.mapInArrow(_word_fingerprints, "node long, band int, fp long")))
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    linked = written(texts.join(ends, "node", "left_semi"))
+    one, other = (linked.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}")) for name in "ab")
+    verified = links.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b").mapInArrow(_alike, "a long, b long")
+    return connected_components(verified)
 
 
-def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
-    """``docs`` with one row of each component, that of its smallest id; all columns are kept.
+def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near copies, that of its smallest id; all columns are kept.
 
-    Of several rows of the component with that id the one with the longest text stays, and of
-    a component without any id the one with the longest text.
+    Groups are the components of ``similar_texts``; rows with equal texts belong together.  Null,
+    empty and blank texts are one group.  Null ids come after all others; of rows that agree in
+    id, the text with the smallest hash stays, and of rows that agree in both any one.
     """
-    id_, fp, fp2, place, root = (fresh(docs, name) for name in ("_id", "_fp", "_fp_of", "_place", "_root"))
-    groups = written(_groups(docs, doc_id, text, size))
-    rows = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_), F.col("fp").alias(fp2), F.col("root").alias(root)).distinct()
-    same_id = F.col(doc_id).eqNullSafe(F.col(id_))
-    alone = rows.where("n = 1 AND doc_id IS NOT NULL").select("doc_id")
-    single = docs.join(stays.join(alone, F.col(id_) == F.col("doc_id"), "left_semi").select(id_), same_id, "left_semi")
-    # Ids that are missing or occur more than once: told apart by fingerprint, one row of each component stays.
-    unclear = stays.join(alone, F.col(id_) == F.col("doc_id"), "left_anti")
-    several = docs.join(unclear.select(id_).distinct(), same_id, "left_semi").withColumn(fp, fingerprint_column(text, size))
-    several = several.join(unclear, same_id & (F.col(fp) == F.col(fp2)))
-    first = Window.partitionBy(root).orderBy(F.length(text).desc_nulls_last(), F.xxhash64(text))
-    several = several.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
-    return single.unionByName(several.select(*(F.col(f"`{c}`") for c in docs.columns)))
+    id_, node, place = (fresh(docs, name) for name in ("_id", "_node", "_place"))
+    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("node"))
+    texts = docs.select(F.xxhash64(text).alias("node"), F.col(text).alias("text")).dropDuplicates(["node"])
+    components = written(similar_texts(texts))
+    rooted = rows.join(components, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = F.min(F.struct(F.col("id").isNull().alias("lacks"), "id", "node")).alias("first")
+    stays = written(rooted.groupBy("root").agg(first).select(F.col("first.id").alias(id_), F.col("first.node").alias(node)))
+    # Rows that agree in id and text: a few, told from the others by a count.
+    same = F.col(doc_id).eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(node))
+    twice = rows.groupBy("id", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("id2"), F.col("node").alias("node2"))
+    if twice.isEmpty():
+        return docs.join(stays, same, "left_semi")
+    is_twice = F.col(id_).eqNullSafe(F.col("id2")) & (F.col(node) == F.col("node2"))
+    single = docs.join(stays.join(twice, is_twice, "left_anti"), same, "left_semi")
+    several = docs.join(stays.join(twice, is_twice, "left_semi"), same, "left_semi").withColumn(node, F.xxhash64(text))
+    order = Window.partitionBy(doc_id, node).orderBy(node)
+    return single.unionByName(several.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place, node))

@@ -133,9 +133,10 @@ def test_archives_are_plain_zstandard_with_a_leading_dictionary(spark, tmp_path)
     assert one.startswith(b"WARC/1.1\r\n") and one.endswith(b"\r\n\r\n")
     damaged = bytearray(raw)
     damaged[-20] ^= 1
-    with pytest.raises((zstandard.ZstdError, ValueError)):
+    with pytest.raises((zstandard.ZstdError, ValueError, KeyError)):
         for fields, content in warc._records(bytes(damaged)):
-            assert hashlib.sha1(content).hexdigest().encode() == fields[b"WARC-Payload-Digest"][5:] or pytest.raises(ValueError)
+            if hashlib.sha1(content).hexdigest().encode() != fields[b"WARC-Payload-Digest"][5:]:
+                raise ValueError("damaged")
 
 
 # -- personal data -------------------------------------------------------------------------
