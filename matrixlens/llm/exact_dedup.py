@@ -178,6 +178,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # Ids that occur more than once: told apart by text, and one row of each kept text stays.
     repeated = ids.where("some AND n > 1").select(F.col(id_).alias("repeated"))
     unclear = decided.where("kept").join(repeated, F.col(id_).eqNullSafe(F.col("repeated")), "left_semi").select(id_, F.col(sha).alias(f"{sha}2")).distinct()
+    if unclear.isEmpty():
+        return single
     marked = docs.withColumn(sha, F.sha2(normalised(F.col(text)).cast("binary"), 256))
     several = marked.join(unclear, same_id & (F.col(sha) == F.col(f"{sha}2")), "left_semi")
     first = Window.partitionBy(doc_id, sha).orderBy(F.length(text).desc_nulls_last())
