@@ -19,13 +19,16 @@ import re
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
 MARKER = "▁"
-#: Entries of a task's table; some 100 MB.
-TABLE_CHUNKS = 300_000
+#: Entries of a task's table; some 60 MB.
+TABLE_CHUNKS = 150_000
+#: Rows handed on at once: a text's ids take several times its own memory.
+ROWS_OUT = 256
 _CHUNK = re.compile(f"{MARKER}+[^{MARKER}]*")
 
 
@@ -83,18 +86,20 @@ def encode_documents(docs: DataFrame, model_file: str, doc_id: str = "doc_id", t
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = ChunkTable(model_file)
         for batch in batches:
-            n, ids, decoded = [], [], []
-            for value in batch.column(1):
-                count, numbers, back = chunks.encode(value.as_py() or "")
-                n.append(count)
-                if digest:
-                    ids.append(hashlib.sha256(numbers.encode()).hexdigest())
-                    decoded.append(hashlib.sha256(back.encode()).hexdigest())
-                else:
-                    ids.append([int(i) for i in numbers.split(",")] if numbers else [])
-                    decoded.append(back)
-            arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string() if digest else pa.list_(pa.int32())), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", *out])
+            for at in range(0, batch.num_rows, ROWS_OUT):
+                some = batch.slice(at, ROWS_OUT)
+                n, ids, decoded = [], [], []
+                for value in some.column(1):
+                    count, numbers, back = chunks.encode(value.as_py() or "")
+                    n.append(count)
+                    if digest:
+                        ids.append(hashlib.sha256(numbers.encode()).hexdigest())
+                        decoded.append(hashlib.sha256(back.encode()).hexdigest())
+                    else:
+                        ids.append(np.array(numbers.split(",") if numbers else [], np.int32))
+                        decoded.append(back)
+                arrays = [some.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string() if digest else pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", *out])
 
     out = ["ids_sha256", "decoded_sha256"] if digest else ["ids", "decoded"]
     schema = f"doc_id {kind}, n_tokens long, {out[0]} {'string' if digest else 'array<int>'}, {out[1]} string"
