@@ -44,10 +44,10 @@ ORDER = 2
 #: Counts above this are discounted by a constant, not by Good-Turing.
 LARGEST_RARE = 5
 #: Tokens after which a block is closed.
-BLOCK_TOKENS = 2_500_000
+BLOCK_TOKENS = 1_500_000
 #: Ends every document; holds a blank, so it is no word.
 END = b" end"
-_KNOWN_WORDS = 400_000
+_KNOWN_WORDS = 200_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _KEPT = np.uint64(0xFFFFFFFFFFFFFF00)
 
