@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 from functools import cache
@@ -97,6 +98,28 @@ def test_leaks_are_found_and_clean_documents_left_alone(spark):
     assert decontaminate(docs, items.limit(0)).count() == len(rows)
 
 
+def test_edited_leaks_are_found_as_by_brute_force(spark):
+    rng, items, rows = random.Random(8), [], []
+    for i in range(60):
+        words = prose(8000 + i, 15 + 3 * (i % 15)).split()
+        items.append((i, " ".join(words)))
+        for k in range(12):
+            n, edited = len(words), list(words)
+            cut = rng.randrange(1, n // 9 + 1)
+            if k % 3 == 0:
+                for at in rng.sample(range(n), 1 + n // 40):
+                    edited[at] = "changed"
+            elif k % 3 == 1:
+                edited = edited[cut:] + ["tail"] * cut
+            else:
+                edited = ["head"] * cut + edited[:-cut]
+            if SIMILARITY <= similarity(edited, words) < 0.9:
+                rows.append((1000 * i + k, f"{prose(9000 + i, 20)} {' '.join(edited)} {prose(9500 + k, 20)}"))
+    want = {(d, i): slow_matches([(d, t)], [items[d // 1000]])[d, d // 1000] for d, t in rows for i in (d // 1000,)}
+    got = {(r.doc_id, r.item_id): r.similarity for r in contaminated(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(want) > 200 and got == pytest.approx(want)
+
+
 def test_rows_without_an_id_are_judged_by_their_text(spark):
     rows = [(None, prose(70, 40)), (None, ITEMS[0][1]), (1, prose(71, 40)), (1, ITEMS[0][1])]
     left = decontaminate(documents(spark, rows), spark.createDataFrame(ITEMS, "item_id long, text string"))
