@@ -38,6 +38,8 @@ from matrixlens.llm.tables import fresh, written
 RADIUS = 3
 #: For near copies by shingles: words in a shingle, shared share, and independent fingerprints.
 SIMILAR_WORDS, SIMILARITY, BANDS = 5, 0.8, 4
+#: How many times as many texts of a key are compared with the others in each round.
+WIDER = 16
 #: Bits of the segments, from the low end.
 SEGMENTS = (22, 21, 21)
 #: Runs up to this length are compared lag by lag, longer ones by spreading from link to link.
@@ -197,20 +199,70 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([c.filter(pa.array(same)) for c in batch.columns[:2]], names=["a", "b"])
 
 
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of the ``pairs`` (a, b) of nodes whose texts (node, text) are near copies."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    linked = written(texts.join(ends, "node", "left_semi"))
+    one, other = (linked.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}")) for name in "ab")
+    return pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b").mapInArrow(_alike, "a long, b long")
+
+
+def _pivots(members: DataFrame, degrees: DataFrame | None, width: int) -> DataFrame:
+    """(key, pivot, pivot_root): of each key's nodes the one of most links and some ``width`` more; all if they are no more."""
+    bucket = F.when(F.col("n") <= width, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(width)), F.lit(width)))
+    first = members.groupBy("key", bucket.alias("bucket")).agg(F.min(F.struct("node", "root")).alias("p"))
+    chosen = first.select("key", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root"))
+    if degrees is None:
+        return chosen
+    most = members.join(degrees, "node").groupBy("key").agg(F.max(F.struct("degree", "node", "root")).alias("p"))
+    return chosen.union(most.select("key", F.col("p.node"), F.col("p.root"))).distinct()
+
+
+def verified_components(keyed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Components (node, root) over verified links among texts (node, text) that share a key: of distinct rows (key, node).
+
+    In each round the nodes of a key are compared with a few of them, its pivots.  Only links that
+    hold join components, and a key stays open until its nodes are of one component or all
+    its pairs of two components have been compared: a link that fails hides no other.  A key's
+    nodes are never brought together; they meet its pivots by a join.
+    """
+    runs = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = written(keyed.join(runs, "key").select("key", "node", "n", F.col("node").alias("root")))
+    links = tested = degrees = None
+    components = connected_components(texts.sparkSession.createDataFrame([], "a long, b long"))
+    width = 1
+    while (most := members.agg(F.max("n")).first()[0]) is not None:
+        met = members.join(_pivots(members, degrees, width), "key").where("root != pivot_root")
+        pairs = met.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
+        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        tested = pairs if tested is None else tested.union(pairs)
+        found = written(_verified(pairs, texts))
+        links = found if links is None else links.union(found)
+        if not found.isEmpty():
+            components = written(connected_components(links))
+            ends = links.select(F.explode(F.array("a", "b")).alias("node"))
+            degrees = written(ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree")))
+        if width >= most:
+            # Every pair of two components has been compared; joined ones need no more.
+            break
+        rooted = members.drop("root").join(components, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+        rooted = written(rooted)
+        still = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        members = written(rooted.join(still, "key", "left_semi"))
+        width *= WIDER
+    return components
+
+
 def similar_texts(texts: DataFrame) -> DataFrame:
     """Components (node, root) of different texts (node, text) that are near copies.
 
     Near copies share ``SIMILARITY`` of their five-word shingles.  Candidates come from SimHashes of
     the texts' different words, which few changed words hardly move, in ``BANDS`` bands of
-    independent hash functions; each band links what is within three bits, and each link is
-    verified by the shingles themselves.
+    independent hash functions; texts that share a key of a band are verified by the shingles
+    themselves.
     """
-    links = written(banded_links(texts.mapInArrow(_word_fingerprints, "node long, band int, fp long")))
-    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
-    linked = written(texts.join(ends, "node", "left_semi"))
-    one, other = (linked.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}")) for name in "ab")
-    verified = links.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b").mapInArrow(_alike, "a long, b long")
-    return connected_components(verified)
+    keyed = texts.mapInArrow(_word_fingerprints, "node long, band int, fp long").mapInArrow(_deal, "key long, fp long, node long")
+    return verified_components(keyed.select("key", "node").distinct(), texts)
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -13,7 +13,7 @@ from hypothesis import given, settings, strategies as st
 from matrixlens.llm import golay
 from matrixlens.llm.components import connected_components
 from matrixlens.llm.exact_dedup import CountingQuotientFilter, deduplicate, exact_groups, merge_sorted
-from matrixlens.llm.near_dedup import RADIUS, SIMILARITY, fingerprint_links, link_runs, near_duplicate_groups, one_per_group, resemblance, segment_keys
+from matrixlens.llm.near_dedup import RADIUS, SIMILARITY, fingerprint_links, link_runs, near_duplicate_groups, one_per_group, resemblance, segment_keys, verified_components
 from matrixlens.llm.simhash import fingerprint, shingle_hashes, words_of
 from tests.llm.cases import AWKWARD, WORDS, documents, prose
 
@@ -205,6 +205,21 @@ def test_one_row_of_each_group_stays(spark):
     assert one_per_group(docs.limit(0)).count() == 0
 
 
+def test_links_that_fail_hide_no_others(spark):
+    """A star: copies that resemble the original, not each other, under one key."""
+    original = prose(21, 1000).split()
+    texts = {0: " ".join(original)}
+    for i in range(1, 1001):
+        at = (i * 7) % 900
+        texts[i] = " ".join([*original[:at], *(f"new{i}x{k}" for k in range(90)), *original[at + 90 :]])
+    assert resemblance(texts[0], texts[1]) >= SIMILARITY > resemblance(texts[1], texts[60])
+    # The original is neither the first nor the last of the key.
+    nodes = [((i * 401 + 500) % 1001, t) for i, t in texts.items()]
+    table = spark.createDataFrame(nodes, "node long, text string").repartition(4)
+    got = verified_components(table.selectExpr("7L AS key", "node"), table).collect()
+    assert {r.node for r in got} == set(range(1001)) and {r.root for r in got} == {0}
+
+
 def test_resemblance():
     assert resemblance(None, " ") == 1 and resemblance("a b", "a  B") == 1 and resemblance("a b", "a c") == 0 and resemblance("", "a") == 0
     words = [f"w{i}" for i in range(100)]
