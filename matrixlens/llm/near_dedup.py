@@ -12,9 +12,10 @@ segments are even): some 50 of 34 bits and more, by which distinct fingerprints
 meets is verified by its Hamming distance: nothing within three bits is missed, nothing
 beyond is linked, and copies have been reduced to one fingerprint before.
 
-``near_duplicate_groups`` links fingerprints of three-word shingles and nothing else.  For choosing
-one of each group of near copies, ``one_per_group`` takes several fingerprints a text as
-candidates and verifies five-word shingles.
+``near_duplicate_groups`` links fingerprints of three-word shingles and nothing else.  They move
+further than three bits by few edits, so for choosing one of each group of near copies
+``one_per_group`` takes candidates by the smallest of their five-word shingles (MinHash) and
+verifies the shared share of these.
 
 Keys are dealt by hash and sorted; a task goes through them key by key and hands on links
 that span what it found, never all pairs: of a run of many fingerprints, those already reached
@@ -32,12 +33,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from matrixlens.llm import golay
 from matrixlens.llm.components import connected_components
-from matrixlens.llm.simhash import fingerprint, fingerprints, mixed, words_of
+from matrixlens.llm.simhash import fingerprints, mixed, words_of
 from matrixlens.llm.tables import fresh, written
 
 RADIUS = 3
-#: For near copies by shingles: words in a shingle, shared share, and independent fingerprints.
-SIMILAR_WORDS, SIMILARITY, BANDS = 5, 0.8, 4
+#: For near copies by shingles: words in a shingle, shared share, bands of keys and hash functions of a band.
+SIMILAR_WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 4
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_FUNCTIONS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 #: How many times as many texts of a key are compared with the others in each round.
 WIDER = 16
 #: Bits of the segments, from the low end.
@@ -174,17 +177,38 @@ def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     return marked.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _word_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, text) to rows (node, band, fp): SimHashes of the different words, one hash function a band."""
+def five_word_hashes(text: str | None) -> np.ndarray:
+    """Hashes (uint64) of the ``SIMILAR_WORDS``-word shingles, or of the whole sequence if it is shorter."""
+    words = words_of(text)
+    if not words:
+        return np.zeros(1, np.uint64)
+    one = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    size = min(SIMILAR_WORDS, len(words))
+    n = len(words) - size + 1
+    total = one[:n].copy()
+    for i in range(1, size):
+        total = total * _FACTOR + one[i : i + n]
+    return mixed(total)
+
+
+def similarity_keys(text: str | None) -> np.ndarray:
+    """``BANDS`` keys (int64), each of the smallest shingles of a text by ``ROWS`` hash functions."""
+    hashes = five_word_hashes(text)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 2048):  # bounds the memory for very long texts
+        least = np.minimum(least, (hashes[at : at + 2048] * _FUNCTIONS[:, None]).min(axis=1))
+    total = np.arange(BANDS, dtype=np.uint64)
+    for column in mixed(least).reshape(BANDS, ROWS).T:
+        total = total * _FACTOR + column
+    return mixed(total).view(np.int64)
+
+
+def _similarity_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, text) to rows (key, node)."""
     for batch in batches:
-        fps = np.zeros((batch.num_rows, BANDS), np.uint64)
-        for i, text in enumerate(batch.column(1)):
-            words = np.array([xxhash.xxh64_intdigest(w) for w in set(words_of(text.as_py()))], np.uint64)
-            for band in range(BANDS):
-                fps[i, band] = fingerprint(mixed(words + np.uint64(band)))
+        keys = [similarity_keys(text.as_py()) for text in batch.column(1)]
         nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
-        bands = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(bands), pa.array(fps.ravel().view(np.int64))], names=["node", "band", "fp"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *keys])), pa.array(nodes)], names=["key", "node"])
 
 
 def resemblance(one: str | None, other: str | None, size: int = SIMILAR_WORDS) -> float:
@@ -256,13 +280,12 @@ def verified_components(keyed: DataFrame, texts: DataFrame) -> DataFrame:
 def similar_texts(texts: DataFrame) -> DataFrame:
     """Components (node, root) of different texts (node, text) that are near copies.
 
-    Near copies share ``SIMILARITY`` of their five-word shingles.  Candidates come from SimHashes of
-    the texts' different words, which few changed words hardly move, in ``BANDS`` bands of
-    independent hash functions; texts that share a key of a band are verified by the shingles
-    themselves.
+    Near copies share ``SIMILARITY`` of their five-word shingles.  Candidates are texts with the same
+    smallest shingles by ``ROWS`` hash functions in one of ``BANDS`` bands: a pair that shares s
+    of its shingles, whatever the edits, is missed with a probability of ``(1 - s**ROWS)**BANDS``,
+    4 in a million at 0.8.  Candidates are verified by the shingles themselves.
     """
-    keyed = texts.mapInArrow(_word_fingerprints, "node long, band int, fp long").mapInArrow(_deal, "key long, fp long, node long")
-    return verified_components(keyed.select("key", "node").distinct(), texts)
+    return verified_components(written(texts.mapInArrow(_similarity_keys, "key long, node long")), texts)
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

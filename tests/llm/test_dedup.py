@@ -13,7 +13,7 @@ from hypothesis import given, settings, strategies as st
 from matrixlens.llm import golay
 from matrixlens.llm.components import connected_components
 from matrixlens.llm.exact_dedup import CountingQuotientFilter, deduplicate, exact_groups, merge_sorted
-from matrixlens.llm.near_dedup import RADIUS, SIMILARITY, fingerprint_links, link_runs, near_duplicate_groups, one_per_group, resemblance, segment_keys, verified_components
+from matrixlens.llm.near_dedup import RADIUS, SIMILARITY, fingerprint_links, link_runs, near_duplicate_groups, one_per_group, resemblance, segment_keys, similarity_keys, similar_texts, verified_components
 from matrixlens.llm.simhash import fingerprint, shingle_hashes, words_of
 from tests.llm.cases import AWKWARD, WORDS, documents, prose
 
@@ -220,6 +220,37 @@ def test_links_that_fail_hide_no_others(spark):
     assert {r.node for r in got} == set(range(1001)) and {r.root for r in got} == {0}
 
 
+@pytest.mark.parametrize("kind", ["scattered", "appended", "cut", "replaced"])
+def test_near_copies_meet_whatever_the_edit(kind):
+    rng = random.Random(kind)
+    for i in range(60):
+        words = prose(20_000 + i, 100 + 40 * i).split()
+        n, edited = len(words), list(words)
+        block = rng.randrange(n // 12, n // 10)
+        if kind == "scattered":
+            for at in rng.sample(range(n), n // 60):
+                edited[at] = "changed"
+        elif kind == "appended":
+            edited += [f"tail{k}" for k in range(2 * block)]
+        elif kind == "cut":
+            at = rng.randrange(n - 2 * block)
+            del edited[at : at + block]
+        else:
+            at = rng.randrange(n - block)
+            edited[at : at + block] = [f"block{k}" for k in range(block)]
+        if resemblance(" ".join(words), " ".join(edited)) >= SIMILARITY:
+            assert (similarity_keys(" ".join(words)) == similarity_keys(" ".join(edited))).any()
+
+
+def test_copies_with_a_tail_are_found(spark):
+    rows = []
+    for i in range(40):
+        words = prose(30_000 + i, 300)
+        rows += [(2 * i, words), (2 * i + 1, " ".join([words, *(f"tail{i}x{k}" for k in range(60))]))]
+    got = {r.node: r.root for r in similar_texts(spark.createDataFrame(rows, "node long, text string")).collect()}
+    assert got == {i: i // 2 * 2 for i in range(80)}
+
+
 def test_resemblance():
     assert resemblance(None, " ") == 1 and resemblance("a b", "a  B") == 1 and resemblance("a b", "a c") == 0 and resemblance("", "a") == 0
     words = [f"w{i}" for i in range(100)]
