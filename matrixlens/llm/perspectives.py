@@ -14,6 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from matrixlens.llm.tables import written
+from matrixlens.operators.positions import assign_positions
+
 #: Turn numbers in one part, and the most different rows of one turn that stay in one group.
 TURNS = 1024
 #: Roles that set the scene and are nobody's perspective.
@@ -36,17 +39,25 @@ def rotate_perspectives(turns: DataFrame, narrators: tuple[str, ...] = NARRATORS
     conversation.  Turns are in order of (turn, role, text).  Rows without a turn number come
     first, in a part of their own (null).  Rows that agree in all four columns are one
     utterance and are rendered once.  If one turn number holds more than ``size`` different
-    rows, they are dealt by a hash over numbered ``tie`` groups.  A conversation in which only
+    rows, its part is cut into numbered ``tie`` groups of ``size`` rows each, in the same
+    order.  A conversation in which only
     narrators speak has no perspective and gives no row.  Other columns are not looked at.
     """
     turns = turns.select(
         "conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     ).distinct()
+    # A part with a crowded turn is cut by rank in the stated order; ranks are counted from its first row.
+    part = F.floor(F.col("turn") / size)
     crowded = turns.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
-    crowded = crowded.select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), F.ceil(F.col("_n") / size).alias("_groups"))
-    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("turn").eqNullSafe(F.col("_turn"))
-    tie = F.when(F.col("_groups").isNotNull(), F.pmod(F.xxhash64("role", "text"), F.col("_groups"))).otherwise(F.lit(0))
-    spoken = turns.join(crowded, same, "left").withColumn("tie", tie.cast("int"))
+    crowded = written(crowded.select(F.col("conv_id").alias("_conv"), part.alias("_part")).distinct())
+    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & part.eqNullSafe(F.col("_part"))
+    plain = turns.join(crowded, same, "left_anti").withColumn("tie", F.lit(0))
+    spoken = plain
+    if not crowded.isEmpty():
+        placed = assign_positions(turns.join(crowded, same, "left_semi"), "conv_id", "turn", "role", "text", name="_at")
+        first = placed.groupBy(F.col("conv_id").alias("_conv"), part.alias("_part")).agg(F.min("_at").alias("_first"))
+        tie = F.floor((F.col("_at") - F.col("_first")) / size).cast("int")
+        spoken = plain.unionByName(placed.join(first, same).select("conv_id", "turn", "role", "text", tie.alias("tie")))
     parts = (
         spoken.groupBy("conv_id", F.floor(F.col("turn") / size).alias("part"), "tie")
         .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("_turns"))

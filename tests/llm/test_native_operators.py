@@ -54,6 +54,17 @@ def test_url_rules(spark, rules):
 # -- perspectives --------------------------------------------------------------------------
 
 
+def test_parts_of_crowded_turns_keep_the_order(spark):
+    turns = [(c, t, "ab"[i % 2], f"t{t} {i:02}") for c, t, n in ((1, 3, 2), (1, 5, 50), (1, 6, 3), (None, None, 20), (None, 0, 30)) for i in range(n)]
+    rows = rotate_perspectives(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), size=8).collect()
+    assert max(r.n_turns for r in rows) == 8
+    for conv in (1, None):
+        own = sorted({t for t in turns if t[0] == conv}, key=lambda t: (t[1] is not None, t[1] or 0, *t[2:]))
+        for speaker in "ab":
+            got = sorted((r.part is not None, r.part or 0, r.tie, r.text) for r in rows if (r.conv_id, r.perspective) == (conv, speaker))
+            assert re.findall(r"\|>\n(.*?)<\|end\|>", "".join(t for *_, t in got)) == [t for *_, t in own]
+
+
 def rendered(turns, speaker):
     text, spans = "", []
     for role, said in turns:
