@@ -12,10 +12,8 @@ segments are even): some 50 of 34 bits and more, by which distinct fingerprints
 meets is verified by its Hamming distance: nothing within three bits is missed, nothing
 beyond is linked, and copies have been reduced to one fingerprint before.
 
-``near_duplicate_groups`` links fingerprints of three-word shingles and nothing else.  They move
-further than three bits by few edits, so for choosing one of each group of near copies
-``one_per_group`` takes candidates by the smallest of their five-word shingles (MinHash) and
-verifies the shared share of these.
+``near_duplicate_groups`` names the component of every row, ``one_per_group`` keeps one row of
+each component.  Both link fingerprints of three-word shingles and look at nothing else.
 
 Keys are dealt by hash and sorted; a task goes through them key by key and hands on links
 that span what it found, never all pairs: of a run of many fingerprints, those already reached
@@ -28,21 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from matrixlens.llm import golay
 from matrixlens.llm.components import connected_components
-from matrixlens.llm.simhash import fingerprints, mixed, words_of
-from matrixlens.llm.tables import fresh, written
+from matrixlens.llm.simhash import fingerprints, text_key
+from matrixlens.llm.tables import fresh, hand_on, scratch, written
 
 RADIUS = 3
-#: For near copies by shingles: words in a shingle, shared share, bands of keys and hash functions of a band.
-SIMILAR_WORDS, SIMILARITY, BANDS, ROWS = 5, 0.8, 24, 4
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_FUNCTIONS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-#: How many times as many texts of a key are compared with the others in each round.
-WIDER = 16
 #: Bits of the segments, from the low end.
 SEGMENTS = (22, 21, 21)
 #: Runs up to this length are compared lag by lag, longer ones by spreading from link to link.
@@ -78,59 +69,53 @@ def segment_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(found)
 
 
-def _spread(run: np.ndarray, names: np.ndarray) -> list[np.ndarray]:
+def _spread(run: np.ndarray) -> list[np.ndarray]:
     """Links that connect what is connected within ``run``."""
-    links, rest = [], np.arange(len(run))
+    links, rest = [], run
     while len(rest):
         front, rest = [rest[0]], rest[1:]
         while front and len(rest):
             one = front.pop()
-            close = np.bitwise_count(run[rest] ^ run[one]) <= RADIUS
+            close = np.bitwise_count(rest ^ one) <= RADIUS
             reached, rest = rest[close], rest[~close]
-            links.append(np.stack([np.full(len(reached), names[one]), names[reached]], axis=1))
-            front += reached.tolist()
+            links.append(np.stack([np.full(len(reached), one), reached], axis=1))
+            front += list(reached)
     return links
 
 
-def link_runs(keys: np.ndarray, fps: np.ndarray, names: np.ndarray | None = None) -> np.ndarray:
-    """Links (n x 2) among fingerprints (uint64) with equal keys, sorted by key.
-
-    They link the fingerprints, or what ``names`` calls them.
-    """
-    names = fps if names is None else names
+def link_runs(keys: np.ndarray, fps: np.ndarray) -> np.ndarray:
+    """Links (n x 2) among fingerprints (uint64) with equal keys, sorted by key."""
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     lengths = np.diff(np.append(starts, len(keys)))
-    out = [np.zeros((0, 2), names.dtype)]
+    out = [np.zeros((0, 2), fps.dtype)]
     short = np.repeat((lengths > 1) & (lengths <= SHORT_RUN), lengths)
     for lag in range(1, SHORT_RUN):
         at = np.flatnonzero(short[:-lag] & (keys[:-lag] == keys[lag:])) if len(keys) > lag else np.zeros(0, np.int64)
         if not len(at):
             break
         at = at[np.bitwise_count(fps[at] ^ fps[at + lag]) <= RADIUS]
-        out.append(np.stack([names[at], names[at + lag]], axis=1))
+        out.append(np.stack([fps[at], fps[at + lag]], axis=1))
     for i in np.flatnonzero(lengths > SHORT_RUN):
-        run = slice(starts[i], starts[i] + lengths[i])
-        out += _spread(fps[run], names[run])
+        out += _spread(fps[starts[i] : starts[i] + lengths[i]])
     return np.unique(np.concatenate(out), axis=0)
 
 
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, band, fp) to rows (key, fp, node); bands keep their keys apart."""
+    """Fingerprints to rows (key, fp)."""
     for batch in batches:
-        nodes, bands, every = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        every = batch.column(0).to_numpy(zero_copy_only=False)
         for at in range(0, len(every), 4096):
             fps = every[at : at + 4096]
             rows, keys = segment_keys(fps.view(np.uint64))
-            keys |= bands[at : at + 4096][rows].astype(np.int64) << (_KEY_BITS + 3)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fps[rows]), pa.array(nodes[at : at + 4096][rows])], names=["key", "fp", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fps[rows])], names=["key", "fp"])
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over rows sorted by key; the last run of a batch is kept until the next key is seen."""
-    held = [np.zeros(0, np.int64)] * 3
+    held = [np.zeros(0, np.int64)] * 2
 
-    def linked(keys: np.ndarray, fps: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
-        found = link_runs(keys, fps.view(np.uint64), nodes)
+    def linked(keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+        found = link_runs(keys, fps.view(np.uint64)).view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["a", "b"])
 
     for batch in batches:
@@ -143,18 +128,10 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield linked(*held)
 
 
-def banded_links(banded: DataFrame) -> DataFrame:
-    """Links (a, b) of nodes whose fingerprints in a band are within three bits: of rows (node, band, fp).
-
-    They connect all nodes that such pairs connect.
-    """
-    keyed = banded.select("node", "band", "fp").mapInArrow(_deal, "key long, fp long, node long")
-    return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_links, "a long, b long").where("a != b").distinct()
-
-
 def fingerprint_links(distinct: DataFrame) -> DataFrame:
     """Links (a, b) that connect all of the distinct ``fp`` within three bits."""
-    return banded_links(distinct.select(F.col("fp").alias("node"), F.lit(0).alias("band"), "fp"))
+    keyed = distinct.select("fp").mapInArrow(_deal, "key long, fp long")
+    return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_links, "a long, b long").where("a != b").distinct()
 
 
 def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
@@ -177,138 +154,30 @@ def near_duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     return marked.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def five_word_hashes(text: str | None) -> np.ndarray:
-    """Hashes (uint64) of the ``SIMILAR_WORDS``-word shingles, or of the whole sequence if it is shorter."""
-    words = words_of(text)
-    if not words:
-        return np.zeros(1, np.uint64)
-    one = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-    size = min(SIMILAR_WORDS, len(words))
-    n = len(words) - size + 1
-    total = one[:n].copy()
-    for i in range(1, size):
-        total = total * _FACTOR + one[i : i + n]
-    return mixed(total)
-
-
-def similarity_keys(text: str | None) -> np.ndarray:
-    """``BANDS`` keys (int64), each of the smallest shingles of a text by ``ROWS`` hash functions."""
-    hashes = five_word_hashes(text)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 2048):  # bounds the memory for very long texts
-        least = np.minimum(least, (hashes[at : at + 2048] * _FUNCTIONS[:, None]).min(axis=1))
-    total = np.arange(BANDS, dtype=np.uint64)
-    for column in mixed(least).reshape(BANDS, ROWS).T:
-        total = total * _FACTOR + column
-    return mixed(total).view(np.int64)
-
-
-def _similarity_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, text) to rows (key, node)."""
-    for batch in batches:
-        keys = [similarity_keys(text.as_py()) for text in batch.column(1)]
-        nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *keys])), pa.array(nodes)], names=["key", "node"])
-
-
-def resemblance(one: str | None, other: str | None, size: int = SIMILAR_WORDS) -> float:
-    """Shared share of the different ``size``-word shingles of two texts; 1 for two texts without words."""
-    a, b = ({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} for w in (words_of(one), words_of(other)))
-    return len(a & b) / len(a | b)
-
-
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        same = [resemblance(x, y) >= SIMILARITY for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(same)) for c in batch.columns[:2]], names=["a", "b"])
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the ``pairs`` (a, b) of nodes whose texts (node, text) are near copies."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    linked = written(texts.join(ends, "node", "left_semi"))
-    one, other = (linked.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}")) for name in "ab")
-    return pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b").mapInArrow(_alike, "a long, b long")
-
-
-def _pivots(members: DataFrame, degrees: DataFrame | None, width: int) -> DataFrame:
-    """(key, pivot, pivot_root): of each key's nodes the one of most links and some ``width`` more; all if they are no more."""
-    bucket = F.when(F.col("n") <= width, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(width)), F.lit(width)))
-    first = members.groupBy("key", bucket.alias("bucket")).agg(F.min(F.struct("node", "root")).alias("p"))
-    chosen = first.select("key", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root"))
-    if degrees is None:
-        return chosen
-    most = members.join(degrees, "node").groupBy("key").agg(F.max(F.struct("degree", "node", "root")).alias("p"))
-    return chosen.union(most.select("key", F.col("p.node"), F.col("p.root"))).distinct()
-
-
-def verified_components(keyed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Components (node, root) over verified links among texts (node, text) that share a key: of distinct rows (key, node).
-
-    In each round the nodes of a key are compared with a few of them, its pivots.  Only links that
-    hold join components, and a key stays open until its nodes are of one component or all
-    its pairs of two components have been compared: a link that fails hides no other.  A key's
-    nodes are never brought together; they meet its pivots by a join.
-    """
-    runs = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(keyed.join(runs, "key").select("key", "node", "n", F.col("node").alias("root")))
-    links = tested = degrees = None
-    components = connected_components(texts.sparkSession.createDataFrame([], "a long, b long"))
-    width = 1
-    while (most := members.agg(F.max("n")).first()[0]) is not None:
-        met = members.join(_pivots(members, degrees, width), "key").where("root != pivot_root")
-        pairs = met.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
-        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = pairs if tested is None else tested.union(pairs)
-        found = written(_verified(pairs, texts))
-        links = found if links is None else links.union(found)
-        if not found.isEmpty():
-            components = written(connected_components(links))
-            ends = links.select(F.explode(F.array("a", "b")).alias("node"))
-            degrees = written(ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree")))
-        if width >= most:
-            # Every pair of two components has been compared; joined ones need no more.
-            break
-        rooted = members.drop("root").join(components, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        rooted = written(rooted)
-        still = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        members = written(rooted.join(still, "key", "left_semi"))
-        width *= WIDER
-    return components
-
-
-def similar_texts(texts: DataFrame) -> DataFrame:
-    """Components (node, root) of different texts (node, text) that are near copies.
-
-    Near copies share ``SIMILARITY`` of their five-word shingles.  Candidates are texts with the same
-    smallest shingles by ``ROWS`` hash functions in one of ``BANDS`` bands: a pair that shares s
-    of its shingles, whatever the edits, is missed with a probability of ``(1 - s**ROWS)**BANDS``,
-    4 in a million at 0.8.  Candidates are verified by the shingles themselves.
-    """
-    return verified_components(written(texts.mapInArrow(_similarity_keys, "key long, node long")), texts)
-
-
-def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near copies, that of its smallest id; all columns are kept.
+def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
+    """``docs`` with one row of each component of ``near_duplicate_groups``; all columns are kept.
 
-    Groups are the components of ``similar_texts``; rows with equal texts belong together.  Null,
-    empty and blank texts are one group.  Null ids come after all others; of rows that agree in
-    id, the text with the smallest hash stays, and of rows that agree in both any one.
+    The row with the smallest id stays, null ids come after all others; of rows that agree in id
+    the one whose text has the smallest SHA-256, a null text first; of rows that agree in
+    both any one.  An empty table stays empty.  Texts are told apart by 256 bits.
     """
-    id_, node, place = (fresh(docs, name) for name in ("_id", "_node", "_place"))
-    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("node"))
-    texts = docs.select(F.xxhash64(text).alias("node"), F.col(text).alias("text")).dropDuplicates(["node"])
-    components = written(similar_texts(texts))
-    rooted = rows.join(components, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = F.min(F.struct(F.col("id").isNull().alias("lacks"), "id", "node")).alias("first")
-    stays = written(rooted.groupBy("root").agg(first).select(F.col("first.id").alias(id_), F.col("first.node").alias(node)))
+    id_, key, place = (fresh(docs, name) for name in ("_id", "_key", "_place"))
+    marked = written(fingerprints(docs, doc_id, text, size, with_key=True))
+    order = F.struct(F.col("doc_id").isNull().alias("lacks"), F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    with scratch(docs.sparkSession) as folders:
+        distinct = written(marked.groupBy("fp").agg(F.min(order).alias("first")))
+        components = connected_components(fingerprint_links(distinct))
+        rooted = distinct.join(components, F.col("fp") == F.col("node"), "left")
+        first = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+        stays = written(first.select(F.col("first.id").alias(id_), F.col("first.key").alias(key)))
+        hand_on(folders)
+    same = F.col(doc_id).eqNullSafe(F.col(id_)) & (text_key(F.col(text)) == F.col(key))
     # Rows that agree in id and text: a few, told from the others by a count.
-    same = F.col(doc_id).eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(node))
-    twice = rows.groupBy("id", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("id2"), F.col("node").alias("node2"))
+    twice = marked.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("id2"), F.col("text_key").alias("key2"))
     if twice.isEmpty():
         return docs.join(stays, same, "left_semi")
-    is_twice = F.col(id_).eqNullSafe(F.col("id2")) & (F.col(node) == F.col("node2"))
+    is_twice = F.col(id_).eqNullSafe(F.col("id2")) & (F.col(key) == F.col("key2"))
     single = docs.join(stays.join(twice, is_twice, "left_anti"), same, "left_semi")
-    several = docs.join(stays.join(twice, is_twice, "left_semi"), same, "left_semi").withColumn(node, F.xxhash64(text))
-    order = Window.partitionBy(doc_id, node).orderBy(node)
-    return single.unionByName(several.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place, node))
+    several = docs.join(stays.join(twice, is_twice, "left_semi"), same, "left_semi").withColumn(key, text_key(F.col(text)))
+    window = Window.partitionBy(doc_id, key).orderBy(key)
+    return single.unionByName(several.withColumn(place, F.row_number().over(window)).where(F.col(place) == 1).drop(place, key))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: Seed of XXH64, as in Spark's own function.
 SEED = 42
@@ -48,14 +49,23 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
-    """doc_id and the 64-bit fingerprint ``fp`` (as a signed long) of every row of ``docs``."""
+def text_key(text: Column) -> Column:
+    """SHA-256 of a text, one zero byte for null: what tells texts apart where they are not at hand."""
+    return F.coalesce(F.unhex(F.sha2(text.cast("binary"), 256)), F.lit(b"\0"))
+
+
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, with_key: bool = False) -> DataFrame:
+    """doc_id and the 64-bit fingerprint ``fp`` (as a signed long) of every row of ``docs``; ``text_key`` too if asked for."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(shingle_hashes(words_of(t.as_py()), size)) for t in batch.column(1)]
-            fps = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))]
+            if with_key:
+                texts = (t.as_py() for t in batch.column(1))
+                columns.append(pa.array([b"\0" if t is None else hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "text_key"][: len(columns)])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(work, f"doc_id {kind}, fp long")
+    returned = f"doc_id {kind}, fp long" + (", text_key binary" if with_key else "")
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(work, returned)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -31,9 +33,36 @@ def write_scratch(df: DataFrame, *partitions: str) -> str:
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/matrixlens-llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.partitionBy(*partitions).parquet(folder)
+    if _open:
+        _open[-1].append(folder)
     return folder
 
 
+#: Folders written in each ``scratch`` under way.
+_open: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """The folders written inside, which are deleted at the end, but for those taken off the list."""
+    folders: list[str] = []
+    _open.append(folders)
+    try:
+        yield folders
+    finally:
+        _open.pop()
+    for folder in folders:
+        discard(spark, folder)
+
+
+def hand_on(folders: list[str]) -> str:
+    """Take the folder written last off a ``scratch`` list and leave it to the one around, if any."""
+    last = folders.pop()
+    if len(_open) > 1:
+        _open[-2].append(last)
+    return last
+
+
 def discard(spark: SparkSession, folder: str) -> None:
     """Delete a folder of ``write_scratch`` that nothing will read any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
