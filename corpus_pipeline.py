@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from matrixlens.llm import decontaminate, exact_dedup, near_dedup, quality, sentencepieces
 from matrixlens.llm.queries import PIECE_MODEL
-from matrixlens.llm.tables import in_fold, table, written
+from matrixlens.llm.tables import discard, hand_on, in_fold, scratch, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -35,7 +35,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group whose fingerprints over three-word shingles are linked within three bits."""
     return near_dedup.one_per_group(docs)
 
 
@@ -62,7 +62,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Rows of the last stage over ``documents``.
+
+    The tables that a stage wrote on its way go when its result is written, and that result when
+    the next one is.
+    """
+    docs, last = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir))
+        with scratch(spark) as folders:
+            docs = written(stage(spark, docs, sf_dir))
+            before, last = last, hand_on(folders)
+        if before:
+            discard(spark, before)
     return docs
