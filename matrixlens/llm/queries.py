@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from matrixlens.llm.decontaminate import contaminated
+from matrixlens.llm.divergence import source_divergence
 from matrixlens.llm.exact_dedup import exact_groups
 from matrixlens.llm.katz import fit_and_score
 from matrixlens.llm.near_dedup import near_duplicate_groups
@@ -74,9 +75,14 @@ def op10_katz(spark: SparkSession, sf: str) -> DataFrame:
     return fit_and_score(table(spark, sf, "documents"), in_fold("doc_id", 5, 1)).scores
 
 
+def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return source_divergence(table(spark, sf, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
         op1_quality, op2_decontaminate, op3_url_filters, op4_personal_data, op5_sentencepiece, op6_exact_dedup, op7_chat_perspectives, op8_simhash, op9_warc, op10_katz,
+        op13_source_divergence,
     )
     return {query.__name__: query for query in chosen}
 
@@ -138,4 +144,35 @@ ORACLES = {
                CASE WHEN page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id < first THEN first END AS refers_to
         FROM kept""",
+    "op13_source_divergence": """
+        WITH docs AS MATERIALIZED (
+            SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents),
+        words AS MATERIALIZED (
+            SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs),
+        kept AS (SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+        sizes AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+        sources AS (SELECT DISTINCT lang, source FROM docs),
+        counts AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY lang, source, term),
+        cells AS (
+            SELECT g.lang, g.source, k.term, k.total, coalesce(c.n, 0) AS n
+            FROM sources g JOIN kept k ON g.lang = k.lang
+            LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        shares AS MATERIALIZED (
+            SELECT c.*, CAST(1 + (CAST(1000000000 AS HUGEINT) * (c.n + 5)) // (sum(c.n) OVER (PARTITION BY c.lang, c.source) + 5 * s.v) AS BIGINT) AS p,
+                   CAST(1 + (CAST(1000000000 AS HUGEINT) * (c.total + 5)) // (s.n + 5 * s.v) AS BIGINT) AS q
+            FROM cells c JOIN sizes s ON c.lang = s.lang),
+        apart AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source GROUP BY ALL),
+        parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+            FROM sources a JOIN sources b ON a.lang = b.lang AND a.source != b.source
+            LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts)
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }
