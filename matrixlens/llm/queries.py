@@ -15,6 +15,7 @@ from matrixlens.llm.near_dedup import near_duplicate_groups
 from matrixlens.llm.personal_data import personal_data
 from matrixlens.llm.perspectives import rotate_perspectives
 from matrixlens.llm.quality import quality_scores
+from matrixlens.llm.repair import repair_damaged
 from matrixlens.llm.sentencepieces import encode_documents
 from matrixlens.llm.tables import in_fold, table
 from matrixlens.llm.url_filter import filter_urls
@@ -75,6 +76,10 @@ def op10_katz(spark: SparkSession, sf: str) -> DataFrame:
     return fit_and_score(table(spark, sf, "documents"), in_fold("doc_id", 5, 1)).scores
 
 
+def op12_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repair_damaged(table(spark, sf, "conversations"))
+
+
 def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return source_divergence(table(spark, sf, "documents"))
 
@@ -82,7 +87,7 @@ def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
         op1_quality, op2_decontaminate, op3_url_filters, op4_personal_data, op5_sentencepiece, op6_exact_dedup, op7_chat_perspectives, op8_simhash, op9_warc, op10_katz,
-        op13_source_divergence,
+        op12_repair, op13_source_divergence,
     )
     return {query.__name__: query for query in chosen}
 
