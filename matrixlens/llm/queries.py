@@ -12,6 +12,7 @@ from matrixlens.llm.divergence import source_divergence
 from matrixlens.llm.exact_dedup import exact_groups
 from matrixlens.llm.katz import fit_and_score
 from matrixlens.llm.near_dedup import near_duplicate_groups
+from matrixlens.llm.packing import pack
 from matrixlens.llm.personal_data import personal_data
 from matrixlens.llm.perspectives import rotate_perspectives
 from matrixlens.llm.quality import quality_scores
@@ -31,8 +32,9 @@ URL_RULES = [
 ]
 
 
-#: Where the installed package of public tokenizers keeps the model; nothing is copied.
+#: Where the installed package of public tokenizers keeps the models; nothing is copied.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,6 +78,10 @@ def op10_katz(spark: SparkSession, sf: str) -> DataFrame:
     return fit_and_score(table(spark, sf, "documents"), in_fold("doc_id", 5, 1)).scores
 
 
+def op11_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(table(spark, sf, "documents"), str(BYTE_MODEL))
+
+
 def op12_repair(spark: SparkSession, sf: str) -> DataFrame:
     return repair_damaged(table(spark, sf, "conversations"))
 
@@ -87,7 +93,7 @@ def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = (
         op1_quality, op2_decontaminate, op3_url_filters, op4_personal_data, op5_sentencepiece, op6_exact_dedup, op7_chat_perspectives, op8_simhash, op9_warc, op10_katz,
-        op12_repair, op13_source_divergence,
+        op11_packing, op12_repair, op13_source_divergence,
     )
     return {query.__name__: query for query in chosen}
 
