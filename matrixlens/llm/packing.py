@@ -15,10 +15,13 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import random
 import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,45 +44,101 @@ TAKEN, OPENED = 0.3, 0.1
 SPREADS = (0.0, 0.1, 8.0)
 #: A block hands on its emptiest bins until it wastes less than one sequence in this many, but no more than one piece in ``HANDED``.
 WASTE, HANDED = 64, 16
-#: Different chunks a task remembers, and chunks looked up at a time.
-KNOWN, WINDOW = 300_000, 1 << 16
+#: Different chunks a worker remembers, chunks looked up at a time, and characters of a text that is cut as a whole.
+KNOWN, WINDOW, WHOLE = 400_000, 1 << 18, 1 << 20
 #: Fixed values of the byte-level vocabulary: how it cuts a text before it merges bytes.
 CHUNKS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-ASCII_CHUNKS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+"
+#: The first character that the Latin form of these does not know, and its white space.
+_LATIN, _BLANK = 0x250, " \t\n\x0b\x0c\r\x85\xa0"
 
 
 # -- tokens --------------------------------------------------------------------------------
 
 
+def _latin_chunks() -> re.Pattern:
+    """``CHUNKS`` for texts of characters below ``_LATIN``, with classes spelt out; the standard library is much faster there."""
+
+    def those(kind: str) -> str:
+        return "".join(re.escape(chr(c)) for c in range(_LATIN) if unicodedata.category(chr(c))[0] == kind)
+
+    letters, numbers, blanks = those("L"), those("N"), re.escape(_BLANK)
+    spelt = CHUNKS.replace(r"[^\s\p{L}\p{N}]", f"[^{blanks}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]")
+    return re.compile(spelt.replace(r"\s", f"[{blanks}]").replace(r"\S", f"[^{blanks}]"))
+
+
+class _Numbers(dict):
+    """Chunks by number, given in order of appearance."""
+
+    def __missing__(self, chunk: str) -> int:
+        number = self[chunk] = len(self)
+        return number
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers; each different chunk is encoded once while it is remembered."""
 
     def __init__(self, file: str) -> None:
         self.model = tokenizers.Tokenizer.from_file(file)
         special = [t.content for t in self.model.get_added_tokens_decoder().values()]
-        self.special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.any, self.ascii = regex.compile(CHUNKS), re.compile(ASCII_CHUNKS)
-        self.known: dict[str, bytes] = {}
-
-    def _joined(self, chunks: list[str]) -> bytes:
-        new = list(set(chunks).difference(self.known))
-        if len(self.known) + len(new) > KNOWN:
-            self.known.clear()
-            new = list(set(chunks))
-        for chunk, found in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[chunk] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, chunks))
-
-    def __call__(self, text: str) -> bytes:
-        out = []
-        for part in self.special.split(text) if self.special else [text]:
-            if self.special and self.special.fullmatch(part):
-                out.append(np.array([self.model.token_to_id(part)], "<u4").tobytes())
-                continue
-            found = (m.group() for m in (self.ascii if part.isascii() else self.any).finditer(part))
-            while window := list(itertools.islice(found, WINDOW)):
-                out.append(self._joined(window))
-        return b"".join(out)
+        self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        self.any, self.latin, self.other = regex.compile(CHUNKS), _latin_chunks(), re.compile(f"[^\0-{chr(_LATIN - 1)}]")
+        self.numbers, self.ids = _Numbers(), []
+
+    def _joined(self, runs: list[list[str]]) -> list[bytes]:
+        """Ids of lists of chunks."""
+        if len(self.numbers) > KNOWN:
+            # Go on with the chunks at hand: the frequent ones are among them.
+            kept = {c for run in runs for c in run if c in self.numbers}
+            self.ids = [self.ids[self.numbers[c]] for c in kept]
+            self.numbers = _Numbers(zip(kept, range(len(kept)), strict=True))
+        places = [list(map(self.numbers.__getitem__, run)) for run in runs]
+        new = list(itertools.islice(self.numbers, len(self.ids), None))
+        for found in self.model.encode_batch_fast(new, add_special_tokens=False):
+            self.ids.append(array("I", found.ids).tobytes())
+        return [b"".join(map(self.ids.__getitem__, run)) for run in places]
+
+    def _runs(self, text: str) -> Iterator[list[str]]:
+        """Chunks of a text; of a very long one some at a time."""
+        pattern = self.any if self.other.search(text) else self.latin
+        if len(text) <= WHOLE:
+            yield pattern.findall(text)
+            return
+        found = (m.group() for m in pattern.finditer(text))
+        while run := list(itertools.islice(found, WINDOW)):
+            yield run
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        out: list[list[bytes]] = [[] for _ in texts]
+        held: list[tuple[int, list[str]]] = []
+        size = 0
+
+        def look_up() -> None:
+            nonlocal size
+            for (i, _), ids in zip(held, self._joined([run for _, run in held]), strict=True):
+                out[i].append(ids)
+            held.clear()
+            size = 0
+
+        for i, text in enumerate(texts):
+            # A special token's string is that token, wherever it stands.
+            for k, part in enumerate(self.special.split(text) if self.special and self.special.search(text) else [text]):
+                if k % 2:
+                    look_up()
+                    out[i].append(array("I", [self.model.token_to_id(part)]).tobytes())
+                    continue
+                for run in self._runs(part):
+                    held.append((i, run))
+                    size += len(run)
+                    if size >= WINDOW:
+                        look_up()
+        look_up()
+        return [b"".join(parts) for parts in out]
+
+
+@functools.cache
+def encoder(file: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    return Encoder(file)
 
 
 def cut_points(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -92,11 +151,11 @@ def token_pieces(docs: DataFrame, file: str, capacity: int = CAPACITY, doc_id: s
     """row, doc_id, piece, start, length, ids_crc32 of every piece; ``row`` numbers them by task."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, row = Encoder(file), TaskContext.get().partitionId() << 40
+        encode, row = encoder(file), TaskContext.get().partitionId() << 40
         for batch in batches:
             found, source = [], []
-            for i, value in enumerate(batch.column(1)):
-                ids = encode(value.as_py() or "") + END_ID.to_bytes(4, "little")
+            for i, ids in enumerate(encode([t or "" for t in batch.column(1).to_pylist()])):
+                ids += END_ID.to_bytes(4, "little")
                 for piece, (start, length) in enumerate(cut_points(len(ids) // 4, capacity)):
                     found.append((row, piece, start, length, zlib.crc32(memoryview(ids)[4 * start : 4 * (start + length)])))
                     source.append(i)

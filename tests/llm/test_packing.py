@@ -20,7 +20,7 @@ def model():
     return tokenizers.Tokenizer.from_file(FILE)
 
 
-def test_ids_are_the_tokenizers(model):
+def test_ids_are_the_tokenizers(model, monkeypatch):
     encode = P.Encoder(FILE)
     texts = [t for _, t in AWKWARD if t] + [
         "it's we'll they'd 'S", "a  b   c\n\n d \t\n", "  ", "\n", " \n x", "x\x1c\x1dy \x1f z\x85q\xa0 r  s", "12 ½ ⅷ ٣٤ x²", "don’t – “quote”", "<|endoftext|>", "a <|endoftext|> b<|endoftext|>",
@@ -28,8 +28,14 @@ def test_ids_are_the_tokenizers(model):
     ]
     rng = random.Random(1)
     texts += ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(0x370), 32, 10, 39])) for _ in range(300)) for _ in range(200)]
-    for text in texts:
-        assert np.frombuffer(encode(text), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids, text[:50]
+    texts += ["".join(chr(rng.randrange(0x260)) for _ in range(400)) for _ in range(200)]
+    want = [model.encode(text, add_special_tokens=False).ids for text in texts]
+    for text, ids, found in zip(texts, want, encode(texts), strict=True):
+        assert np.frombuffer(found, "<u4").tolist() == ids, text[:50]
+    monkeypatch.setattr(P, "WHOLE", 10)
+    monkeypatch.setattr(P, "WINDOW", 7)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == want
+    assert [i for t in range(0x250) for i in np.frombuffer(encode([chr(t) * 3])[0], "<u4")] == [i for t in range(0x250) for i in model.encode(chr(t) * 3, add_special_tokens=False).ids]
 
 
 def test_forgotten_chunks(model, monkeypatch):
@@ -37,7 +43,7 @@ def test_forgotten_chunks(model, monkeypatch):
     monkeypatch.setattr(P, "WINDOW", 7)
     encode = P.Encoder(FILE)
     for seed in range(5):
-        assert np.frombuffer(encode(prose(seed, 60)), "<u4").tolist() == model.encode(prose(seed, 60), add_special_tokens=False).ids
+        assert np.frombuffer(encode([prose(seed, 60)])[0], "<u4").tolist() == model.encode(prose(seed, 60), add_special_tokens=False).ids
 
 
 def check(rows, docs, model, capacity):
