@@ -7,8 +7,8 @@
    takes well-filled bins of one parent whole; bins of the other parent that share documents with
    them are dissolved, and the displaced documents are best-fitted again, largest first.
 3. After an epoch each island's elite migrates to the next one.  Epochs are jobs over tables
-   with one row per island, so a lost executor costs an epoch of its islands.  A block whose
-   packing has as few bins as its bound allows is finished.
+   with one row per island, so a lost executor costs an epoch of its islands.  A block is finished
+   when its packing has as few bins as its bound allows, or when an epoch saved no island a bin.
 4. The emptiest bins of all blocks are opened and their pieces packed again on the next level, in
    fewer blocks, until one block is left: the waste of blocks does not add up.
 """
@@ -45,7 +45,7 @@ SPREADS = (0.0, 0.1, 8.0)
 #: A block hands on its emptiest bins until it wastes less than one sequence in this many, but no more than one piece in ``HANDED``.
 WASTE, HANDED = 64, 16
 #: Different chunks a worker remembers, chunks looked up at a time, and characters of a text that is cut as a whole.
-KNOWN, WINDOW, WHOLE = 400_000, 1 << 18, 1 << 20
+KNOWN, WINDOW, WHOLE = 700_000, 1 << 18, 1 << 20
 #: Fixed values of the byte-level vocabulary: how it cuts a text before it merges bytes.
 CHUNKS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The first character that the Latin form of these does not know, and its white space.
@@ -66,14 +66,6 @@ def _latin_chunks() -> re.Pattern:
     return re.compile(spelt.replace(r"\s", f"[{blanks}]").replace(r"\S", f"[^{blanks}]"))
 
 
-class _Numbers(dict):
-    """Chunks by number, given in order of appearance."""
-
-    def __missing__(self, chunk: str) -> int:
-        number = self[chunk] = len(self)
-        return number
-
-
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers; each different chunk is encoded once while it is remembered."""
 
@@ -82,20 +74,22 @@ class Encoder:
         special = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.any, self.latin, self.other = regex.compile(CHUNKS), _latin_chunks(), re.compile(f"[^\0-{chr(_LATIN - 1)}]")
-        self.numbers, self.ids = _Numbers(), []
+        self.known: dict[str, bytes] = {}
 
     def _joined(self, runs: list[list[str]]) -> list[bytes]:
         """Ids of lists of chunks."""
-        if len(self.numbers) > KNOWN:
+        if len(self.known) > KNOWN:
             # Go on with the chunks at hand: the frequent ones are among them.
-            kept = {c for run in runs for c in run if c in self.numbers}
-            self.ids = [self.ids[self.numbers[c]] for c in kept]
-            self.numbers = _Numbers(zip(kept, range(len(kept)), strict=True))
-        places = [list(map(self.numbers.__getitem__, run)) for run in runs]
-        new = list(itertools.islice(self.numbers, len(self.ids), None))
-        for found in self.model.encode_batch_fast(new, add_special_tokens=False):
-            self.ids.append(array("I", found.ids).tobytes())
-        return [b"".join(map(self.ids.__getitem__, run)) for run in places]
+            self.known = {c: self.known[c] for c in {c for run in runs for c in run} if c in self.known}
+        found = [list(map(self.known.get, run)) for run in runs]
+        lacking = [(run, ids, [k for k, x in enumerate(ids) if x is None]) for run, ids in zip(runs, found, strict=True) if None in ids]
+        new = list({run[k] for run, _, places in lacking for k in places})
+        for chunk, one in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.known[chunk] = array("I", one.ids).tobytes()
+        for run, ids, places in lacking:
+            for k in places:
+                ids[k] = self.known[run[k]]
+        return [b"".join(ids) for ids in found]
 
     def _runs(self, text: str) -> Iterator[list[str]]:
         """Chunks of a text; of a very long one some at a time."""
@@ -276,15 +270,14 @@ def evolved(lengths: np.ndarray, packings: list[np.ndarray], capacity: int, rng:
 
 # -- the job -------------------------------------------------------------------------------
 
-_ISLAND = "block long, island int, epoch int, bins long, worth long, finished boolean, lengths binary, packings array<binary>"
+_ISLAND = "block long, island int, epoch int, bins long, worth long, finished boolean, gained boolean, lengths binary, packings array<binary>"
 _ISLAND_NAMES = [c.split()[0] for c in _ISLAND.split(", ")]
-_ISLAND_KINDS = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.list_(pa.binary()))
+_ISLAND_KINDS = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary(), pa.list_(pa.binary()))
 
 
-def _island(block: int, island: int, epoch: int, lengths: np.ndarray, packings: list[np.ndarray], capacity: int) -> tuple:
+def _island(block: int, island: int, epoch: int, lengths: np.ndarray, packings: list[np.ndarray], capacity: int, gained: bool = True) -> tuple:
     bins, worth = fitness(lengths, packings[0])
-    done = bins <= bound(lengths, capacity)
-    return block, island, epoch, bins, worth, done, lengths.astype(np.int32).tobytes(), [p.astype(np.int32).tobytes() for p in packings]
+    return block, island, epoch, bins, worth, bins <= bound(lengths, capacity), gained, lengths.astype(np.int32).tobytes(), [p.astype(np.int32).tobytes() for p in packings]
 
 
 def _islands(rows: list[tuple]) -> pa.RecordBatch:
@@ -315,11 +308,13 @@ def _evolve(capacity: int, children: int):
         """Islands with an ``elite`` from elsewhere to islands an epoch later."""
         for batch in batches:
             rows = []
-            for block, island, epoch, _, _, _, raw, held, elite in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for block, island, epoch, *_, raw, held, elite in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 lengths = np.frombuffer(raw, np.int32).astype(np.int64)
                 packings = [np.frombuffer(p, np.int32) for p in (*held[: max(1, len(held) - 1)], elite)]
                 rng = random.Random(f"{block} {island} {epoch + 1}")
-                rows.append(_island(block, island, epoch + 1, lengths, evolved(lengths, packings, capacity, rng, children), capacity))
+                before = min(fitness(lengths, p)[0] for p in packings)
+                after = evolved(lengths, packings, capacity, rng, children)
+                rows.append(_island(block, island, epoch + 1, lengths, after, capacity, fitness(lengths, after[0])[0] < before))
             yield _islands(rows)
 
     return evolve
@@ -366,7 +361,7 @@ def _packed(items: DataFrame, n: int, level: int, capacity: int, block: int, isl
     best = None
     for epoch in range(epochs + 1):
         ranked = living.groupBy("block").agg(
-            F.min(F.struct("bins", "worth", "island", F.col("packings")[0].alias("packing"))).alias("best"), F.bool_or("finished").alias("finished")
+            F.min(F.struct("bins", "worth", "island", F.col("packings")[0].alias("packing"))).alias("best"), (F.bool_or("finished") | ~F.bool_or("gained")).alias("finished")
         )
         ranked = written(ranked.select("block", "finished", F.col("best.packing").alias("packing")))
         # Blocks that are finished, or have had their epochs, are told apart by an equi-join on the block.
