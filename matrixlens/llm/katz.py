@@ -43,6 +43,10 @@ from matrixlens.llm.tables import discard, write_scratch, written
 ORDER = 2
 #: Counts above this are discounted by a constant, not by Good-Turing.
 LARGEST_RARE = 5
+#: Slopes that the counts of counts may have, and the one they are given where they do not tell.
+STEEPNESS, ZIPF = (-8.0, -1.25), -2.0
+#: Blocks whose lists one bucket takes, about.
+BLOCKS_A_BUCKET = 8
 #: Tokens after which a block is closed.
 BLOCK_TOKENS = 1_500_000
 #: Ends every document; holds a blank, so it is no word.
@@ -99,24 +103,34 @@ def _slices(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
         yield b, slice(int(bounds[b]), int(bounds[b + 1]))
 
 
+def slope(n: list[int]) -> float:
+    """Of the line through the logarithms of counts of counts, ``n[r - 1]`` n-grams that occur ``r`` times.
+
+    Each is averaged over the empty counts around it first.  Kept within ``STEEPNESS``, so that a line
+    that says nothing, or there being none, does no harm; without two points it is Zipf's.
+    """
+    seen = [r for r, x in enumerate(n, 1) if x > 0]
+    if len(seen) < 2:
+        return ZIPF
+    sides = zip(seen, [0, *seen[:-1]], [*seen[1:], 2 * seen[-1] - seen[-2]], strict=True)
+    y = np.log([n[r - 1] / (0.5 * (after - before)) for r, before, after in sides])
+    return float(np.clip(np.polyfit(np.log(seen), y, 1)[0], *STEEPNESS))
+
+
 def discounts(n: list[int]) -> np.ndarray:
     """What is subtracted from counts 0, 1, ..., ``LARGEST_RARE`` and all above.
 
-    ``n[r - 1]`` n-grams occur ``r`` times, up to ``r = LARGEST_RARE + 1``.  Katz's discounts where
-    they all lie between 0 and 1; in corpora too small for these, absolute discounting.  Counts
-    above ``LARGEST_RARE`` lose as much as it does, so that every history has something left for
-    what it has not been followed by.
+    ``n[r - 1]`` n-grams occur ``r`` times, up to ``r = LARGEST_RARE + 1``.  Katz's discounts, with
+    counts of counts smoothed by a line through their logarithms (simple Good-Turing): raw ones
+    jump where a corpus holds copies.  Steeper than -1, the line gives discounts between 0 and 1
+    at any size.  Counts above ``LARGEST_RARE`` lose as much as it does, so that every history has
+    something left for what it has not been followed by.
     """
-    k = LARGEST_RARE
-    n = [float(x) for x in n]
-    if all(x > 0 for x in n):
-        common = (k + 1) * n[k] / n[0]
-        if common < 1:
-            d = [((r + 1) * n[r] / (r * n[r - 1]) - common) / (1 - common) for r in range(1, k + 1)]
-            if all(0 < x < 1 for x in d):
-                return np.array([0.0, *(r * (1 - d[r - 1]) for r in range(1, k + 1)), k * (1 - d[k - 1])])
-    once = n[0] / (n[0] + 2 * n[1]) if n[0] + n[1] else 0.5
-    return np.array([0.0] + [min(0.9, max(0.1, once))] * (k + 1))
+    k, b = LARGEST_RARE, slope(n) + 1
+    common = (k + 1) ** b
+    r = np.arange(1, k + 1)
+    loss = r * (1 - (((r + 1) / r) ** b - common) / (1 - common))
+    return np.array([0.0, *loss, loss[-1]])
 
 
 def _lowered(counts: np.ndarray, loss: np.ndarray) -> np.ndarray:
@@ -404,10 +418,11 @@ def fit_and_score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", tex
     tokens are unknown and scores are zero.  Other columns are not looked at.
     """
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chosen = docs.select(F.col(doc_id).cast("string").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
     folder = write_scratch(chosen.mapInArrow(_tokenise, _BLOCKS_SQL))
     blocks = spark.read.schema(_BLOCKS_SQL).parquet(folder)
+    # A bucket's share of all lists does not grow with the corpus.
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks.count() // BLOCKS_A_BUCKET)
     asked = blocks.mapInArrow(_ask(order, buckets), _LISTS_SQL)
     tables = written(asked.groupBy("bucket", "order").applyInArrow(_tally, _LISTS_SQL), "kind", "order")
     stats = _statistics(tables.where("kind = 'totals'"), order)

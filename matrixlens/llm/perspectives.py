@@ -4,10 +4,9 @@ Every participant of a conversation gets a rendering of the whole dialogue in wh
 speaker is the assistant and all others are users by name, together with the spans a loss
 should cover: the assistant's text and its end marker.
 
-DataFrame functions only, and no group larger than a part: turns are rendered in parts of
-``TURNS`` consecutive turn numbers, so a conversation that holds a third of all rows is many
-groups.  A dialogue of fewer turns is one row.  Joining the parts of a perspective in order of
-(part, tie) gives the dialogue.
+DataFrame functions only, and no group larger than a part: a conversation is cut, in its order,
+into parts of ``ROWS`` rows, so one that holds a third of all rows is many groups.  A dialogue of
+no more rows is one row.  Joining the parts of a perspective gives the dialogue.
 """
 
 from __future__ import annotations
@@ -16,9 +15,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from matrixlens.llm.tables import written
 from matrixlens.operators.positions import assign_positions
+from matrixlens.session import small_side
 
-#: Turn numbers in one part, and the most different rows of one turn that stay in one group.
-TURNS = 1024
+#: Rows of a conversation in one part.
+ROWS = 1024
 #: Roles that set the scene and are nobody's perspective.
 NARRATORS = ("system",)
 END = "<|end|>"
@@ -29,41 +29,36 @@ def _plain(text: Column) -> Column:
     return F.replace(text, F.lit("<|"), F.lit("< |"))
 
 
-def rotate_perspectives(turns: DataFrame, narrators: tuple[str, ...] = NARRATORS, size: int = TURNS) -> DataFrame:
+def rotate_perspectives(turns: DataFrame, narrators: tuple[str, ...] = NARRATORS, size: int = ROWS) -> DataFrame:
     """Render ``turns`` (conv_id, turn, role, text) once per conversation and participant.
 
-    Returns conv_id, perspective, part, tie, n_turns, text, mask; ``mask`` lists the trained
+    Returns conv_id, perspective, part, n_turns, text, mask; ``mask`` lists the trained
     spans of ``text`` as ``start-end`` in code points, end exclusive, comma-joined.
 
     A null text is empty, a null role is ``unknown``; rows without a conversation id form one
-    conversation.  Turns are in order of (turn, role, text).  Rows without a turn number come
-    first, in a part of their own (null).  Rows that agree in all four columns are one
-    utterance and are rendered once.  If one turn number holds more than ``size`` different
-    rows, its part is cut into numbered ``tie`` groups of ``size`` rows each, in the same
-    order.  A conversation in which only
-    narrators speak has no perspective and gives no row.  Other columns are not looked at.
+    conversation.  Rows are in order of (turn, role, text), those without a turn number first, and
+    part p holds the rows of rank ``p * size`` up to ``(p + 1) * size``, counted from 0.  Repeated
+    rows are rendered as often as they occur.  A conversation in which only narrators speak has no
+    perspective and gives no row; an empty table gives none.  Other columns are not looked at.
     """
-    turns = turns.select(
-        "conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    ).distinct()
-    # A part with a crowded turn is cut by rank in the stated order; ranks are counted from its first row.
-    part = F.floor(F.col("turn") / size)
-    crowded = turns.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
-    crowded = written(crowded.select(F.col("conv_id").alias("_conv"), part.alias("_part")).distinct())
-    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & part.eqNullSafe(F.col("_part"))
-    plain = turns.join(crowded, same, "left_anti").withColumn("tie", F.lit(0))
-    spoken = plain
-    if not crowded.isEmpty():
-        placed = assign_positions(turns.join(crowded, same, "left_semi"), "conv_id", "turn", "role", "text", name="_at")
-        first = placed.groupBy(F.col("conv_id").alias("_conv"), part.alias("_part")).agg(F.min("_at").alias("_first"))
-        tie = F.floor((F.col("_at") - F.col("_first")) / size).cast("int")
-        spoken = plain.unionByName(placed.join(first, same).select("conv_id", "turn", "role", "text", tie.alias("tie")))
-    parts = (
-        spoken.groupBy("conv_id", F.floor(F.col("turn") / size).alias("part"), "tie")
-        .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("_turns"))
-    )
-    speakers = turns.where(~F.col("role").isin(*narrators)).select(F.col("conv_id").alias("_conv"), F.col("role").alias("perspective")).distinct()
-    seen = parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("_conv")))
+    turns = turns.select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    # All rows of a conversation that is one part, and its speakers, are in one list; only longer ones need ranks.
+    counted = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
+    long = written(counted.select(F.col("conv_id").alias("_conv")))
+    n_long = long.count()
+    same = F.col("conv_id").eqNullSafe(F.col("_conv"))
+    said = F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("_turns")
+    single = turns.join(small_side(long, n_long), same, "left_anti") if n_long else turns
+    own = single.groupBy("conv_id").agg(said)
+    speakers = F.array_except(F.array_distinct(F.transform("_turns", lambda t: t["role"])), F.array(*map(F.lit, narrators)).cast("array<string>"))
+    seen = own.select("conv_id", F.lit(0).cast("long").alias("part"), "_turns", F.explode(speakers).alias("perspective"))
+    if n_long:
+        placed = assign_positions(turns.join(small_side(long, n_long), same, "left_semi"), "conv_id", "turn", "role", "text", name="_at")
+        first = placed.groupBy(F.col("conv_id").alias("_conv")).agg(F.min("_at").alias("_first"))
+        ranked = placed.join(small_side(first, n_long), same)
+        parts = ranked.groupBy("conv_id", F.floor((F.col("_at") - F.col("_first")) / size).alias("part")).agg(said)
+        heard = placed.where(~F.col("role").isin(*narrators)).select(F.col("conv_id").alias("_conv"), F.col("role").alias("perspective")).distinct()
+        seen = seen.unionByName(parts.join(heard, same).select("conv_id", "part", "_turns", "perspective"))
 
     def segment(t: Column) -> Column:
         own = t["role"] == F.col("perspective")
@@ -85,7 +80,7 @@ def rotate_perspectives(turns: DataFrame, narrators: tuple[str, ...] = NARRATORS
         return F.struct((end + 1).alias("at"), F.when(s["own"], F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
 
     return segments.select(
-        "conv_id", "perspective", "part", "tie",
+        "conv_id", "perspective", "part",
         F.size("_turns").alias("n_turns"),
         F.array_join(F.transform("_said", lambda s: F.concat(s["head"], s["body"], F.lit("\n"))), "").alias("text"),
         F.aggregate("_said", start, advance, lambda state: F.array_join(state["spans"], ",")).alias("mask"),

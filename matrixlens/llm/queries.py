@@ -129,10 +129,12 @@ ORACLES = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256 FROM placed""",
     "op7_chat_perspectives": """
         WITH turns AS (
-            SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+            SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS place
+            FROM conversations),
         speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM turns WHERE role != 'system'),
         said AS (
-            SELECT t.conv_id, perspective, CAST(floor(turn / 1024.0) AS BIGINT) AS part, turn, role, text, role = perspective AS own,
+            SELECT t.conv_id, perspective, place // 1024 AS part, place, role, text, role = perspective AS own,
                    CASE WHEN role = perspective THEN '<|assistant|>' || chr(10)
                         WHEN role = 'system' THEN '<|system|>' || chr(10)
                         ELSE '<|user name=' || replace(role, '<|', '< |') || '|>' || chr(10) END AS head,
@@ -140,11 +142,11 @@ ORACLES = {
             FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
         placed AS (
             SELECT *, sum(length(head) + length(body) + 1) OVER (
-                       PARTITION BY conv_id, perspective, part ORDER BY turn, role, text) - length(body) - 1 AS begins
+                       PARTITION BY conv_id, perspective, part ORDER BY place) - length(body) - 1 AS begins
             FROM said)
-        SELECT conv_id, perspective, part, CAST(0 AS INTEGER) AS tie, CAST(count(*) AS INTEGER) AS n_turns,
-               string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS text,
-               coalesce(string_agg(begins || '-' || (begins + length(body)), ',' ORDER BY turn, role, text) FILTER (own), '') AS mask
+        SELECT conv_id, perspective, part, CAST(count(*) AS INTEGER) AS n_turns,
+               string_agg(head || body || chr(10), '' ORDER BY place) AS text,
+               coalesce(string_agg(begins || '-' || (begins + length(body)), ',' ORDER BY place) FILTER (own), '') AS mask
         FROM placed GROUP BY conv_id, perspective, part""",
     "op9_warc": """
         WITH sized AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),

@@ -54,17 +54,6 @@ def test_url_rules(spark, rules):
 # -- perspectives --------------------------------------------------------------------------
 
 
-def test_parts_of_crowded_turns_keep_the_order(spark):
-    turns = [(c, t, "ab"[i % 2], f"t{t} {i:02}") for c, t, n in ((1, 3, 2), (1, 5, 50), (1, 6, 3), (None, None, 20), (None, 0, 30)) for i in range(n)]
-    rows = rotate_perspectives(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), size=8).collect()
-    assert max(r.n_turns for r in rows) == 8
-    for conv in (1, None):
-        own = sorted({t for t in turns if t[0] == conv}, key=lambda t: (t[1] is not None, t[1] or 0, *t[2:]))
-        for speaker in "ab":
-            got = sorted((r.part is not None, r.part or 0, r.tie, r.text) for r in rows if (r.conv_id, r.perspective) == (conv, speaker))
-            assert re.findall(r"\|>\n(.*?)<\|end\|>", "".join(t for *_, t in got)) == [t for *_, t in own]
-
-
 def rendered(turns, speaker):
     text, spans = "", []
     for role, said in turns:
@@ -82,31 +71,32 @@ def test_every_participant_gets_the_dialogue(spark):
         (2, 0, None, "who", "x"), (2, 1, "ann", "me", "x"), (3, 0, "system", "alone", "x"), (None, 0, "ann", "lost", "x"), (4, None, "ann", "late", "x"), (4, 1, "bob", "first", "x"),
         (5, 2, "bob", "b", "x"), (5, 2, "ann", "a", "x"), (6, 0, "ann", "", "x"),
     ]
-    got = rotate_perspectives(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, perspective string"))
-    assert got.columns == ["conv_id", "perspective", "part", "tie", "n_turns", "text", "mask"]
-    want = {}
-    for conv in {t[0] for t in turns}:
-        own = sorted({(t[1] is not None, t[1] or 0, t[2] or "unknown", t[3] or "") for t in turns if t[0] == conv})
-        for part in {o[0] for o in own}:
-            said = [(role, text) for known, _, role, text in own if known == part]
-            for speaker in {role for *_, role, _ in own} - {"system"}:
-                want[conv, speaker, 0 if part else None] = (len(said), *rendered(said, speaker))
-    rows = got.collect()
-    assert {(r.conv_id, r.perspective, r.part): (r.n_turns, r.text, r.mask) for r in rows} == want and len(rows) == len(want)
+    turns += [(7, 1, "ann", "ok", "x")] * 3 + [(7, None, "ann", "ok", "x")] * 2 + [(None, None, "ann", "ok", "x")] * 12 + [(8, 1, "ann", "long " * 100_000, "x")]
+    for size in (1024, 8, 3):
+        names = "conv_id long, turn long, role string, text string, part string, _conv string, _at int, _n int"
+        got = rotate_perspectives(spark.createDataFrame([(*t, "c", 1, 2) for t in turns], names), size=size)
+        assert got.columns == ["conv_id", "perspective", "part", "n_turns", "text", "mask"]
+        want = {}
+        for conv in {t[0] for t in turns}:
+            own = sorted((t[1] is not None, t[1] or 0, t[2] or "unknown", t[3] or "") for t in turns if t[0] == conv)
+            for part in range(-(-len(own) // size)):
+                said = [(role, text) for *_, role, text in own[part * size : (part + 1) * size]]
+                for speaker in {role for *_, role, _ in own} - {"system"}:
+                    want[conv, speaker, part] = (len(said), *rendered(said, speaker))
+        rows = got.collect()
+        assert {(r.conv_id, r.perspective, r.part): (r.n_turns, r.text, r.mask) for r in rows} == want and len(rows) == len(want)
     assert got.limit(0).count() == 0
 
 
 def test_long_and_crowded_conversations_are_split_without_loss(spark):
-    turns = [(1, i, "ab"[i % 2], f"t{i}") for i in range(50)] + [(2, 7, "ab"[i % 2], f"same {i}") for i in range(50)]
+    turns = [(1, i, "ab"[i % 2], f"t{i:02}") for i in range(50)] + [(2, 7, "ab"[i % 2], f"same {i:02}") for i in range(50)] + [(None, None, "ab"[i % 2], f"x{i % 5}") for i in range(40)]
     rows = rotate_perspectives(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), size=8).collect()
-    assert max(r.n_turns for r in rows if r.conv_id == 1) == 8
-    for conv in (1, 2):
+    assert max(r.n_turns for r in rows) == 8 and sum(r.n_turns for r in rows) == 2 * len(turns)
+    for conv in (1, 2, None):
         for speaker in "ab":
-            own = sorted((r.part, r.tie, r.text) for r in rows if (r.conv_id, r.perspective) == (conv, speaker))
-            said = re.findall(r"\|>\n(.*?)<\|end\|>", "".join(t for *_, t in own))
-            assert sorted(said) == sorted(t for c, _, _, t in turns if c == conv)
-            if conv == 1:
-                assert said == [f"t{i}" for i in range(50)]
+            own = sorted((r.part, r.text) for r in rows if (r.conv_id, r.perspective) == (conv, speaker))
+            said = re.findall(r"\|>\n(.*?)<\|end\|>", "".join(t for _, t in own))
+            assert said == [t for *_, t in sorted((t[1] or 0, t[2], t[3]) for t in turns if t[0] == conv)]
     assert rotate_perspectives(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 

@@ -196,6 +196,21 @@ def test_katz_against_counting_by_hand(spark, monkeypatch, order):
         assert model.weights_of().count() == len(followers)
 
 
+def test_discounts_follow_good_turing():
+    """Between 0 and the count, growing, of Katz's form for the smoothed counts of counts; rough, sparse and flat ones too."""
+    k = katz.LARGEST_RARE
+    for n in ([1479748, 227505, 46829, 19665, 17371, 6978], [9, 4, 0, 0, 1, 0], [5, 5, 5, 5, 5, 5], [0] * 6, [7, 0, 0, 0, 0, 0], [0, 3, 0, 9, 0, 0], [1, 2, 4, 8, 16, 32]):
+        loss = katz.discounts(n)
+        assert loss[0] == 0 and loss[-1] == loss[-2] and len(loss) == k + 2
+        ratio = 1 - loss[1 : k + 1] / np.arange(1, k + 1)
+        assert ((0 < ratio) & (ratio < 1)).all() and (np.diff(ratio) > 0).all()
+        smooth = [r ** katz.slope(n) for r in range(1, k + 2)]
+        common = (k + 1) * smooth[k] / smooth[0]
+        assert ratio == pytest.approx([((r + 1) * smooth[r] / (r * smooth[r - 1]) - common) / (1 - common) for r in range(1, k + 1)])
+    exact = [round(1e9 * r**-2.5) for r in range(1, k + 2)]
+    assert katz.slope(exact[:1] + exact[1:]) == pytest.approx(-2.5, abs=0.2)
+
+
 def test_katz_without_training_rows_or_documents(spark):
     docs = documents(spark)
     rows = katz.fit_and_score(docs, F.lit(True)).scores.collect()
