@@ -11,6 +11,9 @@ from pyspark.sql import Column, functions as F
 _PIECE = re.compile(r"\*|\?|\[(?P<negated>!?+)(?P<members>\][^\]]*|[^\]]+)\]|.", re.S)
 _MEMBER = re.compile(r"(?P<low>.)-(?P<high>.)|.", re.S)
 
+#: Marks around a name, and the characters in a run by which names are found.
+BEGIN, END, GRAM = "\x02", "\x03", 3
+
 
 def _code(char: str) -> str:
     """One literal character, written so that it is never a metacharacter."""
@@ -49,9 +52,35 @@ def is_plain(pattern: str) -> bool:
     return not any(c in pattern for c in "*?[")
 
 
-def literal_head(pattern: str) -> str:
-    """What every match begins with: the pattern up to its first special character."""
-    return re.split(r"[*?\[]", pattern, maxsplit=1)[0]
+def literal_runs(pattern: str) -> list[str]:
+    """Texts that every match holds, once it is put between ``BEGIN`` and ``END``: the pattern's runs of literal characters."""
+    runs = [BEGIN]
+    for m in _PIECE.finditer(pattern):
+        if m[0] in ("*", "?") or m["members"] is not None:
+            runs.append("")
+        else:
+            runs[-1] += m[0]
+    runs[-1] += END
+    return [run for run in runs if run]
+
+
+def grams(text: Column, size: Column | int) -> Column:
+    """The runs of ``size`` characters of a text, in order; none if it is shorter."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    none = F.array().cast("array<string>")
+    return F.when(F.length(text) >= size, F.transform(starts, lambda at: F.substring(text, at, F.lit(size) if isinstance(size, int) else size))).otherwise(none)
+
+
+def name_grams(name: Column, size: int = GRAM) -> Column:
+    """The different runs of up to ``size`` characters of a name between ``BEGIN`` and ``END``."""
+    marked = F.concat(F.lit(BEGIN), name, F.lit(END))
+    return F.array_distinct(F.flatten(F.array(*(grams(marked, n) for n in range(1, size + 1)))))
+
+
+def glob_grams(runs: Column, size: int = GRAM) -> Column:
+    """The different runs of ``size`` characters in a glob's ``literal_runs``; shorter ones if there are none."""
+    most = F.least(F.lit(size), F.array_max(F.transform(runs, F.length)))
+    return F.array_distinct(F.flatten(F.transform(runs, lambda run: grams(run, most))))
 
 
 def glob_match(item: Column, pattern: str) -> Column:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import fnmatch
+import random
 
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from matrixlens import Document
-from matrixlens.functions.globs import glob_to_regex, select_names
+from matrixlens.functions.globs import glob_grams, glob_to_regex, literal_runs, select_names
 from matrixlens.functions.nested import nested_value
 from matrixlens.operators import selection
 from matrixlens.operators.selection import arrays_to_columns, first_positions, match_names, unmatched_patterns
@@ -39,7 +40,7 @@ CASES = [
 @pytest.mark.parametrize("patterns", CASES)
 def test_patterns(names, monkeypatch, patterns, inline):
     if not inline:
-        monkeypatch.setattr(selection, "INLINE_GLOBS", 0)
+        monkeypatch.setattr(selection, "INLINE_PATTERNS", 0)
     matched, unmatched = expected(patterns)
     assert select_names(ITEMS, patterns) == (matched, unmatched)
     if patterns:
@@ -49,6 +50,35 @@ def test_patterns(names, monkeypatch, patterns, inline):
         assert [r["pattern"] for r in left] == unmatched
 
 
+def test_grams_find_whatever_matches(spark, monkeypatch):
+    """Every kind of glob over odd names, against the standard library."""
+    monkeypatch.setattr(selection, "INLINE_PATTERNS", 0)
+    rng = random.Random(11)
+    letters = "ab\u00e9\U0001f600.\x02\x03-"
+    items = ["", "a", "ab", "aab", "*", "a*b", "[a]", "\x02", "\x03a\x02", *("".join(rng.choices(letters, k=rng.randrange(9))) for _ in range(150)), None]
+    patterns = ["*", "?", "???", "**", "?*", "a?", "*a", "*ab*", "[!a]*", "[a-b]", "[", "[]a]b", "a[*]b", "*\x03", "\x02*", "zzz*", "*zzz*"]
+    patterns += ["".join(rng.choices([*letters, "*", "*", "?", "[ab]", "[!a]"], k=rng.randrange(1, 6))) for _ in range(150)]
+    patterns += patterns[:20]
+    names = spark.createDataFrame(list(enumerate(items)), "_pos long, _index string")
+    matched, unmatched = select_names([i for i in items if i is not None], patterns)
+    rows = match_names(names, patterns).orderBy("pattern_no", "position").collect()
+    assert [r["name"] for r in rows] == matched
+    assert [r["pattern"] for r in unmatched_patterns(names, patterns).orderBy("pattern_no").collect()] == unmatched
+    assert match_names(names.limit(0), patterns).count() == 0
+
+
+def test_a_glob_meets_few_names(spark):
+    """Globs without a literal head do not meet all names."""
+    names = spark.range(20_000).select(F.col("id").alias("position"), F.format_string("item_%05d", "id").alias("name"))
+    globs = [(i, f"*{i:04d}") for i in range(0, 2000, 10)] + [(5000 + i, f"*_1{i:03d}?") for i in range(100)]
+    hits = selection._by_grams(names, globs)
+    assert hits.count() == 2 * 200 + 10 * 100
+    joined = hits._jdf.queryExecution().optimizedPlan().toString()
+    met = hits.sparkSession.createDataFrame([(g, r) for g, r in ((p, literal_runs(p)) for _, p in globs)], "glob string, runs array<string>")
+    said = {r["glob"]: set(r["grams"]) for r in met.select("glob", glob_grams(F.col("runs")).alias("grams")).collect()}
+    assert said["*0010"] == {"001", "010", "10\x03"} and "RLIKE" in joined.upper() and "CartesianProduct" not in joined
+
+
 def test_thousands_of_patterns(spark):
     names = spark.range(3000).select(F.col("id").alias("_pos"), F.concat(F.lit("n"), F.col("id")).alias("_index"))
     patterns = [p for i in range(1700) for p in (f"n{i}?", f"x{i}*", f"n{2 * i}")]
