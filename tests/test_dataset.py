@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from matrixlens import AnnotatedDataset, Matrix, locate_datasets, open_dataset, session, write_dataset
+from matrixlens import AnnotatedDataset, Matrix, locate_datasets, open_dataset, session, vacuum_dataset, write_dataset
 from matrixlens.operators import alignment, matrix_stats, table_stats
 from matrixlens.operators.alignment import KeptPositions
 from matrixlens.sources.catalog import last_modified
@@ -319,6 +319,67 @@ def test_store_and_open(spark, sample, tmp_path):
     assert abs(datetime.datetime.fromisoformat(text).replace(tzinfo=datetime.timezone.utc).timestamp() - written.timestamp()) < 0.01
 
 
+def test_versions(spark, sample, tmp_path):
+    """A reader keeps the version it opened; failed writers and vacuum leave the newest one whole."""
+    path = str(tmp_path / "survey")
+
+    def make(n, key):
+        obs = spark.range(n).select(F.col("id").alias("_pos"), F.col("id").cast("string").alias("_index"), (F.col("id") * 2).alias("twice"))
+        return AnnotatedDataset(obs, uns={key: obs.select("_pos", "twice")})
+
+    assert write_dataset(make(5, "old"), path) == 1
+    before = open_dataset(spark, path)
+    with pytest.raises(ValueError, match="already"):
+        write_dataset(make(7, "new"), path)
+    with pytest.raises(ValueError, match="mode"):
+        write_dataset(make(7, "new"), path, mode="append")
+    assert write_dataset(make(7, "new"), path, mode="overwrite") == 2
+    # The old reader opens its parts only now.
+    assert before.n_obs == 5 and before.obs.count() == 5 and [k for part, k, _ in before.parts() if part == "uns"] == ["old"]
+    after = open_dataset(spark, path)
+    assert after.n_obs == 7 and after.obs.count() == 7 and [k for part, k, _ in after.parts() if part == "uns"] == ["new"]
+    assert open_dataset(spark, path, version=1).obs.count() == 5
+    with pytest.raises(FileNotFoundError, match=r"\[1, 2\]"):
+        open_dataset(spark, path, version=9)
+
+    class Failing(AnnotatedDataset):
+        def parts(self):
+            yield from super().parts()
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        write_dataset(Failing(make(9, "x").obs), path, mode="overwrite")
+    assert open_dataset(spark, path).obs.count() == 7 and after.obs.count() == 7
+    (tmp_path / "survey" / "manifest" / "version=3").mkdir()  # a manifest whose file has not come
+    assert open_dataset(spark, path).n_obs == 7
+    modified = last_modified(spark, path).first()[0].timestamp()
+    assert abs(modified - max(f.stat().st_mtime for f in (tmp_path / "survey" / "manifest" / "version=2").glob("part-*"))) < 0.01
+    (tmp_path / "survey" / "manifest" / "version=3").rmdir()
+
+    assert vacuum_dataset(spark, path) == [1]
+    assert len(list((tmp_path / "survey" / "parts").iterdir())) == 2  # that of version 2 and that of the failed writer, which is young
+    assert vacuum_dataset(spark, path, orphan_hours=-1) == []
+    assert [p.name[:2] for p in (tmp_path / "survey" / "parts").iterdir()] == ["2-"]
+    assert after.obs.count() == 7 and open_dataset(spark, path).get("uns", "new").count() == 7
+    with pytest.raises(FileNotFoundError):
+        open_dataset(spark, str(tmp_path / "absent"))
+    assert {r["kind"] for r in locate_datasets(spark, str(tmp_path)).collect()} == {"dataset"}
+
+
+def test_datasets_without_versions(spark, tmp_path):
+    """What earlier releases wrote: parts beside one manifest."""
+    old = f"{tmp_path}/old"
+    spark.range(4).selectExpr("id AS _pos", "string(id) AS _index").write.parquet(f"{old}/obs")
+    rows = [("obs", None, "table", None, 4, 0)]
+    spark.createDataFrame(rows, "section string, key string, kind string, dtype string, n_rows bigint, n_cols bigint").coalesce(1).write.parquet(f"{old}/manifest")
+    ds = open_dataset(spark, old)
+    assert ds.n_obs == 4 and ds.obs.count() == 4
+    assert write_dataset(ds, old, mode="overwrite") == 1
+    assert open_dataset(spark, old).obs.count() == 4 and open_dataset(spark, old, version=0).obs.count() == 4
+    assert vacuum_dataset(spark, old) == [0]
+    assert open_dataset(spark, old).obs.count() == 4 and not (tmp_path / "old" / "obs").exists()
+
+
 def test_locate(spark, tmp_path):
     for name in ("top.h5ad", "deep/er/x.h5ad", "plain/notes.txt", "dots.zarr/.zgroup", "v3.zarr/zarr.json", "v3.zarr/inner.zarr/zarr.json", "v3.zarr/x.h5ad", "ds/manifest/part-0.parquet"):
         file = tmp_path / name
