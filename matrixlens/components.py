@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass, field, replace
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from matrixlens.functions.columns import clean_double
 from matrixlens.functions.nested import variant_path
@@ -16,11 +16,18 @@ from matrixlens.operators.alignment import KeptPositions
 LAYOUTS = ("dense", "long", "sparse")
 
 
+def tile_names(n: int) -> list[str]:
+    """Names of the columns of the first ``n`` tiles."""
+    return [f"tile_{t}" for t in range(n)]
+
+
 @dataclass(frozen=True)
 class Matrix:
     """A matrix as a DataFrame.
 
-    ``dense``: one row ``(row_pos, values array)`` per matrix row.
+    ``dense``: one row ``(row_pos, values array)`` per matrix row.  Where it is stored in tiles of
+    columns, ``tiled`` has ``(row_pos, tile_0, tile_1, ...)`` with ``tile`` values each, the last one
+    with the rest; ``df`` joins them, and picking columns reads only the tiles that hold them.
     ``long``: one row ``(row_pos, col_pos, value)`` per cell.
     ``sparse``: as ``long``, but the cells not present are zeros.  Cells with the same
     position add up if ``repeated`` says that there may be such; else they are an error.
@@ -35,6 +42,14 @@ class Matrix:
     repeated: bool = False
     #: The matrix that this one is a filtered part of; its width is this one's.
     origin: Matrix | None = None
+    tiled: DataFrame | None = None
+    tile: int = 0
+
+    @classmethod
+    def of_tiles(cls, tiled: DataFrame, tile: int, shape: tuple[int | None, int | None] | None = None) -> Matrix:
+        """A dense matrix whose rows are stored as ``tiled`` describes."""
+        values = F.concat(*(F.col(name) for name in tile_names(len(tiled.columns) - 1)))
+        return cls(tiled.select("row_pos", values.alias("values")), "dense", shape, tiled=tiled, tile=tile)
 
     def __post_init__(self) -> None:
         if self.layout not in LAYOUTS:
@@ -68,8 +83,33 @@ class Matrix:
     def keep_rows(self, kept: KeptPositions) -> Matrix:
         """Only the rows at kept positions; the width stays what it was."""
         width = None if self.shape is None else self.shape[1]
+        if self.tiled is not None:
+            rows = Matrix.of_tiles(kept.rows_of(self.tiled, "row_pos"), self.tile, (None, width))
+            return replace(rows, origin=self.origin or self)
         return replace(self, df=kept.rows_of(self.df, "row_pos"), shape=(None, width), origin=self.origin or self)
 
+    def picking(self, positions: DataFrame | Iterable[int], name: str = "_pos") -> tuple[DataFrame, Callable[[Column], Column]]:
+        """Rows of a dense matrix that have the columns at ``positions``, and the cell of a row at one of them.
+
+        The positions are numbers, or a table's column ``name``.  Only the numbers of their tiles come
+        to the driver, no more than the matrix has.
+        """
+        if self.tiled is None:
+            return self.df, lambda p: F.get("values", p.cast("int"))
+        last = len(self.tiled.columns) - 2
+        if isinstance(positions, DataFrame):
+            numbers = [r[0] for r in positions.select(F.least(F.floor(F.col(name) / self.tile), F.lit(last)).alias("t")).distinct().collect()]
+        else:
+            numbers = {min(p // self.tile, last) for p in positions}
+        names = {t: tile_names(last + 1)[t] for t in sorted(numbers)}
+
+        def cell(p: Column) -> Column:
+            tile = F.least(F.floor(p / self.tile), F.lit(last))
+            held = [F.when(tile == t, F.get(tile_name, (p - t * self.tile).cast("int"))) for t, tile_name in names.items()]
+            return F.coalesce(*held) if held else F.lit(None).cast(self.element_type)
+
+        return self.tiled.select("row_pos", *names.values()), cell
+
     def keep_cols(self, kept: KeptPositions) -> Matrix:
         """Only the columns at kept positions; positions do not change.
 
@@ -78,9 +118,10 @@ class Matrix:
         """
         if self.layout == "dense":
             positions = kept.positions.agg(F.array_sort(F.collect_list("_pos"))).scalar()
-            cell = lambda p: F.struct(p.alias("col_pos"), F.get("values", p.cast("int")).alias("value"))
-            rows = self.df.withColumn("_kept", positions)
-            return Matrix(rows.select("row_pos", F.inline(F.transform("_kept", cell))), "long", origin=self.origin or self)
+            held, at = self.picking(kept.positions)
+            rows = held.withColumn("_kept", positions)
+            cells = F.transform("_kept", lambda p: F.struct(p.alias("col_pos"), at(p).alias("value")))
+            return Matrix(rows.select("row_pos", F.inline(cells)), "long", origin=self.origin or self)
         return replace(self, df=kept.rows_of(self.df, "col_pos"), origin=self.origin or self)
 
     def _length(self, axis: int, what: str) -> int:

@@ -394,11 +394,11 @@ class AnnotatedDataset:
         axis_rows = self._single[row_axis].select(POSITION) if row_axis else self.spark.range(length).select(F.col("id").alias(POSITION))
         wanted = slice_rows(axis_rows, rows, gaps, length)
         at_most = len(resolve(rows, length if length is not None else max(rows[0], rows[1])))
-        block = part.df.withColumnRenamed("row_pos", POSITION)
-        if gaps or part.layout != "dense":
-            block = block.join(wanted, POSITION, "left_semi")
-        else:
-            block = slice_rows(block, rows, False, length)
+
+        def of_rows(block: DataFrame) -> DataFrame:
+            if gaps or part.layout != "dense":
+                return block.join(wanted, POSITION, "left_semi")
+            return slice_rows(block, rows, False, length)
 
         kept: DataFrame | None = None
         if features is not None:
@@ -425,10 +425,11 @@ class AnnotatedDataset:
             inside = selects(F.col("col_pos"), picked) if isinstance(picked, range) else F.col("col_pos").isin(picked)
 
         if part.layout == "dense":
-            block = block.withColumn("_picked", positions)
-            values = F.transform("_picked", lambda p: F.get("values", p.cast("int")))
+            held, at = part.picking(picked if kept is None else kept, POSITION)
+            block = of_rows(held.withColumnRenamed("row_pos", POSITION)).withColumn("_picked", positions)
+            values = F.transform("_picked", at)
             return in_order(block.select(F.col(POSITION).alias("row_pos"), values.alias("values")), at_most, "row_pos")
-        place = F.col("col_pos")
+        block, place = of_rows(part.df.withColumnRenamed("row_pos", POSITION)), F.col("col_pos")
         if kept is None:
             block = block.filter(inside)
         elif numbered is not None:

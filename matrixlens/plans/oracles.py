@@ -207,6 +207,10 @@ def oracles() -> dict[str, str]:
             f"{EMB}, named AS (SELECT *, 'dim_' || col_pos AS feature FROM emb)", "named", "value",
             "feature GLOB 'dim_6*' OR feature = 'dim_0'",
         ),
+        "stored_tiles": _feature_rows(
+            f"{EMB}, named AS (SELECT *, 'dim_' || col_pos AS feature FROM emb)", "named", "value",
+            "feature GLOB 'dim_6*' OR feature = 'dim_0'",
+        ),
         "obs_filter_matrix": _cells(TRADE, "trade", "quantity", "s_acctbal > 4000"),
         "var_filter_matrix": _cells(TRADE, "trade", "quantity", "p_type = 'PROMO'", by="col_pos", nan_count=True),
         "var_filter_dense": _cells(EMB, "emb", "value", "col_pos IN (SELECT col_pos FROM emb GROUP BY 1 HAVING avg(value) > 0)"),

@@ -335,6 +335,13 @@ def stored_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(open_dataset(spark, f"{folder}/trade").describe("layers", "revenue", axis=1), mean=2)
 
 
+def stored_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Describe features of a dense matrix that is stored in tiles of ten columns."""
+    folder = _scratch(spark)
+    write_dataset(fixtures.embeddings(spark, sf), f"{folder}/emb", tile=10)
+    return rounded(open_dataset(spark, f"{folder}/emb").describe("X", columns=["dim_6*", "dim_0"]))
+
+
 def locate(spark: SparkSession, sf: str) -> DataFrame:
     folder = _scratch(spark)
     write_dataset(fixtures.documents(spark, sf), f"{folder}/docs")
@@ -458,7 +465,7 @@ def registered() -> dict[str, Query]:
         view_negative_bounds, view_matrix_block, view_sparse_block, view_matrix_features, view_sparse_features,
         view_filtered_dataset, view_shapes, document_entries, nested_key, section_listing, summary,
         csv_rows, csv_block, matrix_to_columns, view_column_list, named_cells, distributed_quartiles, positions_by_order,
-        stored_dataset, locate, filter_long_dates, filter_long_notin_missing, filter_decimal,
+        stored_dataset, stored_tiles, locate, filter_long_dates, filter_long_notin_missing, filter_decimal,
         sparse_obsm_filtered, sparse_uns_by_row, view_integer_layer, obs_filter_most_rows, glob_many, refusals,
     ):
         found[query.__name__] = query

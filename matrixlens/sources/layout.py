@@ -17,14 +17,16 @@ from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from matrixlens.components import Component, Components, Document, Matrix
+from matrixlens.components import Component, Components, Document, Matrix, tile_names
 from matrixlens.dataset import KEYED, AnnotatedDataset
 from matrixlens.functions.columns import POSITION, user_columns
 from matrixlens.sources.files import children, delete, visible_files
 
 #: Folder of the tables that list a dataset's parts, each written last in its version, and folder of the parts.
 MANIFEST, PARTS = "manifest", "parts"
-_MANIFEST = "section string, key string, kind string, dtype string, n_rows bigint, n_cols bigint, folder string"
+_MANIFEST = "section string, key string, kind string, dtype string, n_rows bigint, n_cols bigint, folder string, tile int"
+#: Columns of a dense matrix that are stored, and read, together.
+TILE_COLUMNS = 128
 _VERSION = re.compile(r"version=(\d+)$")
 
 #: Short scheme names and the Hadoop filesystems that serve them.
@@ -71,18 +73,31 @@ def _kind(part: Component) -> tuple[str, str | None]:
     return ("document", None) if isinstance(part, Document) else ("table", None)
 
 
-def _stored_form(part: Component) -> DataFrame:
+def _in_tiles(part: Matrix, width: int, tile: int) -> DataFrame:
+    """Rows ``(row_pos, tile_0, ...)``: columns that are read together lie together, others are not read."""
+    names = tile_names(-(-width // tile))
+    whole = F.lit(2**31 - 1)
+    cut = [F.slice("values", t * tile + 1, tile if t < len(names) - 1 else whole).alias(name) for t, name in enumerate(names)]
+    return part.df.select("row_pos", *cut)
+
+
+def _stored_form(part: Component, width: int | None, tile: int) -> DataFrame:
     """Rows in position order within files, so position ranges skip most row groups."""
     if isinstance(part, Document):
         return part.df.select(F.to_json("value").alias("value"))
     df = part.df if isinstance(part, Matrix) else part
+    if isinstance(part, Matrix) and part.layout == "dense" and width is not None and width > tile:
+        df = _in_tiles(part, width, tile)
     order = [c for c in (POSITION, "row_pos", "col_pos") if c in df.columns]
     return df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
 
 
-def write_dataset(ds: AnnotatedDataset, path: str, mode: str = "errorifexists") -> int:
+def write_dataset(ds: AnnotatedDataset, path: str, mode: str = "errorifexists", tile: int = TILE_COLUMNS) -> int:
     """Write every part of a dataset as Parquet, then the manifest that makes them a version; returns its number.
 
+    Dense matrices of more than ``tile`` columns are stored in tiles of so many, and reading some
+    features reads only their tiles.
+
     ``mode`` says what to do if there is a dataset already: raise an error, or ``overwrite`` it, which
     adds a version that readers find from then on.  Of two writers at once, the second to
     finish may fail, but no version mixes what they wrote.
@@ -98,15 +113,16 @@ def write_dataset(ds: AnnotatedDataset, path: str, mode: str = "errorifexists")
     for section, key, part in ds.parts():
         part = part.unique() if isinstance(part, Matrix) else part
         folder = f"{own}/{_folder(section, key)}"
-        _stored_form(part).write.parquet(f"{root}/{folder}")
         rows: int | None = None
         cols: int | None = None
         if isinstance(part, Matrix) and section != "raw":
             rows, cols = ds.shape_of(part, section)
-        elif isinstance(part, DataFrame):
+        tiled = isinstance(part, Matrix) and part.layout == "dense" and cols is not None and cols > tile
+        _stored_form(part, cols, tile).write.parquet(f"{root}/{folder}")
+        if isinstance(part, DataFrame):
             # Counted from what was written, of which the footers suffice.
             rows, cols = ds.spark.read.schema(part.schema).parquet(f"{root}/{folder}").count(), len(user_columns(part.schema))
-        manifest.append((section, key, *_kind(part), rows, cols, folder))
+        manifest.append((section, key, *_kind(part), rows, cols, folder, tile if tiled else None))
     table = ds.spark.createDataFrame(manifest, _MANIFEST)
     table.coalesce(1).write.parquet(_manifest_folder(root, version))
     return version
@@ -165,7 +181,7 @@ def open_dataset(spark: SparkSession, path: str, version: int | None = None) ->
             if row["kind"] == "document":
                 return Document.from_json(df)
             shape = None if row["n_rows"] is None else (row["n_rows"], row["n_cols"])
-            return Matrix(df, row["kind"], shape)
+            return Matrix.of_tiles(df, row["tile"], shape) if row["tile"] else Matrix(df, row["kind"], shape)
 
         return open_part
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 import time
 
 import numpy as np
@@ -366,6 +367,39 @@ def test_versions(spark, sample, tmp_path):
     assert {r["kind"] for r in locate_datasets(spark, str(tmp_path)).collect()} == {"dataset"}
 
 
+def test_tiles(spark, tmp_path):
+    """A matrix in tiles gives what it gave before, and features are read from their tiles alone."""
+    rng = np.random.default_rng(4)
+    values = np.where(rng.random((40, 23)) < 0.1, np.nan, rng.random((40, 23)))
+    obs = spark.range(40).select(F.col("id").alias("_pos"), F.format_string("o%d", "id").alias("_index"), (F.col("id") % 3).alias("third"))
+    var = spark.range(23).select(F.col("id").alias("_pos"), F.format_string("f%02d", "id").alias("_index"), (F.col("id") % 2).alias("odd"))
+    x = spark.createDataFrame([(i, [None if j == 3 and i < 5 else float(v) for j, v in enumerate(row)]) for i, row in enumerate(values)], "row_pos long, values array<double>")
+    plain = AnnotatedDataset(obs, var, Matrix(x, "dense"), obsm={"same": Matrix(x, "dense")})
+    write_dataset(plain, str(tmp_path / "t"), tile=5)
+    tiled = open_dataset(spark, str(tmp_path / "t"))
+    assert [c for c in tiled.get("X").tiled.columns] == ["row_pos", "tile_0", "tile_1", "tile_2", "tile_3", "tile_4"]
+
+    def asked(ds):
+        yield ds.describe("X")
+        yield ds.describe("X", axis=1)
+        yield ds.describe("obsm", "same", axis=0)
+        yield ds.describe("X", columns=["f1?", "f03", "f22"])
+        yield ds.where("var", "odd", "==", 1).describe("X", axis=0)
+        yield ds.where("obs", "third", "<", 2).where("var", "odd", "==", 0).describe("X")
+        yield ds.view("X", rows=(3, 30, 7), cols=(4, 23, 3))
+        yield ds.view("X", rows=(-3, None), cols=[22, 0, 9, 9])
+        yield ds.view("X", columns=["f20", "f0?"], rows=(0, 4))
+        yield ds.where("obs", "third", "==", 1).view("X", rows=(1, 5), cols=(-2, None))
+        yield ds.view("obsm", "same", rows=(None, None), cols=(None, None))
+        yield ds.summary().where("section in ('X', 'obsm')").select("section", "key", "shape", "dtype")
+
+    for one, other in zip(asked(plain), asked(tiled), strict=True):
+        assert sorted(map(repr, one.collect())) == sorted(map(repr, other.collect()))
+    for df in (tiled.view("X", columns=["f06", "f08"], rows=(None, None)), tiled.view("X", rows=(0, 9), cols=(5, 9)), tiled.get("X").keep_cols(KeptPositions(var.where("_pos in (6, 7)").select("_pos"))).df):
+        read = re.findall(r"ReadSchema: struct<([^>]*tile[^>]*)", df._jdf.queryExecution().executedPlan().toString())
+        assert read and all("tile_1" in r and not re.search("tile_[0234]", r) for r in read)
+
+
 def test_datasets_without_versions(spark, tmp_path):
     """What earlier releases wrote: parts beside one manifest."""
     old = f"{tmp_path}/old"
