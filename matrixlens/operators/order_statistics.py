@@ -29,7 +29,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from matrixlens.session import repeatable, small_side, stable
+from matrixlens import session
+from matrixlens.session import repeatable, stable
 
 #: First-level resolution: bins per doubling of the magnitude.  Few enough that rows combine
 #: before the shuffle even where a task sees only some hundred values of each of many groups;
@@ -76,12 +77,23 @@ def _read_off_edges(targets: DataFrame, keys: Sequence[str]) -> tuple[DataFrame,
     return known, still_open
 
 
-def _members(values: DataFrame, keys: Sequence[str], targets: DataFrame, n_targets: int) -> DataFrame:
-    """Rows that fall into an open bin, with the bin's id and bounds."""
-    side = small_side(targets.select(*keys, "_bin", "_target", "lo", "hi"), n_targets)
+def _members(values: DataFrame, keys: Sequence[str], targets: DataFrame, n_targets: int, n_values: int) -> DataFrame:
+    """Rows that fall into an open bin, with the bin's id and bounds; ``n_values`` of them in all.
+
+    Too many bins to broadcast are told apart by the rows they hold.  Fewer than ``BROADCAST_ROWS``
+    can hold more than that part of all rows: these are broadcast, and their rows stay where they
+    are.  Only rows of the others are dealt by key, of which no key has many.
+    """
+    side = targets.select(*keys, "_bin", "_target", "lo", "hi", "n")
     rows = values.filter(F.col("value").isNotNull()).select(*keys, "value", _octave_bin(F.col("value")).alias("_bin"))
-    rows = rows.join(side, [*keys, "_bin"])
-    return rows.filter(F.col("value").between(F.col("lo"), F.col("hi"))).select("_target", "lo", "hi", "value")
+    on = [*keys, "_bin"]
+    if n_targets <= session.BROADCAST_ROWS:
+        met = rows.join(F.broadcast(side), on)
+    else:
+        full = side.filter(F.col("n") > n_values // max(1, session.BROADCAST_ROWS))
+        rest = rows.join(F.broadcast(full.select(*on)), on, "left_anti")
+        met = rows.join(F.broadcast(full), on).unionByName(rest.join(side, on))
+    return met.filter(F.col("value").between(F.col("lo"), F.col("hi"))).select("_target", "lo", "hi", "value")
 
 
 def _values_at_ranks(values: DataFrame, keys: Sequence[str], located: DataFrame) -> DataFrame:
@@ -90,10 +102,10 @@ def _values_at_ranks(values: DataFrame, keys: Sequence[str], located: DataFrame)
     answers = [known]
     while True:
         targets = stable(still_open.withColumn("_target", F.monotonically_increasing_id()))
-        largest, n_targets = targets.agg(F.max("n"), F.count(F.lit(1))).first()
+        largest, n_targets, n_values = targets.agg(F.max("n"), F.count(F.lit(1)), F.sum("n")).first()
         if not n_targets:
             break
-        rows = _members(values, keys, targets, n_targets)
+        rows = _members(values, keys, targets, n_targets, n_values)
         identity = targets.select("_target", *keys, "_bin", F.col("base").alias("start"), "ranks")
         if largest <= SORTED_ROWS:
             counted = rows.groupBy("_target", "value").agg(F.count(F.lit(1)).alias("n"))

@@ -270,6 +270,35 @@ def test_a_lost_rank_is_an_error(spark, monkeypatch):
         describe_groups(spark.range(100).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("value")), ["k"]).collect()
 
 
+def test_rows_of_hot_bins_stay_where_they_are(spark, monkeypatch):
+    """One bin with a third of all rows among more bins than are broadcast: no task gets them all."""
+    monkeypatch.setattr(order_statistics, "SORTED_ROWS", 50)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(order_statistics, "REFINE_BINS", 8)
+    rng = np.random.default_rng(6)
+    data = {k: rng.random(300) + 1 for k in range(40)} | {99: rng.random(6000) + 1}
+    pairs = [(k, float(v)) for k, values in data.items() for v in values]
+    rng.shuffle(pairs)
+    values = spark.createDataFrame([(int(k), v) for k, v in pairs], "k long, value double").repartition(8)
+    dealt = []
+    whole = order_statistics._members
+
+    def watched(values, keys, targets, n_targets, n_values):
+        found = whole(values, keys, targets, n_targets, n_values)
+        if n_targets > 10:
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            hot = targets.where(F.col("n") > n_values // 10)
+            dealt.append((hot.count(), "LeftAnti" in plan, found.count(), targets.agg(F.sum("n")).first()[0]))
+            spread = found.where("_target IN (%s)" % ",".join(str(r[0]) for r in hot.select("_target").collect())).groupBy(F.spark_partition_id()).count()
+            assert max(r[1] for r in spread.collect()) < 2 * 6000 / 8
+        return found
+
+    monkeypatch.setattr(order_statistics, "_members", watched)
+    for row in describe_groups(values, ["k"]).collect():
+        assert_stats(row, data[row["k"]])
+    assert dealt and all(1 <= hot < 10 for hot, *_ in dealt) and all(anti for _, anti, _, _ in dealt) and all(n == total for _, _, n, total in dealt)
+
+
 def test_positions_that_repeat_are_not_sliced(spark, monkeypatch):
     monkeypatch.setattr(slicing, "TOP_ROWS", 2)
     df = spark.createDataFrame([(i // 2,) for i in range(20)], "_pos long")
