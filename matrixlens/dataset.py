@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import cached_property
 from typing import Any
 
@@ -18,10 +18,11 @@ from matrixlens.operators.alignment import KeptPositions
 from matrixlens.operators.matrix_stats import describe_cells, describe_rows_of_arrays
 from matrixlens.operators.positions import assign_positions
 from matrixlens.operators.predicates import check_triple, filter_rows
-from matrixlens.operators.selection import match_names, unmatched_patterns
+from matrixlens.operators.selection import first_positions, match_names, unmatched_patterns
 from matrixlens.operators.slicing import Bounds, as_array, in_order, needs_length, resolve, selects, slice_rows
 from matrixlens.plans.summary import entries_frame, summary_frame
 from matrixlens.session import small_side, stable
+from matrixlens.sources.names import rows_named
 
 KEYED = ("layers", "obsm", "varm", "obsp", "varp", "uns")
 SECTIONS = ("X", "obs", "var", *KEYED)
@@ -63,11 +64,13 @@ class AnnotatedDataset:
         raw: Any = None,
         path: str | None = None,
         sizes: Mapping[str, int] | None = None,
+        names: Mapping[str, Callable[[], DataFrame]] | None = None,
     ) -> None:
         self._single = Components({k: v for k, v in {"obs": obs, "var": var, "X": X, "raw": raw}.items() if v is not None})
         given = {"layers": layers, "obsm": obsm, "varm": varm, "obsp": obsp, "varp": varp, "uns": uns}
         self._keyed = {s: parts if isinstance(parts, Components) else Components(dict(parts or {})) for s, parts in given.items()}
         self._sizes = dict(sizes or {})
+        self._names = dict(names or {})
         self._kept: dict[str, KeptPositions] = {}
         self._base = self
         self.path = path
@@ -153,10 +156,11 @@ class AnnotatedDataset:
         if axis not in ("obs", "var"):
             raise ValueError(f"filter axis must be 'obs' or 'var', got '{axis}'")
         check_triple(filter_column=name, filter_operator=op, filter_value=value)
-        table = filter_rows(self.obs if axis == "obs" else self.var, name, op, value)
+        table = self._filtered(axis, self.obs if axis == "obs" else self.var, name, op, value)
         result = AnnotatedDataset.__new__(AnnotatedDataset)
         # Parts are cut from the unfiltered dataset, once for each axis however many filters it has.
         base = result._base = self._base
+        result._names = base._names
         result._kept = {**self._kept, axis: KeptPositions(table)}
 
         def along(part: Component, row_axis: str | None, col_axis: str | None) -> Component:
@@ -180,6 +184,32 @@ class AnnotatedDataset:
         result.path = self.path
         return result
 
+    def _filtered(self, section: str, table: DataFrame, name: str, op: str, value: Any) -> DataFrame:
+        """Rows of a table that satisfy a filter; names of a stored axis are looked up first.
+
+        The filter itself stays: the look-up only says which rows it need look at.
+        """
+        if section in self._names and name in ("index", INDEX) and op in ("==", "isin"):
+            asked = list(value) if isinstance(value, (list, tuple, set)) else [value]
+            # Missing values are not in the side table; what is no text equals no name.
+            if not any(v is None or v != v for v in asked):
+                found = rows_named(self._names[section](), [v for v in asked if isinstance(v, str)])
+                table = KeptPositions(found).rows_of(table, POSITION)
+        return filter_rows(table, name, op, value)
+
+    def positions_of(self, names: Sequence[str], axis: str = "var") -> DataFrame:
+        """``(name, position)``: where each of the names occurs first on an axis; names that are not there have no row."""
+        if axis not in ("obs", "var"):
+            raise ValueError(f"axis must be 'obs' or 'var', got '{axis}'")
+        table = self.obs if axis == "obs" else self.var
+        if axis in self._names:
+            found = rows_named(self._names[axis](), names)
+            if axis in self._kept:
+                found = self._kept[axis].rows_of(found, POSITION)
+        else:
+            found = filter_rows(table, "index", "isin", list(names))
+        return first_positions(found)
+
     def require_rows(self) -> AnnotatedDataset:
         """Raise if a filter left no observation or no variable."""
         for axis, what in (("obs", "observations"), ("var", "variables")):
@@ -378,7 +408,7 @@ class AnnotatedDataset:
         gaps = AXES.get(section, (section,))[0] in self._kept
         if where is None or not check_triple(**dict(zip(("filter_column", "filter_operator", "filter_value"), where))):
             return part, names, gaps
-        table = filter_rows(part, *where)
+        table = self._filtered(section, part, *where)
         if table.isEmpty():
             raise ValueError("the filter leaves no rows")
         return table, names, True

@@ -211,6 +211,9 @@ def oracles() -> dict[str, str]:
             f"{EMB}, named AS (SELECT *, 'dim_' || col_pos AS feature FROM emb)", "named", "value",
             "feature GLOB 'dim_6*' OR feature = 'dim_0'",
         ),
+        "stored_names": f"WITH {DOCS} SELECT _pos, _index, lang, source, n_chars, quality, toxic FROM docs WHERE _index IN ('doc_3', 'doc_17', 'doc_150', 'doc_42')",
+        "stored_name_positions": """SELECT p_name AS name, min(p_partkey) AS position FROM part
+ WHERE regexp_full_match(p_name, '(red|small|hot) (plate|ring|rod|widget)') GROUP BY 1""",
         "obs_filter_matrix": _cells(TRADE, "trade", "quantity", "s_acctbal > 4000"),
         "var_filter_matrix": _cells(TRADE, "trade", "quantity", "p_type = 'PROMO'", by="col_pos", nan_count=True),
         "var_filter_dense": _cells(EMB, "emb", "value", "col_pos IN (SELECT col_pos FROM emb GROUP BY 1 HAVING avg(value) > 0)"),

@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from matrixlens.dataset import AnnotatedDataset
 from matrixlens.functions.nested import nested_value
 from matrixlens.operators import table_stats
 from matrixlens.operators.order_statistics import describe_groups
@@ -342,6 +343,23 @@ def stored_tiles(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(open_dataset(spark, f"{folder}/emb").describe("X", columns=["dim_6*", "dim_0"]))
 
 
+def stored_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by name, out of a stored dataset and its side table of names."""
+    folder = _scratch(spark)
+    write_dataset(fixtures.documents(spark, sf), f"{folder}/docs")
+    ds = open_dataset(spark, f"{folder}/docs")
+    few = ds.where("obs", "lang", "!=", "xx").where("obs", "index", "isin", ["doc_3", "doc_17", "doc_150", "doc_x", 7]).obs
+    return few.unionByName(ds.where("obs", "index", "==", "doc_42").obs)
+
+
+def stored_name_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each of many names, some of which repeat, occurs first among the parts."""
+    folder = _scratch(spark)
+    write_dataset(AnnotatedDataset(fixtures.parts(spark, sf)), f"{folder}/parts")
+    there = [f"{size} {thing}" for size in ("red", "small", "hot") for thing in ("plate", "ring", "rod", "widget")]
+    return open_dataset(spark, f"{folder}/parts").positions_of([*there, *(f"absent {i}" for i in range(1500))], "obs")
+
+
 def locate(spark: SparkSession, sf: str) -> DataFrame:
     folder = _scratch(spark)
     write_dataset(fixtures.documents(spark, sf), f"{folder}/docs")
@@ -465,7 +483,7 @@ def registered() -> dict[str, Query]:
         view_negative_bounds, view_matrix_block, view_sparse_block, view_matrix_features, view_sparse_features,
         view_filtered_dataset, view_shapes, document_entries, nested_key, section_listing, summary,
         csv_rows, csv_block, matrix_to_columns, view_column_list, named_cells, distributed_quartiles, positions_by_order,
-        stored_dataset, stored_tiles, locate, filter_long_dates, filter_long_notin_missing, filter_decimal,
+        stored_dataset, stored_tiles, stored_names, stored_name_positions, locate, filter_long_dates, filter_long_notin_missing, filter_decimal,
         sparse_obsm_filtered, sparse_uns_by_row, view_integer_layer, obs_filter_most_rows, glob_many, refusals,
     ):
         found[query.__name__] = query

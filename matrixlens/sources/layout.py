@@ -21,9 +21,12 @@ from matrixlens.components import Component, Components, Document, Matrix, tile_
 from matrixlens.dataset import KEYED, AnnotatedDataset
 from matrixlens.functions.columns import POSITION, user_columns
 from matrixlens.sources.files import children, delete, visible_files
+from matrixlens.sources.names import names_of
 
 #: Folder of the tables that list a dataset's parts, each written last in its version, and folder of the parts.
 MANIFEST, PARTS = "manifest", "parts"
+#: Kind, and folder, of the tables that tell where the names of an axis lie.
+NAMES = "names"
 _MANIFEST = "section string, key string, kind string, dtype string, n_rows bigint, n_cols bigint, folder string, tile int"
 #: Columns of a dense matrix that are stored, and read, together.
 TILE_COLUMNS = 128
@@ -123,6 +126,12 @@ def write_dataset(ds: AnnotatedDataset, path: str, mode: str = "errorifexists",
             # Counted from what was written, of which the footers suffice.
             rows, cols = ds.spark.read.schema(part.schema).parquet(f"{root}/{folder}").count(), len(user_columns(part.schema))
         manifest.append((section, key, *_kind(part), rows, cols, folder, tile if tiled else None))
+    for axis, folder in [(row[0], row[6]) for row in manifest if row[0] in ("obs", "var")]:
+        # From what was written: the axis is not computed again.
+        names = names_of(ds.spark.read.parquet(f"{root}/{folder}"))
+        if names is not None:
+            names.write.parquet(f"{root}/{own}/{NAMES}/{axis}")
+            manifest.append((axis, None, NAMES, None, None, None, f"{own}/{NAMES}/{axis}", None))
     table = ds.spark.createDataFrame(manifest, _MANIFEST)
     table.coalesce(1).write.parquet(_manifest_folder(root, version))
     return version
@@ -185,6 +194,8 @@ def open_dataset(spark: SparkSession, path: str, version: int | None = None) ->
 
         return open_part
 
+    names = {row["section"]: f"{root}/{row['folder']}" for row in listed if row["kind"] == NAMES}
+    listed = [row for row in listed if row["kind"] != NAMES]
     single = {row["section"]: opener(row) for row in listed if row["key"] is None}
     keyed = {
         section: Components({row["key"]: opener(row) for row in listed if row["section"] == section and row["key"] is not None})
@@ -192,5 +203,6 @@ def open_dataset(spark: SparkSession, path: str, version: int | None = None) ->
     }
     sizes = {row["section"]: row["n_rows"] for row in listed if row["section"] in ("obs", "var")}
     return AnnotatedDataset(
-        single["obs"], single.get("var"), single.get("X"), raw=single.get("raw"), path=root, sizes=sizes, **keyed
+        single["obs"], single.get("var"), single.get("X"), raw=single.get("raw"), path=root, sizes=sizes, **keyed,
+        names={axis: lambda folder=folder: spark.read.parquet(folder) for axis, folder in names.items()},
     )

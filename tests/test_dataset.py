@@ -16,6 +16,7 @@ from matrixlens.operators.alignment import KeptPositions
 from matrixlens.sources.catalog import last_modified
 from matrixlens.sources.csv import array_lines, table_lines, write_block, write_table
 from matrixlens.sources.layout import resolve_location
+from matrixlens.sources.names import rows_named
 from tests.sample import N_OBS, N_VARS, sparse
 from tests.test_statistics import assert_stats
 
@@ -400,6 +401,46 @@ def test_tiles(spark, tmp_path):
         assert read and all("tile_1" in r and not re.search("tile_[0234]", r) for r in read)
 
 
+def test_names_of_a_stored_dataset(spark, tmp_path):
+    """Look-ups by name give what filters give, and read the pages of the names asked for."""
+    n = 60_000
+    name = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 1000 == 1, F.lit(None)).otherwise(F.format_string("o%d", F.col("id") % 30_000))
+    obs = spark.range(n).select(F.col("id").alias("_pos"), name.alias("_index"), (F.col("id") % 7).alias("day"))
+    var = spark.createDataFrame([(0, 5), (1, 6)], "_pos long, _index long")  # names that are no text have no side table
+    plain = AnnotatedDataset(obs, var)
+    write_dataset(plain, str(tmp_path / "n"))
+    stored = open_dataset(spark, str(tmp_path / "n"))
+    assert set(stored._names) == {"obs"} and [row[:2] for row in stored.parts()] == [("obs", None), ("var", None)]
+
+    asked = [
+        ("==", "o5"), ("==", "absent"), ("==", 5), ("==", "hot"), ("!=", "hot"), ("isin", ["o5", "o29999", 4, "o5"]), ("isin", []),
+        ("isin", ["o7", None]), ("isin", ["o7", float("nan")]), ("isin", "o8"), ("notin", ["hot"]), ("isin", [f"o{i}" for i in range(0, 3000, 2)]),
+    ]
+    for op, value in asked:
+        one, other = (ds.where("obs", "index", op, value).where("obs", "day", "<", 5).obs for ds in (plain, stored))
+        assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty(), (op, value)
+        turned = stored.where("obs", "day", "<", 5).where("obs", "index", op, value)
+        assert turned.n_obs == one.count()
+    assert stored.where("var", "index", "==", 6).n_vars == 1
+    for ds in (plain, stored):
+        with pytest.raises(ValueError, match="one value"):
+            ds.where("obs", "index", "==", ["o5"])
+        assert ds.view("obs", rows=(0, 9), where=("index", "==", "o5")).collect() == [("o5", 5), ("o5", 30_005 % 7)]
+        found = ds.positions_of(["o7", "hot", "absent", "hot"], "obs")
+        assert {tuple(r) for r in found.collect()} == {("o7", 7), ("hot", 0)}
+        kept = ds.where("obs", "day", "==", 3).positions_of(["hot", *(f"absent{i}" for i in range(20))], "obs")
+        assert [tuple(r) for r in kept.collect()] == [("hot", 3)]
+        with pytest.raises(ValueError, match="axis"):
+            ds.positions_of(["o7"], "uns")
+
+    looked = rows_named(stored._names["obs"](), ["o5"])
+    looked.collect()
+    plan = looked._jdf.queryExecution().executedPlan()
+    assert "EqualTo(_hash" in plan.toString() or "In(_hash" in plan.toString()
+    leaf = plan.collectLeaves().head()
+    assert leaf.metrics().apply("numOutputRows").value() <= 25_000
+
+
 def test_datasets_without_versions(spark, tmp_path):
     """What earlier releases wrote: parts beside one manifest."""
     old = f"{tmp_path}/old"
