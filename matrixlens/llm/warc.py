@@ -1,11 +1,18 @@
 """Dictionary-compressed WARC archives: written, and read back, by Spark.
 
-Every task writes one archive: a leading skippable frame that holds a Zstandard dictionary
-built from the archive's own first records, then one Zstandard frame per record, compressed
-with that dictionary.  Records can be decompressed one by one, and a reader needs nothing but
-the file.  Spark's text writer puts the frames into files on any Hadoop file system, with its
-commit protocol, so a lost executor leaves no half archive; the separator it writes after each
-row is an empty skippable frame, which readers pass over.
+An archive is a leading skippable frame that holds a Zstandard dictionary, then one Zstandard
+frame per record, compressed with that dictionary.  The dictionary is built from the first records
+of the task that writes the archive; where those are too few or too unlike to train one, it
+is their bytes as they are.  Records can be decompressed one by one, and a reader needs nothing but
+the file.  A task begins a new archive every ``ARCHIVE_BYTES``.  Spark's text writer puts each into
+a file of its own on any Hadoop file system, with its commit protocol, so a lost executor
+leaves no half archive; what separates frames is an empty skippable frame, which readers pass over.
+
+Records have the fields that the format requires: an id, a date, the target (a page without url
+has a URN of its own) and the length.  The block of a response is an HTTP response whose
+payload is the page.  Page ids are in fields of our own, ``X-Page-ID`` and ``X-Refers-To-Page-ID``.
+Rows that repeat are archived as often as they occur, each under its own id; a revisit refers to the first.
+A table without rows gives archives without records.
 
 Of records with equal payloads (SHA-1) of at least ``REVISIT_BYTES`` bytes, the one with the
 largest page id is archived as response, the others as revisits that refer to it.
@@ -16,7 +23,10 @@ from __future__ import annotations
 import io
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
+from itertools import chain
+from urllib.parse import quote
 
 import pyarrow as pa
 import zstandard
@@ -26,24 +36,31 @@ from matrixlens.llm.tables import written
 from matrixlens.session import shared_folder
 
 REVISIT_BYTES = 1000
-#: Most bytes of an archive's first records that its dictionary is built from, the size of the
-#: dictionary, and the records below which a dictionary is not worth its place.
-SAMPLE_BYTES, DICTIONARY_BYTES, LEAST_RECORDS = 1 << 20, 1 << 14, 16
+#: Bytes of a task's first records that its dictionary is built from, and the size of the dictionary.
+SAMPLE_BYTES, DICTIONARY_BYTES = 1 << 20, 1 << 14
+#: Compressed bytes from which a task begins another archive: it is one row to Spark, and is read whole.
+ARCHIVE_BYTES = 32 << 20
 LEVEL = 3
 #: Fixed values of the formats: the magic numbers of skippable frames.
 DICTIONARY_FRAME, EMPTY_FRAME = 0x184D2A5D, "P*M\x18\x00\x00\x00\x00"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
+#: What may stand in a URI as it is; anything else, line ends above all, is escaped.
+_URI_SAFE = "!#$%&'()*+,/:;=?@[]~"
 _FIELD = re.compile(rb"^([A-Za-z-]+): (.*)\r$", re.M)
 
 
-def decide_revisits(pages: DataFrame, page_id: str = "page_id", payload: str = "html") -> DataFrame:
-    """``pages`` as page_id, payload, payload_digest, refers_to (null for responses).
+def decide_revisits(pages: DataFrame, page_id: str = "page_id", payload: str = "html", url: str = "url") -> DataFrame:
+    """``pages`` as page_id, payload, payload_digest, refers_to (null for responses), url, referred_to.
+
+    ``referred_to`` marks the responses that revisits refer to; ``url`` is null where there is no such column.
 
     Only digests that occur more than once are joined back; they are counted per task before
     anything moves.
     """
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
-    pages = pages.select(F.col(page_id).alias("page_id"), body.alias("payload"))
+    target = F.col(url) if url in pages.columns else F.lit(None)
+    pages = pages.select(F.col(page_id).alias("page_id"), body.alias("payload"), target.cast("string").alias("url"))
     pages = pages.withColumn("payload_digest", F.sha1("payload"))
     known = (
         pages.where(F.octet_length("payload") >= REVISIT_BYTES)
@@ -53,87 +70,114 @@ def decide_revisits(pages: DataFrame, page_id: str = "page_id", payload: str = "
     )
     joined = pages.withColumn("_key", F.unhex("payload_digest")).join(known, "_key", "left")
     older = F.col("_first").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("_first")))
-    return joined.select("page_id", "payload", "payload_digest", F.when(older, F.col("_first")).alias("refers_to"))
+    return joined.select(
+        "page_id", "payload", "payload_digest", F.when(older, F.col("_first")).alias("refers_to"), "url",
+        (F.col("_first").isNotNull() & ~older).alias("referred_to"),
+    )
 
 
-def _urn(page_id: int | None) -> str:
-    return "<urn:page:>" if page_id is None else f"<urn:page:{page_id}>"
+def _response_id(page_id: int, digest: str) -> uuid.UUID:
+    """Id of the response that revisits of a page refer to: known wherever they are written."""
+    return uuid.uuid5(uuid.NAMESPACE_OID, f"{page_id}:{digest}")
 
 
-def _record(page_id: int | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    head = ["WARC/1.1", f"WARC-Record-ID: {_urn(page_id)}", f"WARC-Payload-Digest: sha1:{digest}"]
+def _record(date: str, own_id: uuid.UUID, page_id: int | None, payload: bytes, digest: str, refers_to: int | None, url: str | None) -> bytes:
+    target = quote(url, safe=_URI_SAFE) if url else f"urn:page:{page_id}" if page_id is not None else f"urn:uuid:{own_id}"
+    head = ["WARC/1.1", f"WARC-Record-ID: <urn:uuid:{own_id}>", f"WARC-Date: {date}", f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{digest}"]
+    if page_id is not None:
+        head.append(f"X-Page-ID: {page_id}")
+    block = b""
     if refers_to is None:
-        head += ["WARC-Type: response", "Content-Type: text/html", f"Content-Length: {len(payload)}"]
+        block = _HTTP.format(len(payload)).encode() + payload
+        head += ["WARC-Type: response", "Content-Type: application/http;msgtype=response"]
     else:
-        head += ["WARC-Type: revisit", f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {_urn(refers_to)}", "Content-Length: 0"]
-        payload = b""
-    return "\r\n".join(head).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
+        head += ["WARC-Type: revisit", f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: <urn:uuid:{_response_id(refers_to, digest)}>", f"X-Refers-To-Page-ID: {refers_to}"]
+    head.append(f"Content-Length: {len(block)}")
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def _dictionary(sample: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    if len(sample) < LEAST_RECORDS:
-        return None
+def _dictionary(sample: list[bytes]) -> zstandard.ZstdCompressionDict:
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, sample, k=200, d=8)
-    except zstandard.ZstdError:  # the library finds too little that repeats
-        return None
-
-
-def _frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    compressor = None
-    sample: list[bytes] = []
-    size = 0
-
-    def begin() -> list[bytes]:
-        nonlocal compressor
+    except zstandard.ZstdError:  # too few records, or too little that repeats: their bytes are the dictionary
+        share = max(1, DICTIONARY_BYTES // len(sample))
+        return zstandard.ZstdCompressionDict(b"".join(r[:share] for r in sample)[:DICTIONARY_BYTES], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+
+def _archives(date: str, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of pages to archives, one archive a row, of ``most`` bytes and what the last record is over."""
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+        given: set[uuid.UUID] = set()
+        for batch in batches:
+            for page_id, payload, digest, refers_to, url, referred_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = _response_id(page_id, digest) if referred_to and page_id is not None else uuid.uuid4()
+                if referred_to:
+                    own = uuid.uuid4() if own in given else own
+                    given.add(own)
+                yield _record(date, own, page_id, payload, digest, refers_to, url)
+
+    def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, sample, size = records(batches), [], 0
+        for record in rest:
+            sample.append(record)
+            size += len(record)
+            if size >= SAMPLE_BYTES:
+                break
+        if not sample:
+            return
         trained = _dictionary(sample)
-        raw = trained.as_bytes() if trained else b""
+        raw = trained.as_bytes()
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=trained)
         lead = DICTIONARY_FRAME.to_bytes(4, "little") + len(raw).to_bytes(4, "little") + raw
-        out = [lead, *map(compressor.compress, sample)]
-        sample.clear()
-        return out
+        between = EMPTY_FRAME.encode()
+        archive = bytearray(lead)
+        for record in chain(_emptied(sample), rest):
+            if len(archive) >= most:
+                yield pa.RecordBatch.from_pydict({"archive": pa.array([bytes(archive)], pa.binary())})
+                archive = bytearray(lead)
+            # No separator after the dictionary: the length is in its frame.
+            archive += (between if len(archive) > len(lead) else b"") + compressor.compress(record)
+        yield pa.RecordBatch.from_pydict({"archive": pa.array([bytes(archive)], pa.binary())})
 
-    for batch in batches:
-        out: list[bytes] = []
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            record = _record(*row)
-            if compressor:
-                out.append(compressor.compress(record))
-                continue
-            sample.append(record)
-            size += len(record)
-            if size >= SAMPLE_BYTES:
-                out += begin()
-        if out:
-            yield pa.RecordBatch.from_pydict({"frame": pa.array(out, pa.binary())})
-    if sample:
-        yield pa.RecordBatch.from_pydict({"frame": pa.array(begin(), pa.binary())})
+    return archives
 
 
-def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", payload: str = "html") -> None:
-    """Archive every row of ``pages`` in ``folder``; a null payload is empty."""
-    frames = decide_revisits(pages, page_id, payload).mapInArrow(_frames, "frame binary")
-    # The cast keeps the bytes as they are; the writer puts them out unchanged.
-    frames.select(F.col("frame").cast("string")).write.option("lineSep", EMPTY_FRAME).option("compression", "none").text(folder)
+def _emptied(records: list[bytes]) -> Iterator[bytes]:
+    records.reverse()
+    while records:
+        yield records.pop()
+
+
+def write_archives(
+    pages: DataFrame, folder: str, page_id: str = "page_id", payload: str = "html", url: str = "url", date: datetime | None = None
+) -> None:
+    """Archive every row of ``pages`` in ``folder``; a null payload is empty.
+
+    ``date`` is when the pages were captured, by default the time of this call.
+    """
+    stamp = (date or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    archives = decide_revisits(pages, page_id, payload, url).mapInArrow(_archives(stamp, ARCHIVE_BYTES), "archive binary")
+    # The cast keeps the bytes as they are; the writer puts them out unchanged, one row a file.
+    out = archives.select(F.col("archive").cast("string")).write.option("lineSep", EMPTY_FRAME).option("compression", "none")
+    out.option("maxRecordsPerFile", 1).text(folder)
 
 
 _FOUND = pa.schema({"page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64()})
 
 
-def _id_of(urn: bytes) -> int | None:
-    number = urn.removeprefix(b"<urn:page:").removesuffix(b">")
-    return int(number) if number else None
+def _number(fields: dict[bytes, bytes], name: bytes) -> int | None:
+    return int(fields[name]) if name in fields else None
 
 
 def _records(archive: bytes) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
-    """Header fields and content of each record, one in memory at a time."""
+    """Header fields and payload of each record, one in memory at a time."""
     if not archive:  # what Spark writes for a table without rows
         return
     length = int.from_bytes(archive[4:8], "little")
     if int.from_bytes(archive[:4], "little") != DICTIONARY_FRAME:
         raise ValueError("the archive does not begin with a dictionary frame")
-    trained = zstandard.ZstdCompressionDict(archive[8 : 8 + length]) if length else None
+    trained = zstandard.ZstdCompressionDict(archive[8 : 8 + length])
     reader = zstandard.ZstdDecompressor(dict_data=trained).stream_reader(io.BytesIO(archive), read_across_frames=True)
     with io.BufferedReader(reader, 1 << 18) as stream:
         while line := stream.readline():
@@ -144,7 +188,7 @@ def _records(archive: bytes) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
             content = stream.read(int(fields[b"Content-Length"]))
             if stream.read(4) != b"\r\n\r\n":
                 raise ValueError("a record does not end where its length says")
-            yield fields, content
+            yield fields, content.partition(b"\r\n\r\n")[2]
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,8 +202,8 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digest = fields[b"WARC-Payload-Digest"].removeprefix(b"sha1:").decode()
                 if kind == "response" and hashlib.sha1(content).hexdigest() != digest:
                     raise ValueError(f"record {fields[b'WARC-Record-ID']!r} is damaged")
-                found = (_id_of(fields[b"WARC-Record-ID"]), len(content) if kind == "response" else None, digest, kind)
-                for name, value in zip(rows, (*found, _id_of(fields[b"WARC-Refers-To"]) if kind == "revisit" else None), strict=True):
+                found = (_number(fields, b"X-Page-ID"), len(content) if kind == "response" else None, digest, kind)
+                for name, value in zip(rows, (*found, _number(fields, b"X-Refers-To-Page-ID")), strict=True):
                     rows[name].append(value)
             yield pa.RecordBatch.from_pydict(rows, schema=_FOUND)
 
@@ -183,9 +227,9 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def archive_round_trip(pages: DataFrame, page_id: str = "page_id", payload: str = "html") -> DataFrame:
+def archive_round_trip(pages: DataFrame, page_id: str = "page_id", payload: str = "html", url: str = "url") -> DataFrame:
     """Write ``pages`` to archives in the shared folder and return what reading them gives."""
     spark = pages.sparkSession
     folder = f"{shared_folder(spark)}/matrixlens-llm/{spark.sparkContext.applicationId}/warc-{uuid.uuid4().hex}"
-    write_archives(pages, folder, page_id, payload)
+    write_archives(pages, folder, page_id, payload, url)
     return read_archives(spark, folder)

@@ -3,6 +3,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from datetime import datetime, timezone
+from urllib.parse import quote
 
 import pytest
 import zstandard
@@ -140,6 +142,43 @@ def test_archives_are_plain_zstandard_with_a_leading_dictionary(spark, tmp_path)
                 raise ValueError("damaged")
 
 
+def test_records_have_the_fields_the_format_requires(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    page, urls = prose(3, 500), ["http://a.example/x", "http://b.example/a b\r\nWARC-Type: x", "", None]
+    rows = [(i, urls[i % 4], page if i % 10 < 2 else prose(i, 300)) for i in range(100)] + [(91, urls[3], page)] * 2 + [(None, None, page)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, str(tmp_path / "w"), date=datetime(2024, 5, 6, 7, 8, 9, tzinfo=timezone.utc))
+    files = [f.read_bytes() for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
+    assert len(files) > 3 and all(len(f) < 20_000 + 5_000 for f in files)
+    found = [(fields, content) for f in files for fields, content in warc._records(f)]
+    assert len(found) == len(rows)
+    ids = {fields[b"WARC-Record-ID"]: fields for fields, _ in found}
+    assert len(ids) == len(rows)  # each its own, repeated rows too
+    by_id = {}
+    for fields, content in found:
+        assert fields[b"WARC-Date"] == b"2024-05-06T07:08:09Z" and fields[b"WARC-Type"] in (b"response", b"revisit")
+        page_id = fields.get(b"X-Page-ID")
+        given = urls[int(page_id) % 4] if page_id and int(page_id) < 91 else None
+        assert fields[b"WARC-Target-URI"] == (quote(given, safe=warc._URI_SAFE).encode() if given else fields[b"WARC-Target-URI"])
+        assert re.fullmatch(rb"[a-z]+:[!-~]+", fields[b"WARC-Target-URI"])
+        if fields[b"WARC-Type"] == b"revisit":
+            original = ids[fields[b"WARC-Refers-To"]]
+            assert original[b"WARC-Type"] == b"response" and original[b"X-Page-ID"] == fields[b"X-Refers-To-Page-ID"] == b"91"
+        else:
+            assert hashlib.sha1(content).hexdigest().encode() == fields[b"WARC-Payload-Digest"][5:]
+            by_id[page_id] = content
+    assert by_id[b"91"] == page.encode()
+
+
+@pytest.mark.parametrize("rows", [[(1, "")], [(1, "x")], [(i, "") for i in range(40)], [(1, "y" * 3_000_000)]])
+def test_every_archive_has_a_dictionary(spark, tmp_path, rows):
+    """Few, empty and huge pages too, where none can be trained."""
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, html string").coalesce(1), str(tmp_path / "w"))
+    (file,) = [f.read_bytes() for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
+    assert int.from_bytes(file[:4], "little") == warc.DICTIONARY_FRAME and int.from_bytes(file[4:8], "little") > 100
+    assert sorted(content.decode() for _, content in warc._records(file)) == sorted(html for _, html in rows)
+
+
 # -- personal data -------------------------------------------------------------------------
 
 PLAIN = {
