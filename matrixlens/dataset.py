@@ -243,19 +243,24 @@ class AnnotatedDataset:
         key: str | Sequence[str] | None = None,
         columns: Sequence[str] | None = None,
         axis: int | None = None,
+        error: float | None = None,
     ) -> DataFrame:
         """Descriptive statistics of a table or matrix.
 
         Tables give one row per column, a matrix one row for all its cells, or with
         ``axis=0`` one per column and with ``axis=1`` one per row.  ``columns`` selects
         table columns, or features of ``X`` and layers, by name or glob.
+
+        Everything is exact.  With ``error``, say 0.01, quartiles may be values whose rank is off by that
+        share of the rows, and the data are read once; see ``describe_sketched``.  Rows of dense
+        matrices are exact all the same.
         """
         if key is not None and section in ("obs", "var", "X"):
             raise ValueError("obs, var and X have no keys: choose columns instead")
         part = self.require_rows().get(section, key)
         if isinstance(part, DataFrame):
             known = self.axis_length(section) if section in ("obs", "var") else None
-            return table_stats.describe_table(part, columns, known)
+            return table_stats.describe_table(part, columns, known, error)
         if isinstance(part, Components):
             raise ValueError(f"'{section}' holds several parts: key required")
         if isinstance(part, Document):
@@ -265,8 +270,8 @@ class AnnotatedDataset:
         if columns:
             if section not in ("X", "layers"):
                 raise ValueError(f"features cannot be selected in {section}")
-            return self._describe_features(part, columns)
-        return self._describe_matrix(part, section, axis)
+            return self._describe_features(part, columns, error)
+        return self._describe_matrix(part, section, axis, error)
 
     def shape_of(self, part: Matrix, section: str) -> tuple[int, int]:
         """Rows and columns of a matrix in ``section``."""
@@ -274,36 +279,36 @@ class AnnotatedDataset:
         rows = self.axis_length(row_axis) if row_axis else part.height()
         return rows, self.axis_length(col_axis) if col_axis else part.width()
 
-    def _describe_matrix(self, part: Matrix, section: str, axis: int | None) -> DataFrame:
+    def _describe_matrix(self, part: Matrix, section: str, axis: int | None, error: float | None) -> DataFrame:
         n_rows, n_cols = self.shape_of(part, section)
         sparse = part.layout == "sparse"
         repeating = isinstance(part.element_type, INTEGRAL)
         row_axis, col_axis = AXES[section]
         if axis is None:
             groups = self.spark.range(1).select(F.lit(0).alias("_all")) if sparse else None
-            stats = describe_cells(part.cells(), [], n_rows * n_cols, groups, repeating)
+            stats = describe_cells(part.cells(), [], n_rows * n_cols, groups, repeating, error)
             return stats.select(*MATRIX_STATISTICS)
         if axis == 0:
             groups = self._positions(col_axis, n_cols, "col_pos") if sparse else None
-            return describe_cells(part.cells(), ["col_pos"], n_rows, groups, repeating)
+            return describe_cells(part.cells(), ["col_pos"], n_rows, groups, repeating, error)
         if axis != 1:
             raise ValueError(f"axis must be None, 0 or 1, got {axis}")
         if part.layout == "dense":
             return describe_rows_of_arrays(part.df)
         groups = self._positions(row_axis, n_rows, "row_pos") if sparse else None
-        return describe_cells(part.cells(), ["row_pos"], n_cols, groups, repeating)
+        return describe_cells(part.cells(), ["row_pos"], n_cols, groups, repeating, error)
 
     def _positions(self, axis: str | None, length: int, name: str) -> DataFrame:
         if axis is None:
             return self.spark.range(length).select(F.col("id").alias(name))
         return self._single[axis].select(F.col(POSITION).alias(name))
 
-    def _describe_features(self, part: Matrix, patterns: Sequence[str]) -> DataFrame:
+    def _describe_features(self, part: Matrix, patterns: Sequence[str], error: float | None) -> DataFrame:
         chosen = self._chosen(patterns)
         cells = part.keep_cols(KeptPositions(chosen.select(F.col("position").alias(POSITION)))).cells()
         groups = chosen.select(F.col("position").alias("col_pos")) if part.layout == "sparse" else None
         repeating = isinstance(part.element_type, INTEGRAL)
-        stats = describe_cells(cells, ["col_pos"], self.n_obs, groups, repeating)
+        stats = describe_cells(cells, ["col_pos"], self.n_obs, groups, repeating, error)
         named = chosen.withColumnRenamed("position", "col_pos").join(stats, "col_pos")
         named = named.orderBy("pattern_no", "col_pos").withColumnRenamed("name", "column")
         return table_stats.as_description(named.withColumn("is_numeric", F.lit(True)))

@@ -19,6 +19,7 @@ from matrixlens.operators.order_statistics import (
     interpolate,
     rank_pair,
 )
+from matrixlens.operators.sketches import describe_sketched
 
 
 def describe_cells(
@@ -27,17 +28,21 @@ def describe_cells(
     n_cells: int,
     groups: DataFrame | None = None,
     repeating: bool = False,
+    error: float | None = None,
 ) -> DataFrame:
     """Statistics of the cells per ``keys``; ``n_cells`` is the most a group can hold.
 
     ``groups`` marks a sparse matrix: it lists every group, stored cells or not, and each
     has exactly ``n_cells`` cells.  ``repeating`` says that values recur, as counts do, so
-    that counting them before they are moved pays off.
+    that counting them before they are moved pays off.  With ``error`` the quartiles may be off by
+    that share of ranks, and come from sketches.
     """
     keyed = cells if keys else cells.withColumn("_all", F.lit(0))
     by = list(keys) or ["_all"]
     complete = n_cells if groups is not None else None
-    if n_cells <= SORTED_ROWS:
+    if error is not None:
+        stats = describe_sketched(keyed, by, error, groups, complete)
+    elif n_cells <= SORTED_ROWS:
         stats = describe_small_groups(keyed, by, groups, complete, together=bool(keys) and not repeating)
     else:
         stats = describe_groups(keyed, by, groups, complete)

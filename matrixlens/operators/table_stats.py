@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from matrixlens.functions.columns import as_text, clean_double, column, is_numeric, user_columns
 from matrixlens.functions.globs import select_names
 from matrixlens.operators.order_statistics import SORTED_ROWS, describe_groups, describe_small_groups
+from matrixlens.operators.sketches import describe_sketched
 
 #: Result columns of a table description, in order, whatever the column types described.
 DESCRIBE_SCHEMA = (
@@ -57,13 +58,15 @@ def _melted(df: DataFrame, names: Sequence[str], values: Sequence[Column]) -> Da
     return named.unpivot([], [column(name) for name in names], "column", "value")
 
 
-def describe_numeric(df: DataFrame, names: Sequence[str], n_rows: int) -> DataFrame:
+def describe_numeric(df: DataFrame, names: Sequence[str], n_rows: int, error: float | None = None) -> DataFrame:
     """Count, mean, deviation, extremes, quartiles and missing count per numeric column."""
     cells = _melted(df, names, [clean_double(column(c), df.schema[c].dataType) for c in names])
     # A table may be empty; its columns are described all the same.
     groups = df.sparkSession.range(1).select(F.explode(F.lit(list(names))).alias("column"))
-    describe = describe_small_groups if n_rows <= SORTED_ROWS else describe_groups
-    stats = describe(cells, ["column"], groups)
+    if error is not None:
+        stats = describe_sketched(cells, ["column"], error, groups)
+    else:
+        stats = (describe_small_groups if n_rows <= SORTED_ROWS else describe_groups)(cells, ["column"], groups)
     return as_description(stats.withColumn("is_numeric", F.lit(True)))
 
 
@@ -106,17 +109,20 @@ def describe_categorical(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return as_description(stats.withColumn("is_numeric", F.lit(False)))
 
 
-def describe_table(df: DataFrame, columns: Sequence[str] | None = None, n_rows: int | None = None) -> DataFrame:
+def describe_table(
+    df: DataFrame, columns: Sequence[str] | None = None, n_rows: int | None = None, error: float | None = None
+) -> DataFrame:
     """One row of statistics per column, numeric and categorical ones in the same schema.
 
     ``n_rows`` may be given where it is known; it only decides how quartiles are computed.
+    With ``error`` quartiles may be off by that share of ranks, and the numeric columns are read once.
     """
     names = requested_columns(df, columns)
     numeric = [c for c in names if is_numeric(df.schema[c].dataType)]
     categorical = [c for c in names if c not in numeric]
     parts = []
     if numeric:
-        parts.append(describe_numeric(df, numeric, df.count() if n_rows is None else n_rows))
+        parts.append(describe_numeric(df, numeric, df.count() if n_rows is None and error is None else n_rows or 0, error))
     if categorical:
         parts.append(describe_categorical(df, categorical))
     if not parts:

@@ -211,6 +211,13 @@ def oracles() -> dict[str, str]:
             f"{EMB}, named AS (SELECT *, 'dim_' || col_pos AS feature FROM emb)", "named", "value",
             "feature GLOB 'dim_6*' OR feature = 'dim_0'",
         ),
+        "describe_numeric_sketched": " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", count({c}) AS "count", count(*) - count({c}) AS nan_count, round(avg({c}), 2) AS mean,
+ round(stddev_pop({c}), 2) AS std, CAST(min({c}) AS DOUBLE) AS "min", CAST(max({c}) AS DOUBLE) AS "max",
+ TRUE AS p25_near, TRUE AS p50_near, TRUE AS p75_near FROM lineitem"""
+            for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+        ),
+        "matrix_sketched_by_feature": "SELECT DISTINCT l_partkey AS col_pos, TRUE AS p25_near, TRUE AS p50_near, TRUE AS p75_near FROM lineitem",
         "stored_names": f"WITH {DOCS} SELECT _pos, _index, lang, source, n_chars, quality, toxic FROM docs WHERE _index IN ('doc_3', 'doc_17', 'doc_150', 'doc_42')",
         "stored_name_positions": """SELECT p_name AS name, min(p_partkey) AS position FROM part
  WHERE regexp_full_match(p_name, '(red|small|hot) (plate|ring|rod|widget)') GROUP BY 1""",

@@ -20,7 +20,7 @@ from matrixlens.plans import fixtures
 from matrixlens.sources.catalog import locate_datasets, modified_at
 from matrixlens.sources.csv import array_lines, table_lines
 from matrixlens.sources.layout import open_dataset, write_dataset
-from matrixlens.session import shared_folder
+from matrixlens.session import shared_folder, stable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -324,6 +324,53 @@ def distributed_quartiles(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(describe_groups(lines.select("l_linestatus", F.col("l_extendedprice").alias("value")), ["l_linestatus"]), mean=2)
 
 
+def _within(df: DataFrame, stats: DataFrame, keys: list[str], error: float) -> DataFrame:
+    """Statistics with, for each approximate quartile, whether its rank in the data is as near as it must be."""
+    places = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    # A few rows of statistics, known once: a sketch made again may say something else.
+    stats = stable(stats)
+    met = df.join(stats, keys).groupBy(*keys).agg(
+        F.count("value").alias("_n"),
+        *[F.count_if(F.col("value") < F.col(p)).alias(f"_lt_{p}") for p in places],
+        *[F.count_if(F.col("value") <= F.col(p)).alias(f"_le_{p}") for p in places],
+    )
+    near = [
+        ((F.col(f"_lt_{p}") / F.col("_n") - error <= q) & (q <= F.col(f"_le_{p}") / F.col("_n") + error)).alias(f"{p}_near")
+        for p, q in places.items()
+    ]
+    return stats.join(met, keys).select(*keys, "count", "nan_count", F.round("mean", 2).alias("mean"), F.round("std", 2).alias("std"), "min", "max", *near)
+
+
+def describe_numeric_sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """Quartiles to one in a hundred ranks, against the ranks they have."""
+    lines = fixtures.table(spark, sf, "lineitem").select(*LINE_COLUMNS)
+    stats = table_stats.describe_table(lines, error=0.01)
+    return _within(lines.unpivot([], LINE_COLUMNS, "column", "value"), stats, ["column"], 0.01)
+
+
+def matrix_sketched_by_feature(spark: SparkSession, sf: str) -> DataFrame:
+    """The same of a sparse matrix, its zeros included."""
+    ds = fixtures.trade(spark, sf)
+    stats = ds.describe("layers", "revenue", axis=0, error=0.02)
+    stored = ds.get("layers", "revenue").cells()
+    # Ranks among all cells: those not stored are one row with a weight.
+    stored = stored.join(stable(stats.select("col_pos", "p25", "p50", "p75")), "col_pos")
+    zeros = F.lit(ds.n_obs) - F.count(F.lit(1))
+    marks = [
+        F.struct(
+            (F.count_if(F.col("value") < F.col(p)) + F.when(F.max(p) > 0, zeros).otherwise(0)).alias("lt"),
+            (F.count_if(F.col("value") <= F.col(p)) + F.when(F.max(p) >= 0, zeros).otherwise(0)).alias("le"),
+        ).alias(p)
+        for p in ("p25", "p50", "p75")
+    ]
+    met = stored.groupBy("col_pos").agg(*marks)
+    near = [
+        ((F.col(f"{p}.lt") / ds.n_obs - 0.02 <= q) & (q <= F.col(f"{p}.le") / ds.n_obs + 0.02)).alias(f"{p}_near")
+        for p, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+    ]
+    return met.select("col_pos", *near)
+
+
 def positions_by_order(spark: SparkSession, sf: str) -> DataFrame:
     customers = fixtures.table(spark, sf, "customer").select("c_custkey", "c_acctbal")
     return assign_positions(customers, "c_acctbal", "c_custkey")
@@ -483,6 +530,7 @@ def registered() -> dict[str, Query]:
         view_negative_bounds, view_matrix_block, view_sparse_block, view_matrix_features, view_sparse_features,
         view_filtered_dataset, view_shapes, document_entries, nested_key, section_listing, summary,
         csv_rows, csv_block, matrix_to_columns, view_column_list, named_cells, distributed_quartiles, positions_by_order,
+        describe_numeric_sketched, matrix_sketched_by_feature,
         stored_dataset, stored_tiles, stored_names, stored_name_positions, locate, filter_long_dates, filter_long_notin_missing, filter_decimal,
         sparse_obsm_filtered, sparse_uns_by_row, view_integer_layer, obs_filter_most_rows, glob_many, refusals,
     ):

@@ -10,11 +10,12 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from matrixlens import session
+from matrixlens import AnnotatedDataset, Matrix, session
 from matrixlens.operators import matrix_stats, order_statistics, table_stats
 from matrixlens.operators.matrix_stats import describe_rows_of_arrays
 from matrixlens.operators.order_statistics import describe_groups, describe_small_groups, values_at_ranks
 from matrixlens.operators.positions import assign_positions
+from matrixlens.operators.sketches import describe_sketched, sketch_size
 from matrixlens.operators.slicing import slice_rows
 from matrixlens.operators import slicing
 
@@ -314,3 +315,76 @@ def test_times_are_counted_as_utc_text(spark):
         assert {r["value"] for r in table_stats.value_counts(df).collect()} == {"2024-11-03 05:30:00", "2024-11-03 06:30:00"}
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def assert_near(row, values, error) -> None:
+    """Exact but for the quartiles, whose ranks are near."""
+    kept = np.sort(values[~np.isnan(values)])
+    for name, want in expected(values).items():
+        if want is None or name not in ("p25", "p50", "p75"):
+            assert row[name] is None if want is None else math.isclose(row[name], want, rel_tol=1e-6 if name == "std" else 1e-9, abs_tol=1e-9), name
+            continue
+        assert row[name] in kept, name
+        low, high = (np.searchsorted(kept, row[name], side) / len(kept) for side in ("left", "right"))
+        assert low - error <= int(name[1:]) / 100 <= high + error, (name, row[name])
+
+
+@pytest.mark.parametrize("error", [0.3, 0.02])
+def test_sketched_groups(spark, long, error):
+    stubs = spark.createDataFrame([("empty",), ("single",)], "g string")
+    rows = {r["g"]: r for r in describe_sketched(long, ["g"], error, stubs).collect()}
+    assert set(rows) == {*GROUPS, "empty"}
+    for name, values in GROUPS.items():
+        assert_near(rows[name], np.where(values == 0, 0.0, values), error)
+    assert (rows["empty"]["count"], rows["empty"]["nan_count"], rows["empty"]["p50"], rows["empty"]["mean"]) == (0, 0, None, None)
+    assert describe_sketched(long.limit(0), ["g"], error).count() == 0
+
+
+def test_sketched_sparse_groups(spark):
+    local = np.random.default_rng(3)
+    kinds = {
+        "mixed": np.where(local.random(900) < 0.4, 0.0, local.normal(size=900)), "low": -local.random(700), "high": np.where(local.random(800) < 0.1, 0.0, 1 + local.random(800)),
+        "nothing": np.zeros(10), "gaps": np.where(local.random(600) < 0.2, np.nan, local.integers(-2, 3, 600).astype(float)),
+    }
+    for name, values in kinds.items():
+        stored = [(name, float(v)) for i, v in enumerate(values) if v != 0 or (name == "gaps" and i % 2)]
+        cells = spark.createDataFrame(stored, "g string, value double").select("g", F.when(~F.isnan("value"), F.col("value")).alias("value"))
+        (row,) = describe_sketched(cells, ["g"], 0.02, spark.createDataFrame([(name,)], "g string"), len(values)).collect()
+        assert_near(row, values, 0.02)
+    with pytest.raises(Exception, match="more cells are stored"):
+        describe_sketched(cells, ["g"], 0.02, None, 5).collect()
+
+
+def test_sketch_sizes():
+    assert sketch_size(0.01) < 1000 and sketch_size(0.001) > sketch_size(0.01)
+    for error in (0, 1, -0.1, 2.5, 1e-9, float("nan")):
+        with pytest.raises(ValueError, match="rank error"):
+            sketch_size(error)
+
+
+def test_sketched_datasets(spark):
+    """Every way to ask: tables, dense and sparse matrices, features; one scan of a table."""
+    values = np.round(np.random.default_rng(5).normal(size=(300, 4)), 3)
+    obs = spark.range(300).select(F.col("id").alias("_pos"), F.format_string("o%d", "id").alias("_index"), (F.col("id") % 50).alias("age"), F.lit("x").alias("kind"))
+    var = spark.range(4).select(F.col("id").alias("_pos"), F.format_string("f%d", "id").alias("_index"))
+    dense = Matrix(spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(values)], "row_pos long, values array<double>"), "dense")
+    thin = [(i, j, float(v)) for i, row in enumerate(values) for j, v in enumerate(row) if v > 0.5]
+    sparse = Matrix(spark.createDataFrame(thin, "row_pos long, col_pos long, value double"), "sparse")
+    ds = AnnotatedDataset(obs, var, dense, layers={"thin": sparse})
+    rows = {r["column"]: r for r in ds.describe("obs", error=0.05).collect()}
+    assert_near(rows["age"], np.arange(300) % 50.0, 0.05)
+    assert rows["kind"]["top"] == "x" and [*rows] == ["age", "kind"]
+    assert_near({**ds.describe("X", error=0.05).first().asDict(), "nan_count": 0}, values.ravel(), 0.05)
+    for row in ds.describe("X", axis=0, error=0.05).collect():
+        assert_near(row, values[:, row["col_pos"]], 0.05)
+    full = np.where(values > 0.5, values, 0.0)
+    for row in ds.describe("layers", "thin", axis=0, error=0.05).collect():
+        assert_near(row, full[:, row["col_pos"]], 0.05)
+    (row,) = ds.describe("layers", "thin", columns=["f2"], error=0.05).collect()
+    assert_near(row, full[:, 2], 0.05)
+    for row in ds.describe("X", axis=1, error=0.05).collect():
+        assert_stats(row, values[row["row_pos"]])
+    with pytest.raises(ValueError, match="rank error"):
+        ds.describe("obs", error=0)
+    table = table_stats.describe_table(obs, ["age"], error=0.05)
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 300") == 1
