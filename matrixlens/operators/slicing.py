@@ -1,17 +1,26 @@
-"""Slices by position, with the meaning slices have in Python."""
+"""Slices by position, with the meaning slices have in Python.
+
+Positions are unique.  At every size a slice is an error if rows that it returns, or whose rank it
+would cut apart, share a position.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from matrixlens.functions.columns import POSITION
-from matrixlens.operators.order_statistics import values_at_ranks
 from matrixlens.operators.positions import assign_positions
+from matrixlens.session import repeatable, stable
 
 Bounds = tuple[int | None, ...]
 
 #: Up to this end position a slice of unnumbered rows is a plain top-k.
 TOP_ROWS = 10_000
+#: Stretches of positions that rows are counted by, as powers of two: one count for each million
+#: positions, and then for each thousand, and for each position, of the stretches that hold a wanted rank.
+STRETCHES = (20, 10, 0)
 
 
 def needs_length(rows: Bounds) -> bool:
@@ -48,10 +57,63 @@ def _by_position(df: DataFrame, picked: range) -> DataFrame:
     return df.filter(selects(F.col(POSITION), picked))
 
 
+def _once(ordered: DataFrame, name: str) -> DataFrame:
+    """Rows in order of position, each position once; the order serves the window too."""
+    error = F.raise_error(F.lit("positions repeat: rows cannot be sliced by position")).cast("boolean")
+    counted = ordered.withColumn("_slice_times", F.count(F.lit(1)).over(Window.partitionBy(name)))
+    return counted.filter(F.when(F.col("_slice_times") > 1, error).otherwise(F.lit(True))).drop("_slice_times")
+
+
 def in_order(df: DataFrame, at_most: int, name: str = POSITION, descending: bool = False) -> DataFrame:
-    """Sort by position: as a top-k where few rows are expected, else as a distributed sort."""
-    ordered = df.orderBy(F.desc(name) if descending else F.asc(name))
-    return ordered.limit(at_most) if at_most <= TOP_ROWS else ordered
+    """Sort by position: as a top-k where few rows are expected, else as a distributed sort.
+
+    ``at_most`` rows are expected of unique positions.
+    """
+    # Windows sort upwards; so do their partitions.
+    key = "_slice_back" if descending else name
+    ordered = (df.withColumn(key, -F.col(name)) if descending else df).orderBy(key)
+    # Were there more rows than positions, one more would show a position twice.
+    ordered = _once(ordered.limit(at_most + 1) if at_most <= TOP_ROWS else ordered, key)
+    return ordered.drop(key) if descending else ordered
+
+
+def _counted(positions: DataFrame, shift: int, within: Sequence[tuple[int, int]] = ()) -> list[tuple[int, int]]:
+    """``(first position, rows)`` of each stretch that has rows, in order, of those inside some ranges."""
+    if within:
+        inside = F.lit(False)
+        for low, high in within:
+            inside = inside | F.col(POSITION).between(low, high)
+        positions = positions.filter(inside)
+    stretch = F.shiftright(POSITION, shift).alias("stretch")
+    return sorted((row[0] << shift, row[1]) for row in positions.groupBy(stretch).agg(F.count(F.lit(1))).collect())
+
+
+def _at_ranks(positions: DataFrame, ranks: Sequence[int], counted: list[tuple[int, int]]) -> list[int]:
+    """The positions at zero-based ranks, from the counts by the widest stretches.
+
+    The rows are counted as a whole once; then only the stretches that hold a rank are read, which
+    Parquet tells by position.
+    """
+    ends: list[tuple[int, int]] = []
+    for level, shift in enumerate(STRETCHES):
+        if level:
+            counted = _counted(positions, shift, [(start, start + (1 << STRETCHES[level - 1]) - 1) for start in {start for start, _ in ends}])
+        found = []
+        for place, rank in enumerate(ranks):
+            first, rest = ends[place] if level else (0, rank)
+            for start, n in counted:
+                if level and start < first:
+                    continue
+                if n > 1 << shift:
+                    raise ValueError("positions repeat: rows cannot be sliced by position")
+                if rest < n:
+                    found.append((start, rest))
+                    break
+                rest -= n
+            else:
+                raise ValueError("a rank was not found again: the rows changed between two readings")
+        ends = found
+    return [start for start, _ in ends]
 
 
 def slice_rows(df: DataFrame, rows: Bounds, gaps: bool = False, length: int | None = None) -> DataFrame:
@@ -60,8 +122,17 @@ def slice_rows(df: DataFrame, rows: Bounds, gaps: bool = False, length: int | No
     ``gaps`` says that the stored positions are not 0..n-1 any more, as after a filter; the
     slice then counts the rows that are left.
     """
+    counted: list[tuple[int, int]] | None = None
+    positions = df.select(POSITION)
     if length is None:
-        length = df.count() if needs_length(rows) else max(rows[0], rows[1])
+        if not needs_length(rows):
+            length = max(rows[0], rows[1])
+        elif gaps:
+            positions = positions if repeatable(positions) else stable(positions)
+            counted = _counted(positions, STRETCHES[0])
+            length = sum(n for _, n in counted)
+        else:
+            length = df.count()
     picked = resolve(rows, length)
     if not gaps:
         return in_order(_by_position(df, picked), len(picked), descending=picked.step < 0)
@@ -69,16 +140,19 @@ def slice_rows(df: DataFrame, rows: Bounds, gaps: bool = False, length: int | No
         return df.filter(F.lit(False))
     if picked.step == 1:
         if picked.stop <= TOP_ROWS:
-            return df.orderBy(POSITION).offset(picked.start).limit(len(picked))
+            # With its neighbours, which must not share its ends' positions.
+            before = min(picked.start, 1)
+            around = df.orderBy(POSITION).offset(picked.start - before).limit(before + len(picked) + 1)
+            return _once(around, POSITION).orderBy(POSITION).offset(before).limit(len(picked))
         # Further in: find the positions at both ends and filter by them.
-        last = min(picked.stop, df.count()) - 1
+        if counted is None:
+            positions = positions if repeatable(positions) else stable(positions)
+            counted = _counted(positions, STRETCHES[0])
+        last = min(picked.stop, sum(n for _, n in counted)) - 1
         if last < picked.start:
             return df.filter(F.lit(False))
-        low, high = values_at_ranks(df.select(F.col(POSITION).alias("value")), [picked.start, last])
-        found = df.filter(F.col(POSITION).between(int(low), int(high)))
-        if found.count() != last - picked.start + 1:
-            raise ValueError("positions repeat: rows cannot be sliced by position")
-        return found.orderBy(POSITION)
+        low, high = _at_ranks(positions, [picked.start, last], counted)
+        return in_order(df.filter(F.col(POSITION).between(low, high)), last - picked.start + 1)
     # Rank the positions alone, then fetch the rows they name.
     ranked = assign_positions(df.select(F.col(POSITION).alias("_stored")), "_stored")
     wanted = _by_position(ranked, picked).select(F.col("_stored").alias(POSITION))

@@ -300,6 +300,38 @@ def test_rows_of_hot_bins_stay_where_they_are(spark, monkeypatch):
     assert dealt and all(1 <= hot < 10 for hot, *_ in dealt) and all(anti for _, anti, _, _ in dealt) and all(n == total for _, _, n, total in dealt)
 
 
+@pytest.mark.parametrize("top", [10_000, 0])
+@pytest.mark.parametrize(("rows", "gaps", "refused"), [
+    ((0, 4), False, True), ((0, 100), False, True), ((None, None), False, True), ((-3, None, -1), False, True), ((0, 0), False, False),
+    ((0, 4), True, True), ((2, 6), True, True), ((1, 6), True, True), ((None, None), True, True), ((4, 5), True, True),
+    ((1, 40, 3), True, True),
+])
+def test_one_rule_for_positions_that_repeat(spark, monkeypatch, top, rows, gaps, refused):
+    """Refused where the slice returns rows of one position, or cuts them apart, whatever its size."""
+    monkeypatch.setattr(slicing, "TOP_ROWS", top)
+    twice = spark.range(50).select(F.explode(F.array("id", "id")).alias("_pos")).repartition(3)
+    if refused:
+        with pytest.raises(Exception, match="positions repeat"):
+            slice_rows(twice, rows, gaps).collect()
+    else:
+        assert slice_rows(twice, rows, gaps).collect() == []
+
+
+@pytest.mark.parametrize("stretches", [(20, 10, 0), (3, 0), (0,)])
+def test_deep_slices_of_what_a_filter_left(spark, tmp_path, monkeypatch, stretches):
+    """Rows are counted as a whole once; then only the stretches with the slice's ends are read."""
+    monkeypatch.setattr(slicing, "TOP_ROWS", 10)
+    monkeypatch.setattr(slicing, "STRETCHES", stretches)
+    spark.range(5000).select(F.col("id").alias("_pos"), (F.hash("id") % 5).alias("v")).repartitionByRange(4, "_pos").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).filter("v <> 3")
+    left = [r[0] for r in df.orderBy("_pos").collect()]
+    for rows in ((11, 12), (1000, 2000), (-700, None), (-700, -100), (len(left) - 1, len(left) + 9), (len(left), len(left) + 5), (None, None), (40, 9000, 7)):
+        assert [r[0] for r in slice_rows(df, rows, gaps=True).collect()] == left[slice(*rows)], rows
+    assert "RangePartitioning" in str(df.orderBy("_pos")._jdf.queryExecution().executedPlan()).replace("rangepartitioning", "RangePartitioning")
+    plan = slice_rows(df, (1000, 2000), gaps=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "GreaterThanOrEqual(_pos" in plan
+
+
 def test_positions_that_repeat_are_not_sliced(spark, monkeypatch):
     monkeypatch.setattr(slicing, "TOP_ROWS", 2)
     df = spark.createDataFrame([(i // 2,) for i in range(20)], "_pos long")
