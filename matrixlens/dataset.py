@@ -197,8 +197,11 @@ class AnnotatedDataset:
                 table = KeptPositions(found).rows_of(table, POSITION)
         return filter_rows(table, name, op, value)
 
-    def positions_of(self, names: Sequence[str], axis: str = "var") -> DataFrame:
-        """``(name, position)``: where each of the names occurs first on an axis; names that are not there have no row."""
+    def positions_of(self, names: Sequence[str] | DataFrame, axis: str = "var") -> DataFrame:
+        """``(name, position)``: where each of the names occurs first on an axis; names that are not there have no row.
+
+        Many names may be given as the first column of a table.
+        """
         if axis not in ("obs", "var"):
             raise ValueError(f"axis must be 'obs' or 'var', got '{axis}'")
         table = self.obs if axis == "obs" else self.var
@@ -206,6 +209,9 @@ class AnnotatedDataset:
             found = rows_named(self._names[axis](), names)
             if axis in self._kept:
                 found = self._kept[axis].rows_of(found, POSITION)
+        elif isinstance(names, DataFrame):
+            asked = names.select(column(names.columns[0]).cast("string").alias(INDEX))
+            found = table.join(asked, INDEX, "left_semi")
         else:
             found = filter_rows(table, "index", "isin", list(names))
         return first_positions(found)

@@ -219,6 +219,7 @@ def oracles() -> dict[str, str]:
         ),
         "matrix_sketched_by_feature": "SELECT DISTINCT l_partkey AS col_pos, TRUE AS p25_near, TRUE AS p50_near, TRUE AS p75_near FROM lineitem",
         "stored_names": f"WITH {DOCS} SELECT _pos, _index, lang, source, n_chars, quality, toxic FROM docs WHERE _index IN ('doc_3', 'doc_17', 'doc_150', 'doc_42')",
+        "stored_names_of_table": "SELECT 'doc_' || doc_id AS name, min(doc_id) AS position FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY 1",
         "stored_name_positions": """SELECT p_name AS name, min(p_partkey) AS position FROM part
  WHERE regexp_full_match(p_name, '(red|small|hot) (plate|ring|rod|widget)') GROUP BY 1""",
         "obs_filter_matrix": _cells(TRADE, "trade", "quantity", "s_acctbal > 4000"),

@@ -399,6 +399,14 @@ def stored_names(spark: SparkSession, sf: str) -> DataFrame:
     return few.unionByName(ds.where("obs", "index", "==", "doc_42").obs)
 
 
+def stored_names_of_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Positions of the documents that have a label, by their names."""
+    folder = _scratch(spark)
+    write_dataset(fixtures.documents(spark, sf), f"{folder}/docs")
+    named = fixtures.table(spark, sf, "labels").select(F.concat(F.lit("doc_"), F.col("doc_id")).alias("name"))
+    return open_dataset(spark, f"{folder}/docs").positions_of(named, "obs")
+
+
 def stored_name_positions(spark: SparkSession, sf: str) -> DataFrame:
     """Where each of many names, some of which repeat, occurs first among the parts."""
     folder = _scratch(spark)
@@ -531,7 +539,7 @@ def registered() -> dict[str, Query]:
         view_filtered_dataset, view_shapes, document_entries, nested_key, section_listing, summary,
         csv_rows, csv_block, matrix_to_columns, view_column_list, named_cells, distributed_quartiles, positions_by_order,
         describe_numeric_sketched, matrix_sketched_by_feature,
-        stored_dataset, stored_tiles, stored_names, stored_name_positions, locate, filter_long_dates, filter_long_notin_missing, filter_decimal,
+        stored_dataset, stored_tiles, stored_names, stored_names_of_table, stored_name_positions, locate, filter_long_dates, filter_long_notin_missing, filter_decimal,
         sparse_obsm_filtered, sparse_uns_by_row, view_integer_layer, obs_filter_most_rows, glob_many, refusals,
     ):
         found[query.__name__] = query

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from matrixlens.functions.columns import INDEX, POSITION
+from matrixlens.functions.columns import INDEX, POSITION, column
 from matrixlens.session import small_side
 
 #: Up to so many names are a condition on the hash, which Parquet compares with its pages; more are joined.
@@ -27,8 +27,14 @@ def names_of(axis: DataFrame) -> DataFrame | None:
     return table.repartitionByRange("_hash", POSITION).sortWithinPartitions("_hash", POSITION)
 
 
-def rows_named(names: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """Rows of the side table that bear one of the ``wanted`` names, each as often as it occurs."""
+def rows_named(names: DataFrame, wanted: Sequence[str] | DataFrame) -> DataFrame:
+    """Rows of the side table that bear one of the ``wanted`` names, each as often as it occurs.
+
+    Names may also be given as the first column of a table of any size.
+    """
+    if isinstance(wanted, DataFrame):
+        asked = wanted.select(column(wanted.columns[0]).cast("string").alias(INDEX))
+        return names.join(asked.select(F.xxhash64(INDEX).alias("_hash"), INDEX), ["_hash", INDEX], "left_semi")
     wanted = sorted(set(wanted))
     if not wanted:
         return names.filter(F.lit(False))

@@ -428,6 +428,8 @@ def test_names_of_a_stored_dataset(spark, tmp_path):
         assert ds.view("obs", rows=(0, 9), where=("index", "==", "o5")).collect() == [("o5", 5), ("o5", 30_005 % 7)]
         found = ds.positions_of(["o7", "hot", "absent", "hot"], "obs")
         assert {tuple(r) for r in found.collect()} == {("o7", 7), ("hot", 0)}
+        from_table = ds.positions_of(spark.createDataFrame([("o7",), ("hot",), ("absent",), ("hot",), (None,)], "n string"), "obs")
+        assert {tuple(r) for r in from_table.collect()} == {("o7", 7), ("hot", 0)}
         kept = ds.where("obs", "day", "==", 3).positions_of(["hot", *(f"absent{i}" for i in range(20))], "obs")
         assert [tuple(r) for r in kept.collect()] == [("hot", 3)]
         with pytest.raises(ValueError, match="axis"):
