@@ -20,7 +20,7 @@ from matrixlens.plans import fixtures
 from matrixlens.sources.catalog import locate_datasets, modified_at
 from matrixlens.sources.csv import array_lines, table_lines
 from matrixlens.sources.layout import open_dataset, write_dataset
-from matrixlens.session import shared_folder, stable
+from matrixlens.session import shared_folder, small_side, stable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -329,6 +329,8 @@ def _within(df: DataFrame, stats: DataFrame, keys: list[str], error: float) -> D
     places = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     # A few rows of statistics, known once: a sketch made again may say something else.
     stats = stable(stats)
+    # Few keys have many values each: the statistics go to the values, not all values of a key to one task.
+    stats = small_side(stats, stats.count())
     met = df.join(stats, keys).groupBy(*keys).agg(
         F.count("value").alias("_n"),
         *[F.count_if(F.col("value") < F.col(p)).alias(f"_lt_{p}") for p in places],

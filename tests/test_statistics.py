@@ -18,6 +18,7 @@ from matrixlens.operators.positions import assign_positions
 from matrixlens.operators.sketches import describe_sketched, sketch_size
 from matrixlens.operators.slicing import slice_rows
 from matrixlens.operators import slicing
+from matrixlens.plans.queries import LINE_COLUMNS, describe_numeric_sketched
 
 
 def expected(values) -> dict:
@@ -420,3 +421,24 @@ def test_sketched_datasets(spark):
         ds.describe("obs", error=0)
     table = table_stats.describe_table(obs, ["age"], error=0.05)
     assert table._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 300") == 1
+
+
+def test_sketched_query_moves_no_values(spark, tmp_path):
+    """The values of a column are compared with its quartiles where they lie; they are not sent to one task."""
+    rows = [(float(i % 50), 100.0 + i, None if i % 7 else 0.05, i % 9 / 100) for i in range(900)]
+    spark.createDataFrame(rows, ", ".join(f"{c} double" for c in LINE_COLUMNS)).write.parquet(f"{tmp_path}/lineitem.parquet")
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        found = describe_numeric_sketched(spark, str(tmp_path))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        described = {r["column"]: r for r in found.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert set(described) == set(LINE_COLUMNS)
+    assert all(r["p25_near"] and r["p50_near"] and r["p75_near"] for r in described.values())
+    assert (described["l_discount"]["count"], described["l_discount"]["nan_count"]) == (129, 771)
