@@ -181,16 +181,32 @@ def _scan(sizes: list[int], shingle_map, key_map):
     return scan
 
 
+def _possible_starts(shared: np.ndarray, total: np.ndarray, n: int) -> np.ndarray:
+    """Where a window of ``n`` shingles or more could begin that has ``SIMILARITY`` of its weight in hits.
+
+    ``shared`` and ``total`` are sums of weights up to each shingle.  Some starts are too many, as
+    windows of any greater length are asked for, but none is missing; a last window may be shorter.
+    """
+    excess = shared - SIMILARITY * total
+    best = np.maximum.accumulate(excess[::-1])[::-1]
+    ends = np.minimum(np.arange(n, len(excess) - 1 + n), len(excess) - 1)
+    # Weights are whole numbers; what rounding does to sums of them is far less.
+    return np.flatnonzero(best[ends] - excess[:-1] >= -0.01)
+
+
 def _windows(hashes, weights, hit, n_words, sizes, keyed):
-    """(starts, size, fingerprints, keys) of windows that could match, an entry per window and block."""
+    """(starts, size, fingerprints, keys) of windows that could match, an entry per window and block; ``sizes`` ascend."""
     total = np.concatenate([[0], np.cumsum(weights)])
     shared = np.concatenate([[0], np.cumsum(weights * hit)])
+    # Most texts have a hit by chance and no window for it: one look, not one for each size.
+    near = _possible_starts(shared, total, max(1, sizes[0] - SHINGLE + 1))
+    if not len(near):
+        return
     for size in sizes:
         n = size - SHINGLE + 1
-        last = max(0, n_words - size)
-        ends = np.minimum(np.arange(last + 1) + n, len(hashes))
-        possible = shared[ends] - shared[: last + 1] >= SIMILARITY * (total[ends] - total[: last + 1])
-        starts = np.flatnonzero(possible)
+        some = near[: np.searchsorted(near, max(0, n_words - size), "right")]
+        ends = np.minimum(some + n, len(hashes))
+        starts = some[shared[ends] - shared[some] >= SIMILARITY * (total[ends] - total[some])]
         if not len(starts):
             continue
         fps = window_fingerprints(hashes, weights, starts, n)

@@ -12,7 +12,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from matrixlens.llm import katz, quality
+from matrixlens.llm import decontaminate as leaks, katz, quality
 from matrixlens.llm.decontaminate import SIMILARITY, _bitmap, contaminated, decontaminate, plain_words, similarity
 from matrixlens.llm.queries import PIECE_MODEL
 from matrixlens.llm.sentencepieces import ChunkTable, encode_documents
@@ -98,6 +98,39 @@ def test_leaks_are_found_and_clean_documents_left_alone(spark):
     assert decontaminate(docs, items.limit(0)).count() == len(rows)
 
 
+class _Sizes(list):
+    """Sizes of windows that count how often they are gone through."""
+
+    times = 0
+
+    def __iter__(self):
+        self.times += 1
+        return super().__iter__()
+
+
+def test_windows_are_looked_for_near_hits_only():
+    """All windows with enough weight in hits are found, and a lone hit costs no look for each size."""
+    rng = np.random.default_rng(11)
+    keyed = np.ones(1 << leaks.KEY_BITS, bool)
+    for n_words, share in [(400, 0.5), (400, 0.75), (60, 0.8), (14, 0.9), (5, 1.0), (30, 1.0), (300, 0.02)]:
+        words = [b"w" * int(k) for k in rng.integers(1, 12, n_words)]
+        hashes, weights = leaks.shingles(words, leaks._Hashes())
+        hit = rng.random(len(hashes)) < share
+        total, shared = (np.concatenate([[0], np.cumsum(x)]) for x in (weights, weights * hit))
+        sizes = [5, 7, 15, 16, 40, 59] if n_words < 300 else [15, 16, 40, 59]
+        want = {}
+        for size in sizes:
+            begin = np.arange(max(0, n_words - size) + 1)
+            end = np.minimum(begin + size - 4, len(hashes))
+            want[size] = np.flatnonzero(shared[end] - shared[begin] >= SIMILARITY * (total[end] - total[begin])).tolist()
+        found = {size: sorted(set(starts.tolist())) for starts, size, *_ in leaks._windows(hashes, weights, hit, n_words, sizes, keyed)}
+        assert found == {size: starts for size, starts in want.items() if starts}
+    lone = np.zeros(len(hashes), bool)
+    lone[100] = True
+    sizes = _Sizes([15, 16, 40, 59])
+    assert not list(leaks._windows(hashes, weights, lone, n_words, sizes, keyed)) and not sizes.times
+
+
 def test_edited_leaks_are_found_as_by_brute_force(spark):
     rng, items, rows = random.Random(8), [], []
     for i in range(60):
