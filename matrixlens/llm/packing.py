@@ -46,6 +46,8 @@ SPREADS = (0.0, 0.1, 8.0)
 WASTE, HANDED = 64, 16
 #: Different chunks a worker remembers, chunks looked up at a time, and characters of a text that is cut as a whole.
 KNOWN, WINDOW, WHOLE = 700_000, 1 << 18, 1 << 20
+#: New chunks that the tokenizer is given as one text, parted by a special token.
+TOGETHER = 64
 #: Fixed values of the byte-level vocabulary: how it cuts a text before it merges bytes.
 CHUNKS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The first character that the Latin form of these does not know, and its white space.
@@ -66,16 +68,46 @@ def _latin_chunks() -> re.Pattern:
     return re.compile(spelt.replace(r"\s", f"[{blanks}]").replace(r"\S", f"[^{blanks}]"))
 
 
+def _divider(special: dict[int, tokenizers.AddedToken]) -> tuple[int, str] | None:
+    """A special token that takes nothing of the texts beside it and runs together with no other one; none if there is none."""
+
+    def apart(one: str, other: str) -> bool:
+        """Whether neither holds the other or begins as the other ends."""
+        ends = range(1, min(len(one), len(other)))
+        return (one == other or (one not in other and other not in one)) and not any(one[-k:] == other[:k] or one[:k] == other[-k:] for k in ends)
+
+    for number, token in special.items():
+        plain = not (token.lstrip or token.rstrip or token.single_word or token.normalized)
+        if plain and all(apart(token.content, t.content) for t in special.values()):
+            return number, token.content
+    return None
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers; each different chunk is encoded once while it is remembered."""
 
     def __init__(self, file: str) -> None:
         self.model = tokenizers.Tokenizer.from_file(file)
-        special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        added = self.model.get_added_tokens_decoder()
+        self.divider = _divider(added)
+        special = [t.content for t in added.values()]
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.any, self.latin, self.other = regex.compile(CHUNKS), _latin_chunks(), re.compile(f"[^\0-{chr(_LATIN - 1)}]")
         self.known: dict[str, bytes] = {}
 
+    def _encoded(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks, none of which holds a special token."""
+        if self.divider and len(chunks) > 1:
+            # Special tokens are cut out before anything else, so chunks between them are encoded each by itself.
+            number, text = self.divider
+            (one,) = self.model.encode_batch_fast([text.join(chunks)], add_special_tokens=False)
+            ids = array("I", one.ids)
+            ends = [4 * i for i, x in enumerate(ids) if x == number]
+            if len(ends) == len(chunks) - 1:
+                every = ids.tobytes()
+                return [every[low:high] for low, high in zip([0, *(end + 4 for end in ends)], [*ends, len(every)], strict=True)]
+        return [array("I", one.ids).tobytes() for one in self.model.encode_batch_fast(chunks, add_special_tokens=False)]
+
     def _joined(self, runs: list[list[str]]) -> list[bytes]:
         """Ids of lists of chunks."""
         if len(self.known) > KNOWN:
@@ -84,8 +116,9 @@ class Encoder:
         found = [list(map(self.known.get, run)) for run in runs]
         lacking = [(run, ids, [k for k, x in enumerate(ids) if x is None]) for run, ids in zip(runs, found, strict=True) if None in ids]
         new = list({run[k] for run, _, places in lacking for k in places})
-        for chunk, one in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[chunk] = array("I", one.ids).tobytes()
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            self.known.update(zip(some, self._encoded(some), strict=True))
         for run, ids, places in lacking:
             for k in places:
                 ids[k] = self.known[run[k]]

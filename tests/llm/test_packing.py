@@ -46,6 +46,39 @@ def test_forgotten_chunks(model, monkeypatch):
         assert np.frombuffer(encode([prose(seed, 60)])[0], "<u4").tolist() == model.encode(prose(seed, 60), add_special_tokens=False).ids
 
 
+class _Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, model):
+        self.model, self.given = model, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += len(texts)
+        return self.model.encode_batch_fast(texts, **options)
+
+
+def test_new_chunks_are_encoded_together(model):
+    texts = [" ".join(a + b + c for c in "abcdefghij") for a in "blmñs" for b in ("an", "éa", "<|", "ort")] + ["'s a 's  \n\n <|endoftext |> <| endoftext|>", "\n<|", "endoftext|>\n"]
+    want = [model.encode(text, add_special_tokens=False).ids for text in texts]
+    for divider, most in ((True, 0.05), (False, 1)):
+        encode = P.Encoder(FILE)
+        encode.model = counted = _Counted(encode.model)
+        encode.divider = encode.divider if divider else None
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == want
+        assert len(encode.known) > 150 and counted.given <= most * len(encode.known)
+
+
+def test_dividers_do_not_run_together():
+    def divider(*tokens, **options):
+        return P._divider({i: tokenizers.AddedToken(t, special=True, normalized=False, **options) for i, t in enumerate(tokens)})
+
+    assert divider("<a>") == (0, "<a>") and divider("aa", "<a>") == (1, "<a>")
+    for tokens in [(), ("aa",), ("aba",), ("<a>", "<a>b"), ("<a>", "b<a>c"), ("<a", "a>")]:
+        assert divider(*tokens) is None, tokens
+    for option in ("lstrip", "rstrip", "single_word"):
+        assert divider("<a>", **{option: True}) is None
+
+
 def check(rows, docs, model, capacity):
     """Every document is there, cut as stated, and sequences have neither gaps nor too much; their number is returned."""
     expected = []
