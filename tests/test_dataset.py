@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from matrixlens import AnnotatedDataset, Matrix, locate_datasets, open_dataset, session, vacuum_dataset, write_dataset
 from matrixlens.operators import alignment, matrix_stats, table_stats
 from matrixlens.operators.alignment import KeptPositions
+from matrixlens.plans import queries
 from matrixlens.sources.catalog import last_modified
 from matrixlens.sources.csv import array_lines, table_lines, write_block, write_table
 from matrixlens.sources.layout import resolve_location
@@ -502,3 +503,11 @@ def test_one_scan_per_describe(spark, sample, tmp_path):
     for df in (table_stats.describe_table(stored, ["depth", "visits"]), table_stats.describe_table(stored, ["basin"]), table_stats.value_counts(stored, ["basin"])):
         assert plan(df).count("FileScan parquet") == 1
     assert "ReadSchema: struct<visits:bigint>" in plan(table_stats.describe_table(stored, ["visits"]))
+
+
+def test_time_of_a_dataset_with_names(spark, tmp_path):
+    """The index of names is in the manifest beside the parts, and is none of the dataset's parts."""
+    docs = [(i, f"text {i}", "en", "web", 6) for i in range(12)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert [tuple(r) for r in queries.modified(spark, str(tmp_path)).collect()] == [(True, True, 12)]
